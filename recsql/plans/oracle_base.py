@@ -76,3 +76,63 @@ pop AS (
 
 def with_(*parts: str) -> str:
     return "WITH " + ",\n".join(p.strip().lstrip(",").strip() for p in parts if p.strip())
+
+
+def ranking_ctes(recs: str, truth: str, k: int = 10, p: str = "") -> str:
+    """Per-user E2-E6 over users with relevant items and a non-empty list."""
+    return f""",
+{p}rel_ AS (SELECT DISTINCT user_id, item_id FROM {truth} WHERE rating >= 4),
+{p}nrel_ AS (SELECT user_id, count(*) AS n_rel FROM {p}rel_ GROUP BY 1),
+{p}er_ AS (SELECT user_id, rank, item_id FROM {recs} WHERE rank <= {k} AND user_id IN (SELECT user_id FROM {p}nrel_)),
+{p}hits_ AS (SELECT e.user_id, e.rank, e.item_id, CASE WHEN x.item_id IS NOT NULL THEN 1 ELSE 0 END AS hit
+          FROM {p}er_ e LEFT JOIN {p}rel_ x ON e.user_id = x.user_id AND e.item_id = x.item_id),
+{p}cum_ AS (SELECT *, sum(hit) OVER (PARTITION BY user_id ORDER BY rank ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS ch
+         FROM {p}hits_),
+{p}per_ AS (SELECT c.user_id, n.n_rel, CAST(sum(hit) AS DOUBLE) AS hits, sum(hit / log2(rank + 1)) AS dcg,
+                sum(CASE WHEN hit = 1 THEN ch / rank ELSE 0 END) AS ap
+         FROM {p}cum_ c JOIN {p}nrel_ n ON c.user_id = n.user_id GROUP BY c.user_id, n.n_rel),
+{p}pm_ AS (SELECT user_id, n_rel, hits, hits / {k} AS precision, hits / n_rel AS recall,
+               CASE WHEN hits > 0 THEN 1.0 ELSE 0.0 END AS hitrate,
+               dcg / list_sum(list_transform(range(1, LEAST(n_rel, {k}) + 1), lambda i: 1 / log2(i + 1))) AS ndcg,
+               ap / LEAST(n_rel, {k}) AS map FROM {p}per_)"""
+
+
+def eval_ctes(preds: str, recs: str, k: int = 10) -> str:
+    """E1 as a long (metric, value) CTE named ``metrics_``."""
+    rk = "\n".join(f"  UNION ALL SELECT '{m}@{k}', coalesce(round(avg({m}), 5), 0) FROM pm_"
+                   for m in ("precision", "recall", "hitrate", "ndcg", "map"))
+    return ranking_ctes(recs, "test", k) + f""",
+g_ AS (SELECT item_id, list_distinct(string_split(coalesce(genres, ''), '|')) AS g FROM items),
+pairs_ AS (
+  SELECT 1 - CASE WHEN len(list_distinct(list_concat(ga_, gb_))) > 0
+                  THEN len(list_intersect(ga_, gb_)) / len(list_distinct(list_concat(ga_, gb_))) ELSE 0 END AS d
+  FROM (SELECT coalesce(ga.g, []) AS ga_, coalesce(gb.g, []) AS gb_
+        FROM er_ a JOIN er_ b ON a.user_id = b.user_id AND a.rank < b.rank
+        LEFT JOIN g_ ga ON a.item_id = ga.item_id LEFT JOIN g_ gb ON b.item_id = gb.item_id)),
+ip_ AS (SELECT item_id, count(*) AS pop FROM train GROUP BY 1),
+metrics_ AS (
+  SELECT 'rmse' AS metric, round(sqrt(avg((rating - prediction) * (rating - prediction))), 5) AS value FROM {preds}
+  UNION ALL SELECT 'mae', round(avg(abs(rating - prediction)), 5) FROM {preds}
+{rk}
+  UNION ALL SELECT 'coverage', round((SELECT count(DISTINCT item_id) FROM er_) / (SELECT count(DISTINCT item_id) FROM items), 5)
+  UNION ALL SELECT 'diversity', round(coalesce((SELECT avg(d) FROM pairs_), 0), 5)
+  UNION ALL SELECT 'novelty', round(coalesce((SELECT avg(-log2(coalesce(ip_.pop, 1) / (SELECT count(DISTINCT user_id) FROM train)))
+                                              FROM er_ LEFT JOIN ip_ ON er_.item_id = ip_.item_id), 0), 5)
+  UNION ALL SELECT 'eval_users', (SELECT count(*) FROM pm_)
+  UNION ALL SELECT 'eval_empty_rec', (SELECT count(*) FROM nrel_) - (SELECT count(*) FROM pm_)
+  UNION ALL SELECT 'eval_user_coverage', CASE WHEN (SELECT count(*) FROM nrel_) > 0
+       THEN round((SELECT count(*) FROM pm_) / (SELECT count(*) FROM nrel_), 5) ELSE 0 END
+  UNION ALL SELECT 'eval_rel_size_mean', coalesce(round((SELECT avg(n_rel) FROM pm_), 3), 0))"""
+
+
+def cold_eval_ctes(recs: str, k: int = 10) -> str:
+    rk = "\n".join(f"  UNION ALL SELECT 'cold_{m}@{k}', coalesce(round(avg({m}), 5), 0) FROM c_pm_"
+                   for m in ("precision", "recall", "hitrate", "ndcg", "map"))
+    return ranking_ctes(recs, "cold", k, "c_") + f""",
+cmetrics_ AS (
+  SELECT 'cold_users' AS metric, CAST((SELECT count(*) FROM c_nrel_) AS DOUBLE) AS value
+{rk}
+  UNION ALL SELECT 'cold_eval_users', (SELECT count(*) FROM c_pm_)
+  UNION ALL SELECT 'cold_empty_rec', (SELECT count(*) FROM c_nrel_) - (SELECT count(*) FROM c_pm_)
+  UNION ALL SELECT 'cold_serve_rate', CASE WHEN (SELECT count(*) FROM c_nrel_) > 0
+       THEN round((SELECT count(*) FROM c_pm_) / (SELECT count(*) FROM c_nrel_), 5) ELSE 0 END)"""

@@ -239,3 +239,49 @@ SELECT (SELECT count(*) FROM items_base) AS total_movies,
 def a25_match_tiers(c):
     built = enrich.build_enrichment(c.items_base, T.imdb_basics(c.spark, c.sf_dir))
     return enrich.match_tier_report(c.items_base, built)
+
+
+from ..operators import features  # noqa: E402
+
+
+def _stats_sql(key, prefix):
+    return B.with_(B.RATINGS) + f""",
+s_ AS (SELECT {key}, count(*) AS c, avg(CAST(rating AS DOUBLE)) AS m, coalesce(stddev_samp(rating), 0) AS s
+       FROM ratings GROUP BY 1),
+b_ AS (SELECT min(c) AS lc, max(c) AS hc, min(m) AS lm, max(m) AS hm FROM s_)
+SELECT {key}, c AS {prefix}_rating_count, round(m, 6) AS {prefix}_rating_mean, round(s, 6) AS {prefix}_rating_std,
+       round(CASE WHEN hc > lc THEN (c - lc) / (hc - lc) ELSE 0 END, 6) AS {prefix}_rating_count_norm,
+       round(CASE WHEN hm > lm THEN (m - lm) / (hm - lm) ELSE 0 END, 6) AS {prefix}_rating_mean_norm
+FROM s_ CROSS JOIN b_"""
+
+
+@query("a1_item_stats", _stats_sql("item_id", "item"))
+def a1_item_stats(c):
+    return _round_doubles(features.item_stats(c.ratings))
+
+
+@query("a2_user_stats", _stats_sql("user_id", "user"))
+def a2_user_stats(c):
+    return _round_doubles(features.user_stats(c.ratings))
+
+
+@query("f15_genre_multihot", B.with_(B.ITEMS) + """,
+cells_ AS (SELECT DISTINCT item_id, g AS genre FROM
+  (SELECT item_id, unnest(list_filter(list_transform(string_split(coalesce(genres, ''), '|'), lambda x: trim(x)), lambda x: x <> '')) AS g FROM items)),
+voc_ AS (SELECT genre, row_number() OVER (ORDER BY genre) - 1 AS genre_idx FROM (SELECT DISTINCT genre FROM cells_))
+SELECT item_id, genre, genre_idx FROM cells_ JOIN voc_ USING (genre)""")
+def f15_genre_multihot(c):
+    return features.genre_multihot(c.items)
+
+
+_AGES = (1, 18, 25, 35, 45, 50, 56)
+
+
+@query("x2_user_features", B.with_(B.USERS) + """,
+b_ AS (SELECT min(CAST(age AS DOUBLE)) AS lo, max(CAST(age AS DOUBLE)) AS hi FROM users)
+SELECT user_id, CASE WHEN gender = 'M' THEN 1 ELSE 0 END AS gender_M, CASE WHEN gender = 'F' THEN 1 ELSE 0 END AS gender_F,
+       round((age - lo) / (hi - lo + 1e-9), 6) AS age_normalized, occupation, """ +
+       ", ".join(f"CASE WHEN age = {a} THEN 1 ELSE 0 END AS age_bucket_{a}" for a in _AGES) + """
+FROM users CROSS JOIN b_""")
+def x2_user_features(c):
+    return _round_doubles(features.user_features(c.users))

@@ -44,3 +44,34 @@ def m1_popularity_predict(c):
     m = c.model("popularity")
     out = popularity.predict(m, c.test.select("user_id", "item_id", F.col("rating").cast("bigint")))
     return _round_doubles(out)
+
+
+from ..operators import evaluate as EV  # noqa: E402
+from ..operators import metrics as M  # noqa: E402
+
+POP_PREDS = """,
+pop_preds_ AS (SELECT t.user_id, t.item_id, t.rating, coalesce(p.score, mu.mu) AS prediction
+               FROM test t LEFT JOIN pop p ON t.item_id = p.item_id CROSS JOIN mu)"""
+
+
+@query("e1_evaluate_popularity", B.with_(B.SPLIT, B.ITEMS, B.POP, POP_RECS, POP_PREDS)
+       + B.eval_ctes("pop_preds_", "pop_recs") + "\nSELECT metric, round(CAST(value AS DOUBLE), 6) AS value FROM metrics_")
+def e1_evaluate_popularity(c):
+    return _round_doubles(EV.evaluate(popularity, c.model("popularity"), c.train, c.test, c.items, K))
+
+
+@query("e7_cold_eval_popularity", B.with_(B.SPLIT, B.ITEMS, B.POP, POP_RECS)
+       + B.cold_eval_ctes("pop_recs") + "\nSELECT metric, round(CAST(value AS DOUBLE), 6) AS value FROM cmetrics_")
+def e7_cold_eval_popularity(c):
+    return _round_doubles(EV.evaluate_cold(popularity, c.model("popularity"), c.cold, K))
+
+
+@query("e2_ranking_per_user_popularity", B.with_(B.SPLIT, B.ITEMS, B.POP, POP_RECS)
+       + B.ranking_ctes("pop_recs", "test") + """
+SELECT user_id, n_rel, CAST(hits AS BIGINT) AS hits, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(hitrate, 6) AS hitrate, round(ndcg, 6) AS ndcg, round(map, 6) AS map FROM pm_""")
+def e2_ranking_per_user_popularity(c):
+    m = c.model("popularity")
+    rel = M.relevant_items(c.test)
+    recs = popularity.recommend(m, rel.select("user_id").distinct(), K)
+    return _round_doubles(M.ranking_per_user(recs, rel, K))
