@@ -1 +1,45 @@
-"""placeholder"""
+"""Cold-start routing: users with a content profile get content
+recommendations (popularity if that list is empty), everyone else popularity."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+
+from ..schemas import ITEM, USER
+from . import content, popularity
+
+
+@dataclass
+class ColdStartModel:
+    content: content.ContentModel
+    popularity: popularity.PopularityModel
+
+
+def fit(train: DataFrame, items: DataFrame, like_threshold: float = 4.0, **_params) -> ColdStartModel:
+    return ColdStartModel(content.fit(train, items, like_threshold), popularity.fit(train, items))
+
+
+def predict(m: ColdStartModel, pairs: DataFrame) -> DataFrame:
+    known = pairs.join(m.content.profile_users, USER, "left_semi")
+    unknown = pairs.join(m.content.profile_users, USER, "left_anti")
+    return content.predict(m.content, known).unionByName(popularity.predict(m.popularity, unknown))
+
+
+def recommend(m: ColdStartModel, users: DataFrame, k: int = 10) -> DataFrame:
+    u = users.select(USER).distinct()
+    ct = content.recommend(m.content, u.join(m.content.profile_users, USER, "left_semi"), k)
+    rest = u.join(ct.select(USER).distinct(), USER, "left_anti")
+    return ct.unionByName(popularity.recommend(m.popularity, rest, k))
+
+
+def recommend_for_preferences(m: ColdStartModel, prefs: DataFrame, k: int = 10,
+                              exclude: DataFrame | None = None) -> DataFrame:
+    """M13 with the popularity list of an unknown user as the fallback."""
+    return content.recommend_for_preferences(m.content, prefs, k, exclude, fallback=_global(m, k))
+
+
+def _global(m: ColdStartModel, k: int) -> DataFrame:
+    from pyspark.sql import functions as F
+    return m.popularity.ranked.filter(F.col("pos") <= k).select(F.col("pos").cast("int").alias("rank"), ITEM, "score")

@@ -1 +1,158 @@
-"""placeholder"""
+"""TF-IDF content model over item genre text.
+
+Long sparse tables (item, term, weight) and (user, term, weight) are built with
+joins and aggregations; predictions join pairs to both on the term; ranking
+the whole catalogue for every user goes through the blocked scorer with dense
+vectors over the (small, checked) vocabulary."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..functions.numeric import clip
+from ..functions.text import tokens
+from ..plans.blocked import blocked_topk, dense_vectors
+from ..plans.ranking import global_positions
+from ..schemas import ITEM, RATING, USER
+from .popularity import global_mean
+
+MAX_DENSE_DIM = 1 << 16  # vocabulary bound for dense block scoring
+
+EPS = 1e-9  # fixed value: norm guard of the reference formulas
+
+
+@dataclass
+class ContentModel:
+    mu: DataFrame            # one row: mu
+    idf: DataFrame           # term, idx, idf
+    item_vecs: DataFrame     # item_id, term, weight
+    catalogue: DataFrame     # item_id (every catalogue item, even without terms)
+    profiles: DataFrame      # user_id, term, weight
+    profile_users: DataFrame  # user_id
+    seen: DataFrame          # user_id, item_id
+    dim: int
+    n_items: int
+
+
+def item_text(items: DataFrame) -> DataFrame:
+    """(item_id, genres text)."""
+    return items.select(ITEM, F.coalesce(F.col("genres"), F.lit("")).alias("text"))
+
+
+def tfidf(items: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """A11 + F11: vocabulary with IDF over all catalogue items, and L2-normalised
+    TF-IDF item vectors. Returns (idf, item_vecs, catalogue)."""
+    docs = item_text(items).select(ITEM, tokens(F.col("text")).alias("toks"))
+    n_docs = docs.agg(F.count(F.lit(1)).alias("_N"))
+    tf = (docs.select(ITEM, F.size("toks").alias("_len"), F.explode("toks").alias("term"))
+          .groupBy(ITEM, "term").agg(F.count(F.lit(1)).alias("_c"), F.first("_len").alias("_len")))
+    df = tf.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    idf = df.crossJoin(F.broadcast(n_docs)).select(  # one-row side
+        "term", (F.log((F.lit(1) + F.col("_N")) / (F.lit(1) + F.col("df"))) + F.lit(1.0)).alias("idf"))
+    idf = global_positions(idf, [F.col("term").asc()]).select("term", (F.col("pos") - 1).alias("idx"), "idf")
+    w = tf.join(F.broadcast(idf), "term").select(ITEM, "term", "idx", (F.col("_c") / F.col("_len") * F.col("idf")).alias("w"))
+    norm = w.groupBy(ITEM).agg((F.sqrt(F.sum(F.col("w") * F.col("w"))) + F.lit(EPS)).alias("_n"))
+    vecs = w.join(norm, ITEM).select(ITEM, "term", "idx", (F.col("w") / F.col("_n")).alias("weight"))
+    return idf, vecs, docs.select(ITEM)
+
+
+def user_profiles(train: DataFrame, item_vecs: DataFrame, catalogue: DataFrame,
+                  like_threshold: float = 4.0) -> tuple[DataFrame, DataFrame]:
+    """Rating-weighted mean of liked item vectors (all history when nothing
+    is liked), L2-normalised. Returns (profiles, profile_users)."""
+    has_liked = train.groupBy(USER).agg(F.max((F.col(RATING) >= like_threshold).cast("int")).alias("_hl"))
+    used = (train.join(has_liked, USER)
+            .filter((F.col(RATING) >= like_threshold) | (F.col("_hl") == 0))
+            .join(catalogue, ITEM, "left_semi")
+            .select(USER, ITEM, F.col(RATING).cast("double").alias("r")))
+    wsum = used.groupBy(USER).agg(F.sum("r").alias("_W"))
+    avg = (used.join(item_vecs, ITEM).groupBy(USER, "term", "idx").agg(F.sum(F.col("r") * F.col("weight")).alias("s"))
+           .join(wsum, USER).select(USER, "term", "idx", (F.col("s") / F.col("_W")).alias("a")))
+    norm = avg.groupBy(USER).agg((F.sqrt(F.sum(F.col("a") * F.col("a"))) + F.lit(EPS)).alias("_n"))
+    prof = avg.join(norm, USER).select(USER, "term", "idx", (F.col("a") / F.col("_n")).alias("weight"))
+    return prof, wsum.select(USER)
+
+
+def fit(train: DataFrame, items: DataFrame, like_threshold: float = 4.0, **_params) -> ContentModel:
+    idf, vecs, catalogue = tfidf(items)
+    prof, pusers = user_profiles(train, vecs, catalogue, like_threshold)
+    dim = idf.count()
+    n_items = catalogue.count()
+    return ContentModel(global_mean(train), idf, vecs, catalogue, prof, pusers,
+                        train.select(USER, ITEM).distinct(), dim, n_items)
+
+
+def cosine(m: ContentModel, pairs: DataFrame) -> DataFrame:
+    """(user_id, item_id) -> cos over shared terms (0 when none)."""
+    p = pairs.select(USER, ITEM).distinct()
+    dots = (p.join(m.item_vecs.select(ITEM, "term", F.col("weight").alias("wi")), ITEM)
+            .join(m.profiles.select(USER, "term", F.col("weight").alias("wu")), [USER, "term"])
+            .groupBy(USER, ITEM).agg(F.sum(F.col("wi") * F.col("wu")).alias("cos")))
+    return p.join(dots, [USER, ITEM], "left").withColumn("cos", F.coalesce("cos", F.lit(0.0)))
+
+
+def predict(m: ContentModel, pairs: DataFrame) -> DataFrame:
+    """clip(mu + cos) when the user has a profile and the item is catalogued, else mu."""
+    known = (pairs.select(USER, ITEM).distinct()
+             .join(m.profile_users, USER, "left_semi").join(m.catalogue, ITEM, "left_semi"))
+    cos = cosine(m, known).withColumn("_k", F.lit(1))
+    out = pairs.join(cos, [USER, ITEM], "left").crossJoin(F.broadcast(m.mu))  # one-row side
+    pred = F.when(F.col("_k") == 1, clip(F.col("mu") + F.col("cos"))).otherwise(F.col("mu"))
+    return out.withColumn("prediction", pred).drop("cos", "_k", "mu")
+
+
+def _check_dim(dim: int):
+    if dim > MAX_DENSE_DIM:
+        raise ValueError(f"vocabulary of {dim} terms is too large for dense block scoring")
+
+
+def item_dense(m: ContentModel) -> DataFrame:
+    _check_dim(m.dim)
+    d = dense_vectors(m.item_vecs, ITEM, max(1, m.dim))
+    zero = F.array_repeat(F.lit(0.0), max(1, m.dim))
+    return m.catalogue.join(d, ITEM, "left").select(ITEM, F.coalesce(F.col("vec"), zero).alias("vec"))
+
+
+def user_dense(m: ContentModel, users: DataFrame | None = None) -> DataFrame:
+    _check_dim(m.dim)
+    pu = m.profile_users if users is None else m.profile_users.join(users.select(USER).distinct(), USER, "left_semi")
+    d = dense_vectors(m.profiles, USER, max(1, m.dim))
+    zero = F.array_repeat(F.lit(0.0), max(1, m.dim))
+    return pu.join(d, USER, "left").select(USER, F.coalesce(F.col("vec"), zero).alias("vec"))
+
+
+def recommend(m: ContentModel, users: DataFrame, k: int = 10) -> DataFrame:
+    """All catalogue items minus seen, ranked by cosine; no profile -> no rows."""
+    uv = user_dense(m, users)
+    return blocked_topk(uv, item_dense(m), m.seen, k, n_items=m.n_items)
+
+
+def preference_vectors(m: ContentModel, prefs: DataFrame) -> DataFrame:
+    """(profile_id, genre) -> L2-normalised sum of IDF per token occurrence.
+    Profiles whose vector is empty or ~0 are absent (popularity fallback)."""
+    toks = prefs.select("profile_id", F.explode(tokens(F.col("genre"))).alias("term"))
+    v = (toks.join(F.broadcast(m.idf), "term").groupBy("profile_id", "idx")
+         .agg(F.sum("idf").alias("a")))
+    norm = v.groupBy("profile_id").agg(F.sqrt(F.sum(F.col("a") * F.col("a"))).alias("_n"))
+    return (v.join(norm.filter(F.col("_n") >= EPS), "profile_id")
+            .select("profile_id", "idx", (F.col("a") / F.col("_n")).alias("weight")))
+
+
+def recommend_for_preferences(m: ContentModel, prefs: DataFrame, k: int = 10,
+                              exclude: DataFrame | None = None, fallback: DataFrame | None = None) -> DataFrame:
+    """M13 for a batch of preference profiles: cosine top-k minus ``exclude``
+    (profile_id, item_id); profiles without a usable vector get ``fallback``
+    (a global (rank, item_id, score) list, e.g. popularity)."""
+    _check_dim(m.dim)
+    pv = preference_vectors(m, prefs)
+    uv = dense_vectors(pv.withColumnRenamed("profile_id", USER), USER, max(1, m.dim))
+    seen = None if exclude is None else exclude.select(F.col("profile_id").alias(USER), ITEM)
+    recs = blocked_topk(uv, item_dense(m), seen, k, n_items=m.n_items).withColumnRenamed(USER, "profile_id")
+    if fallback is None:
+        return recs
+    missing = prefs.select("profile_id").distinct().join(recs.select("profile_id").distinct(), "profile_id", "left_anti")
+    fb = missing.crossJoin(F.broadcast(fallback.filter(F.col("rank") <= k).select("rank", ITEM, "score")))  # k rows
+    return recs.unionByName(fb.select("profile_id", "rank", ITEM, "score"))

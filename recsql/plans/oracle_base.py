@@ -136,3 +136,40 @@ cmetrics_ AS (
   UNION ALL SELECT 'cold_empty_rec', (SELECT count(*) FROM c_nrel_) - (SELECT count(*) FROM c_pm_)
   UNION ALL SELECT 'cold_serve_rate', CASE WHEN (SELECT count(*) FROM c_nrel_) > 0
        THEN round((SELECT count(*) FROM c_pm_) / (SELECT count(*) FROM c_nrel_), 5) ELSE 0 END)"""
+
+
+CONTENT = """,
+docs_ AS (SELECT item_id, regexp_extract_all(lower(coalesce(genres, '')), '[a-z0-9]+') AS toks FROM items),
+ndocs_ AS (SELECT count(*) AS n_docs FROM docs_),
+tf_ AS (SELECT item_id, term, count(*) AS c, any_value(len_) AS len_
+        FROM (SELECT item_id, len(toks) AS len_, unnest(toks) AS term FROM docs_) GROUP BY item_id, term),
+idf_ AS (SELECT term, ln((1 + any_value(n_docs)) / (1 + count(*))) + 1 AS idf FROM tf_ CROSS JOIN ndocs_ GROUP BY term),
+w_ AS (SELECT item_id, term, c / len_ * idf AS w FROM tf_ JOIN idf_ USING (term)),
+ivec_ AS (SELECT item_id, term, w / (sqrt(sum(w * w) OVER (PARTITION BY item_id)) + 1e-9) AS weight FROM w_),
+hl_ AS (SELECT user_id, max(CASE WHEN rating >= 4 THEN 1 ELSE 0 END) AS hl FROM train GROUP BY 1),
+used_ AS (SELECT t.user_id, t.item_id, CAST(t.rating AS DOUBLE) AS r FROM train t JOIN hl_ ON t.user_id = hl_.user_id
+          WHERE (t.rating >= 4 OR hl_.hl = 0) AND t.item_id IN (SELECT item_id FROM docs_)),
+wsum_ AS (SELECT user_id, sum(r) AS w_sum FROM used_ GROUP BY 1),
+avg_ AS (SELECT u.user_id, v.term, sum(u.r * v.weight) / any_value(ws.w_sum) AS a
+         FROM used_ u JOIN ivec_ v ON u.item_id = v.item_id JOIN wsum_ ws ON u.user_id = ws.user_id GROUP BY u.user_id, v.term),
+prof_ AS (SELECT user_id, term, a / (sqrt(sum(a * a) OVER (PARTITION BY user_id)) + 1e-9) AS weight FROM avg_),
+cscore_ AS (SELECT p.user_id, v.item_id, sum(p.weight * v.weight) AS score FROM prof_ p JOIN ivec_ v ON p.term = v.term GROUP BY 1, 2)"""
+
+
+def content_recs(users: str, name: str = "content_recs", k: int = 10) -> str:
+    return f""",
+{name}_cand AS (SELECT u.user_id, d.item_id, coalesce(s.score, 0) AS score
+  FROM (SELECT user_id FROM wsum_ WHERE user_id IN (SELECT user_id FROM {users})) u CROSS JOIN docs_ d
+  LEFT JOIN cscore_ s ON s.user_id = u.user_id AND s.item_id = d.item_id
+  WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = u.user_id AND t.item_id = d.item_id)),
+{name} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, item_id) AS rank
+  FROM {name}_cand) WHERE rank <= {k})"""
+
+
+CONTENT_PREDS = """,
+ccos_ AS (SELECT t.user_id, t.item_id, sum(v.weight * p.weight) AS cos FROM test t JOIN ivec_ v ON t.item_id = v.item_id
+          JOIN prof_ p ON p.user_id = t.user_id AND p.term = v.term GROUP BY 1, 2),
+content_preds_ AS (SELECT t.user_id, t.item_id, t.rating,
+  CASE WHEN t.user_id IN (SELECT user_id FROM wsum_) AND t.item_id IN (SELECT item_id FROM docs_)
+       THEN LEAST(5, GREATEST(1, mu.mu + coalesce(c.cos, 0))) ELSE mu.mu END AS prediction
+  FROM test t LEFT JOIN ccos_ c ON t.user_id = c.user_id AND t.item_id = c.item_id CROSS JOIN mu)"""
