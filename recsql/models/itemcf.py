@@ -1 +1,85 @@
-"""placeholder"""
+"""M2-M4: item-based collaborative filtering (cosine, top-N neighbours)."""
+
+from __future__ import annotations
+
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..plans.blocked import blocked_gram
+from ..plans.ranking import broadcast_if_small, exclude_seen, global_positions, score_order, topk, topk_unseen_from_ranking
+from ..schemas import ITEM, RATING, USER
+from .popularity import global_mean
+
+EPS = 1e-9  # fixed value: norm guard of the reference cosine
+
+
+@dataclass
+class ItemCFModel:
+    mu: DataFrame           # one row: mu
+    neighbors: DataFrame    # item_id, neighbor_id, sim, nrank (sim > 0 only)
+    train: DataFrame        # user_id, item_id, rating
+    items: DataFrame        # train items: item_id, pos (by id)
+    n_items: int
+
+
+def similarities(train: DataFrame, n_users: int, n_items: int, n_ratings: int) -> DataFrame:
+    """A29 + J7: cosine of rating columns, ``dot / ((|i|+eps)(|j|+eps))``, i != j."""
+    norms = train.groupBy(ITEM).agg((F.sqrt(F.sum(F.col(RATING).cast("double") ** 2)) + F.lit(EPS)).alias("nrm"))
+    dots = blocked_gram(train, n_users, n_items, n_ratings)
+    ni = broadcast_if_small(norms.select(F.col(ITEM).alias("i"), F.col("nrm").alias("ni")), n_items, 24)
+    nj = broadcast_if_small(norms.select(F.col(ITEM).alias("j"), F.col("nrm").alias("nj")), n_items, 24)
+    return (dots.join(ni, "i").join(nj, "j")
+            .select(F.col("i").alias(ITEM), F.col("j").alias("neighbor_id"),
+                    (F.col("dot") / (F.col("ni") * F.col("nj"))).alias("sim")))
+
+
+def fit(train: DataFrame, items: DataFrame | None = None, topk_neighbors: int = 50, **_params) -> ItemCFModel:
+    t = train.select(USER, ITEM, RATING)
+    stats = t.agg(F.count_distinct(USER).alias("nu"), F.count_distinct(ITEM).alias("ni"),
+                  F.count(F.lit(1)).alias("nr")).first()
+    n_users, n_items, n_ratings = int(stats.nu), int(stats.ni), int(stats.nr)
+    sims = similarities(t, n_users, n_items, n_ratings).filter(F.col("sim") > 0)
+    n = int(topk_neighbors)
+    if 0 < n < n_items - 1:  # truncate each row independently (asymmetric)
+        nb = topk(sims, n, by=ITEM, order=score_order("sim", "neighbor_id"), rank_col="nrank")
+    else:
+        nb = sims.withColumn("nrank", F.lit(None).cast("int"))
+    ids = global_positions(t.select(ITEM).distinct(), [F.col(ITEM).asc()])
+    return ItemCFModel(global_mean(t), nb, t, ids, n_items)
+
+
+def predict(m: ItemCFModel, pairs: DataFrame) -> DataFrame:
+    """M3: sum(s*r) / (sum(s) + eps) over the user's rated neighbours, else mu."""
+    p = pairs.select(USER, ITEM).distinct()
+    contrib = (p.join(m.neighbors.select(ITEM, F.col("neighbor_id").alias("_j"), "sim"), ITEM)
+               .join(m.train.select(USER, F.col(ITEM).alias("_j"), F.col(RATING).alias("_r")), [USER, "_j"])
+               .groupBy(USER, ITEM).agg(F.sum(F.col("sim") * F.col("_r")).alias("_num"), F.sum("sim").alias("_den")))
+    out = pairs.join(contrib, [USER, ITEM], "left").crossJoin(F.broadcast(m.mu))  # one-row side
+    pred = F.when(F.col("_den").isNotNull(), F.col("_num") / (F.col("_den") + F.lit(EPS))).otherwise(F.col("mu"))
+    return out.withColumn("prediction", pred).drop("_num", "_den", "mu")
+
+
+def scores(m: ItemCFModel, users: DataFrame) -> DataFrame:
+    """M4 scores: ``sum_j sim[i, j] * r_uj`` for every item with a rated neighbour.
+    Joined on the rated item, combined per (user, item) before the shuffle."""
+    r = m.train.join(users.select(USER).distinct(), USER, "left_semi")
+    return (r.select(USER, F.col(ITEM).alias("neighbor_id"), F.col(RATING).alias("_r"))
+            .join(m.neighbors.select(ITEM, "neighbor_id", "sim"), "neighbor_id")
+            .groupBy(USER, ITEM).agg(F.sum(F.col("sim") * F.col("_r")).alias("score")))
+
+
+def recommend(m: ItemCFModel, users: DataFrame, k: int = 10) -> DataFrame:
+    """Top-k unseen train items by score; unknown users get nothing; users with
+    fewer than k positive scores are filled with zero-score items by item_id."""
+    known = users.select(USER).distinct().join(m.train.select(USER).distinct(), USER, "left_semi")
+    seen = m.train.select(USER, ITEM)
+    pos = topk(exclude_seen(scores(m, known), seen), k)
+    short = (known.join(pos.groupBy(USER).agg(F.count(F.lit(1)).alias("_np")), USER, "left")
+             .filter(F.coalesce(F.col("_np"), F.lit(0)) < k).select(USER))
+    fill_seen = seen.join(short, USER, "left_semi").unionByName(pos.select(USER, ITEM).join(short, USER, "left_semi"))
+    ranked = m.items.withColumn("score", F.lit(0.0))
+    fill = topk_unseen_from_ranking(ranked, short, fill_seen, k, n_ranked=m.n_items)
+    both = pos.select(USER, ITEM, "score").unionByName(fill.select(USER, ITEM, "score"))
+    return topk(both, k).select(USER, F.col("rank").cast("int"), ITEM, "score")

@@ -173,3 +173,34 @@ content_preds_ AS (SELECT t.user_id, t.item_id, t.rating,
   CASE WHEN t.user_id IN (SELECT user_id FROM wsum_) AND t.item_id IN (SELECT item_id FROM docs_)
        THEN LEAST(5, GREATEST(1, mu.mu + coalesce(c.cos, 0))) ELSE mu.mu END AS prediction
   FROM test t LEFT JOIN ccos_ c ON t.user_id = c.user_id AND t.item_id = c.item_id CROSS JOIN mu)"""
+
+
+def itemcf(n: int = 50) -> str:
+    return f""",
+inorm_ AS (SELECT item_id, sqrt(sum(CAST(rating AS DOUBLE) * rating)) + 1e-9 AS nrm FROM train GROUP BY 1),
+dots_ AS (SELECT a.item_id AS i, b.item_id AS j, sum(CAST(a.rating AS DOUBLE) * b.rating) AS d
+          FROM train a JOIN train b ON a.user_id = b.user_id AND a.item_id <> b.item_id GROUP BY 1, 2),
+sim_ AS (SELECT i, j, d / (ni.nrm * nj.nrm) AS sim FROM dots_ JOIN inorm_ ni ON ni.item_id = i JOIN inorm_ nj ON nj.item_id = j),
+nbr_ AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY i ORDER BY round(sim, 9) DESC, j) AS nrank
+         FROM sim_ WHERE sim > 0) WHERE nrank <= {n})"""
+
+
+ITEMCF_PREDS = """,
+icf_p_ AS (SELECT t.user_id, t.item_id, sum(n.sim * tr.rating) AS num, sum(n.sim) AS den FROM test t
+           JOIN nbr_ n ON n.i = t.item_id JOIN train tr ON tr.user_id = t.user_id AND tr.item_id = n.j GROUP BY 1, 2),
+icf_preds_ AS (SELECT t.user_id, t.item_id, t.rating,
+  CASE WHEN p.den IS NOT NULL THEN p.num / (p.den + 1e-9) ELSE mu.mu END AS prediction
+  FROM test t LEFT JOIN icf_p_ p ON t.user_id = p.user_id AND t.item_id = p.item_id CROSS JOIN mu)"""
+
+
+def itemcf_recs(users: str, name: str = "icf_recs", k: int = 10) -> str:
+    return f""",
+{name}_s AS (SELECT tr.user_id, n.i AS item_id, sum(n.sim * tr.rating) AS score FROM train tr JOIN nbr_ n ON n.j = tr.item_id
+             WHERE tr.user_id IN (SELECT user_id FROM {users}) GROUP BY 1, 2),
+{name}_c AS (SELECT u.user_id, ti.item_id, coalesce(s.score, 0) AS score
+  FROM (SELECT DISTINCT user_id FROM train WHERE user_id IN (SELECT user_id FROM {users})) u
+  CROSS JOIN (SELECT DISTINCT item_id FROM train) ti
+  LEFT JOIN {name}_s s ON s.user_id = u.user_id AND s.item_id = ti.item_id
+  WHERE NOT EXISTS (SELECT 1 FROM train t WHERE t.user_id = u.user_id AND t.item_id = ti.item_id)),
+{name} AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, item_id) AS rank
+  FROM {name}_c) WHERE rank <= {k})"""
