@@ -1 +1,144 @@
-"""placeholder"""
+"""M7/M8: biased alternating least squares.
+
+Half-step for users (mirrored for items), with the other side fixed:
+``t = r - mu - b_other``; ``(Q^T Q + reg I) p = Q^T t``; ``b = mean(t - Q p)``.
+Everything needed is additive per id (sum q q^T, sum q t, sum t, sum q, n),
+so each map task combines its rows per id with NumPy before the shuffle (a
+popular item sends one partial per task, not all its ratings), and one
+vectorised batched solve per partition finishes the step. Factor tables are
+checkpointed after each half-step to cut the lineage.
+
+``fit_ml`` is the pyspark.ml ALS variant (no biases, regularisation scaled by
+the number of ratings), exposed separately because it is a different model."""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..schemas import ITEM, RATING, USER
+from ..session import materialize
+from .factors import FactorModel, init_vectors
+from .factors import predict as _predict
+from .factors import recommend as _recommend
+from .popularity import global_mean
+
+_PARTIAL = "id long, a array<double>, c array<double>, st double, sq array<double>, n long"
+_SOLVED = "id long, vec array<double>, bias double"
+
+
+def _partials(k: int):
+    def fn(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            pdf = pdf.sort_values("id", kind="stable")
+            ids = pdf["id"].to_numpy(np.int64)
+            Q = np.stack(pdf["vec"].to_numpy()).reshape(len(pdf), k)
+            t = pdf["t"].to_numpy(np.float64)
+            starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+            out_ids, A, C, ST, SQ, N = [], [], [], [], [], []
+            for lo in range(0, len(ids), 1024):  # bound the k*k outer-product buffer
+                hi = min(len(ids), lo + 1024)
+                cut = np.unique(np.r_[lo, starts[(starts > lo) & (starts < hi)]])
+                Qc, tc = Q[lo:hi], t[lo:hi]
+                outer = np.einsum("ni,nj->nij", Qc, Qc).reshape(hi - lo, k * k)
+                seg = cut - lo
+                A.append(np.add.reduceat(outer, seg, axis=0))
+                C.append(np.add.reduceat(Qc * tc[:, None], seg, axis=0))
+                ST.append(np.add.reduceat(tc, seg))
+                SQ.append(np.add.reduceat(Qc, seg, axis=0))
+                N.append(np.diff(np.r_[seg, hi - lo]))
+                out_ids.append(ids[cut])
+            yield pd.DataFrame({"id": np.concatenate(out_ids), "a": list(np.concatenate(A)),
+                                "c": list(np.concatenate(C)), "st": np.concatenate(ST),
+                                "sq": list(np.concatenate(SQ)), "n": np.concatenate(N)})
+    return fn
+
+
+def _solver(k: int, reg: float):
+    eye = np.eye(k)
+
+    def finish(rows: list[pd.DataFrame]) -> pd.DataFrame:
+        pdf = pd.concat(rows)
+        ids = pdf["id"].to_numpy(np.int64)
+        starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+        A = np.add.reduceat(np.stack(pdf["a"].to_numpy()), starts, axis=0).reshape(-1, k, k) + reg * eye
+        C = np.add.reduceat(np.stack(pdf["c"].to_numpy()), starts, axis=0)
+        ST = np.add.reduceat(pdf["st"].to_numpy(np.float64), starts)
+        SQ = np.add.reduceat(np.stack(pdf["sq"].to_numpy()), starts, axis=0)
+        N = np.add.reduceat(pdf["n"].to_numpy(np.float64), starts)
+        P = np.linalg.solve(A, C[:, :, None])[:, :, 0]
+        bias = (ST - np.einsum("ij,ij->i", SQ, P)) / N
+        return pd.DataFrame({"id": ids[starts], "vec": list(P), "bias": bias})
+
+    def fn(batches):
+        pending: list[pd.DataFrame] = []
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            last = pdf["id"].iloc[-1]
+            done = pdf[pdf["id"] != last]
+            if len(done):
+                yield finish(pending + [done])
+                pending = []
+            pending.append(pdf[pdf["id"] == last])
+        if pending:
+            yield finish(pending)
+    return fn
+
+
+def half_step(ratings: DataFrame, fixed: DataFrame, self_key: str, other_key: str, mu: float,
+              k: int, reg: float) -> DataFrame:
+    j = ratings.join(fixed.select(F.col("id").alias(other_key), "vec", F.col("bias").alias("_b")), other_key)
+    rows = j.select(F.col(self_key).alias("id"), "vec",
+                    (F.col(RATING).cast("double") - F.lit(mu) - F.col("_b")).alias("t"))
+    part = rows.mapInPandas(_partials(k), _PARTIAL)
+    n_parts = ratings.sparkSession.conf.get("spark.sql.shuffle.partitions")
+    solved = (part.repartition(int(n_parts), "id").sortWithinPartitions("id")
+              .mapInPandas(_solver(k, reg), _SOLVED))
+    return materialize(solved)
+
+
+def fit(train: DataFrame, items: DataFrame | None = None, n_factors: int = 50, reg: float = 0.1,
+        n_epochs: int = 15, seed: int = 42, **_params) -> FactorModel:
+    r = train.select(USER, ITEM, RATING)
+    mu_df = materialize(global_mean(r))
+    mu = float(mu_df.first()["mu"])
+    q = materialize(init_vectors(r, ITEM, n_factors, seed, 2).withColumnRenamed(ITEM, "id"))
+    p = None
+    for _ in range(int(n_epochs)):
+        p = half_step(r, q, USER, ITEM, mu, n_factors, reg)
+        q = half_step(r, p, ITEM, USER, mu, n_factors, reg)
+    if p is None:
+        p = materialize(init_vectors(r, USER, n_factors, seed, 1).withColumnRenamed(USER, "id"))
+    users = p.withColumnRenamed("id", USER)
+    its = q.withColumnRenamed("id", ITEM)
+    return FactorModel(mu_df, users, its, r.select(USER, ITEM), users.count(), its.count(),
+                       dict(n_factors=n_factors, reg=reg, n_epochs=n_epochs, seed=seed))
+
+
+predict = _predict
+recommend = _recommend
+
+
+def fit_ml(train: DataFrame, items: DataFrame | None = None, n_factors: int = 50, reg: float = 0.1,
+           n_epochs: int = 15, seed: int = 42, **_params) -> FactorModel:
+    """pyspark.ml ALS (explicit feedback, no biases); ids must fit in INT."""
+    from pyspark.ml.recommendation import ALS
+    r = train.select(USER, ITEM, F.col(RATING).cast("float").alias(RATING))
+    big = r.agg(F.max(F.abs(USER)).alias("u"), F.max(F.abs(ITEM)).alias("i")).first()
+    if max(big.u or 0, big.i or 0) > 2**31 - 1:
+        raise ValueError("pyspark.ml ALS needs user/item ids that fit in INT")
+    model = ALS(rank=n_factors, maxIter=n_epochs, regParam=reg, seed=seed, userCol=USER, itemCol=ITEM,
+                ratingCol=RATING, coldStartStrategy="nan").fit(r)
+    mu_df = materialize(global_mean(r).withColumn("mu", F.lit(0.0)))  # no bias terms in this variant
+    users = model.userFactors.select(F.col("id").cast("long").alias(USER),
+                                     F.col("features").cast("array<double>").alias("vec"), F.lit(0.0).alias("bias"))
+    its = model.itemFactors.select(F.col("id").cast("long").alias(ITEM),
+                                   F.col("features").cast("array<double>").alias("vec"), F.lit(0.0).alias("bias"))
+    users, its = materialize(users), materialize(its)
+    return FactorModel(mu_df, users, its, r.select(USER, ITEM), users.count(), its.count(),
+                       dict(n_factors=n_factors, reg=reg, n_epochs=n_epochs, seed=seed, variant="ml"))

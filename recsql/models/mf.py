@@ -1 +1,98 @@
-"""placeholder"""
+"""M5/M6: biased matrix factorisation trained by stratified distributed SGD
+(DSGD, Gemulla et al. 2011).
+
+Users and items are hashed into B blocks. An epoch has B sub-epochs; in
+sub-epoch s the blocks (b, (b + s) mod B) share no user and no item, so they
+are trained in parallel, one ``applyInPandas`` group each, with the same
+mini-batch rule as the single-machine algorithm (gradients from batch-start
+values, scatter-add). Each group returns all factors of its user block and
+item block, so the union of the groups is the complete new state, which is
+checkpointed before the next sub-epoch."""
+
+from __future__ import annotations
+
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from ..schemas import ITEM, RATING, USER
+from ..session import materialize
+from .factors import FactorModel, init_vectors
+from .factors import predict as _predict
+from .factors import recommend as _recommend
+from .popularity import global_mean
+
+_STATE = "kind string, id long, vec array<double>, bias double"
+
+
+def _block(col: str, nb: int):
+    return F.pmod(F.xxhash64(F.col(col)), F.lit(nb)).cast("int")
+
+
+def _sgd(k: int, mu: float, lr: float, reg: float, batch: int, seed: int, epoch: int, sub: int):
+    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
+        u = pdf[pdf.kind == "U"].sort_values("id")
+        i = pdf[pdf.kind == "I"].sort_values("id")
+        r = pdf[pdf.kind == "R"]
+        uid, iid = u["id"].to_numpy(np.int64), i["id"].to_numpy(np.int64)
+        P = np.stack(u["vec"].to_numpy()).reshape(len(u), k) if len(u) else np.zeros((0, k))
+        Q = np.stack(i["vec"].to_numpy()).reshape(len(i), k) if len(i) else np.zeros((0, k))
+        bu, bi = u["bias"].to_numpy(np.float64).copy(), i["bias"].to_numpy(np.float64).copy()
+        if len(r):
+            ru = np.searchsorted(uid, r["uid"].to_numpy(np.int64))
+            ri = np.searchsorted(iid, r["iid"].to_numpy(np.int64))
+            rv = r["r"].to_numpy(np.float64)
+            rng = np.random.default_rng([seed, epoch, sub, int(pdf["_g"].iloc[0])])
+            order = rng.permutation(len(rv))
+            for start in range(0, len(rv), batch):
+                idx = order[start:start + batch]
+                uu, ii, rr = ru[idx], ri[idx], rv[idx]
+                err = rr - (mu + bu[uu] + bi[ii] + np.einsum("ij,ij->i", P[uu], Q[ii]))
+                np.add.at(bu, uu, lr * (err - reg * bu[uu]))
+                np.add.at(bi, ii, lr * (err - reg * bi[ii]))
+                pu, qi = P[uu], Q[ii]
+                np.add.at(P, uu, lr * (err[:, None] * qi - reg * pu))
+                np.add.at(Q, ii, lr * (err[:, None] * pu - reg * qi))
+        return pd.DataFrame({"kind": ["U"] * len(uid) + ["I"] * len(iid),
+                             "id": np.concatenate([uid, iid]),
+                             "vec": list(P) + list(Q), "bias": np.concatenate([bu, bi])})
+    return fn
+
+
+def fit(train: DataFrame, items: DataFrame | None = None, n_factors: int = 50, n_epochs: int = 20,
+        lr: float = 0.005, reg: float = 0.02, seed: int = 42, batch_size: int = 2048,
+        n_strata: int | None = None, **_params) -> FactorModel:
+    spark = train.sparkSession
+    nb = int(n_strata or spark.conf.get("spark.sql.shuffle.partitions"))
+    r = train.select(USER, ITEM, RATING)
+    mu_df = materialize(global_mean(r))
+    mu = float(mu_df.first()["mu"])
+    rated = materialize(r.select(F.col(USER).alias("uid"), F.col(ITEM).alias("iid"),
+                                 F.col(RATING).cast("double").alias("r"),
+                                 _block(USER, nb).alias("_ub"), _block(ITEM, nb).alias("_ib")))
+    state = materialize(
+        init_vectors(r, USER, n_factors, seed, 1).select(F.lit("U").alias("kind"), F.col(USER).alias("id"), "vec", "bias")
+        .unionByName(init_vectors(r, ITEM, n_factors, seed, 2)
+                     .select(F.lit("I").alias("kind"), F.col(ITEM).alias("id"), "vec", "bias")))
+    for epoch in range(int(n_epochs)):
+        for s in range(nb):
+            blk = F.when(F.col("kind") == "U", _block("id", nb)).otherwise(F.pmod(_block("id", nb) - F.lit(s), F.lit(nb)))
+            facts = state.select("kind", "id", "vec", "bias", F.lit(None).cast("long").alias("uid"),
+                                 F.lit(None).cast("long").alias("iid"), F.lit(None).cast("double").alias("r"),
+                                 blk.alias("_g"))
+            rows = (rated.filter(F.col("_ib") == F.pmod(F.col("_ub") + F.lit(s), F.lit(nb)))
+                    .select(F.lit("R").alias("kind"), F.lit(None).cast("long").alias("id"),
+                            F.lit(None).cast("array<double>").alias("vec"), F.lit(None).cast("double").alias("bias"),
+                            "uid", "iid", "r", F.col("_ub").alias("_g")))
+            fn = _sgd(n_factors, mu, lr, reg, int(batch_size), seed, epoch, s)
+            state = materialize(facts.unionByName(rows).groupBy("_g").applyInPandas(fn, _STATE))
+    users = state.filter(F.col("kind") == "U").select(F.col("id").alias(USER), "vec", "bias")
+    its = state.filter(F.col("kind") == "I").select(F.col("id").alias(ITEM), "vec", "bias")
+    return FactorModel(mu_df, users, its, r.select(USER, ITEM), users.count(), its.count(),
+                       dict(n_factors=n_factors, n_epochs=n_epochs, lr=lr, reg=reg, seed=seed,
+                            batch_size=batch_size, n_strata=nb))
+
+
+predict = _predict
+recommend = _recommend
