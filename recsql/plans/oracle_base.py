@@ -97,32 +97,32 @@ def ranking_ctes(recs: str, truth: str, k: int = 10, p: str = "") -> str:
                ap / LEAST(n_rel, {k}) AS map FROM {p}per_)"""
 
 
-def eval_ctes(preds: str, recs: str, k: int = 10) -> str:
-    """E1 as a long (metric, value) CTE named ``metrics_``."""
-    rk = "\n".join(f"  UNION ALL SELECT '{m}@{k}', coalesce(round(avg({m}), 5), 0) FROM pm_"
+def eval_ctes(preds: str, recs: str, k: int = 10, p: str = "") -> str:
+    """E1 as a long (metric, value) CTE named ``{p}metrics_``."""
+    rk = "\n".join(f"  UNION ALL SELECT '{m}@{k}', coalesce(round(avg({m}), 5), 0) FROM {p}pm_"
                    for m in ("precision", "recall", "hitrate", "ndcg", "map"))
-    return ranking_ctes(recs, "test", k) + f""",
-g_ AS (SELECT item_id, list_distinct(string_split(coalesce(genres, ''), '|')) AS g FROM items),
-pairs_ AS (
+    return ranking_ctes(recs, "test", k, p) + f""",
+{p}g_ AS (SELECT item_id, list_distinct(string_split(coalesce(genres, ''), '|')) AS g FROM items),
+{p}pairs_ AS (
   SELECT 1 - CASE WHEN len(list_distinct(list_concat(ga_, gb_))) > 0
                   THEN len(list_intersect(ga_, gb_)) / len(list_distinct(list_concat(ga_, gb_))) ELSE 0 END AS d
   FROM (SELECT coalesce(ga.g, []) AS ga_, coalesce(gb.g, []) AS gb_
-        FROM er_ a JOIN er_ b ON a.user_id = b.user_id AND a.rank < b.rank
-        LEFT JOIN g_ ga ON a.item_id = ga.item_id LEFT JOIN g_ gb ON b.item_id = gb.item_id)),
-ip_ AS (SELECT item_id, count(*) AS pop FROM train GROUP BY 1),
-metrics_ AS (
+        FROM {p}er_ a JOIN {p}er_ b ON a.user_id = b.user_id AND a.rank < b.rank
+        LEFT JOIN {p}g_ ga ON a.item_id = ga.item_id LEFT JOIN {p}g_ gb ON b.item_id = gb.item_id)),
+{p}ip_ AS (SELECT item_id, count(*) AS pop FROM train GROUP BY 1),
+{p}metrics_ AS (
   SELECT 'rmse' AS metric, round(sqrt(avg((rating - prediction) * (rating - prediction))), 5) AS value FROM {preds}
   UNION ALL SELECT 'mae', round(avg(abs(rating - prediction)), 5) FROM {preds}
 {rk}
-  UNION ALL SELECT 'coverage', round((SELECT count(DISTINCT item_id) FROM er_) / (SELECT count(DISTINCT item_id) FROM items), 5)
-  UNION ALL SELECT 'diversity', round(coalesce((SELECT avg(d) FROM pairs_), 0), 5)
-  UNION ALL SELECT 'novelty', round(coalesce((SELECT avg(-log2(coalesce(ip_.pop, 1) / (SELECT count(DISTINCT user_id) FROM train)))
-                                              FROM er_ LEFT JOIN ip_ ON er_.item_id = ip_.item_id), 0), 5)
-  UNION ALL SELECT 'eval_users', (SELECT count(*) FROM pm_)
-  UNION ALL SELECT 'eval_empty_rec', (SELECT count(*) FROM nrel_) - (SELECT count(*) FROM pm_)
-  UNION ALL SELECT 'eval_user_coverage', CASE WHEN (SELECT count(*) FROM nrel_) > 0
-       THEN round((SELECT count(*) FROM pm_) / (SELECT count(*) FROM nrel_), 5) ELSE 0 END
-  UNION ALL SELECT 'eval_rel_size_mean', coalesce(round((SELECT avg(n_rel) FROM pm_), 3), 0))"""
+  UNION ALL SELECT 'coverage', round((SELECT count(DISTINCT item_id) FROM {p}er_) / (SELECT count(DISTINCT item_id) FROM items), 5)
+  UNION ALL SELECT 'diversity', round(coalesce((SELECT avg(d) FROM {p}pairs_), 0), 5)
+  UNION ALL SELECT 'novelty', round(coalesce((SELECT avg(-log2(coalesce(q.pop, 1) / (SELECT count(DISTINCT user_id) FROM train)))
+                                              FROM {p}er_ e LEFT JOIN {p}ip_ q ON e.item_id = q.item_id), 0), 5)
+  UNION ALL SELECT 'eval_users', (SELECT count(*) FROM {p}pm_)
+  UNION ALL SELECT 'eval_empty_rec', (SELECT count(*) FROM {p}nrel_) - (SELECT count(*) FROM {p}pm_)
+  UNION ALL SELECT 'eval_user_coverage', CASE WHEN (SELECT count(*) FROM {p}nrel_) > 0
+       THEN round((SELECT count(*) FROM {p}pm_) / (SELECT count(*) FROM {p}nrel_), 5) ELSE 0 END
+  UNION ALL SELECT 'eval_rel_size_mean', coalesce(round((SELECT avg(n_rel) FROM {p}pm_), 3), 0))"""
 
 
 def cold_eval_ctes(recs: str, k: int = 10) -> str:

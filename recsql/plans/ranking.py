@@ -55,11 +55,11 @@ def rank_in_group(df: DataFrame, group: list[str], order: list[Column],
             .drop("_gpos", "_start"))
 
 
-def topk(df: DataFrame, k: int, by: str = "user_id", order: list[Column] | None = None,
+def topk(df: DataFrame, k: int, by: str | list[str] = "user_id", order: list[Column] | None = None,
          rank_col: str = "rank") -> DataFrame:
     """First k rows per group under a total order (partial limit pre-shuffle)."""
     order = order or score_order()
-    w = Window.partitionBy(by).orderBy(*order)
+    w = Window.partitionBy(*([by] if isinstance(by, str) else by)).orderBy(*order)
     return df.withColumn(rank_col, F.row_number().over(w)).filter(F.col(rank_col) <= k)
 
 

@@ -38,4 +38,4 @@ def _round_doubles(df: DataFrame) -> DataFrame:
 
 
 # Importing the query modules fills REGISTRY.
-from . import queries_content, queries_data, queries_eval, queries_factors, queries_itemcf, queries_models  # noqa: E402,F401
+from . import queries_app, queries_content, queries_data, queries_eval, queries_factors, queries_itemcf, queries_models  # noqa: E402,F401,I001
