@@ -17,6 +17,7 @@ from ..functions.text import tokens
 from ..plans.blocked import blocked_topk, dense_vectors
 from ..plans.ranking import global_positions
 from ..schemas import ITEM, RATING, USER
+from ..session import materialize
 from .popularity import global_mean
 
 MAX_DENSE_DIM = 1 << 16  # vocabulary bound for dense block scoring
@@ -78,10 +79,12 @@ def user_profiles(train: DataFrame, item_vecs: DataFrame, catalogue: DataFrame,
 
 def fit(train: DataFrame, items: DataFrame, like_threshold: float = 4.0, **_params) -> ContentModel:
     idf, vecs, catalogue = tfidf(items)
+    idf, vecs, catalogue = materialize(idf), materialize(vecs), materialize(catalogue)
     prof, pusers = user_profiles(train, vecs, catalogue, like_threshold)
+    prof, pusers = materialize(prof), materialize(pusers)
     dim = idf.count()
     n_items = catalogue.count()
-    return ContentModel(global_mean(train), idf, vecs, catalogue, prof, pusers,
+    return ContentModel(materialize(global_mean(train)), idf, vecs, catalogue, prof, pusers,
                         train.select(USER, ITEM).distinct(), dim, n_items)
 
 

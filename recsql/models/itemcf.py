@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..plans.blocked import blocked_gram
 from ..plans.ranking import broadcast_if_small, exclude_seen, global_positions, score_order, topk, topk_unseen_from_ranking
 from ..schemas import ITEM, RATING, USER
+from ..session import materialize
 from .popularity import global_mean
 
 EPS = 1e-9  # fixed value: norm guard of the reference cosine
@@ -47,7 +48,7 @@ def fit(train: DataFrame, items: DataFrame | None = None, topk_neighbors: int =
     else:
         nb = sims.withColumn("nrank", F.lit(None).cast("int"))
     ids = global_positions(t.select(ITEM).distinct(), [F.col(ITEM).asc()])
-    return ItemCFModel(global_mean(t), nb, t, ids, n_items)
+    return ItemCFModel(materialize(global_mean(t)), materialize(nb), t, ids, n_items)
 
 
 def predict(m: ItemCFModel, pairs: DataFrame) -> DataFrame:

@@ -86,7 +86,9 @@ def fit(train: DataFrame, items: DataFrame | None = None, n_factors: int = 50, n
                             F.lit(None).cast("array<double>").alias("vec"), F.lit(None).cast("double").alias("bias"),
                             "uid", "iid", "r", F.col("_ub").alias("_g")))
             fn = _sgd(n_factors, mu, lr, reg, int(batch_size), seed, epoch, s)
-            state = materialize(facts.unionByName(rows).groupBy("_g").applyInPandas(fn, _STATE))
+            state = facts.unionByName(rows).groupBy("_g").applyInPandas(fn, _STATE)
+        # One job per epoch: the B sub-epochs form a linear chain, cut here.
+        state = materialize(state)
     users = state.filter(F.col("kind") == "U").select(F.col("id").alias(USER), "vec", "bias")
     its = state.filter(F.col("kind") == "I").select(F.col("id").alias(ITEM), "vec", "bias")
     return FactorModel(mu_df, users, its, r.select(USER, ITEM), users.count(), its.count(),

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..plans.ranking import global_positions, score_order, topk_unseen_from_ranking
 from ..schemas import ITEM, RATING, USER
+from ..session import materialize
 
 SMOOTHING = 5.0  # fixed value: prior weight C of the smoothed mean
 
@@ -37,10 +38,10 @@ def item_scores(train: DataFrame) -> DataFrame:
 
 
 def fit(train: DataFrame, items: DataFrame | None = None, **_params) -> PopularityModel:
-    scores = item_scores(train)
+    scores = materialize(item_scores(train))
     ranked = global_positions(scores.select(ITEM, "score"), score_order())
     n_items = ranked.count()
-    return PopularityModel(global_mean(train), scores, ranked,
+    return PopularityModel(materialize(global_mean(train)), scores, ranked,
                            train.select(USER, ITEM).distinct(), n_items)
 
 

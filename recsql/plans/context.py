@@ -64,7 +64,7 @@ class Context:
         return fold(self.split, "cold")
 
     def model(self, name: str, **params):
-        key = (name, tuple(sorted(params.items())))
+        key = (name, repr(sorted(params.items())))
         if key not in self.models:
             from ..models import get_model
             self.models[key] = get_model(name).fit(self.train, self.items, **params)
