@@ -83,7 +83,9 @@ def bootstrap_ci(vals: DataFrame, n_bootstrap: int = 10000, ci_level: float = 0.
             yield pd.DataFrame({"b": np.arange(B, dtype=np.int64), "sx": sx, "sw": sw})
 
     reps = (vals.select(key, "value").mapInPandas(partial, "b long, sx double, sw double")
-            .groupBy("b").agg((F.sum("sx") / F.sum("sw")).alias("m")))
+            .groupBy("b").agg(F.sum("sx").alias("sx"), F.sum("sw").alias("sw"))
+            .filter(F.col("sw") > 0)  # a replicate that drew no one is skipped
+            .select((F.col("sx") / F.col("sw")).alias("m")))
     alpha = 1 - ci_level
     q = reps.agg(F.percentile("m", [alpha / 2, 1 - alpha / 2]).alias("_q"))
     s = vals.agg(F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"))
