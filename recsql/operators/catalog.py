@@ -35,6 +35,14 @@ GENRE_GROUP = {
     "Sci-Fi": "plum", "Fantasy": "plum", "Horror": "plum", "Mystery": "plum",
 }
 GENERIC_REASON = "based on your overall taste"
+# The five one-click preference bundles of the onboarding page.
+PRESET_BUNDLES = [
+    ("action_scifi", ["Action", "Sci-Fi", "Thriller"]),
+    ("light_comedy", ["Comedy", "Animation", "Children's"]),
+    ("deep_drama", ["Drama", "Romance", "Mystery"]),
+    ("horror_suspense", ["Horror", "Thriller", "Mystery"]),
+    ("arthouse_documentary", ["Documentary", "Drama", "Musical"]),
+]
 PAGE_SIZE = 40
 
 
@@ -134,3 +142,17 @@ def explain(recs: DataFrame, train: DataFrame, items: DataFrame) -> DataFrame:
             .select(USER, "rank", ITEM, F.when(F.col("genre").isNotNull(),
                                                 F.concat(F.lit("your favourite genre: "), F.col("genre")))
                     .otherwise(F.lit(GENERIC_REASON)).alias("reason")))
+
+
+def preset_preferences(spark) -> DataFrame:
+    """The preset bundles as (profile_id, bundle, genre) rows."""
+    rows = [(i, name, g) for i, (name, gs) in enumerate(PRESET_BUNDLES) for g in gs]
+    return spark.createDataFrame(rows, "profile_id long, bundle string, genre string")
+
+
+def onboarding(model, prefs: DataFrame, items: DataFrame, k: int = 10) -> DataFrame:
+    """Questionnaire recommendations (M13) as cards: rank, name, year, genres."""
+    from ..models import coldstart
+    recs = coldstart.recommend_for_preferences(model, prefs, k)
+    cards = item_lookup(recs.withColumnRenamed("profile_id", USER), items)
+    return cards.select(F.col(USER).alias("profile_id"), "rank", ITEM, "name", "year", "genres", "score")

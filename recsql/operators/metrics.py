@@ -90,11 +90,25 @@ def novelty(recs: DataFrame, train: DataFrame) -> DataFrame:
 
 
 def multik(recs: DataFrame, relevant: DataFrame, ks=(5, 10, 15, 20)) -> DataFrame:
-    """Recall, NDCG and hit rate at several cut-offs from one list at max(k)."""
-    parts = None
-    for k in ks:
-        per = ranking_per_user(recs, relevant, k)
-        row = per.agg(F.lit(k).cast("bigint").alias("k"), F.avg("recall").alias("recall"),
-                      F.avg("ndcg").alias("ndcg"), F.avg("hitrate").alias("hitrate"))
-        parts = row if parts is None else parts.unionByName(row)
-    return parts
+    """Recall, NDCG and hit rate at several cut-offs from one list at
+    max(k), in one pass: each list row is paired with the cut-offs it falls
+    under (a broadcast column of len(ks) values), then grouped by (k, user)."""
+    spark = recs.sparkSession
+    cut = F.broadcast(spark.createDataFrame([(int(k),) for k in ks], "k int"))  # len(ks) rows
+    n_rel = relevant.groupBy(USER).agg(F.count(F.lit(1)).alias("n_rel"))
+    r = (recs.select(USER, "rank", ITEM).crossJoin(cut).filter(F.col("rank") <= F.col("k"))
+         .join(relevant.withColumn("hit", F.lit(1)), [USER, ITEM], "left")
+         .withColumn("hit", F.coalesce(F.col("hit"), F.lit(0))).join(n_rel, USER))
+    per = r.groupBy("k", USER).agg(F.sum("hit").alias("hits"), F.first("n_rel").alias("n_rel"),
+                                   F.sum(F.col("hit") / F.log2(F.col("rank") + 1)).alias("dcg"))
+    ideal = F.least(F.col("n_rel"), F.col("k"))
+    per = per.select("k", (F.col("hits") / F.col("n_rel")).alias("recall"),
+                     (F.col("dcg") / _idcg(ideal)).alias("ndcg"), (F.col("hits") > 0).cast("double").alias("hitrate"))
+    return per.groupBy("k").agg(*[F.round(F.avg(c), 5).alias(c) for c in ("recall", "ndcg", "hitrate")]).select(
+        F.col("k").cast("bigint"), "recall", "ndcg", "hitrate")
+
+
+def multik_models(curves: dict[str, DataFrame]) -> DataFrame:
+    """Several models' multi-K curves in one table with a ``model`` column."""
+    from functools import reduce
+    return reduce(DataFrame.unionByName, [df.withColumn("model", F.lit(name)) for name, df in curves.items()])

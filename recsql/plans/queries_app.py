@@ -158,3 +158,23 @@ FROM pop_recs r LEFT JOIN best_ b ON r.user_id = b.user_id AND r.item_id = b.ite
 def c6_explain_popularity(c):
     recs = popularity.recommend(c.model("popularity"), c.ratings.select("user_id").distinct(), K)
     return C.explain(recs, c.train, c.items).withColumn("rank", F.col("rank").cast("bigint"))
+
+
+@query("c5_onboarding_top_genres", CBASE + TOP_GENRES + """,
+ptok_ AS (SELECT user_id AS profile_id, unnest(regexp_extract_all(lower(genre), '[a-z0-9]+')) AS term FROM top_genres_),
+pv_ AS (SELECT profile_id, term, sum(idf) AS a FROM ptok_ JOIN idf_ USING (term) GROUP BY 1, 2),
+pn_ AS (SELECT profile_id, term, a / sqrt(sum(a * a) OVER (PARTITION BY profile_id)) AS weight FROM pv_),
+ps_ AS (SELECT p.profile_id, v.item_id, sum(p.weight * v.weight) AS score FROM pn_ p JOIN ivec_ v USING (term) GROUP BY 1, 2),
+pc_ AS (SELECT u.profile_id, d.item_id, coalesce(s.score, 0) AS score FROM (SELECT DISTINCT profile_id FROM pn_) u
+        CROSS JOIN docs_ d LEFT JOIN ps_ s ON s.profile_id = u.profile_id AND s.item_id = d.item_id),
+pr_ AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY profile_id ORDER BY round(score, 9) DESC, item_id) AS rank
+        FROM pc_) WHERE rank <= 10),
+pl_ AS (SELECT p.*, coalesce(i.title, CAST(p.item_id AS VARCHAR)) AS t, coalesce(i.genres, '') AS genres
+        FROM pr_ p LEFT JOIN items i ON p.item_id = i.item_id)
+SELECT profile_id, CAST(rank AS BIGINT) AS rank, item_id, """ + NAME.format(t="t") + " AS name, " + YEAR.format(t="t")
+       + """ AS year, genres, round(score, 6) AS score FROM pl_""")
+def c5_onboarding_top_genres(c):
+    prefs = C.user_top_genres(c.train, c.items, n=2).select(F.col("user_id").alias("profile_id"), "genre")
+    out = C.onboarding(c.model("coldstart"), prefs, c.items, K)
+    return _round_doubles(out.select("profile_id", F.col("rank").cast("bigint"), "item_id", "name",
+                                     F.col("year").cast("bigint"), "genres", "score"))

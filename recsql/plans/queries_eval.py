@@ -120,8 +120,8 @@ POP_RECS20 = POP_RECS.replace("all_users_", "all_users20_").replace("pop_recs",
 
 @query("e10_multik_popularity", BASE + POP_RECS20 + "".join(
         B.ranking_ctes("pop_recs20", "test", k, f"k{k}_") for k in (5, 10, 15, 20)) + "\n" + "\nUNION ALL\n".join(
-        f"SELECT CAST({k} AS BIGINT) AS k, round(avg(recall), 6) AS recall, round(avg(ndcg), 6) AS ndcg, "
-        f"round(avg(hitrate), 6) AS hitrate FROM k{k}_pm_" for k in (5, 10, 15, 20)))
+        f"SELECT CAST({k} AS BIGINT) AS k, round(avg(recall), 5) AS recall, round(avg(ndcg), 5) AS ndcg, "
+        f"round(avg(hitrate), 5) AS hitrate FROM k{k}_pm_" for k in (5, 10, 15, 20)))
 def e10_multik_popularity(c):
     recs = _pop_recs(c, _rel_users(c), 20)
     return _round_doubles(M.multik(recs, M.relevant_items(c.test), (5, 10, 15, 20)))
@@ -172,3 +172,18 @@ def e13_bootstrap_ci_popularity(c):
 @query("e15_compare_popularity_vs_content")
 def e15_compare_popularity_vs_content(c):
     return _round_doubles(SG.compare_per_user(*_vals(c), n_bootstrap=2000))
+
+
+@query("e11_multik_models", B.with_(B.SPLIT, B.ITEMS, B.POP, POP_RECS, B.CONTENT) + POP_RECS20
+       + ",\nrelu_ AS (SELECT DISTINCT user_id FROM test WHERE rating >= 4)" + B.content_recs("relu_", "crecs20", 20)
+       + "".join(B.ranking_ctes("pop_recs20", "test", k, f"p{k}_") + B.ranking_ctes("crecs20", "test", k, f"c{k}_")
+                 for k in (5, 10, 15, 20)) + "\n" + "\nUNION ALL\n".join(
+        f"SELECT '{m}' AS model, CAST({k} AS BIGINT) AS k, round(avg(recall), 5) AS recall, round(avg(ndcg), 5) AS ndcg, "
+        f"round(avg(hitrate), 5) AS hitrate FROM {p}{k}_pm_" for m, p in (("popularity", "p"), ("content", "c"))
+        for k in (5, 10, 15, 20)))
+def e11_multik_models(c):
+    rel = M.relevant_items(c.test)
+    users = rel.select("user_id").distinct()
+    curves = {"popularity": M.multik(_pop_recs(c, users, 20), rel),
+              "content": M.multik(content.recommend(c.model("content"), users, 20), rel)}
+    return _round_doubles(M.multik_models(curves))
