@@ -11,6 +11,8 @@ checkpointed before the next sub-epoch."""
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -24,6 +26,7 @@ from .factors import recommend as _recommend
 from .popularity import global_mean
 
 _STATE = "kind string, id long, vec array<double>, bias double"
+MIN_BLOCK_RATINGS = 25_000
 
 
 def _block(col: str, nb: int):
@@ -64,8 +67,12 @@ def fit(train: DataFrame, items: DataFrame | None = None, n_factors: int = 50, n
         lr: float = 0.005, reg: float = 0.02, seed: int = 42, batch_size: int = 2048,
         n_strata: int | None = None, **_params) -> FactorModel:
     spark = train.sparkSession
-    nb = int(n_strata or spark.conf.get("spark.sql.shuffle.partitions"))
     r = train.select(USER, ITEM, RATING)
+    if n_strata:
+        nb = int(n_strata)
+    else:  # enough ratings per block (1/B^2 of the data) to amortise one stage, at most one block per task
+        n = r.count()
+        nb = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), round(math.sqrt(n / MIN_BLOCK_RATINGS))))
     mu_df = materialize(global_mean(r))
     mu = float(mu_df.first()["mu"])
     rated = materialize(r.select(F.col(USER).alias("uid"), F.col(ITEM).alias("iid"),
@@ -86,7 +93,8 @@ def fit(train: DataFrame, items: DataFrame | None = None, n_factors: int = 50, n
                             F.lit(None).cast("array<double>").alias("vec"), F.lit(None).cast("double").alias("bias"),
                             "uid", "iid", "r", F.col("_ub").alias("_g")))
             fn = _sgd(n_factors, mu, lr, reg, int(batch_size), seed, epoch, s)
-            state = facts.unionByName(rows).groupBy("_g").applyInPandas(fn, _STATE)
+            state = (facts.unionByName(rows).repartition(nb, "_g")  # fixed count, not coalesced
+                     .groupBy("_g").applyInPandas(fn, _STATE))
         # One job per epoch: the B sub-epochs form a linear chain, cut here.
         state = materialize(state)
     users = state.filter(F.col("kind") == "U").select(F.col("id").alias(USER), "vec", "bias")

@@ -64,10 +64,39 @@ def _grouped(user_vecs: DataFrame, item_vecs: DataFrame, seen: DataFrame | None,
     return parts
 
 
+def _pinned(df: DataFrame, n_groups: int, *keys: str) -> DataFrame:
+    """Hash-partition the block groups into a fixed number of partitions.
+
+    Block groups are small in bytes but heavy in compute, so adaptive
+    coalescing (which sizes by bytes) must not merge them into few tasks; an
+    explicit partition count is left alone by AQE."""
+    cap = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(1, min(n_groups, cap)), *keys)
+
+
 def _dot(U: np.ndarray, I: np.ndarray) -> np.ndarray:
     return U @ I.T
 
 
+def _row_topk(key: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, col) of the first k finite entries per row under (key desc, col asc).
+
+    A linear-time partition finds each row's k-th value; only entries at or
+    above it (ties included) are sorted, so the cost is O(cells + candidates)."""
+    n_rows, n_cols = key.shape
+    take = min(k, n_cols)
+    if take == 0:
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    kth = -np.partition(-key, take - 1, axis=1)[:, take - 1]
+    r, c = np.nonzero((key >= kth[:, None]) & np.isfinite(key))
+    order = np.lexsort((c, -key[r, c], r))  # row, then key desc, then column (= item id) asc
+    r, c = r[order], c[order]
+    starts = np.searchsorted(r, np.arange(n_rows))
+    rank = np.arange(len(r)) - starts[r]
+    keep = rank < take
+    return r[keep], c[keep]
+
+
 def _split(pdf: pd.DataFrame):
     u = pdf[pdf.kind == "U"].sort_values("uid")
     i = pdf[pdf.kind == "I"].sort_values("iid")
@@ -104,15 +133,10 @@ def blocked_topk(user_vecs: DataFrame, item_vecs: DataFrame, seen: DataFrame | N
             r, c = r[ok], c[ok]
             ok = (uids[r] == s.uid.to_numpy(np.int64)[ok]) & (iids[c] == s.iid.to_numpy(np.int64)[ok])
             key[r[ok], c[ok]] = -np.inf
-        take = min(kk, len(iids))
-        order = np.argsort(-key, axis=1, kind="stable")[:, :take]  # ties: item_id ascending
-        rows = np.repeat(np.arange(len(uids)), take)
-        cols = order.reshape(-1)
-        keep = np.isfinite(key[rows, cols])
-        return pd.DataFrame({"user_id": uids[rows[keep]], "item_id": iids[cols[keep]],
-                             "score": S[rows[keep], cols[keep]]})
-
-    parts = _grouped(user_vecs, item_vecs, seen, nu, ni)
+        rows, cols = _row_topk(key, kk)
+        return pd.DataFrame({"user_id": uids[rows], "item_id": iids[cols], "score": S[rows, cols]})
+
+    parts = _pinned(_grouped(user_vecs, item_vecs, seen, nu, ni), nu * ni, "_ub", "_ib")
     partial = parts.groupBy("_ub", "_ib").applyInPandas(score_block, _OUT)
     return topk(partial, k, order=score_order()).select("user_id", F.col("rank").cast("int"), "item_id", "score")
 
@@ -134,7 +158,7 @@ def blocked_user_stats(user_vecs: DataFrame, item_vecs: DataFrame,
         S = np.asarray(score_fn(U, I), dtype=np.float64)
         return pd.DataFrame({"user_id": uids, "lo": S.min(axis=1), "hi": S.max(axis=1)})
 
-    parts = _grouped(user_vecs, item_vecs, None, nu, ni)
+    parts = _pinned(_grouped(user_vecs, item_vecs, None, nu, ni), nu * ni, "_ub", "_ib")
     partial = parts.groupBy("_ub", "_ib").applyInPandas(stats_block, "user_id long, lo double, hi double")
     return partial.groupBy("user_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
@@ -193,5 +217,6 @@ def blocked_gram(ratings: DataFrame, n_users: int, n_items: int, n_ratings: int,
         return pd.DataFrame({"i": np.concatenate([ii, jj]), "j": np.concatenate([jj, ii]),
                              "dot": np.concatenate([d, d])})
 
+    g = _pinned(g, uc * nb * (nb + 1) // 2, "_uc", "_lo", "_hi")
     part = g.groupBy("_uc", "_lo", "_hi").applyInPandas(gram_block, "i long, j long, dot double")
     return part.groupBy("i", "j").agg(F.sum("dot").alias("dot"))

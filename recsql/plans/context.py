@@ -67,7 +67,12 @@ class Context:
         key = (name, repr(sorted(params.items())))
         if key not in self.models:
             from ..models import get_model
-            self.models[key] = get_model(name).fit(self.train, self.items, **params)
+            if name == "coldstart":  # routes between two models this context may already hold
+                from ..models.coldstart import ColdStartModel
+                lt = params.get("like_threshold", 4.0)
+                self.models[key] = ColdStartModel(self.model("content", like_threshold=lt), self.model("popularity"))
+            else:
+                self.models[key] = get_model(name).fit(self.train, self.items, **params)
         return self.models[key]
 
 

@@ -53,5 +53,11 @@ def materialize(df: DataFrame) -> DataFrame:
 
     Survives executor loss (unlike a local checkpoint) and freezes
     non-deterministic columns (partition ids, generated ids)."""
+    from pyspark import StorageLevel
     ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    # Persist first: the eager count and the checkpoint write then share one
+    # computation instead of evaluating the plan twice.
+    cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = cached.checkpoint(eager=True)
+    cached.unpersist(blocking=False)
+    return out
