@@ -85,7 +85,7 @@ def fit(train: DataFrame, items: DataFrame, like_threshold: float = 4.0, **_para
     dim = idf.count()
     n_items = catalogue.count()
     return ContentModel(materialize(global_mean(train)), idf, vecs, catalogue, prof, pusers,
-                        train.select(USER, ITEM).distinct(), dim, n_items)
+                        train.select(USER, ITEM), dim, n_items)
 
 
 def cosine(m: ContentModel, pairs: DataFrame) -> DataFrame:

@@ -76,7 +76,7 @@ def recommend(m: ItemCFModel, users: DataFrame, k: int = 10) -> DataFrame:
     fewer than k positive scores are filled with zero-score items by item_id."""
     known = users.select(USER).distinct().join(m.train.select(USER).distinct(), USER, "left_semi")
     seen = m.train.select(USER, ITEM)
-    pos = topk(exclude_seen(scores(m, known), seen), k)
+    pos = materialize(topk(exclude_seen(scores(m, known), seen), k))  # <= k rows per user, used three times
     short = (known.join(pos.groupBy(USER).agg(F.count(F.lit(1)).alias("_np")), USER, "left")
              .filter(F.coalesce(F.col("_np"), F.lit(0)) < k).select(USER))
     fill_seen = seen.join(short, USER, "left_semi").unionByName(pos.select(USER, ITEM).join(short, USER, "left_semi"))

@@ -42,7 +42,7 @@ def fit(train: DataFrame, items: DataFrame | None = None, **_params) -> Populari
     ranked = global_positions(scores.select(ITEM, "score"), score_order())
     n_items = ranked.count()
     return PopularityModel(materialize(global_mean(train)), scores, ranked,
-                           train.select(USER, ITEM).distinct(), n_items)
+                           train.select(USER, ITEM), n_items)  # ratings are unique per pair
 
 
 def predict(m: PopularityModel, pairs: DataFrame) -> DataFrame:

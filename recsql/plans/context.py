@@ -27,7 +27,9 @@ class Context:
 
     @cached_property
     def ratings(self) -> DataFrame:
-        return T.ratings(self.spark, self.sf_dir)
+        """Cleaned ratings, written once: every model and report starts here."""
+        from ..session import materialize
+        return materialize(T.ratings(self.spark, self.sf_dir))
 
     @cached_property
     def items_base(self) -> DataFrame:
@@ -39,11 +41,13 @@ class Context:
 
     @cached_property
     def items(self) -> DataFrame:
-        return T.items(self.spark, self.sf_dir)
+        from ..session import materialize
+        return materialize(T.items(self.spark, self.sf_dir))
 
     @cached_property
     def users(self) -> DataFrame:
-        return T.users(self.spark, self.sf_dir)
+        from ..session import materialize
+        return materialize(T.users(self.spark, self.sf_dir))
 
     @cached_property
     def split(self) -> DataFrame:
