@@ -18,6 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.blocked import spread_column, spread_keys
 from ..schemas import ITEM, RATING, USER
 from ..session import materialize
 from .factors import FactorModel, init_vectors
@@ -37,7 +38,7 @@ def _sgd(k: int, mu: float, lr: float, reg: float, batch: int, seed: int, epoch:
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         u = pdf[pdf.kind == "U"].sort_values("id")
         i = pdf[pdf.kind == "I"].sort_values("id")
-        r = pdf[pdf.kind == "R"]
+        r = pdf[pdf.kind == "R"].sort_values(["uid", "iid"])  # shuffle order varies; a retried task must replay the same steps
         uid, iid = u["id"].to_numpy(np.int64), i["id"].to_numpy(np.int64)
         P = np.stack(u["vec"].to_numpy()).reshape(len(u), k) if len(u) else np.zeros((0, k))
         Q = np.stack(i["vec"].to_numpy()).reshape(len(i), k) if len(i) else np.zeros((0, k))
@@ -75,6 +76,7 @@ def fit(train: DataFrame, items: DataFrame | None = None, n_factors: int = 50, n
         nb = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), round(math.sqrt(n / MIN_BLOCK_RATINGS))))
     mu_df = materialize(global_mean(r))
     mu = float(mu_df.first()["mu"])
+    spread = spread_keys(spark, nb)
     rated = materialize(r.select(F.col(USER).alias("uid"), F.col(ITEM).alias("iid"),
                                  F.col(RATING).cast("double").alias("r"),
                                  _block(USER, nb).alias("_ub"), _block(ITEM, nb).alias("_ib")))
@@ -93,8 +95,10 @@ def fit(train: DataFrame, items: DataFrame | None = None, n_factors: int = 50, n
                             F.lit(None).cast("array<double>").alias("vec"), F.lit(None).cast("double").alias("bias"),
                             "uid", "iid", "r", F.col("_ub").alias("_g")))
             fn = _sgd(n_factors, mu, lr, reg, int(batch_size), seed, epoch, s)
-            state = (facts.unionByName(rows).repartition(nb, "_g")  # fixed count, not coalesced
-                     .groupBy("_g").applyInPandas(fn, _STATE))
+            # One stratum block per task: group on a key whose hash partition is
+            # the block id itself (fixed count, so AQE does not merge tasks).
+            state = (facts.unionByName(rows).withColumn("_k", spread_column("_g", spread))
+                     .repartition(nb, "_k").groupBy("_k").applyInPandas(fn, _STATE))
         # One job per epoch: the B sub-epochs form a linear chain, cut here.
         state = materialize(state)
     users = state.filter(F.col("kind") == "U").select(F.col("id").alias(USER), "vec", "bias")

@@ -64,6 +64,25 @@ def _grouped(user_vecs: DataFrame, item_vecs: DataFrame, seen: DataFrame | None,
     return parts
 
 
+def spread_keys(spark, n: int) -> list[int]:
+    """For partitions 0..n-1, a long key that hash partitioning sends there.
+
+    ``repartition(n, col)`` places a row by ``pmod(hash(col), n)``; grouping
+    on ``keys[g]`` instead of ``g`` gives every one of n groups its own task.
+    Computed from a small range of candidates (a few rows per partition)."""
+    cand = spark.range(0, max(64, 64 * n)).select("id", F.pmod(F.hash("id"), F.lit(n)).alias("p"))
+    got = {r.p: r.k for r in cand.groupBy("p").agg(F.min("id").alias("k")).collect()}
+    if len(got) < n:
+        return list(range(n))
+    return [int(got[p]) for p in range(n)]
+
+
+def spread_column(g: str, keys: list[int]):
+    """``g`` (0..n-1) -> its spread key, as a literal lookup expression."""
+    return F.element_at(F.create_map(*[x for i, k in enumerate(keys) for x in (F.lit(i), F.lit(k))]),
+                        F.col(g).cast("int")).cast("long")
+
+
 def _pinned(df: DataFrame, n_groups: int, *keys: str) -> DataFrame:
     """Hash-partition the block groups into a fixed number of partitions.
 
@@ -74,6 +93,22 @@ def _pinned(df: DataFrame, n_groups: int, *keys: str) -> DataFrame:
     return df.repartition(max(1, min(n_groups, cap)), *keys)
 
 
+def _one_group_per_task(df: DataFrame, nu: int, ni: int) -> DataFrame:
+    """Adds ``_k`` for block pair (ub, ib), partitioned on it: when the pairs
+    fit the partition count each gets its own task (spread keys), otherwise
+    plain hashing spreads many pairs evenly."""
+    spark = df.sparkSession
+    n = nu * ni
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    g = (F.col("_ub").cast("long") * F.lit(ni) + F.col("_ib")).alias("_gi")
+    df = df.withColumn("_gi", g)
+    if n <= cap:
+        df = df.withColumn("_k", spread_column("_gi", spread_keys(spark, n)))
+    else:
+        df = df.withColumn("_k", F.col("_gi"))
+    return df.drop("_gi").repartition(max(1, min(n, cap)), "_k")
+
+
 def _dot(U: np.ndarray, I: np.ndarray) -> np.ndarray:
     return U @ I.T
 
@@ -136,8 +171,8 @@ def blocked_topk(user_vecs: DataFrame, item_vecs: DataFrame, seen: DataFrame | N
         rows, cols = _row_topk(key, kk)
         return pd.DataFrame({"user_id": uids[rows], "item_id": iids[cols], "score": S[rows, cols]})
 
-    parts = _pinned(_grouped(user_vecs, item_vecs, seen, nu, ni), nu * ni, "_ub", "_ib")
-    partial = parts.groupBy("_ub", "_ib").applyInPandas(score_block, _OUT)
+    parts = _one_group_per_task(_grouped(user_vecs, item_vecs, seen, nu, ni), nu, ni)
+    partial = parts.groupBy("_k").applyInPandas(score_block, _OUT)
     return topk(partial, k, order=score_order()).select("user_id", F.col("rank").cast("int"), "item_id", "score")
 
 
@@ -158,8 +193,8 @@ def blocked_user_stats(user_vecs: DataFrame, item_vecs: DataFrame,
         S = np.asarray(score_fn(U, I), dtype=np.float64)
         return pd.DataFrame({"user_id": uids, "lo": S.min(axis=1), "hi": S.max(axis=1)})
 
-    parts = _pinned(_grouped(user_vecs, item_vecs, None, nu, ni), nu * ni, "_ub", "_ib")
-    partial = parts.groupBy("_ub", "_ib").applyInPandas(stats_block, "user_id long, lo double, hi double")
+    parts = _one_group_per_task(_grouped(user_vecs, item_vecs, None, nu, ni), nu, ni)
+    partial = parts.groupBy("_k").applyInPandas(stats_block, "user_id long, lo double, hi double")
     return partial.groupBy("user_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
 
 

@@ -1,0 +1,6 @@
+"""Streaming operators.
+
+The reference has no streaming part (no streams, watermarks, windows over
+time or stateful operators), so nothing is built here. Batch jobs in
+``recsql`` are idempotent over their inputs and can be re-run on new data.
+"""
