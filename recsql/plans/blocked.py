@@ -206,7 +206,37 @@ def dense_vectors(sparse: DataFrame, key: str, dim: int, idx: str = "idx", val:
 
 
 GRAM_ITEM_BLOCK = 2048
-GRAM_USERS_PER_CHUNK = 4096
+GRAM_PAIRS_PER_SLICE = 4_000_000
+
+
+def _sparse_tile(lu, li, lr, ru, ri, rr, n_left: int, n_right: int) -> np.ndarray:
+    """``X_L^T X_R`` of one tile from its non-zero cells, without densifying X.
+
+    Every left cell meets the right cells of the same user (a user's pairs in
+    one tile are bounded by the tile size); products are summed into the
+    n_left x n_right tile with ``bincount``, a bounded slice of pairs at a time."""
+    G = np.zeros(n_left * n_right)
+    if len(lu) == 0 or len(ru) == 0:
+        return G.reshape(n_left, n_right)
+    ro = np.argsort(ru, kind="stable")
+    ru, ri, rr = ru[ro], ri[ro], rr[ro]
+    start = np.searchsorted(ru, lu, side="left")
+    count = np.searchsorted(ru, lu, side="right") - start
+    done = 0
+    csum = np.cumsum(count)
+    while done < len(lu):
+        base = csum[done - 1] if done else 0
+        stop = max(done + 1, int(np.searchsorted(csum, base + GRAM_PAIRS_PER_SLICE, side="right")))
+        c = count[done:stop]
+        tot = int(c.sum())
+        if tot:
+            rep = np.repeat(np.arange(done, stop), c)
+            off = np.arange(tot) - np.repeat(np.cumsum(c) - c, c)
+            rj = start[rep] + off
+            G += np.bincount(li[rep] * n_right + ri[rj], weights=lr[rep] * rr[rj], minlength=n_left * n_right)
+        done = stop
+    return G.reshape(n_left, n_right)
+GRAM_USERS_PER_CHUNK = 262_144  # tiles are sparse-accumulated; this only bounds rows per group
 GRAM_ROWS_PER_GROUP = 1_000_000
 
 
@@ -233,16 +263,10 @@ def blocked_gram(ratings: DataFrame, n_users: int, n_items: int, n_ratings: int,
     def gram_block(pdf: pd.DataFrame) -> pd.DataFrame:
         left = pdf[pdf.side != "R"]
         right = pdf[pdf.side != "L"]
-        users, uinv = np.unique(pdf.u.to_numpy(np.int64), return_inverse=True)
-        li, linv = np.unique(left.i.to_numpy(np.int64), return_inverse=True)
-        ri, rinv = np.unique(right.i.to_numpy(np.int64), return_inverse=True)
-        lu = np.searchsorted(users, left.u.to_numpy(np.int64))
-        ru = np.searchsorted(users, right.u.to_numpy(np.int64))
-        XL = np.zeros((len(users), len(li)))
-        XR = np.zeros((len(users), len(ri)))
-        XL[lu, linv] = left.r.to_numpy(np.float64)   # (user, item) is unique after dedup
-        XR[ru, rinv] = right.r.to_numpy(np.float64)
-        G = XL.T @ XR
+        li, lidx = np.unique(left.i.to_numpy(np.int64), return_inverse=True)
+        ri, ridx = np.unique(right.i.to_numpy(np.int64), return_inverse=True)
+        G = _sparse_tile(left.u.to_numpy(np.int64), lidx, left.r.to_numpy(np.float64),
+                         right.u.to_numpy(np.int64), ridx, right.r.to_numpy(np.float64), len(li), len(ri))
         a, b = np.nonzero(G)
         ii, jj, d = li[a], ri[b], G[a, b]
         keep = ii != jj
