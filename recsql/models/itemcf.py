@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.blocked import blocked_gram
+from ..plans.blocked import blocked_gram, tiled_spmm
 from ..plans.ranking import broadcast_if_small, exclude_seen, global_positions, score_order, topk, topk_unseen_from_ranking
 from ..schemas import ITEM, RATING, USER
 from ..session import materialize
@@ -23,6 +23,7 @@ class ItemCFModel:
     train: DataFrame        # user_id, item_id, rating
     items: DataFrame        # train items: item_id, pos (by id)
     n_items: int
+    n_users: int = 0
 
 
 def similarities(train: DataFrame, n_users: int, n_items: int, n_ratings: int) -> DataFrame:
@@ -48,7 +49,7 @@ def fit(train: DataFrame, items: DataFrame | None = None, topk_neighbors: int =
     else:
         nb = sims.withColumn("nrank", F.lit(None).cast("int"))
     ids = global_positions(t.select(ITEM).distinct(), [F.col(ITEM).asc()])
-    return ItemCFModel(materialize(global_mean(t)), materialize(nb), t, ids, n_items)
+    return ItemCFModel(materialize(global_mean(t)), materialize(nb), t, ids, n_items, n_users)
 
 
 def predict(m: ItemCFModel, pairs: DataFrame) -> DataFrame:
@@ -63,12 +64,15 @@ def predict(m: ItemCFModel, pairs: DataFrame) -> DataFrame:
 
 
 def scores(m: ItemCFModel, users: DataFrame) -> DataFrame:
-    """M4 scores: ``sum_j sim[i, j] * r_uj`` for every item with a rated neighbour.
-    Joined on the rated item, combined per (user, item) before the shuffle."""
+    """M4 scores: ``sum_j sim[i, j] * r_uj`` for every item with a rated
+    neighbour, as a tiled sparse product of ratings and neighbour lists (no
+    row-level join on the rated item, whose raters and reverse neighbours can
+    both be unbounded)."""
     r = m.train.join(users.select(USER).distinct(), USER, "left_semi")
-    return (r.select(USER, F.col(ITEM).alias("neighbor_id"), F.col(RATING).alias("_r"))
-            .join(m.neighbors.select(ITEM, "neighbor_id", "sim"), "neighbor_id")
-            .groupBy(USER, ITEM).agg(F.sum(F.col("sim") * F.col("_r")).alias("score")))
+    left = r.select(F.col(USER).alias("row"), F.col(ITEM).alias("mid"), F.col(RATING).cast("double").alias("lv"))
+    right = m.neighbors.select(F.col("neighbor_id").alias("mid"), F.col(ITEM).alias("col"), F.col("sim").alias("rv"))
+    out = tiled_spmm(left, right, m.n_users, m.n_items)
+    return out.select(F.col("row").alias(USER), F.col("col").alias(ITEM), F.col("value").alias("score"))
 
 
 def recommend(m: ItemCFModel, users: DataFrame, k: int = 10) -> DataFrame:

@@ -246,8 +246,9 @@ def blocked_gram(ratings: DataFrame, n_users: int, n_items: int, n_ratings: int,
 
     The rating matrix is tiled into item blocks and user chunks; each
     (user chunk, item block a <= b) group receives the rows of both blocks for
-    those users and computes ``X_a^T X_b`` with NumPy, emitting only non-zero
-    cells. Chunk partials are then summed per (i, j) with a partial/final
+    those users (a rating is routed only to the blocks its user also rates in)
+    and accumulates ``X_a^T X_b`` from the non-zero cells, emitting only
+    non-zero products. Chunk partials are then summed per (i, j) with a partial/final
     aggregation. No row-level self-join: a user with a huge history is one
     matrix row spread over item blocks, not a quadratic set of pairs."""
     nb = _n_blocks(n_items, GRAM_ITEM_BLOCK)
@@ -255,7 +256,8 @@ def blocked_gram(ratings: DataFrame, n_users: int, n_items: int, n_ratings: int,
              _n_blocks(2 * n_ratings, GRAM_ROWS_PER_GROUP * max(1, nb)))
     r = ratings.select(F.col(user).alias("u"), F.col(item).alias("i"), F.col(value).cast("double").alias("r"),
                        _block(user, uc).alias("_uc"), _block(item, nb).alias("_a"))
-    r = r.withColumn("_b", F.explode(F.sequence(F.lit(0), F.lit(nb - 1))))
+    touched = r.select(F.col("u"), F.col("_a").alias("_b")).distinct()  # item blocks each user rates in
+    r = r.join(touched, "u")  # a cell meets only blocks its user has partners in (at most nb)
     lo, hi = F.least("_a", "_b"), F.greatest("_a", "_b")
     side = F.when(F.col("_a") == F.col("_b"), "B").when(F.col("_a") < F.col("_b"), "L").otherwise("R")
     g = r.select("_uc", lo.alias("_lo"), hi.alias("_hi"), side.alias("side"), "u", "i", "r")
@@ -279,3 +281,72 @@ def blocked_gram(ratings: DataFrame, n_users: int, n_items: int, n_ratings: int,
     g = _pinned(g, uc * nb * (nb + 1) // 2, "_uc", "_lo", "_hi")
     part = g.groupBy("_uc", "_lo", "_hi").applyInPandas(gram_block, "i long, j long, dot double")
     return part.groupBy("i", "j").agg(F.sum("dot").alias("dot"))
+
+
+SPMM_ROWS_PER_CHUNK = 4096
+SPMM_COLS_PER_BLOCK = 4096
+
+
+def _sum_pairs(keys: np.ndarray, vals: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    uk, inv = np.unique(keys, return_inverse=True)
+    return uk, np.bincount(inv, weights=vals, minlength=len(uk))
+
+
+def tiled_spmm(left: DataFrame, right: DataFrame, n_rows: int, n_cols: int) -> DataFrame:
+    """Sparse product ``out[r, c] = sum_m left[r, m] * right[m, c]``.
+
+    left: (row, mid, lv); right: (mid, col, rv). Rows are hashed into chunks
+    and columns into blocks; a left cell is routed only to the column blocks
+    its ``mid`` reaches, and a right cell only to the row chunks that contain
+    its ``mid`` (both found by ``distinct`` aggregations), so nothing is
+    replicated to tiles where it has no partner. Each (row chunk, column
+    block) tile holds every term of its cells, contracts over ``mid`` with
+    NumPy and emits complete sums, so there is no cross-tile aggregation and
+    no row-level join on ``mid`` (a popular ``mid`` is split across tiles)."""
+    rc = _n_blocks(n_rows, SPMM_ROWS_PER_CHUNK)
+    cb = _n_blocks(n_cols, SPMM_COLS_PER_BLOCK)
+    lb = left.select("row", "mid", "lv", _block("row", rc).alias("_ub"))
+    rb = right.select("mid", "col", "rv", _block("col", cb).alias("_ib"))
+    reach_cols = rb.select("mid", "_ib").distinct()
+    reach_rows = lb.select("mid", "_ub").distinct()
+    L = lb.join(reach_cols, "mid").select("_ub", "_ib", F.lit("L").alias("side"), "row", "mid",
+                                          F.lit(None).cast("long").alias("col"), F.col("lv").alias("v"))
+    R = rb.join(reach_rows, "mid").select("_ub", "_ib", F.lit("R").alias("side"), F.lit(None).cast("long").alias("row"),
+                                          "mid", "col", F.col("rv").alias("v"))
+    parts = _one_group_per_task(L.unionByName(R), rc, cb)
+
+    def tile(pdf: pd.DataFrame) -> pd.DataFrame:
+        lft = pdf[pdf.side == "L"]
+        rgt = pdf[pdf.side == "R"]
+        if lft.empty or rgt.empty:
+            return pd.DataFrame({"row": [], "col": [], "value": []})
+        rows, rinv = np.unique(lft.row.to_numpy(np.int64), return_inverse=True)
+        cols, cinv = np.unique(rgt.col.to_numpy(np.int64), return_inverse=True)
+        lm, lv = lft.mid.to_numpy(np.int64), lft.v.to_numpy(np.float64)
+        rm, rv = rgt.mid.to_numpy(np.int64), rgt.v.to_numpy(np.float64)
+        o = np.argsort(rm, kind="stable")
+        rm, rv, cinv = rm[o], rv[o], cinv[o]
+        start = np.searchsorted(rm, lm, side="left")
+        count = np.searchsorted(rm, lm, side="right") - start
+        csum = np.cumsum(count)
+        keys_acc, vals_acc = [], []
+        done = 0
+        while done < len(lm):
+            base = csum[done - 1] if done else 0
+            stop = max(done + 1, int(np.searchsorted(csum, base + GRAM_PAIRS_PER_SLICE, side="right")))
+            c = count[done:stop]
+            tot = int(c.sum())
+            if tot:
+                rep = np.repeat(np.arange(done, stop), c)
+                off = np.arange(tot) - np.repeat(np.cumsum(c) - c, c)
+                rj = start[rep] + off
+                k, s = _sum_pairs(rinv[rep] * len(cols) + cinv[rj], lv[rep] * rv[rj])
+                keys_acc.append(k)
+                vals_acc.append(s)
+            done = stop
+        if not keys_acc:
+            return pd.DataFrame({"row": [], "col": [], "value": []})
+        k, s = _sum_pairs(np.concatenate(keys_acc), np.concatenate(vals_acc))
+        return pd.DataFrame({"row": rows[k // len(cols)], "col": cols[k % len(cols)], "value": s})
+
+    return parts.groupBy("_k").applyInPandas(tile, "row long, col long, value double")

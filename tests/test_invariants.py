@@ -169,3 +169,23 @@ def test_plans(spark, small):
     for name in ("m2_itemcf_neighbors", "m4_itemcf_recommend", "m1_popularity_recommend", "m10_content_recommend"):
         plan = _plan(q[name](spark, SF_SMALL))
         assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan, name
+
+
+def test_tiled_spmm_equals_naive(spark, monkeypatch):
+    monkeypatch.setattr(blocked, "SPMM_ROWS_PER_CHUNK", 3)
+    monkeypatch.setattr(blocked, "SPMM_COLS_PER_BLOCK", 4)
+    monkeypatch.setattr(blocked, "GRAM_PAIRS_PER_SLICE", 7)  # force several slices per tile
+    rng = np.random.default_rng(2)
+    left = [(r, m, float(rng.integers(1, 6))) for r in range(11) for m in range(9) if rng.random() < 0.35]
+    left += [(r, 0, 2.0) for r in range(11) if (r, 0) not in {(a, b) for a, b, _ in left}]  # a hot mid
+    right = [(m, c, round(float(rng.random()), 3)) for m in range(9) for c in range(100, 113) if rng.random() < 0.3]
+    right += [(0, c, 0.5) for c in range(100, 113) if (0, c) not in {(a, b) for a, b, _ in right}]
+    L = spark.createDataFrame(left, "row long, mid long, lv double")
+    R = spark.createDataFrame(right, "mid long, col long, rv double")
+    got = {(x.row, x.col): x.value for x in blocked.tiled_spmm(L, R, 11, 13).collect()}
+    exp = {}
+    for r, m, v in left:
+        for m2, c, w in right:
+            if m == m2:
+                exp[(r, c)] = exp.get((r, c), 0.0) + v * w
+    assert got == pytest.approx(exp)
