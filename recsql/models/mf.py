@@ -12,6 +12,7 @@ checkpointed before the next sub-epoch."""
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..plans.blocked import spread_column, spread_keys
 from ..schemas import ITEM, RATING, USER
-from ..session import materialize
+from ..session import ensure_checkpoint_dir, materialize
 from .factors import FactorModel, init_vectors
 from .factors import predict as _predict
 from .factors import recommend as _recommend
@@ -66,7 +67,7 @@ def _sgd(k: int, mu: float, lr: float, reg: float, batch: int, seed: int, epoch:
 
 def fit(train: DataFrame, items: DataFrame | None = None, n_factors: int = 50, n_epochs: int = 20,
         lr: float = 0.005, reg: float = 0.02, seed: int = 42, batch_size: int = 2048,
-        n_strata: int | None = None, **_params) -> FactorModel:
+        n_strata: int | None = None, checkpoint_every: int = 5, **_params) -> FactorModel:
     spark = train.sparkSession
     r = train.select(USER, ITEM, RATING)
     if n_strata:
@@ -77,9 +78,15 @@ def fit(train: DataFrame, items: DataFrame | None = None, n_factors: int = 50, n
     mu_df = materialize(global_mean(r))
     mu = float(mu_df.first()["mu"])
     spread = spread_keys(spark, nb)
-    rated = materialize(r.select(F.col(USER).alias("uid"), F.col(ITEM).alias("iid"),
-                                 F.col(RATING).cast("double").alias("r"),
-                                 _block(USER, nb).alias("_ub"), _block(ITEM, nb).alias("_ib")))
+    # Ratings are written once, partitioned by stratum s = (ib - ub) mod B, in
+    # the shared checkpoint folder: each sub-epoch reads only its stratum
+    # (partition pruning) instead of filtering all ratings B times an epoch.
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/dsgd-ratings-{uuid.uuid4().hex}"
+    ub, ib = _block(USER, nb), _block(ITEM, nb)
+    (r.select(F.col(USER).alias("uid"), F.col(ITEM).alias("iid"), F.col(RATING).cast("double").alias("r"),
+              ub.alias("_ub"), F.pmod(ib - ub, F.lit(nb)).alias("_s"))
+     .write.partitionBy("_s").parquet(path))
+    rated = spark.read.parquet(path)
     state = materialize(
         init_vectors(r, USER, n_factors, seed, 1).select(F.lit("U").alias("kind"), F.col(USER).alias("id"), "vec", "bias")
         .unionByName(init_vectors(r, ITEM, n_factors, seed, 2)
@@ -90,7 +97,7 @@ def fit(train: DataFrame, items: DataFrame | None = None, n_factors: int = 50, n
             facts = state.select("kind", "id", "vec", "bias", F.lit(None).cast("long").alias("uid"),
                                  F.lit(None).cast("long").alias("iid"), F.lit(None).cast("double").alias("r"),
                                  blk.alias("_g"))
-            rows = (rated.filter(F.col("_ib") == F.pmod(F.col("_ub") + F.lit(s), F.lit(nb)))
+            rows = (rated.filter(F.col("_s") == s)
                     .select(F.lit("R").alias("kind"), F.lit(None).cast("long").alias("id"),
                             F.lit(None).cast("array<double>").alias("vec"), F.lit(None).cast("double").alias("bias"),
                             "uid", "iid", "r", F.col("_ub").alias("_g")))
@@ -99,8 +106,9 @@ def fit(train: DataFrame, items: DataFrame | None = None, n_factors: int = 50, n
             # the block id itself (fixed count, so AQE does not merge tasks).
             state = (facts.unionByName(rows).withColumn("_k", spread_column("_g", spread))
                      .repartition(nb, "_k").groupBy("_k").applyInPandas(fn, _STATE))
-        # One job per epoch: the B sub-epochs form a linear chain, cut here.
-        state = materialize(state)
+        # The sub-epochs form a linear chain; cut it every few epochs (and at the end).
+        if (epoch + 1) % max(1, int(checkpoint_every)) == 0 or epoch == int(n_epochs) - 1:
+            state = materialize(state)
     users = state.filter(F.col("kind") == "U").select(F.col("id").alias(USER), "vec", "bias")
     its = state.filter(F.col("kind") == "I").select(F.col("id").alias(ITEM), "vec", "bias")
     return FactorModel(mu_df, users, its, r.select(USER, ITEM), users.count(), its.count(),
