@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions.numeric import clip
 from ..functions.text import tokens
 from ..plans.blocked import blocked_topk, dense_vectors
-from ..plans.ranking import global_positions
+from ..plans.ranking import broadcast_if_small, global_positions
 from ..schemas import ITEM, RATING, USER
 from ..session import materialize
 from .popularity import global_mean
@@ -54,7 +54,8 @@ def tfidf(items: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     idf = df.crossJoin(F.broadcast(n_docs)).select(  # one-row side
         "term", (F.log((F.lit(1) + F.col("_N")) / (F.lit(1) + F.col("df"))) + F.lit(1.0)).alias("idf"))
     idf = global_positions(idf, [F.col("term").asc()]).select("term", (F.col("pos") - 1).alias("idx"), "idf")
-    w = tf.join(F.broadcast(idf), "term").select(ITEM, "term", "idx", (F.col("_c") / F.col("_len") * F.col("idf")).alias("w"))
+    # The vocabulary size is data-dependent: no broadcast hint, AQE picks the side.
+    w = tf.join(idf, "term").select(ITEM, "term", "idx", (F.col("_c") / F.col("_len") * F.col("idf")).alias("w"))
     norm = w.groupBy(ITEM).agg((F.sqrt(F.sum(F.col("w") * F.col("w"))) + F.lit(EPS)).alias("_n"))
     vecs = w.join(norm, ITEM).select(ITEM, "term", "idx", (F.col("w") / F.col("_n")).alias("weight"))
     return idf, vecs, docs.select(ITEM)
@@ -137,7 +138,7 @@ def preference_vectors(m: ContentModel, prefs: DataFrame) -> DataFrame:
     """(profile_id, genre) -> L2-normalised sum of IDF per token occurrence.
     Profiles whose vector is empty or ~0 are absent (popularity fallback)."""
     toks = prefs.select("profile_id", F.explode(tokens(F.col("genre"))).alias("term"))
-    v = (toks.join(F.broadcast(m.idf), "term").groupBy("profile_id", "idx")
+    v = (toks.join(broadcast_if_small(m.idf, m.dim), "term").groupBy("profile_id", "idx")
          .agg(F.sum("idf").alias("a")))
     norm = v.groupBy("profile_id").agg(F.sqrt(F.sum(F.col("a") * F.col("a"))).alias("_n"))
     return (v.join(norm.filter(F.col("_n") >= EPS), "profile_id")

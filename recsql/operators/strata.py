@@ -102,7 +102,8 @@ def error_histogram(preds: DataFrame, bins: int = 50) -> DataFrame:
         F.when(F.col("_mx") > F.col("_mn"), F.col("_mn")).otherwise(F.col("_mn") - 0.5).alias("_lo"),
         F.when(F.col("_mx") > F.col("_mn"), F.col("_mx")).otherwise(F.col("_mx") + 0.5).alias("_hi"))
     idx = F.least(F.lit(bins), F.floor((F.col("e") - F.col("_lo")) * F.lit(bins) / (F.col("_hi") - F.col("_lo"))) + 1)
-    h = errs.crossJoin(F.broadcast(b)).groupBy(idx.cast("bigint").alias("bin")).agg(F.count(F.lit(1)).alias("count"))
+    h = (errs.crossJoin(F.broadcast(b))  # b: one-row bounds
+         .groupBy(idx.cast("bigint").alias("bin")).agg(F.count(F.lit(1)).alias("count")))
     edges = b.select("_lo", "_hi")
     w = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
     return h.crossJoin(edges).select(  # one-row side

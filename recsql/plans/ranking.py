@@ -40,7 +40,7 @@ def global_positions(df: DataFrame, order: list[Column], pos_col: str = "pos") -
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(before), F.lit(0)).alias("_off"))
     local = F.col("_mid") - F.col("_pid").cast("bigint") * F.lit(_LOW_BITS)
-    return (tagged.join(F.broadcast(offsets), "_pid")
+    return (tagged.join(F.broadcast(offsets), "_pid")  # one row per partition
             .withColumn(pos_col, (F.col("_off") + local + 1).cast("bigint"))
             .drop("_pid", "_mid", "_off"))
 
