@@ -18,6 +18,8 @@ _CACHE: dict = {}
 
 class Context:
     def __init__(self, spark: SparkSession, sf_dir: str):
+        from ..session import ship_package
+        ship_package(spark)
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
         self.models: dict = {}
 
