@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..plans.blocked import blocked_topk, blocked_user_stats, dense_vectors
 from ..schemas import ITEM, USER
 from . import content, mf
+from ..session import materialize
 from .factors import FactorModel
 
 RANGE_EPS = 1e-9  # fixed value: degenerate min-max range
@@ -82,11 +83,15 @@ def _mm(S, lo, hi):
 
 def recommend(m: HybridModel, users: DataFrame, k: int = 10) -> DataFrame:
     uv, iv, kc, _ = _vectors(m, users)
+    uv, iv = materialize(uv), materialize(iv)  # used by both passes
     n_items = iv.count()
     cf, ct = _sides(kc, m.mu)
-    s1 = blocked_user_stats(uv, iv, cf, n_items=n_items).select(USER, F.col("lo").alias("l1"), F.col("hi").alias("h1"))
-    s2 = blocked_user_stats(uv, iv, ct, n_items=n_items).select(USER, F.col("lo").alias("l2"), F.col("hi").alias("h2"))
-    uvs = uv.join(s1, USER).join(s2, USER).select(USER, F.concat("vec", F.array("l1", "h1", "l2", "h2")).alias("vec"))
+
+    def both(U, I):
+        return [cf(U, I), ct(U, I)]
+    both.n_outputs = 2
+    st = blocked_user_stats(uv, iv, both, n_items=n_items)  # one pass for both sides' min/max
+    uvs = uv.join(st, USER).select(USER, F.concat("vec", F.array("lo0", "hi0", "lo1", "hi1")).alias("vec"))
     alpha = m.alpha
 
     def fused(U, I):

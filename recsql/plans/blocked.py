@@ -181,21 +181,34 @@ def blocked_user_stats(user_vecs: DataFrame, item_vecs: DataFrame,
                        n_users: int | None = None, n_items: int | None = None,
                        user_block: int = USER_BLOCK, item_block: int = ITEM_BLOCK) -> DataFrame:
     """Per-user min and max of ``score_fn`` over *all* items (partial per block,
-    combined with a min/max aggregation)."""
+    combined with a min/max aggregation). ``score_fn`` may return a list of
+    score matrices; the columns are then lo0, hi0, lo1, hi1, ..."""
     n_users = n_users if n_users is not None else user_vecs.count()
     n_items = n_items if n_items is not None else item_vecs.count()
     nu, ni = _n_blocks(n_users, user_block), _n_blocks(n_items, item_block)
 
+    n_out = getattr(score_fn, "n_outputs", 1)
+    names = ["user_id"] + [f"{p}{j}" for j in range(n_out) for p in ("lo", "hi")]
+
     def stats_block(pdf: pd.DataFrame) -> pd.DataFrame:
         uids, U, iids, I, _ = _split(pdf)
         if len(uids) == 0 or len(iids) == 0:
-            return pd.DataFrame({"user_id": [], "lo": [], "hi": []})
-        S = np.asarray(score_fn(U, I), dtype=np.float64)
-        return pd.DataFrame({"user_id": uids, "lo": S.min(axis=1), "hi": S.max(axis=1)})
-
+            return pd.DataFrame({c: [] for c in names})
+        res = score_fn(U, I)
+        out = {"user_id": uids}
+        for j, S in enumerate(res if isinstance(res, (list, tuple)) else [res]):
+            S = np.asarray(S, dtype=np.float64)
+            out[f"lo{j}"], out[f"hi{j}"] = S.min(axis=1), S.max(axis=1)
+        return pd.DataFrame(out)
+
+    schema = ", ".join(["user_id long"] + [f"{c} double" for c in names[1:]])
     parts = _one_group_per_task(_grouped(user_vecs, item_vecs, None, nu, ni), nu, ni)
-    partial = parts.groupBy("_k").applyInPandas(stats_block, "user_id long, lo double, hi double")
-    return partial.groupBy("user_id").agg(F.min("lo").alias("lo"), F.max("hi").alias("hi"))
+    partial = parts.groupBy("_k").applyInPandas(stats_block, schema)
+    aggs = []
+    for j in range(n_out):
+        aggs += [F.min(f"lo{j}").alias(f"lo{j}"), F.max(f"hi{j}").alias(f"hi{j}")]
+    out = partial.groupBy("user_id").agg(*aggs)
+    return out.withColumnRenamed("lo0", "lo").withColumnRenamed("hi0", "hi") if n_out == 1 else out
 
 
 def dense_vectors(sparse: DataFrame, key: str, dim: int, idx: str = "idx", val: str = "weight") -> DataFrame:
