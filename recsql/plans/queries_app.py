@@ -178,3 +178,12 @@ def c5_onboarding_top_genres(c):
     out = C.onboarding(c.model("coldstart"), prefs, c.items, K)
     return _round_doubles(out.select("profile_id", F.col("rank").cast("bigint"), "item_id", "name",
                                      F.col("year").cast("bigint"), "genres", "score"))
+
+
+@query("e23_grid_search_itemcf_neighbors")
+def e23_grid_search_itemcf_neighbors(c):
+    """Coarse grid, best point, refined grid around it, second pass."""
+    cfg = {"model": {"name": "itemcf"}, "eval": {"k": K, "relevance_threshold": 4.0}}
+    coarse, fine, best = X.grid_search(c, cfg, {"topk_neighbors": [20, 50]}, optimize="rmse", n_between=1)
+    out = coarse.withColumn("pass", F.lit("coarse")).unionByName(fine.withColumn("pass", F.lit("refined")))
+    return _round_doubles(out.withColumn("best_topk_neighbors", F.lit(int(best["topk_neighbors"])).cast("bigint")))
