@@ -73,7 +73,12 @@ class Context:
         key = (name, repr(sorted(params.items())))
         if key not in self.models:
             from ..models import get_model
-            if name == "coldstart":  # routes between two models this context may already hold
+            if name == "hybrid":  # fuses two models this context may already hold
+                from ..models.hybrid import HybridModel
+                cf = self.model("svd", **dict(params.get("cf_params") or {}))
+                ct = self.model("content", **dict(params.get("content_params") or {}))
+                self.models[key] = HybridModel(cf, ct, float(params.get("alpha", 0.6)), float(cf.mu.first()["mu"]))
+            elif name == "coldstart":  # routes between two models this context may already hold
                 from ..models.coldstart import ColdStartModel
                 lt = params.get("like_threshold", 4.0)
                 self.models[key] = ColdStartModel(self.model("content", like_threshold=lt), self.model("popularity"))

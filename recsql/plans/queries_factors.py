@@ -16,15 +16,11 @@ from .registry import _round_doubles, query
 
 MF_FAST = dict(n_factors=10, n_epochs=2)
 ALS_FAST = dict(n_factors=10, n_epochs=3)
-HYB_FAST = dict(alpha=0.6, cf_params=(("n_factors", 10), ("n_epochs", 2)))
+HYB_FAST = dict(alpha=0.6, cf_params=MF_FAST)
 
 
 def _hyb(c):
-    p = dict(HYB_FAST)
-    key = ("hybrid", tuple(sorted((k, v) for k, v in p.items())))
-    if key not in c.models:
-        c.models[key] = hybrid.fit(c.train, c.items, alpha=p["alpha"], cf_params=dict(p["cf_params"]))
-    return c.models[key]
+    return c.model("hybrid", **HYB_FAST)
 
 
 def _factors(m):
