@@ -78,6 +78,11 @@ class Context:
                 cf = self.model("svd", **dict(params.get("cf_params") or {}))
                 ct = self.model("content", **dict(params.get("content_params") or {}))
                 self.models[key] = HybridModel(cf, ct, float(params.get("alpha", 0.6)), float(cf.mu.first()["mu"]))
+            elif name == "itemcf":  # similarities do not depend on the neighbour count
+                from ..models import itemcf
+                if "itemcf_sims" not in self.models:
+                    self.models["itemcf_sims"] = itemcf.positive_similarities(self.train)
+                self.models[key] = itemcf.fit(self.train, self.items, sims=self.models["itemcf_sims"], **params)
             elif name == "coldstart":  # routes between two models this context may already hold
                 from ..models.coldstart import ColdStartModel
                 lt = params.get("like_threshold", 4.0)
