@@ -14,13 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 def save_model(model, path: str) -> None:
     """Write every DataFrame field as ``<path>/<field>`` parquet; scalars and
     parameters go to ``<path>/_params.json`` (via Spark, so any Hadoop path works)."""
-    spark = None
+    spark = SparkSession.getActiveSession()
     meta = {"kind": type(model).__name__, "scalars": {}}
     for f in dataclasses.fields(model):
         v = getattr(model, f.name)
         if isinstance(v, DataFrame):
             v.write.mode("overwrite").parquet(f"{path}/{f.name}")
-            spark = v.sparkSession
         elif dataclasses.is_dataclass(v):
             save_model(v, f"{path}/{f.name}")
             meta["scalars"][f.name] = {"__model__": f.name}

@@ -217,3 +217,24 @@ def test_hybrid_equals_brute_force(spark, small):
         exp = pd.DataFrame({"item_id": f.index, "s": f.values.round(9)}).sort_values(
             ["s", "item_id"], ascending=[False, True]).item_id[:10].tolist()
         assert recs[recs.user_id == u].sort_values("rank").item_id.tolist() == exp
+
+
+def test_store_round_trip_composite(spark, g1):
+    from recsql.models import coldstart, hybrid, itemcf
+    from recsql.models.factors import FactorModel
+    r, items = g1
+    pairs = r.select("user_id", "item_id", "rating")
+    cases = [
+        (mf, FactorModel, mf.fit(r, items, n_factors=3, n_epochs=2)),
+        (als, FactorModel, als.fit(r, items, n_factors=3, n_epochs=2)),
+        (itemcf, itemcf.ItemCFModel, itemcf.fit(r, items, topk_neighbors=0)),
+        (coldstart, coldstart.ColdStartModel, coldstart.fit(r, items)),
+        (hybrid, hybrid.HybridModel, hybrid.fit(r, items, cf_params=dict(n_factors=3, n_epochs=1))),
+    ]
+    for mod, cls, m in cases:
+        path = tempfile.mkdtemp(prefix="recsql-model-")
+        save_model(m, path)
+        m2 = load_model(spark, path, cls)
+        a = {(x.user_id, x.item_id): x.prediction for x in mod.predict(m, pairs).collect()}
+        b = {(x.user_id, x.item_id): x.prediction for x in mod.predict(m2, pairs).collect()}
+        assert a == pytest.approx(b, abs=1e-5), cls.__name__
