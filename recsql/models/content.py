@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from ..functions.numeric import clip
 from ..functions.text import tokens
-from ..plans.blocked import blocked_topk, dense_vectors
-from ..plans.ranking import broadcast_if_small, global_positions
+from pyspark.sql import Window
+
+from ..plans.blocked import blocked_group_cover, blocked_topk, dense_vectors
+from ..plans.ranking import broadcast_if_small, exclude_seen, global_positions, rank_in_group, topk
 from ..schemas import ITEM, RATING, USER
 from ..session import materialize
 from .popularity import global_mean
@@ -128,10 +130,54 @@ def user_dense(m: ContentModel, users: DataFrame | None = None) -> DataFrame:
     return pu.join(d, USER, "left").select(USER, F.coalesce(F.col("vec"), zero).alias("vec"))
 
 
+SIGNATURE_RATIO = 0.5  # use signatures when they collapse the catalogue at least 2x
+
+
+def signatures(m: ContentModel) -> tuple[DataFrame, DataFrame, int]:
+    """Items with identical TF-IDF vectors share every cosine. Returns
+    (item_sig: item_id, group_id, pos, size; sig_vecs: group_id, vec, size; n_sigs).
+    ``pos`` is the item's 1-based position by id inside its signature."""
+    key = (m.item_vecs.groupBy(ITEM).agg(F.array_sort(F.collect_list(F.struct("idx", "weight"))).alias("key")))
+    key = m.catalogue.join(key, ITEM, "left").select(
+        ITEM, F.coalesce("key", F.array().cast("array<struct<idx:bigint,weight:double>>")).alias("key"))
+    sig = key.groupBy("key").agg(F.min(ITEM).alias("group_id"), F.count(F.lit(1)).alias("size"))
+    item_sig = materialize(rank_in_group(key.join(sig, "key").select(ITEM, "group_id", "size"),
+                                         ["group_id"], [F.col(ITEM).asc()], rank_col="pos", size_col="_n").drop("_n"))
+    dim = max(1, m.dim)
+    vec = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(
+        F.element_at(F.map_from_entries(F.transform("key", lambda e: F.struct(e["idx"].cast("int"), e["weight"]))), i),
+        F.lit(0.0)))
+    sig_vecs = materialize(sig.select("group_id", vec.alias("vec"), "size"))
+    return item_sig, sig_vecs, sig_vecs.count()
+
+
 def recommend(m: ContentModel, users: DataFrame, k: int = 10) -> DataFrame:
-    """All catalogue items minus seen, ranked by cosine; no profile -> no rows."""
+    """All catalogue items minus seen, ranked by cosine; no profile -> no rows.
+
+    Scores users x distinct item vectors (signatures) when those collapse the
+    catalogue, then expands only the first unseen items of the signatures a
+    user needs; otherwise scores users x items in blocks."""
     uv = user_dense(m, users)
-    return blocked_topk(uv, item_dense(m), m.seen, k, n_items=m.n_items)
+    item_sig, sig_vecs, n_sigs = signatures(m)
+    if n_sigs > SIGNATURE_RATIO * m.n_items:
+        return blocked_topk(uv, item_dense(m), m.seen, k, n_items=m.n_items)
+    seen_sig = m.seen.join(uv.select(USER), USER, "left_semi").join(item_sig.select(ITEM, "group_id"), ITEM)
+    seen_counts = seen_sig.groupBy(USER, "group_id").agg(F.count(F.lit(1)).alias("n_seen"))
+    cand = blocked_group_cover(uv, sig_vecs, seen_counts, k, n_groups=n_sigs)
+    # Global cover: best signatures until k unseen items, plus every tie of the last one.
+    r9 = F.round("score", 9)
+    before = Window.partitionBy(USER).orderBy(r9.desc(), F.col("group_id")).rowsBetween(Window.unboundedPreceding, -1)
+    c = cand.withColumn("_cb", F.coalesce(F.sum("unseen").over(before), F.lit(0.0)))
+    c = c.withColumn("_thr", F.min(F.when(F.col("_cb") < k, r9)).over(Window.partitionBy(USER)))
+    kept = c.filter(r9 >= F.col("_thr")).join(seen_counts, [USER, "group_id"], "left").select(
+        USER, "group_id", "score", (F.lit(k) + F.coalesce("n_seen", F.lit(0))).alias("_need"))
+    # Expand each kept signature over its first k + seen items (blocks of k positions).
+    b = max(1, int(k))
+    ex = kept.withColumn("_blk", F.explode(F.sequence(F.lit(1).cast("bigint"), F.ceil(F.col("_need") / b).cast("bigint"))))
+    pos = item_sig.select(ITEM, "group_id", "pos", F.ceil(F.col("pos") / b).cast("bigint").alias("_blk"))
+    items = ex.join(pos, ["group_id", "_blk"]).filter(F.col("pos") <= F.col("_need"))
+    out = topk(exclude_seen(items.select(USER, ITEM, "score"), m.seen), k)
+    return out.select(USER, F.col("rank").cast("int"), ITEM, "score")
 
 
 def preference_vectors(m: ContentModel, prefs: DataFrame) -> DataFrame:

@@ -363,3 +363,59 @@ def tiled_spmm(left: DataFrame, right: DataFrame, n_rows: int, n_cols: int) -> D
         return pd.DataFrame({"row": rows[k // len(cols)], "col": cols[k % len(cols)], "value": s})
 
     return parts.groupBy("_k").applyInPandas(tile, "row long, col long, value double")
+
+
+def blocked_group_cover(user_vecs: DataFrame, group_vecs: DataFrame, seen_counts: DataFrame, k: int,
+                        n_users: int | None = None, n_groups: int | None = None,
+                        user_block: int | None = None, item_block: int | None = None) -> DataFrame:
+    """Candidate groups per user for a top-k over items that share a group score.
+
+    group_vecs: (group_id, vec, size); seen_counts: (user_id, group_id, n_seen).
+    For each user and block of groups, the best-scoring groups whose unseen
+    items cover k (plus every group tied with the last one) leave the task as
+    (user_id, group_id, score, unseen). The global cover is a superset-safe
+    union of these per-block covers."""
+    n_users = n_users if n_users is not None else user_vecs.count()
+    n_groups = n_groups if n_groups is not None else group_vecs.count()
+    nu = _n_blocks(n_users, user_block or USER_BLOCK)
+    ni = _n_blocks(n_groups, item_block or ITEM_BLOCK)
+    kk = int(k)
+    ib_all = F.explode(F.sequence(F.lit(0), F.lit(ni - 1)))
+    ub_all = F.explode(F.sequence(F.lit(0), F.lit(nu - 1)))
+    u = user_vecs.select(_block("user_id", nu).alias("_ub"), ib_all.alias("_ib"), F.lit("U").alias("kind"),
+                         F.col("user_id").alias("uid"), F.lit(None).cast("long").alias("iid"),
+                         F.col("vec").cast("array<double>").alias("vec"), F.lit(None).cast("long").alias("n"))
+    g = group_vecs.select(ub_all.alias("_ub"), _block("group_id", ni).alias("_ib"), F.lit("I").alias("kind"),
+                          F.lit(None).cast("long").alias("uid"), F.col("group_id").alias("iid"),
+                          F.col("vec").cast("array<double>").alias("vec"), F.col("size").cast("long").alias("n"))
+    s = seen_counts.select(_block("user_id", nu).alias("_ub"), _block("group_id", ni).alias("_ib"),
+                           F.lit("S").alias("kind"), F.col("user_id").alias("uid"), F.col("group_id").alias("iid"),
+                           F.lit(None).cast("array<double>").alias("vec"), F.col("n_seen").cast("long").alias("n"))
+    parts = _one_group_per_task(u.unionByName(g).unionByName(s), nu, ni)
+
+    def cover(pdf: pd.DataFrame) -> pd.DataFrame:
+        uu = pdf[pdf.kind == "U"].sort_values("uid")
+        gg = pdf[pdf.kind == "I"].sort_values("iid")
+        ss = pdf[pdf.kind == "S"]
+        empty = pd.DataFrame({"user_id": [], "group_id": [], "score": [], "unseen": []})
+        if uu.empty or gg.empty:
+            return empty
+        uids, gids = uu.uid.to_numpy(np.int64), gg.iid.to_numpy(np.int64)
+        S = np.stack(uu.vec.to_numpy()) @ np.stack(gg.vec.to_numpy()).T
+        unseen = np.tile(gg.n.to_numpy(np.float64), (len(uids), 1))
+        if len(ss):
+            su, sg = ss.uid.to_numpy(np.int64), ss.iid.to_numpy(np.int64)
+            r = np.minimum(np.searchsorted(uids, su), len(uids) - 1)
+            c = np.minimum(np.searchsorted(gids, sg), len(gids) - 1)
+            ok = (uids[r] == su) & (gids[c] == sg)  # rows of users/groups not in this block are ignored
+            np.subtract.at(unseen, (r[ok], c[ok]), ss.n.to_numpy(np.float64)[ok])
+        key = np.where(unseen > 0, np.round(S, 9), -np.inf)
+        order = np.argsort(-key, axis=1, kind="stable")
+        ks = np.take_along_axis(key, order, axis=1)
+        cum = np.cumsum(np.take_along_axis(unseen, order, axis=1) * np.isfinite(ks), axis=1)
+        reach = np.minimum((cum < kk).sum(axis=1), ks.shape[1] - 1)  # first position covering k
+        thr = ks[np.arange(len(uids)), reach]
+        rr, cc = np.nonzero((key >= thr[:, None]) & np.isfinite(key))
+        return pd.DataFrame({"user_id": uids[rr], "group_id": gids[cc], "score": S[rr, cc], "unseen": unseen[rr, cc]})
+
+    return parts.groupBy("_k").applyInPandas(cover, "user_id long, group_id long, score double, unseen double")

@@ -238,3 +238,18 @@ def test_store_round_trip_composite(spark, g1):
         a = {(x.user_id, x.item_id): x.prediction for x in mod.predict(m, pairs).collect()}
         b = {(x.user_id, x.item_id): x.prediction for x in mod.predict(m2, pairs).collect()}
         assert a == pytest.approx(b, abs=1e-5), cls.__name__
+
+
+def test_content_signatures_equal_item_scoring(spark, small, monkeypatch):
+    """Signature collapse == item-level block scoring, for a user subset, with many blocks."""
+    monkeypatch.setattr(blocked, "USER_BLOCK", 16)
+    monkeypatch.setattr(blocked, "ITEM_BLOCK", 8)
+    r, items = small
+    tr = splits.fold(splits.split_by_time(r), "train")
+    m = content.fit(tr, items)
+    users = tr.select("user_id").distinct().filter(F.col("user_id") % 3 == 0)
+    sig = content.recommend(m, users, 10)
+    ref = blocked.blocked_topk(content.user_dense(m, users), content.item_dense(m), m.seen, 10,
+                               n_items=m.n_items, user_block=16, item_block=64)
+    key = lambda df: sorted((x.user_id, x.rank, x.item_id) for x in df.collect())
+    assert key(sig) == key(ref)
