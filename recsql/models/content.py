@@ -157,11 +157,15 @@ def recommend(m: ContentModel, users: DataFrame, k: int = 10) -> DataFrame:
     Scores users x distinct item vectors (signatures) when those collapse the
     catalogue, then expands only the first unseen items of the signatures a
     user needs; otherwise scores users x items in blocks."""
-    uv = user_dense(m, users)
+    return rank_catalogue(m, user_dense(m, users), m.seen, k)
+
+
+def rank_catalogue(m: ContentModel, uv: DataFrame, seen: DataFrame, k: int) -> DataFrame:
+    """Top-k catalogue items per (user_id, vec) row by cosine, minus ``seen``."""
     item_sig, sig_vecs, n_sigs = signatures(m)
     if n_sigs > SIGNATURE_RATIO * m.n_items:
-        return blocked_topk(uv, item_dense(m), m.seen, k, n_items=m.n_items)
-    seen_sig = m.seen.join(uv.select(USER), USER, "left_semi").join(item_sig.select(ITEM, "group_id"), ITEM)
+        return blocked_topk(uv, item_dense(m), seen, k, n_items=m.n_items)
+    seen_sig = seen.join(uv.select(USER), USER, "left_semi").join(item_sig.select(ITEM, "group_id"), ITEM)
     seen_counts = seen_sig.groupBy(USER, "group_id").agg(F.count(F.lit(1)).alias("n_seen"))
     cand = blocked_group_cover(uv, sig_vecs, seen_counts, k, n_groups=n_sigs)
     # Global cover: best signatures until k unseen items, plus every tie of the last one.
@@ -176,7 +180,7 @@ def recommend(m: ContentModel, users: DataFrame, k: int = 10) -> DataFrame:
     ex = kept.withColumn("_blk", F.explode(F.sequence(F.lit(1).cast("bigint"), F.ceil(F.col("_need") / b).cast("bigint"))))
     pos = item_sig.select(ITEM, "group_id", "pos", F.ceil(F.col("pos") / b).cast("bigint").alias("_blk"))
     items = ex.join(pos, ["group_id", "_blk"]).filter(F.col("pos") <= F.col("_need"))
-    out = topk(exclude_seen(items.select(USER, ITEM, "score"), m.seen), k)
+    out = topk(exclude_seen(items.select(USER, ITEM, "score"), seen), k)
     return out.select(USER, F.col("rank").cast("int"), ITEM, "score")
 
 
@@ -199,8 +203,11 @@ def recommend_for_preferences(m: ContentModel, prefs: DataFrame, k: int = 10,
     _check_dim(m.dim)
     pv = preference_vectors(m, prefs)
     uv = dense_vectors(pv.withColumnRenamed("profile_id", USER), USER, max(1, m.dim))
-    seen = None if exclude is None else exclude.select(F.col("profile_id").alias(USER), ITEM)
-    recs = blocked_topk(uv, item_dense(m), seen, k, n_items=m.n_items).withColumnRenamed(USER, "profile_id")
+    if exclude is None:
+        seen = prefs.sparkSession.createDataFrame([], f"{USER} long, {ITEM} long")
+    else:
+        seen = exclude.select(F.col("profile_id").alias(USER), ITEM)
+    recs = rank_catalogue(m, uv, seen, k).withColumnRenamed(USER, "profile_id")
     if fallback is None:
         return recs
     missing = prefs.select("profile_id").distinct().join(recs.select("profile_id").distinct(), "profile_id", "left_anti")
