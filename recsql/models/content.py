@@ -136,7 +136,11 @@ SIGNATURE_RATIO = 0.5  # use signatures when they collapse the catalogue at leas
 def signatures(m: ContentModel) -> tuple[DataFrame, DataFrame, int]:
     """Items with identical TF-IDF vectors share every cosine. Returns
     (item_sig: item_id, group_id, pos, size; sig_vecs: group_id, vec, size; n_sigs).
-    ``pos`` is the item's 1-based position by id inside its signature."""
+    ``pos`` is the item's 1-based position by id inside its signature.
+    Computed once per fitted model (cached on it, not persisted with it)."""
+    cached = getattr(m, "_signatures", None)
+    if cached is not None:
+        return cached
     key = (m.item_vecs.groupBy(ITEM).agg(F.array_sort(F.collect_list(F.struct("idx", "weight"))).alias("key")))
     key = m.catalogue.join(key, ITEM, "left").select(
         ITEM, F.coalesce("key", F.array().cast("array<struct<idx:bigint,weight:double>>")).alias("key"))
@@ -148,7 +152,8 @@ def signatures(m: ContentModel) -> tuple[DataFrame, DataFrame, int]:
         F.element_at(F.map_from_entries(F.transform("key", lambda e: F.struct(e["idx"].cast("int"), e["weight"]))), i),
         F.lit(0.0)))
     sig_vecs = materialize(sig.select("group_id", vec.alias("vec"), "size"))
-    return item_sig, sig_vecs, sig_vecs.count()
+    m._signatures = (item_sig, sig_vecs, sig_vecs.count())
+    return m._signatures
 
 
 def recommend(m: ContentModel, users: DataFrame, k: int = 10) -> DataFrame:
