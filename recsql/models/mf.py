@@ -27,7 +27,7 @@ from .factors import predict as _predict
 from .factors import recommend as _recommend
 from .popularity import global_mean
 
-_STATE = "kind string, id long, vec array<double>, bias double"
+_STATE = "kind string, id long, vb binary, bias double"  # vb: float64 vector bytes
 MIN_BLOCK_RATINGS = 25_000
 
 
@@ -35,14 +35,33 @@ def _block(col: str, nb: int):
     return F.pmod(F.xxhash64(F.col(col)), F.lit(nb)).cast("int")
 
 
+def _encode(df: DataFrame) -> DataFrame:
+    """array<double> vectors -> float64 bytes (the internal training state)."""
+    def enc(batches):
+        for pdf in batches:
+            pdf["vb"] = [np.asarray(v, dtype=np.float64).tobytes() for v in pdf.pop("vec")]
+            yield pdf
+    return df.mapInPandas(enc, "kind string, id long, bias double, vb binary")
+
+
+def _decode(df: DataFrame, k: int) -> DataFrame:
+    """float64 bytes -> array<double> vectors (the public factor tables)."""
+    def dec(batches):
+        for pdf in batches:
+            m = np.frombuffer(b"".join(pdf.pop("vb").to_numpy()), dtype=np.float64).reshape(-1, k)
+            pdf["vec"] = list(m)
+            yield pdf
+    return df.select("kind", "id", "bias", "vb").mapInPandas(dec, "kind string, id long, bias double, vec array<double>")
+
+
 def _sgd(k: int, mu: float, lr: float, reg: float, batch: int, seed: int, epoch: int, sub: int):
     def fn(pdf: pd.DataFrame) -> pd.DataFrame:
         u = pdf[pdf.kind == "U"].sort_values("id")
         i = pdf[pdf.kind == "I"].sort_values("id")
         r = pdf[pdf.kind == "R"].sort_values(["uid", "iid"])  # shuffle order varies; a retried task must replay the same steps
         uid, iid = u["id"].to_numpy(np.int64), i["id"].to_numpy(np.int64)
-        P = np.stack(u["vec"].to_numpy()).reshape(len(u), k) if len(u) else np.zeros((0, k))
-        Q = np.stack(i["vec"].to_numpy()).reshape(len(i), k) if len(i) else np.zeros((0, k))
+        P = np.frombuffer(b"".join(u["vb"].to_numpy()), dtype=np.float64).reshape(len(u), k).copy()
+        Q = np.frombuffer(b"".join(i["vb"].to_numpy()), dtype=np.float64).reshape(len(i), k).copy()
         bu, bi = u["bias"].to_numpy(np.float64).copy(), i["bias"].to_numpy(np.float64).copy()
         if len(r):
             ru = np.searchsorted(uid, r["uid"].to_numpy(np.int64))
@@ -59,9 +78,13 @@ def _sgd(k: int, mu: float, lr: float, reg: float, batch: int, seed: int, epoch:
                 pu, qi = P[uu], Q[ii]
                 np.add.at(P, uu, lr * (err[:, None] * qi - reg * pu))
                 np.add.at(Q, ii, lr * (err[:, None] * pu - reg * qi))
+        both = np.concatenate([P, Q]) if len(P) + len(Q) else np.zeros((0, k))
+        raw = both.tobytes()
+        step = k * 8
         return pd.DataFrame({"kind": ["U"] * len(uid) + ["I"] * len(iid),
                              "id": np.concatenate([uid, iid]),
-                             "vec": list(P) + list(Q), "bias": np.concatenate([bu, bi])})
+                             "vb": [raw[j * step:(j + 1) * step] for j in range(len(both))],
+                             "bias": np.concatenate([bu, bi])})
     return fn
 
 
@@ -87,19 +110,19 @@ def fit(train: DataFrame, items: DataFrame | None = None, n_factors: int = 50, n
               ub.alias("_ub"), F.pmod(ib - ub, F.lit(nb)).alias("_s"))
      .write.partitionBy("_s").parquet(path))
     rated = spark.read.parquet(path)
-    state = materialize(
+    state = materialize(_encode(
         init_vectors(r, USER, n_factors, seed, 1).select(F.lit("U").alias("kind"), F.col(USER).alias("id"), "vec", "bias")
         .unionByName(init_vectors(r, ITEM, n_factors, seed, 2)
-                     .select(F.lit("I").alias("kind"), F.col(ITEM).alias("id"), "vec", "bias")))
+                     .select(F.lit("I").alias("kind"), F.col(ITEM).alias("id"), "vec", "bias"))))
     for epoch in range(int(n_epochs)):
         for s in range(nb):
             blk = F.when(F.col("kind") == "U", _block("id", nb)).otherwise(F.pmod(_block("id", nb) - F.lit(s), F.lit(nb)))
-            facts = state.select("kind", "id", "vec", "bias", F.lit(None).cast("long").alias("uid"),
+            facts = state.select("kind", "id", "vb", "bias", F.lit(None).cast("long").alias("uid"),
                                  F.lit(None).cast("long").alias("iid"), F.lit(None).cast("double").alias("r"),
                                  blk.alias("_g"))
             rows = (rated.filter(F.col("_s") == s)
                     .select(F.lit("R").alias("kind"), F.lit(None).cast("long").alias("id"),
-                            F.lit(None).cast("array<double>").alias("vec"), F.lit(None).cast("double").alias("bias"),
+                            F.lit(None).cast("binary").alias("vb"), F.lit(None).cast("double").alias("bias"),
                             "uid", "iid", "r", F.col("_ub").alias("_g")))
             fn = _sgd(n_factors, mu, lr, reg, int(batch_size), seed, epoch, s)
             # One stratum block per task: group on a key whose hash partition is
@@ -109,8 +132,9 @@ def fit(train: DataFrame, items: DataFrame | None = None, n_factors: int = 50, n
         # The sub-epochs form a linear chain; cut it every few epochs (and at the end).
         if (epoch + 1) % max(1, int(checkpoint_every)) == 0 or epoch == int(n_epochs) - 1:
             state = materialize(state)
-    users = state.filter(F.col("kind") == "U").select(F.col("id").alias(USER), "vec", "bias")
-    its = state.filter(F.col("kind") == "I").select(F.col("id").alias(ITEM), "vec", "bias")
+    final = materialize(_decode(state, n_factors))
+    users = final.filter(F.col("kind") == "U").select(F.col("id").alias(USER), "vec", "bias")
+    its = final.filter(F.col("kind") == "I").select(F.col("id").alias(ITEM), "vec", "bias")
     return FactorModel(mu_df, users, its, r.select(USER, ITEM), users.count(), its.count(),
                        dict(n_factors=n_factors, n_epochs=n_epochs, lr=lr, reg=reg, seed=seed,
                             batch_size=batch_size, n_strata=nb))
