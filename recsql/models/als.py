@@ -25,36 +25,64 @@ from .factors import predict as _predict
 from .factors import recommend as _recommend
 from .popularity import global_mean
 
-_PARTIAL = "id long, a array<double>, c array<double>, st double, sq array<double>, n long"
-_SOLVED = "id long, vec array<double>, bias double"
+_PARTIAL = "id long, vb binary, t double, a binary, c binary, st double, sq binary, n long"
+_SOLVED = "id long, vb binary, bias double"  # vb: float64 vector bytes (loop state)
+
+
+def _bytes_rows(m: np.ndarray) -> list:
+    raw, step = np.ascontiguousarray(m, dtype=np.float64).tobytes(), m.shape[1] * 8
+    return [raw[j * step:(j + 1) * step] for j in range(m.shape[0])]
+
+
+def _mat(col, k2: int) -> np.ndarray:
+    return np.frombuffer(b"".join(col), dtype=np.float64).reshape(-1, k2)
+
+
+def _fold(ids: np.ndarray, Q: np.ndarray, t: np.ndarray, k: int):
+    """Per-id sums (sum qq^T, sum qt, sum t, sum q, n) of id-sorted rows,
+    in bounded chunks of the k*k outer-product buffer."""
+    starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+    out_ids, A, C, ST, SQ, N = [], [], [], [], [], []
+    for lo in range(0, len(ids), 1024):
+        hi = min(len(ids), lo + 1024)
+        cut = np.unique(np.r_[lo, starts[(starts > lo) & (starts < hi)]])
+        Qc, tc = Q[lo:hi], t[lo:hi]
+        seg = cut - lo
+        A.append(np.add.reduceat(np.einsum("ni,nj->nij", Qc, Qc).reshape(hi - lo, k * k), seg, axis=0))
+        C.append(np.add.reduceat(Qc * tc[:, None], seg, axis=0))
+        ST.append(np.add.reduceat(tc, seg))
+        SQ.append(np.add.reduceat(Qc, seg, axis=0))
+        N.append(np.diff(np.r_[seg, hi - lo]))
+        out_ids.append(ids[cut])
+    return (np.concatenate(out_ids), np.concatenate(A), np.concatenate(C), np.concatenate(ST),
+            np.concatenate(SQ), np.concatenate(N))
 
 
 def _partials(k: int):
+    """Map side: ids with at least k rows in a batch are folded into one
+    partial (k*k values, smaller than their k-wide rows: this is what keeps a
+    popular id from shipping all its rows); other rows travel as they are."""
     def fn(batches):
         for pdf in batches:
             if pdf.empty:
                 continue
             pdf = pdf.sort_values("id", kind="stable")
             ids = pdf["id"].to_numpy(np.int64)
-            Q = np.stack(pdf["vec"].to_numpy()).reshape(len(pdf), k)
+            counts = np.unique(ids, return_counts=True)
+            heavy = np.isin(ids, counts[0][counts[1] >= k])
+            Q = _mat(pdf["vb"].to_numpy(), k)
             t = pdf["t"].to_numpy(np.float64)
-            starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-            out_ids, A, C, ST, SQ, N = [], [], [], [], [], []
-            for lo in range(0, len(ids), 1024):  # bound the k*k outer-product buffer
-                hi = min(len(ids), lo + 1024)
-                cut = np.unique(np.r_[lo, starts[(starts > lo) & (starts < hi)]])
-                Qc, tc = Q[lo:hi], t[lo:hi]
-                outer = np.einsum("ni,nj->nij", Qc, Qc).reshape(hi - lo, k * k)
-                seg = cut - lo
-                A.append(np.add.reduceat(outer, seg, axis=0))
-                C.append(np.add.reduceat(Qc * tc[:, None], seg, axis=0))
-                ST.append(np.add.reduceat(tc, seg))
-                SQ.append(np.add.reduceat(Qc, seg, axis=0))
-                N.append(np.diff(np.r_[seg, hi - lo]))
-                out_ids.append(ids[cut])
-            yield pd.DataFrame({"id": np.concatenate(out_ids), "a": list(np.concatenate(A)),
-                                "c": list(np.concatenate(C)), "st": np.concatenate(ST),
-                                "sq": list(np.concatenate(SQ)), "n": np.concatenate(N)})
+            parts = []
+            if heavy.any():
+                i, A, C, ST, SQ, N = _fold(ids[heavy], Q[heavy], t[heavy], k)
+                parts.append(pd.DataFrame({"id": i, "vb": None, "t": np.nan, "a": _bytes_rows(A),
+                                           "c": _bytes_rows(C), "st": ST, "sq": _bytes_rows(SQ), "n": N}))
+            if (~heavy).any():
+                light = pdf[~heavy]
+                parts.append(pd.DataFrame({"id": light["id"].to_numpy(np.int64), "vb": light["vb"].to_numpy(),
+                                           "t": light["t"].to_numpy(np.float64), "a": None, "c": None,
+                                           "st": np.nan, "sq": None, "n": 0}))
+            yield pd.concat(parts, ignore_index=True)
     return fn
 
 
@@ -62,17 +90,28 @@ def _solver(k: int, reg: float):
     eye = np.eye(k)
 
     def finish(rows: list[pd.DataFrame]) -> pd.DataFrame:
-        pdf = pd.concat(rows)
-        ids = pdf["id"].to_numpy(np.int64)
+        pdf = pd.concat(rows, ignore_index=True)
+        raw = pdf[pdf["a"].isna()]
+        agg = pdf[pdf["a"].notna()]
+        pieces = []
+        if len(raw):
+            pieces.append(_fold(raw["id"].to_numpy(np.int64), _mat(raw["vb"].to_numpy(), k),
+                                raw["t"].to_numpy(np.float64), k))
+        if len(agg):
+            pieces.append((agg["id"].to_numpy(np.int64), _mat(agg["a"].to_numpy(), k * k), _mat(agg["c"].to_numpy(), k),
+                           agg["st"].to_numpy(np.float64), _mat(agg["sq"].to_numpy(), k), agg["n"].to_numpy(np.int64)))
+        ids, A, C, ST, SQ, N = (np.concatenate([p[j] for p in pieces]) for j in range(6))
+        o = np.argsort(ids, kind="stable")
+        ids, A, C, ST, SQ, N = ids[o], A[o], C[o], ST[o], SQ[o], N[o]
         starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-        A = np.add.reduceat(np.stack(pdf["a"].to_numpy()), starts, axis=0).reshape(-1, k, k) + reg * eye
-        C = np.add.reduceat(np.stack(pdf["c"].to_numpy()), starts, axis=0)
-        ST = np.add.reduceat(pdf["st"].to_numpy(np.float64), starts)
-        SQ = np.add.reduceat(np.stack(pdf["sq"].to_numpy()), starts, axis=0)
-        N = np.add.reduceat(pdf["n"].to_numpy(np.float64), starts)
+        A = np.add.reduceat(A, starts, axis=0).reshape(-1, k, k) + reg * eye
+        C = np.add.reduceat(C, starts, axis=0)
+        ST = np.add.reduceat(ST, starts)
+        SQ = np.add.reduceat(SQ, starts, axis=0)
+        N = np.add.reduceat(N.astype(np.float64), starts)
         P = np.linalg.solve(A, C[:, :, None])[:, :, 0]
         bias = (ST - np.einsum("ij,ij->i", SQ, P)) / N
-        return pd.DataFrame({"id": ids[starts], "vec": list(P), "bias": bias})
+        return pd.DataFrame({"id": ids[starts], "vb": _bytes_rows(P), "bias": bias})
 
     def fn(batches):
         pending: list[pd.DataFrame] = []
@@ -90,10 +129,29 @@ def _solver(k: int, reg: float):
     return fn
 
 
+def _encode(df: DataFrame) -> DataFrame:
+    """(id, vec array<double>, bias) -> (id, vb float64 bytes, bias)."""
+    def enc(batches):
+        for pdf in batches:
+            pdf["vb"] = [np.asarray(v, dtype=np.float64).tobytes() for v in pdf.pop("vec")]
+            yield pdf[["id", "vb", "bias"]]
+    return df.select("id", "vec", "bias").mapInPandas(enc, _SOLVED)
+
+
+def _decode(df: DataFrame, k: int) -> DataFrame:
+    """(id, vb, bias) -> (id, vec array<double>, bias): the public factor table."""
+    def dec(batches):
+        for pdf in batches:
+            m = np.frombuffer(b"".join(pdf.pop("vb").to_numpy()), dtype=np.float64).reshape(-1, k)
+            pdf["vec"] = list(m)
+            yield pdf[["id", "vec", "bias"]]
+    return df.select("id", "vb", "bias").mapInPandas(dec, "id long, vec array<double>, bias double")
+
+
 def half_step(ratings: DataFrame, fixed: DataFrame, self_key: str, other_key: str, mu: float,
               k: int, reg: float) -> DataFrame:
-    j = ratings.join(fixed.select(F.col("id").alias(other_key), "vec", F.col("bias").alias("_b")), other_key)
-    rows = j.select(F.col(self_key).alias("id"), "vec",
+    j = ratings.join(fixed.select(F.col("id").alias(other_key), "vb", F.col("bias").alias("_b")), other_key)
+    rows = j.select(F.col(self_key).alias("id"), "vb",
                     (F.col(RATING).cast("double") - F.lit(mu) - F.col("_b")).alias("t"))
     part = rows.mapInPandas(_partials(k), _PARTIAL)
     n_parts = ratings.sparkSession.conf.get("spark.sql.shuffle.partitions")
@@ -107,15 +165,15 @@ def fit(train: DataFrame, items: DataFrame | None = None, n_factors: int = 50, r
     r = train.select(USER, ITEM, RATING)
     mu_df = materialize(global_mean(r))
     mu = float(mu_df.first()["mu"])
-    q = materialize(init_vectors(r, ITEM, n_factors, seed, 2).withColumnRenamed(ITEM, "id"))
+    q = materialize(_encode(init_vectors(r, ITEM, n_factors, seed, 2).withColumnRenamed(ITEM, "id")))
     p = None
     for _ in range(int(n_epochs)):
         p = half_step(r, q, USER, ITEM, mu, n_factors, reg)
         q = half_step(r, p, ITEM, USER, mu, n_factors, reg)
     if p is None:
-        p = materialize(init_vectors(r, USER, n_factors, seed, 1).withColumnRenamed(USER, "id"))
-    users = p.withColumnRenamed("id", USER)
-    its = q.withColumnRenamed("id", ITEM)
+        p = materialize(_encode(init_vectors(r, USER, n_factors, seed, 1).withColumnRenamed(USER, "id")))
+    users = materialize(_decode(p, n_factors)).withColumnRenamed("id", USER)
+    its = materialize(_decode(q, n_factors)).withColumnRenamed("id", ITEM)
     return FactorModel(mu_df, users, its, r.select(USER, ITEM), users.count(), its.count(),
                        dict(n_factors=n_factors, reg=reg, n_epochs=n_epochs, seed=seed))
 

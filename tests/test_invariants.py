@@ -253,3 +253,25 @@ def test_content_signatures_equal_item_scoring(spark, small, monkeypatch):
                                n_items=m.n_items, user_block=16, item_block=64)
     key = lambda df: sorted((x.user_id, x.rank, x.item_id) for x in df.collect())
     assert key(sig) == key(ref)
+
+
+def test_als_half_step_exact(spark):
+    """One ALS half-step (heavy ids pre-aggregated map side, light ids shipped
+    raw) equals solving (Q^T Q + reg I) p = Q^T t per user with NumPy."""
+    k, reg, mu = 3, 0.1, 3.0
+    rng = np.random.default_rng(5)
+    items = {i: rng.normal(size=k) for i in range(20)}
+    ib = {i: float(rng.normal()) for i in items}
+    rows = [(0, i, int(rng.integers(1, 6))) for i in range(20)]            # heavy user: 20 >= k rows
+    rows += [(u, int(i), int(rng.integers(1, 6))) for u in range(1, 8) for i in rng.choice(20, 2, replace=False)]
+    r = spark.createDataFrame(rows, "user_id long, item_id long, rating int")
+    fixed = spark.createDataFrame([(i, v.tolist(), ib[i]) for i, v in items.items()], "id long, vec array<double>, bias double")
+    out = als._decode(als.half_step(r, als._encode(fixed), "user_id", "item_id", mu, k, reg), k).collect()
+    got = {x.id: (np.array(x.vec), x.bias) for x in out}
+    for u in {a for a, _, _ in rows}:
+        its = [(i, rt) for a, i, rt in rows if a == u]
+        Q = np.array([items[i] for i, _ in its])
+        t = np.array([rt - mu - ib[i] for i, rt in its])
+        p = np.linalg.solve(Q.T @ Q + reg * np.eye(k), Q.T @ t)
+        assert got[u][0] == pytest.approx(p, abs=1e-9)
+        assert got[u][1] == pytest.approx(float(np.mean(t - Q @ p)), abs=1e-9)
