@@ -69,6 +69,17 @@ class Context:
     def cold(self) -> DataFrame:
         return fold(self.split, "cold")
 
+    def recs(self, name: str, k: int = 20, **params) -> DataFrame:
+        """One materialised top-k list per model for every user (max K of the
+        evaluations); evaluations, strata and catalogue queries filter it."""
+        key = ("recs", name, k, repr(sorted(params.items())))
+        if key not in self.models:
+            from ..models import get_model
+            from ..session import materialize
+            users = self.ratings.select("user_id").distinct()
+            self.models[key] = materialize(get_model(name).recommend(self.model(name, **params), users, k))
+        return self.models[key]
+
     def model(self, name: str, **params):
         key = (name, repr(sorted(params.items())))
         if key not in self.models:

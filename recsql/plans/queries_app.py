@@ -71,7 +71,7 @@ SELECT user_id, CAST(rank AS BIGINT) AS rank, item_id, """ + NAME.format(t="t")
        round(prediction / 5 * 100, 6) AS score_pct FROM cards_""")
 def c1_recommendation_cards_popularity(c):
     m = c.model("popularity")
-    recs = popularity.recommend(m, c.ratings.select("user_id").distinct(), K)
+    recs = c.recs("popularity").filter(F.col("rank") <= K)
     preds = popularity.predict(m, recs.select("user_id", "item_id"))
     out = C.recommendation_cards(recs, preds, c.items)
     return _round_doubles(out.select("user_id", F.col("rank").cast("bigint"), "item_id", "name",
@@ -156,7 +156,7 @@ SELECT r.user_id, CAST(r.rank AS BIGINT) AS rank, r.item_id,
        CASE WHEN b.genre IS NOT NULL THEN 'your favourite genre: ' || b.genre ELSE 'based on your overall taste' END AS reason
 FROM pop_recs r LEFT JOIN best_ b ON r.user_id = b.user_id AND r.item_id = b.item_id""")
 def c6_explain_popularity(c):
-    recs = popularity.recommend(c.model("popularity"), c.ratings.select("user_id").distinct(), K)
+    recs = c.recs("popularity").filter(F.col("rank") <= K)
     return C.explain(recs, c.train, c.items).withColumn("rank", F.col("rank").cast("bigint"))
 
 

@@ -36,14 +36,15 @@ def m10_content_predict(c):
 @query("m10_content_recommend", CBASE + ",\nall_users_ AS (SELECT DISTINCT user_id FROM ratings)"
        + B.content_recs("all_users_") + "\n" + RECS_OUT + " FROM content_recs")
 def m10_content_recommend(c):
-    return _recs_out(content.recommend(c.model("content"), c.ratings.select("user_id").distinct(), K))
+    return _recs_out(c.recs("content").filter(F.col("rank") <= K))
 
 
 @query("e1_evaluate_content", CBASE + ",\nrelu_ AS (SELECT DISTINCT user_id FROM test WHERE rating >= 4)"
        + B.content_recs("relu_") + B.CONTENT_PREDS + B.eval_ctes("content_preds_", "content_recs")
        + "\nSELECT metric, round(CAST(value AS DOUBLE), 6) AS value FROM metrics_")
 def e1_evaluate_content(c):
-    return _round_doubles(EV.evaluate(content, c.model("content"), c.train, c.test, c.items, K))
+    return _round_doubles(EV.evaluate(content, c.model("content"), c.train, c.test, c.items, K,
+                                      recs=c.recs("content")))
 
 
 @query("m12_coldstart_recommend", CBASE + POP_RECS + B.content_recs("all_users_") + """,

@@ -24,7 +24,7 @@ def _pop_preds(c):
 
 
 def _pop_recs(c, users, k=K):
-    return popularity.recommend(_pop(c), users, k)
+    return c.recs("popularity").filter(F.col("rank") <= k).join(users, "user_id", "left_semi")
 
 
 def _rel_users(c):
@@ -185,5 +185,5 @@ def e11_multik_models(c):
     rel = M.relevant_items(c.test)
     users = rel.select("user_id").distinct()
     curves = {"popularity": M.multik(_pop_recs(c, users, 20), rel),
-              "content": M.multik(content.recommend(c.model("content"), users, 20), rel)}
+              "content": M.multik(c.recs("content").join(users, "user_id", "left_semi"), rel)}
     return _round_doubles(M.multik_models(curves))

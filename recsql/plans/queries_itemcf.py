@@ -30,12 +30,12 @@ def m3_itemcf_predict(c):
 @query("m4_itemcf_recommend", IBASE + ",\nall_users_ AS (SELECT DISTINCT user_id FROM ratings)"
        + B.itemcf_recs("all_users_") + "\n" + RECS_OUT + " FROM icf_recs")
 def m4_itemcf_recommend(c):
-    m = c.model("itemcf", topk_neighbors=50)
-    return _recs_out(itemcf.recommend(m, c.ratings.select("user_id").distinct(), K))
+    return _recs_out(c.recs("itemcf", topk_neighbors=50).filter(F.col("rank") <= K))
 
 
 @query("e1_evaluate_itemcf", IBASE + ",\nrelu_ AS (SELECT DISTINCT user_id FROM test WHERE rating >= 4)"
        + B.itemcf_recs("relu_") + B.ITEMCF_PREDS + B.eval_ctes("icf_preds_", "icf_recs")
        + "\nSELECT metric, round(CAST(value AS DOUBLE), 6) AS value FROM metrics_")
 def e1_evaluate_itemcf(c):
-    return _round_doubles(EV.evaluate(itemcf, c.model("itemcf", topk_neighbors=50), c.train, c.test, c.items, K))
+    return _round_doubles(EV.evaluate(itemcf, c.model("itemcf", topk_neighbors=50), c.train, c.test, c.items, K,
+                                      recs=c.recs("itemcf", topk_neighbors=50)))

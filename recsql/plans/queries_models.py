@@ -33,8 +33,7 @@ def a9_popularity_scores(c):
 
 @query("m1_popularity_recommend", B.with_(B.SPLIT, B.POP, POP_RECS) + "\n" + RECS_OUT + " FROM pop_recs")
 def m1_popularity_recommend(c):
-    m = c.model("popularity")
-    return _recs_out(popularity.recommend(m, c.ratings.select("user_id").distinct(), K))
+    return _recs_out(c.recs("popularity").filter(F.col("rank") <= K))
 
 
 @query("m1_popularity_predict", B.with_(B.SPLIT, B.POP) + """
@@ -57,13 +56,14 @@ pop_preds_ AS (SELECT t.user_id, t.item_id, t.rating, coalesce(p.score, mu.mu) A
 @query("e1_evaluate_popularity", B.with_(B.SPLIT, B.ITEMS, B.POP, POP_RECS, POP_PREDS)
        + B.eval_ctes("pop_preds_", "pop_recs") + "\nSELECT metric, round(CAST(value AS DOUBLE), 6) AS value FROM metrics_")
 def e1_evaluate_popularity(c):
-    return _round_doubles(EV.evaluate(popularity, c.model("popularity"), c.train, c.test, c.items, K))
+    return _round_doubles(EV.evaluate(popularity, c.model("popularity"), c.train, c.test, c.items, K,
+                                      recs=c.recs("popularity")))
 
 
 @query("e7_cold_eval_popularity", B.with_(B.SPLIT, B.ITEMS, B.POP, POP_RECS)
        + B.cold_eval_ctes("pop_recs") + "\nSELECT metric, round(CAST(value AS DOUBLE), 6) AS value FROM cmetrics_")
 def e7_cold_eval_popularity(c):
-    return _round_doubles(EV.evaluate_cold(popularity, c.model("popularity"), c.cold, K))
+    return _round_doubles(EV.evaluate_cold(popularity, c.model("popularity"), c.cold, K, recs=c.recs("popularity")))
 
 
 @query("e2_ranking_per_user_popularity", B.with_(B.SPLIT, B.ITEMS, B.POP, POP_RECS)
@@ -71,7 +71,6 @@ def e7_cold_eval_popularity(c):
 SELECT user_id, n_rel, CAST(hits AS BIGINT) AS hits, round(precision, 6) AS precision, round(recall, 6) AS recall,
        round(hitrate, 6) AS hitrate, round(ndcg, 6) AS ndcg, round(map, 6) AS map FROM pm_""")
 def e2_ranking_per_user_popularity(c):
-    m = c.model("popularity")
     rel = M.relevant_items(c.test)
-    recs = popularity.recommend(m, rel.select("user_id").distinct(), K)
+    recs = c.recs("popularity").filter(F.col("rank") <= K)
     return _round_doubles(M.ranking_per_user(recs, rel, K))
