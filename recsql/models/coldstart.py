@@ -27,11 +27,19 @@ def predict(m: ColdStartModel, pairs: DataFrame) -> DataFrame:
     return content.predict(m.content, known).unionByName(popularity.predict(m.popularity, unknown))
 
 
+def route(content_recs: DataFrame, popularity_recs: DataFrame, users: DataFrame) -> DataFrame:
+    """Users with a content list keep it; every other user gets the popularity list."""
+    u = users.select(USER).distinct()
+    ct = content_recs.join(u, USER, "left_semi")
+    rest = u.join(ct.select(USER).distinct(), USER, "left_anti")
+    return ct.unionByName(popularity_recs.join(rest, USER, "left_semi"))
+
+
 def recommend(m: ColdStartModel, users: DataFrame, k: int = 10) -> DataFrame:
     u = users.select(USER).distinct()
     ct = content.recommend(m.content, u.join(m.content.profile_users, USER, "left_semi"), k)
     rest = u.join(ct.select(USER).distinct(), USER, "left_anti")
-    return ct.unionByName(popularity.recommend(m.popularity, rest, k))
+    return route(ct, popularity.recommend(m.popularity, rest, k), u)
 
 
 def recommend_for_preferences(m: ColdStartModel, prefs: DataFrame, k: int = 10,

@@ -77,7 +77,14 @@ class Context:
             from ..models import get_model
             from ..session import materialize
             users = self.ratings.select("user_id").distinct()
-            self.models[key] = materialize(get_model(name).recommend(self.model(name, **params), users, k))
+            if name == "coldstart":  # route between the two lists this context already holds
+                from ..models.coldstart import route
+                lt = params.get("like_threshold", 4.0)
+                lists = route(self.recs("content", k, like_threshold=lt) if params else self.recs("content", k),
+                              self.recs("popularity", k), users)
+            else:
+                lists = get_model(name).recommend(self.model(name, **params), users, k)
+            self.models[key] = materialize(lists)
         return self.models[key]
 
     def model(self, name: str, **params):

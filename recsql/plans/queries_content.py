@@ -53,7 +53,7 @@ routed_ AS (SELECT user_id, rank, item_id, score FROM content_recs
   WHERE user_id NOT IN (SELECT user_id FROM content_recs))
 """ + RECS_OUT + " FROM routed_")
 def m12_coldstart_recommend(c):
-    return _recs_out(coldstart.recommend(c.model("coldstart"), c.ratings.select("user_id").distinct(), K))
+    return _recs_out(c.recs("coldstart").filter(F.col("rank") <= K))
 
 
 @query("e7_cold_eval_coldstart", CBASE + POP_RECS + B.content_recs("all_users_") + """,
@@ -61,7 +61,7 @@ routed_ AS (SELECT user_id, rank, item_id, score FROM content_recs
   UNION ALL SELECT user_id, rank, item_id, score FROM pop_recs WHERE user_id NOT IN (SELECT user_id FROM content_recs))"""
        + B.cold_eval_ctes("routed_") + "\nSELECT metric, round(CAST(value AS DOUBLE), 6) AS value FROM cmetrics_")
 def e7_cold_eval_coldstart(c):
-    return _round_doubles(EV.evaluate_cold(coldstart, c.model("coldstart"), c.cold, K))
+    return _round_doubles(EV.evaluate_cold(coldstart, c.model("coldstart"), c.cold, K, recs=c.recs("coldstart")))
 
 
 TOP_GENRES = """,
