@@ -7,6 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from .jaccard import jaccard_classes
 from .packing import pack_documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,3 +23,10 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op1_pack"] = op1_pack
+
+
+def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_classes(table(spark, sf_dir, "documents"), n=3, num=90, den=100)
+
+
+QUERIES["op3_jaccard"] = op3_jaccard
