@@ -6,9 +6,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .jaccard import jaccard_classes
 from .packing import pack_documents
+from .quality import score_quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -30,3 +32,17 @@ def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op3_jaccard"] = op3_jaccard
+
+
+def held_out(divisor: int, remainder: int):
+    """Is crc32(doc_id as text) mod divisor this remainder (false without an id)?"""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % divisor == remainder, F.lit(False))
+
+
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").filter(~held_out(4, 2))
+    return score_quality(table(spark, sf_dir, "documents"), labels).select(
+        "doc_id", held_out(4, 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+QUERIES["op2_quality"] = op2_quality

@@ -32,7 +32,7 @@ _COEF_LOWER[ord("A"):ord("Z") + 1] = _COEF[ord("a"):ord("z") + 1]
 _POWERS: dict[str, np.ndarray] = {}
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if "p" not in _POWERS or len(_POWERS["p"]) < n:
         size = max(n, _CHUNK + 1)
         inverse = pow(_BASE, -1, 1 << 64)
@@ -105,7 +105,7 @@ def _chunk(b: np.ndarray, bounds: np.ndarray, at: int, coef: np.ndarray):
     final[:-1] &= gap[1:] | edge[1:n]
     s = np.flatnonzero(begin)
     e = np.flatnonzero(final) + 1
-    p, q = _powers(n + 1)
+    p, q = powers(n + 1)
     with np.errstate(over="ignore"):
         total = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(coef[b] * p[:n], out=total[1:])
