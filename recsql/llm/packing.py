@@ -31,9 +31,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .scratch import Scratch
+from .wordpiece_ids import encoder
 
 GRAIN = 16
-CACHE_WORDS = 400_000
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long")
 _COUNTED = "doc_id long, doc_tokens long, grain_crc binary"
@@ -44,41 +44,6 @@ def _default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
-class WordEncoder:
-    """Little-endian uint32 ids of a text. The vocabulary drops white space and
-    never joins across it, so each run between ASCII spaces is encoded alone
-    and remembered; the memory is emptied when it holds CACHE_WORDS runs."""
-
-    def __init__(self, vocabulary: str):
-        from tokenizers import Tokenizer
-        self.tok = Tokenizer.from_file(vocabulary)
-        self.known: dict[str, bytes] = {}
-        self.breaks = str.maketrans({c: " " for c in "\t\n\x0b\x0c\r"})
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
-        out = []
-        for text in texts:
-            runs = text.translate(self.breaks).split(" ") if not text.isascii() else text.split()
-            # str.split() also breaks at \x1c-\x1f, which the vocabulary keeps.
-            if text.isascii() and any(c in text for c in "\x1c\x1d\x1e\x1f"):
-                runs = text.translate(self.breaks).split(" ")
-            try:
-                out.append(b"".join(map(self.known.__getitem__, runs)))
-            except KeyError:
-                self.learn(runs)
-                out.append(b"".join(map(self.known.__getitem__, runs)))
-        return out
-
-    def learn(self, runs: list[str]) -> None:
-        if len(self.known) > CACHE_WORDS:
-            self.known.clear()
-        new = [w for w in set(runs) if w not in self.known]
-        for at in range(0, len(new), 50_000):
-            part = new[at:at + 50_000]
-            for w, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.known[w] = np.asarray(e.ids, dtype="<u4").tobytes()
-
-
 def _grain_crcs(ids: bytes) -> bytes:
     """Running CRC-32 after each GRAIN ids, then after all of them."""
     step, crc, out = 4 * GRAIN, 0, []
@@ -92,7 +57,7 @@ def _count(vocabulary: str, end_id: int):
     end = int(end_id).to_bytes(4, "little")
 
     def fn(batches):
-        enc = WordEncoder(vocabulary)
+        enc = encoder(vocabulary)
         for batch in batches:
             ids, texts = batch.column(0), batch.column(1)
             for at in range(0, batch.num_rows, 256):
