@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .jaccard import jaccard_classes
 from .packing import pack_documents
 from .quality import score_quality
+from .toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -46,3 +47,12 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op2_quality"] = op2_quality
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = table(spark, sf_dir, "labels").filter(~held_out(5, 0))
+    return score_toxicity(table(spark, sf_dir, "documents"), labels).select(
+        "doc_id", held_out(5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+QUERIES["op10_toxicity"] = op10_toxicity
