@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from .jaccard import jaccard_classes
 from .packing import pack_documents
 from .quality import score_quality
+from .rules import MEASURES, judge
 from .toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -56,3 +57,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op10_toxicity"] = op10_toxicity
+
+
+def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge(table(spark, sf_dir, "documents")).select("doc_id", *MEASURES, "base_failed", "kept")
+
+
+QUERIES["op5_rules"] = op5_rules
