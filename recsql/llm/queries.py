@@ -8,10 +8,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .decontam import contained_items
 from .jaccard import jaccard_classes
 from .packing import pack_documents
 from .quality import score_quality
 from .rules import MEASURES, judge
+from .secrets import scan_secrets
 from .toxicity import score_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -64,3 +66,33 @@ def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op5_rules"] = op5_rules
+
+
+def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES["op6_decontaminate"] = op6_decontaminate
+SQL["op6_decontaminate"] = r"""
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+           FROM documents),
+i AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+      FROM benchmark),
+ds AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS s
+       FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS k FROM d WHERE len(w) >= 5)),
+iset AS (SELECT DISTINCT item_id, array_to_string(w[k:k + 4], ' ') AS s
+         FROM (SELECT item_id, w, unnest(range(1, len(w) - 3)) AS k FROM i WHERE len(w) >= 5)),
+q AS (SELECT item_id, count(*) AS item_shingles FROM iset GROUP BY item_id)
+SELECT item_id, doc_id, item_shingles, count(*) AS shared_shingles, count(*) / item_shingles AS containment
+FROM iset JOIN ds USING (s) JOIN q USING (item_id)
+GROUP BY item_id, doc_id, item_shingles HAVING count(*) * 100 >= item_shingles * 80
+"""
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_secrets(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans",
+        "n_examples", "n_live")
+
+
+QUERIES["op4_secrets"] = op4_secrets
