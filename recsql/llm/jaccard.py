@@ -20,8 +20,11 @@ share one 64-bit fingerprint and are one node, so copies are never expanded.
   above; pairs that cannot reach the similarity stop here.
 * Exact check. The remaining pairs intersect their sorted arrays.
 * Rest of a tile. Tiles whose members are still in different components are
-  compared pairwise by bitmap, in blocks of at most ``BLOCK`` members a side
-  and only where sizes allow a link; survivors take the exact check.
+  compared by bitmap, in blocks of about ``BLOCK`` members a side and only
+  where sizes allow a link. A first round passes on a spanning forest of each
+  block pair, fewer pairs than members, which joins what belongs together; a
+  second round passes on every pair still apart that the bound allows, so
+  nothing is missed. Survivors of both take the exact check.
 
 Defined results: a null or empty text has an empty set, ``n_shingles`` 0, and
 is its own component; a text with fewer than ``n`` words has one shingle, all
@@ -89,7 +92,7 @@ def _tiles(s: np.ndarray, num: int, den: int) -> np.ndarray:
 
 
 def _bitmap(s: np.ndarray) -> bytes:
-    width = max(64, 1 << (2 * len(s) - 1).bit_length())
+    width = max(64, 1 << (4 * len(s) - 1).bit_length())
     bits = np.zeros(width, dtype=np.uint8)
     bits[(s & _U(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
@@ -187,11 +190,15 @@ def _exact(num: int, den: int):
     return fn
 
 
-def _block_pairs(num: int, den: int):
+def _block_pairs(num: int, den: int, forest: bool):
     """Pairs of one block pair of a tile that are in different components and
-    pass the size and bitmap bounds. Rows come sorted by block pair."""
+    pass the size and bitmap bounds; with ``forest``, only those that join two
+    parts of the block pair not joined so far, fewer than its members. Rows
+    come sorted by block pair."""
 
     def pairs(rows: dict[str, list]):
+        order = np.argsort(np.asarray(rows["node"], dtype=np.int64))
+        rows = {k: [v[i] for i in order] for k, v in rows.items()}
         side = np.asarray(rows["side"])
         n = np.asarray(rows["n"], dtype=np.int64)
         node, root = np.asarray(rows["node"], dtype=np.int64), np.asarray(rows["root"], dtype=np.int64)
@@ -207,6 +214,10 @@ def _block_pairs(num: int, den: int):
                 mine = np.bitwise_count(bits[i] & ~bits[j]).sum(axis=1, dtype=np.int64)
                 theirs = np.bitwise_count(bits[j] & ~bits[i]).sum(axis=1, dtype=np.int64)
                 j = j[_may_link(n[i], n[j], mine, theirs, num, den)]
+                if forest and len(j):
+                    joined, first = np.unique(root[j], return_index=True)
+                    j = j[first]
+                    root[np.isin(root, joined)] = root[i]
                 for other in node[j].tolist():
                     yield (int(node[i]), other) if node[i] < other else (other, int(node[i]))
 
@@ -271,6 +282,23 @@ def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
             .mapInArrow(_exact(num, den), "a long, b long"))
 
 
+def _rest_of_tiles(members: DataFrame, sets: DataFrame, roots: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
+    """Candidate pairs within tiles whose members lie in several components."""
+    placed = members.select("tile", "node").join(roots, "node", "left").select(
+        "tile", "node", F.coalesce("root", "node").alias("root"))
+    mixed = placed.groupBy("tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
+                                       F.count("*").alias("c")).filter("lo <> hi and c > 2")
+    mine = F.pmod(F.xxhash64("node"), F.col("blocks"))
+    return (placed.join(mixed.select("tile", F.ceil(F.col("c") / F.lit(BLOCK)).alias("blocks")), "tile").withColumn("mine", mine)
+            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+            .withColumn("p", F.least("mine", "other")).withColumn("q", F.greatest("mine", "other"))
+            .withColumn("side", F.when(F.col("p") == F.col("q"), 1).when(F.col("mine") == F.col("p"), 0).otherwise(2))
+            .join(sets.select("node", "n", "bits"), "node")
+            .repartition("tile", "p", "q").sortWithinPartitions("tile", "p", "q")
+            .select("tile", "p", "q", "side", "node", "root", "n", "bits")
+            .mapInArrow(_block_pairs(num, den, forest), "a long, b long").distinct())
+
+
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3,
                     num: int = 90, den: int = 100) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row: the size of its set
@@ -305,23 +333,11 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = scratch.write(_verify(tried, sets, num, den))
     roots = components(links, scratch)
 
-    placed = members.select("tile", "node").join(roots, "node", "left").select(
-        "tile", "node", F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                       F.count("*").alias("c")).filter("lo <> hi and c > 2")
-    blocks = F.ceil(F.col("c") / F.lit(BLOCK))
-    mine = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    rest = (placed.join(mixed.select("tile", blocks.alias("blocks")), "tile").withColumn("mine", mine)
-            .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-            .withColumn("p", F.least("mine", "other")).withColumn("q", F.greatest("mine", "other"))
-            .withColumn("side", F.when(F.col("p") == F.col("q"), 1).when(F.col("mine") == F.col("p"), 0).otherwise(2))
-            .join(sets.select("node", "n", "bits"), "node")
-            .repartition("tile", "p", "q").sortWithinPartitions("tile", "p", "q")
-            .select("tile", "p", "q", "side", "node", "root", "n", "bits")
-            .mapInArrow(_block_pairs(num, den), "a long, b long").distinct()
-            .join(tried, ["a", "b"], "left_anti"))
-    more = scratch.write(_verify(rest, sets, num, den))
-    roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), scratch)
+    for forest in (True, False):
+        pairs = scratch.write(_rest_of_tiles(members, sets, roots, num, den, forest).join(tried, ["a", "b"], "left_anti"))
+        more = scratch.write(_verify(pairs, sets, num, den))
+        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), scratch)
+        tried = tried.unionByName(pairs)
 
     joined = outline.select("doc_id", "n_shingles", "node").join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
