@@ -27,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .scratch import Scratch
+from .scratch import Scratch, checked_broadcast
 
 # Fixed patterns of the base kinds.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -109,7 +109,7 @@ def ownership(candidates: DataFrame) -> DataFrame:
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
                  repo_cols: tuple[str, ...] = ("source", "lang")) -> DataFrame:
-    """doc_id, counts and spans of the base kinds (arrays), base and all spans
+    """doc_id, a hash of the text, counts of the base kinds, base and all spans
     as strings, and per row the number of its values that are widely copied
     examples and that are live-looking."""
     scratch = Scratch(docs.sparkSession)
@@ -121,7 +121,7 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     values = F.concat(F.transform("assign", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), _value(x["v"]).alias("v"))),
                       F.col("access"), F.col("hex"))
     rows = scratch.write(scanned.select(
-        "doc_id", "owner", "repo", F.size("assign").cast("long").alias("n_assign"), F.size("access").cast("long").alias("n_access"),
+        "doc_id", F.xxhash64("t").alias("text_hash"), "owner", "repo", F.size("assign").cast("long").alias("n_assign"), F.size("access").cast("long").alias("n_access"),
         F.size("hex").cast("long").alias("n_hex"), base.alias("base"), values.alias("vals"), "tokens")
         .withColumn("row", F.monotonically_increasing_id()))
     each = rows.filter("size(vals) + size(tokens) > 0").select(
@@ -141,7 +141,33 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.sum((F.col("is_value") & F.col("live")).cast("long")).alias("n_live"))
     none = F.array().cast("array<struct<s:int,k:int,e:int>>")
     return scratch.finish(rows.join(more, "row", "left").select(
-        "doc_id", "n_assign", "n_access", "n_hex", _joined(F.col("base")).alias("base_spans"),
+        "doc_id", "text_hash", "n_assign", "n_access", "n_hex", _joined(F.col("base")).alias("base_spans"),
         _joined(F.concat("base", F.coalesce("owned", none))).alias("spans"),
         F.coalesce("n_examples", F.lit(0).cast("long")).alias("n_examples"),
         F.coalesce("n_live", F.lit(0).cast("long")).alias("n_live")))
+
+
+def masked_texts(docs: DataFrame, mask: str, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars",
+                 **scan_params) -> DataFrame:
+    """The same rows and columns with every span of the text replaced by
+    ``mask`` (overlapping spans by one); ``size_col`` follows where it exists."""
+    found = scan_secrets(docs, id_col, text_col, **scan_params).filter("spans <> ''").select(
+        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"), F.col("spans").alias("_spans")).distinct()
+    text = F.col(text_col)
+    cut = F.transform(F.split("_spans", ","), lambda x: F.struct(
+        F.element_at(F.split(x, ":"), 2).cast("int").alias("s"), F.element_at(F.split(x, ":"), 3).cast("int").alias("e")))
+    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
+
+    def step(acc, x):
+        free = F.when(x["s"] >= acc["at"], F.concat(acc["out"], F.substring(text, acc["at"] + 1, x["s"] - acc["at"]), F.lit(mask)))
+        return F.struct(F.greatest(acc["at"], x["e"]).alias("at"), free.otherwise(acc["out"]).alias("out"))
+
+    masked = F.aggregate(cut, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    kept = docs.columns
+    joined = docs.join(checked_broadcast(found), (F.col(id_col).cast("long").eqNullSafe(F.col("_id")))
+                       & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_hash")), "left")
+    out = joined.withColumn(text_col, F.when(F.col("_spans").isNotNull(), masked).otherwise(text))
+    if size_col in kept:
+        kind = docs.schema[size_col].dataType
+        out = out.withColumn(size_col, F.when(F.col("_spans").isNotNull(), F.length(text_col).cast(kind)).otherwise(F.col(size_col)))
+    return out.select(*kept)
