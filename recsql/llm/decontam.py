@@ -16,8 +16,8 @@ sample of 32 or more values falling 40 % short). They are verified on the
 shingles' text: the share of the item's distinct shingles that the document
 holds must reach ``containment``.
 
-Words are runs of letters and digits, lower-cased, so case, punctuation and
-line breaks do not hide a leak. The item side is broadcast only after its row
+Words are runs of lower-cased ASCII letters, digits and non-ASCII characters,
+so case, ASCII punctuation and line breaks do not hide a leak. The item side is broadcast only after its row
 count is checked; a larger one takes a shuffle join.
 
 Defined results: null or empty texts and items of fewer than five words hold
@@ -37,7 +37,7 @@ SKETCH = 64
 
 
 def plain_words(text: Column) -> Column:
-    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+"), "")
+    return F.array_remove(F.split(F.lower(F.coalesce(text, F.lit(""))), r"[^a-z0-9\x{80}-\x{10FFFF}]+"), "")
 
 
 def _each(words: Column, shingle) -> Column:
@@ -46,6 +46,12 @@ def _each(words: Column, shingle) -> Column:
         lambda i: shingle([F.get(words, i + k) for k in range(WORDS)])))
 
 
+def _rows(df: DataFrame, *keys: str, values: Column, name: str) -> DataFrame:
+    """One row per array entry. The outer form keeps the optimizer from testing
+    the array's size below, which would compute its words once per entry."""
+    return df.select(*keys, F.explode_outer(values).alias(name)).filter(F.col(name).isNotNull())
+
+
 def _hashes(words: Column) -> Column:
     return _each(words, lambda w: F.xxhash64(*w))
 
@@ -57,7 +63,7 @@ def _texts(words: Column) -> Column:
 def sketches(items: DataFrame) -> DataFrame:
     """(item_id, step, h): the kept values of each item; ``step`` is the
     divisor of its size class (1 up to SKETCH shingles, then 2, 4, ...)."""
-    full = items.select("item_id", F.explode(_hashes(F.col("w"))).alias("h")).distinct()
+    full = _rows(items, "item_id", values=_hashes(F.col("w")), name="h").distinct()
     size = full.groupBy("item_id").agg(F.count("*").alias("q"))
     step = F.pow(F.lit(2.0), F.greatest(F.lit(0.0), F.floor(F.log2(F.col("q") / SKETCH)).cast("double"))).cast("long")
     return full.join(size.select("item_id", step.alias("step")), "item_id").filter(F.pmod("h", "step") == 0)
@@ -77,16 +83,15 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     held = src.select("doc_id", _hashes(F.col("w")).alias("g"))
     if least > 1:
         held = held.select("doc_id", F.filter("g", lambda h: F.pmod(h, F.lit(least)) == 0).alias("g"))
-    hits = held.select("doc_id", F.explode("g").alias("h")).join(checked_broadcast(index.select("item_id", "h"), 500_000), "h")
+    hits = _rows(held, "doc_id", values=F.col("g"), name="h").join(checked_broadcast(index.select("item_id", "h"), 500_000), "h")
     sizes = index.groupBy("item_id").agg(F.count("*").alias("kept"))
     near = scratch.write(
         hits.distinct().groupBy("doc_id", "item_id").agg(F.count("*").alias("n")).join(sizes, "item_id")
         .filter(F.col("n") * 2 * den >= F.col("kept") * num).select("doc_id", "item_id"))
 
-    asked = tests.select("item_id", F.explode(_texts(F.col("w"))).alias("s")).distinct()
+    asked = _rows(tests, "item_id", values=_texts(F.col("w")), name="s").distinct()
     wanted = checked_broadcast(near.select("doc_id").distinct(), 500_000)
-    found = (src.join(wanted, "doc_id", "left_semi")
-             .select("doc_id", F.explode(_texts(F.col("w"))).alias("s"))
+    found = (_rows(src.join(wanted, "doc_id", "left_semi"), "doc_id", values=_texts(F.col("w")), name="s")
              .join(checked_broadcast(asked, 500_000), "s").select("doc_id", "item_id", "s").distinct()
              .groupBy("doc_id", "item_id").agg(F.count("*").alias("shared_shingles")))
     return scratch.finish(

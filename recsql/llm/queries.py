@@ -78,9 +78,9 @@ def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op6_decontaminate"] = op6_decontaminate
 SQL["op6_decontaminate"] = r"""
-WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+WITH d AS (SELECT doc_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^a-z0-9\x{80}-\x{10FFFF}]+'), lambda x: x <> '') AS w
            FROM documents),
-i AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^\p{L}\p{N}]+'), lambda x: x <> '') AS w
+i AS (SELECT item_id, list_filter(regexp_split_to_array(lower(coalesce(text, '')), '[^a-z0-9\x{80}-\x{10FFFF}]+'), lambda x: x <> '') AS w
       FROM benchmark),
 ds AS (SELECT DISTINCT doc_id, array_to_string(w[k:k + 4], ' ') AS s
        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 3)) AS k FROM d WHERE len(w) >= 5)),
