@@ -11,11 +11,6 @@ def clip(x: Column, lo: float = 1.0, hi: float = 5.0) -> Column:
     return F.least(F.lit(hi), F.greatest(F.lit(lo), x))
 
 
-def safe_div(num: Column, den: Column, default: float = 0.0) -> Column:
-    """Guarded division (ANSI mode raises on division by zero)."""
-    return F.when(den != 0, num / den).otherwise(F.lit(default))
-
-
 def score_percent(score: Column, scale: float = 5.0) -> Column:
     """F16: score as a percentage of the rating scale."""
     return score / F.lit(scale) * F.lit(100.0)

@@ -18,12 +18,13 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..plans.ranking import global_positions
 from ..schemas import ITEM, RATING, USER
 from ..session import materialize
 from .factors import FactorModel, init_vectors
 from .factors import predict as _predict
 from .factors import recommend as _recommend
-from .popularity import global_mean
+from .popularity import global_mean, seen_pairs
 
 _PARTIAL = "id long, vb binary, t double, a binary, c binary, st double, sq binary, n long"
 _SOLVED = "id long, vb binary, bias double"  # vb: float64 vector bytes (loop state)
@@ -161,21 +162,21 @@ def half_step(ratings: DataFrame, fixed: DataFrame, self_key: str, other_key: st
 
 
 def fit(train: DataFrame, items: DataFrame | None = None, n_factors: int = 50, reg: float = 0.1,
-        n_epochs: int = 15, seed: int = 42, **_params) -> FactorModel:
+        n_epochs: int = 15, seed: int = 42, init: str = "generator", **_params) -> FactorModel:
     r = train.select(USER, ITEM, RATING)
     mu_df = materialize(global_mean(r))
     mu = float(mu_df.first()["mu"])
-    q = materialize(_encode(init_vectors(r, ITEM, n_factors, seed, 2).withColumnRenamed(ITEM, "id")))
+    q = materialize(_encode(init_vectors(r, ITEM, n_factors, seed, 2, source=init).withColumnRenamed(ITEM, "id")))
     p = None
     for _ in range(int(n_epochs)):
         p = half_step(r, q, USER, ITEM, mu, n_factors, reg)
         q = half_step(r, p, ITEM, USER, mu, n_factors, reg)
     if p is None:
-        p = materialize(_encode(init_vectors(r, USER, n_factors, seed, 1).withColumnRenamed(USER, "id")))
+        p = materialize(_encode(init_vectors(r, USER, n_factors, seed, 1, source=init).withColumnRenamed(USER, "id")))
     users = materialize(_decode(p, n_factors)).withColumnRenamed("id", USER)
     its = materialize(_decode(q, n_factors)).withColumnRenamed("id", ITEM)
-    return FactorModel(mu_df, users, its, r.select(USER, ITEM), users.count(), its.count(),
-                       dict(n_factors=n_factors, reg=reg, n_epochs=n_epochs, seed=seed))
+    return FactorModel(mu_df, users, its, seen_pairs(r), users.count(), its.count(),
+                       dict(n_factors=n_factors, reg=reg, n_epochs=n_epochs, seed=seed, init=init))
 
 
 predict = _predict
@@ -184,12 +185,13 @@ recommend = _recommend
 
 def fit_ml(train: DataFrame, items: DataFrame | None = None, n_factors: int = 50, reg: float = 0.1,
            n_epochs: int = 15, seed: int = 42, **_params) -> FactorModel:
-    """pyspark.ml ALS (explicit feedback, no biases); ids must fit in INT."""
+    """pyspark.ml ALS (explicit feedback, no biases). It wants INT ids, so
+    users and items go in by their position."""
     from pyspark.ml.recommendation import ALS
+    places = {key: global_positions(train.select(key).distinct(), [F.col(key).asc()], f"_{key}") for key in (USER, ITEM)}
     r = train.select(USER, ITEM, F.col(RATING).cast("float").alias(RATING))
-    big = r.agg(F.max(F.abs(USER)).alias("u"), F.max(F.abs(ITEM)).alias("i")).first()
-    if max(big.u or 0, big.i or 0) > 2**31 - 1:
-        raise ValueError("pyspark.ml ALS needs user/item ids that fit in INT")
+    for key, ids in places.items():
+        r = r.join(ids, key).drop(key).withColumnRenamed(f"_{key}", key)
     model = ALS(rank=n_factors, maxIter=n_epochs, regParam=reg, seed=seed, userCol=USER, itemCol=ITEM,
                 ratingCol=RATING, coldStartStrategy="nan").fit(r)
     mu_df = materialize(global_mean(r).withColumn("mu", F.lit(0.0)))  # no bias terms in this variant
@@ -197,6 +199,7 @@ def fit_ml(train: DataFrame, items: DataFrame | None = None, n_factors: int = 50
                                      F.col("features").cast("array<double>").alias("vec"), F.lit(0.0).alias("bias"))
     its = model.itemFactors.select(F.col("id").cast("long").alias(ITEM),
                                    F.col("features").cast("array<double>").alias("vec"), F.lit(0.0).alias("bias"))
-    users, its = materialize(users), materialize(its)
-    return FactorModel(mu_df, users, its, r.select(USER, ITEM), users.count(), its.count(),
+    users, its = (materialize(df.withColumnRenamed(key, f"_{key}").join(places[key], f"_{key}").drop(f"_{key}"))
+                  for key, df in ((USER, users), (ITEM, its)))
+    return FactorModel(mu_df, users, its, seen_pairs(train), users.count(), its.count(),
                        dict(n_factors=n_factors, reg=reg, n_epochs=n_epochs, seed=seed, variant="ml"))

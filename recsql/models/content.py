@@ -20,7 +20,7 @@ from ..plans.blocked import blocked_group_cover, blocked_topk, dense_vectors
 from ..plans.ranking import broadcast_if_small, exclude_seen, global_positions, rank_in_group, topk
 from ..schemas import ITEM, RATING, USER
 from ..session import materialize
-from .popularity import global_mean
+from .popularity import global_mean, seen_pairs
 
 MAX_DENSE_DIM = 1 << 16  # vocabulary bound for dense block scoring
 
@@ -41,8 +41,9 @@ class ContentModel:
 
 
 def item_text(items: DataFrame) -> DataFrame:
-    """(item_id, genres text)."""
-    return items.select(ITEM, F.coalesce(F.col("genres"), F.lit("")).alias("text"))
+    """(item_id, genres text), one row per item; of repeated items the
+    greatest text stays, in any partitioning."""
+    return items.groupBy(ITEM).agg(F.max(F.coalesce(F.col("genres"), F.lit(""))).alias("text"))
 
 
 def tfidf(items: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -88,7 +89,7 @@ def fit(train: DataFrame, items: DataFrame, like_threshold: float = 4.0, **_para
     dim = idf.count()
     n_items = catalogue.count()
     return ContentModel(materialize(global_mean(train)), idf, vecs, catalogue, prof, pusers,
-                        train.select(USER, ITEM), dim, n_items)
+                        materialize(seen_pairs(train)), dim, n_items)
 
 
 def cosine(m: ContentModel, pairs: DataFrame) -> DataFrame:

@@ -3,6 +3,7 @@ hash-seeded initialisation, predictions and blocked top-k recommendation."""
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -26,14 +27,32 @@ class FactorModel:
     params: dict
 
 
-def init_vectors(ids: DataFrame, key: str, k: int, seed: int, side: int, scale: float = 0.1) -> DataFrame:
-    """N(0, scale) vectors drawn from a generator keyed by (seed, side, id), so
-    the initial state does not depend on partitioning or row order."""
-    @F.pandas_udf("array<double>")
-    def draw(idv: pd.Series) -> pd.Series:
-        return pd.Series([np.random.default_rng([seed, side, int(i) & 0x7FFFFFFFFFFFFFFF]).normal(0.0, scale, k)
-                          for i in idv])
-    return ids.select(key).distinct().select(key, draw(F.col(key)).alias("vec"), F.lit(0.0).alias("bias"))
+def md5_int(text: Column) -> Column:
+    """The first 52 bits of the MD5 of a text as a whole number: the same hash
+    in any engine."""
+    return F.conv(F.substring(F.md5(text), 1, 13), 16, 10).cast("long")
+
+
+def init_vectors(ids: DataFrame, key: str, k: int, seed: int, side: int, scale: float = 0.1,
+                 source: str = "generator") -> DataFrame:
+    """N(0, scale) vectors that depend on (seed, side, id, factor) alone, not on
+    partitioning or row order: drawn from a NumPy generator keyed by them, or,
+    with ``source="md5"``, by Box-Muller from hashed uniforms that any engine
+    can compute."""
+    if source == "generator":
+        @F.pandas_udf("array<double>")
+        def draw(idv: pd.Series) -> pd.Series:
+            return pd.Series([np.random.default_rng([seed, side, int(i) & 0x7FFFFFFFFFFFFFFF]).normal(0.0, scale, k)
+                              for i in idv])
+        return ids.select(key).distinct().select(key, draw(F.col(key)).alias("vec"), F.lit(0.0).alias("bias"))
+
+    def uniform(j, half):
+        text = F.concat_ws("|", F.lit(seed), F.lit(side), F.col(key).cast("string"), j.cast("string"), F.lit(half))
+        return (md5_int(text) + F.lit(0.5)) / F.lit(float(1 << 52))
+
+    vec = F.transform(F.sequence(F.lit(1), F.lit(k)), lambda j: F.lit(scale) * F.sqrt(F.lit(-2.0) * F.log(uniform(j, "a")))
+                      * F.cos(F.lit(2 * math.pi) * uniform(j, "b")))
+    return ids.select(key).distinct().select(key, vec.alias("vec"), F.lit(0.0).alias("bias"))
 
 
 def dot(a: Column, b: Column) -> Column:

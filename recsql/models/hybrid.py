@@ -40,8 +40,9 @@ def fit(train: DataFrame, items: DataFrame, alpha: float = 0.6, cf_params: dict
 
 
 def predict(m: HybridModel, pairs: DataFrame) -> DataFrame:
-    a = mf.predict(m.cf, pairs.select(USER, ITEM)).withColumnRenamed("prediction", "_cf")
-    b = content.predict(m.content, pairs.select(USER, ITEM)).withColumnRenamed("prediction", "_ct")
+    once = pairs.select(USER, ITEM).distinct()
+    a = mf.predict(m.cf, once).withColumnRenamed("prediction", "_cf")
+    b = content.predict(m.content, once).withColumnRenamed("prediction", "_ct")
     ab = a.join(b, [USER, ITEM])
     return (pairs.join(ab, [USER, ITEM], "left")
             .withColumn("prediction", F.lit(m.alpha) * F.col("_cf") + F.lit(1 - m.alpha) * F.col("_ct"))

@@ -11,7 +11,7 @@ from ..plans.blocked import blocked_gram, tiled_spmm
 from ..plans.ranking import broadcast_if_small, exclude_seen, global_positions, score_order, topk, topk_unseen_from_ranking
 from ..schemas import ITEM, RATING, USER
 from ..session import materialize
-from .popularity import global_mean
+from .popularity import global_mean, last_ratings
 
 EPS = 1e-9  # fixed value: norm guard of the reference cosine
 
@@ -40,7 +40,7 @@ def similarities(train: DataFrame, n_users: int, n_items: int, n_ratings: int) -
 def positive_similarities(train: DataFrame) -> tuple[DataFrame, int, int]:
     """All positive cosines (independent of the neighbour count), materialised,
     with the user and item counts: a parameter search reuses it for every N."""
-    t = train.select(USER, ITEM, RATING)
+    t = last_ratings(train)
     stats = t.agg(F.count_distinct(USER).alias("nu"), F.count_distinct(ITEM).alias("ni"),
                   F.count(F.lit(1)).alias("nr")).first()
     n_users, n_items, n_ratings = int(stats.nu), int(stats.ni), int(stats.nr)
@@ -50,7 +50,7 @@ def positive_similarities(train: DataFrame) -> tuple[DataFrame, int, int]:
 
 def fit(train: DataFrame, items: DataFrame | None = None, topk_neighbors: int = 50,
         sims: tuple[DataFrame, int, int] | None = None, **_params) -> ItemCFModel:
-    t = train.select(USER, ITEM, RATING)
+    t = materialize(last_ratings(train))
     sims, n_users, n_items = sims if sims is not None else positive_similarities(t)
     n = int(topk_neighbors)
     if 0 < n < n_items - 1:  # truncate each row independently (asymmetric)
@@ -58,7 +58,7 @@ def fit(train: DataFrame, items: DataFrame | None = None, topk_neighbors: int =
     else:
         nb = sims.withColumn("nrank", F.lit(None).cast("int"))
     ids = global_positions(t.select(ITEM).distinct(), [F.col(ITEM).asc()])
-    return ItemCFModel(materialize(global_mean(t)), materialize(nb), t, ids, n_items, n_users)
+    return ItemCFModel(materialize(global_mean(train)), materialize(nb), t, ids, n_items, n_users)
 
 
 def predict(m: ItemCFModel, pairs: DataFrame) -> DataFrame:

@@ -1,17 +1,23 @@
 """M5/M6: biased matrix factorisation trained by stratified distributed SGD
 (DSGD, Gemulla et al. 2011).
 
-Users and items are hashed into B blocks. An epoch has B sub-epochs; in
-sub-epoch s the blocks (b, (b + s) mod B) share no user and no item, so they
-are trained in parallel, one ``applyInPandas`` group each, with the same
-mini-batch rule as the single-machine algorithm (gradients from batch-start
-values, scatter-add). Each group returns all factors of its user block and
-item block, so the union of the groups is the complete new state, which is
-checkpointed before the next sub-epoch."""
+Users and items are hashed into ``n_strata`` blocks (a constant, whatever the
+data or the session). An epoch has as many sub-epochs; in sub-epoch s the
+blocks (b, b + s mod n_strata) share no user and no item, so they are trained
+in parallel, one co-group each: the block pair's factors and its ratings. A
+mini-batch adds lr times its gradient, taken at the batch's start:
+
+    e = r - (mu + b_u + b_i + p_u . q_i)
+    [p_u, b_u] += lr * ([e q_i, e] - reg [p_u, b_u]),  and likewise [q_i, b_i].
+
+A side is one matrix with the bias as its last column; a batch's gradients are
+summed per id by sorted segments and added once. Each group returns all factors
+of its two blocks, so the union of the groups is the complete new state, which
+is written every ``SUB_EPOCHS_PER_PLAN`` sub-epochs, however many strata there
+are. ``batch_size=None`` takes a block pair's ratings as one batch."""
 
 from __future__ import annotations
 
-import math
 import uuid
 
 import numpy as np
@@ -21,123 +27,126 @@ from pyspark.sql import functions as F
 
 from ..plans.blocked import spread_column, spread_keys
 from ..schemas import ITEM, RATING, USER
-from ..session import ensure_checkpoint_dir, materialize
-from .factors import FactorModel, init_vectors
+from ..session import delete_path, ensure_checkpoint_dir, materialize
+from .factors import FactorModel, init_vectors, md5_int
 from .factors import predict as _predict
 from .factors import recommend as _recommend
-from .popularity import global_mean
+from .popularity import global_mean, seen_pairs
 
-_STATE = "kind string, id long, vb binary, bias double"  # vb: float64 vector bytes
-MIN_BLOCK_RATINGS = 25_000
+_STATE = "kind string, id long, vb binary"  # vb: float64 bytes of the vector and the bias
+SUB_EPOCHS_PER_PLAN = 8
 
 
-def _block(col: str, nb: int):
-    return F.pmod(F.xxhash64(F.col(col)), F.lit(nb)).cast("int")
+def _block(col: str, n_strata: int):
+    return F.pmod(md5_int(F.concat(F.lit("b|"), F.col(col).cast("string"))), F.lit(n_strata)).cast("int")
 
 
 def _encode(df: DataFrame) -> DataFrame:
-    """array<double> vectors -> float64 bytes (the internal training state)."""
+    """array<double> vectors and biases -> bytes (the training state)."""
     def enc(batches):
         for pdf in batches:
-            pdf["vb"] = [np.asarray(v, dtype=np.float64).tobytes() for v in pdf.pop("vec")]
-            yield pdf
-    return df.mapInPandas(enc, "kind string, id long, bias double, vb binary")
+            vb = [np.append(v, b).tobytes() for v, b in zip(pdf["vec"], pdf["bias"])]
+            yield pd.DataFrame({"kind": pdf["kind"], "id": pdf["id"], "vb": vb})
+    return df.select("kind", "id", "vec", "bias").mapInPandas(enc, _STATE)
 
 
 def _decode(df: DataFrame, k: int) -> DataFrame:
-    """float64 bytes -> array<double> vectors (the public factor tables)."""
+    """bytes -> array<double> vectors and biases (the public factor tables)."""
     def dec(batches):
         for pdf in batches:
-            m = np.frombuffer(b"".join(pdf.pop("vb").to_numpy()), dtype=np.float64).reshape(-1, k)
-            pdf["vec"] = list(m)
+            m = np.frombuffer(b"".join(pdf.pop("vb").to_numpy()), dtype=np.float64).reshape(-1, k + 1)
+            pdf["vec"], pdf["bias"] = list(m[:, :k]), m[:, k]
             yield pdf
-    return df.select("kind", "id", "bias", "vb").mapInPandas(dec, "kind string, id long, bias double, vec array<double>")
-
-
-def _sgd(k: int, mu: float, lr: float, reg: float, batch: int, seed: int, epoch: int, sub: int):
-    def fn(pdf: pd.DataFrame) -> pd.DataFrame:
-        u = pdf[pdf.kind == "U"].sort_values("id")
-        i = pdf[pdf.kind == "I"].sort_values("id")
-        r = pdf[pdf.kind == "R"].sort_values(["uid", "iid"])  # shuffle order varies; a retried task must replay the same steps
-        uid, iid = u["id"].to_numpy(np.int64), i["id"].to_numpy(np.int64)
-        P = np.frombuffer(b"".join(u["vb"].to_numpy()), dtype=np.float64).reshape(len(u), k).copy()
-        Q = np.frombuffer(b"".join(i["vb"].to_numpy()), dtype=np.float64).reshape(len(i), k).copy()
-        bu, bi = u["bias"].to_numpy(np.float64).copy(), i["bias"].to_numpy(np.float64).copy()
-        if len(r):
-            ru = np.searchsorted(uid, r["uid"].to_numpy(np.int64))
-            ri = np.searchsorted(iid, r["iid"].to_numpy(np.int64))
-            rv = r["r"].to_numpy(np.float64)
-            rng = np.random.default_rng([seed, epoch, sub, int(pdf["_g"].iloc[0])])
-            order = rng.permutation(len(rv))
-            for start in range(0, len(rv), batch):
-                idx = order[start:start + batch]
-                uu, ii, rr = ru[idx], ri[idx], rv[idx]
-                err = rr - (mu + bu[uu] + bi[ii] + np.einsum("ij,ij->i", P[uu], Q[ii]))
-                np.add.at(bu, uu, lr * (err - reg * bu[uu]))
-                np.add.at(bi, ii, lr * (err - reg * bi[ii]))
-                pu, qi = P[uu], Q[ii]
-                np.add.at(P, uu, lr * (err[:, None] * qi - reg * pu))
-                np.add.at(Q, ii, lr * (err[:, None] * pu - reg * qi))
-        both = np.concatenate([P, Q]) if len(P) + len(Q) else np.zeros((0, k))
-        raw = both.tobytes()
-        step = k * 8
-        return pd.DataFrame({"kind": ["U"] * len(uid) + ["I"] * len(iid),
-                             "id": np.concatenate([uid, iid]),
-                             "vb": [raw[j * step:(j + 1) * step] for j in range(len(both))],
-                             "bias": np.concatenate([bu, bi])})
+    return df.select("kind", "id", "vb").mapInPandas(dec, "kind string, id long, vec array<double>, bias double")
+
+
+class _Side:
+    """The factors of one block: rows of [vector, bias] by sorted id."""
+
+    def __init__(self, pdf: pd.DataFrame, width: int):
+        order = np.argsort(pdf["id"].to_numpy(np.int64))
+        self.ids = pdf["id"].to_numpy(np.int64)[order]
+        self.table = np.frombuffer(b"".join(pdf["vb"].to_numpy()[order]), np.float64).reshape(-1, width).copy()
+
+    def rows(self, ids: np.ndarray) -> np.ndarray:
+        return np.searchsorted(self.ids, ids)
+
+    def add(self, rows: np.ndarray, change: np.ndarray) -> None:
+        by_row = np.argsort(rows, kind="stable")
+        rows = rows[by_row]
+        heads = np.flatnonzero(np.diff(rows, prepend=-1))
+        self.table[rows[heads]] += np.add.reduceat(change[by_row], heads, axis=0)
+
+
+def _train_block(k: int, mu: float, lr: float, reg: float, batch: int | None, seed: int, turn: int):
+    def fn(key, state: pd.DataFrame, ratings: pd.DataFrame) -> pd.DataFrame:
+        is_user = (state["kind"] == "U").to_numpy()
+        users, items = (_Side(state[m], k + 1) for m in (is_user, ~is_user))
+        uid, iid = ratings["uid"].to_numpy(np.int64), ratings["iid"].to_numpy(np.int64)
+        r = ratings["r"].to_numpy(np.float64)
+        order = np.lexsort((r, iid, uid))  # the shuffle's order varies; a retried task replays the same steps
+        if batch:
+            order = order[np.random.default_rng([seed, turn, int(ratings["g"].iloc[0]) if len(r) else 0]).permutation(len(r))]
+        u, i, r = users.rows(uid[order]), items.rows(iid[order]), r[order]
+        for part in np.split(np.arange(len(r)), range(batch, len(r), batch)) if batch else [np.arange(len(r))]:
+            if len(part):
+                a, b = users.table[u[part]], items.table[i[part]]
+                e = r[part] - mu - a[:, k] - b[:, k] - (a[:, :k] * b[:, :k]).sum(axis=1)
+                to_a, to_b = b * e[:, None], a * e[:, None]
+                to_a[:, k] = to_b[:, k] = e
+                users.add(u[part], lr * (to_a - reg * a))
+                items.add(i[part], lr * (to_b - reg * b))
+        raw, step = users.table.tobytes() + items.table.tobytes(), 8 * (k + 1)
+        n = len(users.ids) + len(items.ids)
+        return pd.DataFrame({"kind": ["U"] * len(users.ids) + ["I"] * len(items.ids),
+                             "id": np.concatenate([users.ids, items.ids]),
+                             "vb": [raw[j * step:(j + 1) * step] for j in range(n)]})
     return fn
 
 
 def fit(train: DataFrame, items: DataFrame | None = None, n_factors: int = 50, n_epochs: int = 20,
-        lr: float = 0.005, reg: float = 0.02, seed: int = 42, batch_size: int = 2048,
-        n_strata: int | None = None, checkpoint_every: int = 5, **_params) -> FactorModel:
-    spark = train.sparkSession
+        lr: float = 0.005, reg: float = 0.02, seed: int = 42, batch_size: int | None = 2048,
+        n_strata: int = 4, init: str = "generator", **_params) -> FactorModel:
+    """``n_strata``: blocks per side and parallel tasks per sub-epoch; it sets
+    the order of the SGD steps and so belongs to the model's definition (take
+    more for larger data; at least 2)."""
+    if n_strata < 2:
+        raise ValueError("n_strata must be at least 2")
+    spark, nb = train.sparkSession, int(n_strata)
     r = train.select(USER, ITEM, RATING)
-    if n_strata:
-        nb = int(n_strata)
-    else:  # enough ratings per block (1/B^2 of the data) to amortise one stage, at most one block per task
-        n = r.count()
-        nb = max(1, min(int(spark.conf.get("spark.sql.shuffle.partitions")), round(math.sqrt(n / MIN_BLOCK_RATINGS))))
     mu_df = materialize(global_mean(r))
     mu = float(mu_df.first()["mu"])
     spread = spread_keys(spark, nb)
-    # Ratings are written once, partitioned by stratum s = (ib - ub) mod B, in
-    # the shared checkpoint folder: each sub-epoch reads only its stratum
-    # (partition pruning) instead of filtering all ratings B times an epoch.
+    # Ratings are written once, by stratum s = (item block - user block) mod n:
+    # a sub-epoch reads only its own (partition pruning).
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/dsgd-ratings-{uuid.uuid4().hex}"
     ub, ib = _block(USER, nb), _block(ITEM, nb)
     (r.select(F.col(USER).alias("uid"), F.col(ITEM).alias("iid"), F.col(RATING).cast("double").alias("r"),
-              ub.alias("_ub"), F.pmod(ib - ub, F.lit(nb)).alias("_s"))
+              ub.alias("g"), F.pmod(ib - ub, F.lit(nb)).alias("_s")).withColumn("_k", spread_column("g", spread))
      .write.partitionBy("_s").parquet(path))
     rated = spark.read.parquet(path)
     state = materialize(_encode(
-        init_vectors(r, USER, n_factors, seed, 1).select(F.lit("U").alias("kind"), F.col(USER).alias("id"), "vec", "bias")
-        .unionByName(init_vectors(r, ITEM, n_factors, seed, 2)
+        init_vectors(r, USER, n_factors, seed, 1, source=init).select(F.lit("U").alias("kind"), F.col(USER).alias("id"), "vec", "bias")
+        .unionByName(init_vectors(r, ITEM, n_factors, seed, 2, source=init)
                      .select(F.lit("I").alias("kind"), F.col(ITEM).alias("id"), "vec", "bias"))))
-    for epoch in range(int(n_epochs)):
-        for s in range(nb):
-            blk = F.when(F.col("kind") == "U", _block("id", nb)).otherwise(F.pmod(_block("id", nb) - F.lit(s), F.lit(nb)))
-            facts = state.select("kind", "id", "vb", "bias", F.lit(None).cast("long").alias("uid"),
-                                 F.lit(None).cast("long").alias("iid"), F.lit(None).cast("double").alias("r"),
-                                 blk.alias("_g"))
-            rows = (rated.filter(F.col("_s") == s)
-                    .select(F.lit("R").alias("kind"), F.lit(None).cast("long").alias("id"),
-                            F.lit(None).cast("binary").alias("vb"), F.lit(None).cast("double").alias("bias"),
-                            "uid", "iid", "r", F.col("_ub").alias("_g")))
-            fn = _sgd(n_factors, mu, lr, reg, int(batch_size), seed, epoch, s)
-            # One stratum block per task: group on a key whose hash partition is
-            # the block id itself (fixed count, so AQE does not merge tasks).
-            state = (facts.unionByName(rows).withColumn("_k", spread_column("_g", spread))
-                     .repartition(nb, "_k").groupBy("_k").applyInPandas(fn, _STATE))
-        # The sub-epochs form a linear chain; cut it every few epochs (and at the end).
-        if (epoch + 1) % max(1, int(checkpoint_every)) == 0 or epoch == int(n_epochs) - 1:
+    turns = [(epoch, s) for epoch in range(int(n_epochs)) for s in range(nb)]
+    for turn, (_, s) in enumerate(turns):
+        block = F.when(F.col("kind") == "U", _block("id", nb)).otherwise(F.pmod(_block("id", nb) - F.lit(s), F.lit(nb)))
+        facts = state.withColumn("g", block).withColumn("_k", spread_column("g", spread)).drop("g")
+        rows = rated.filter(F.col("_s") == s).select("uid", "iid", "r", "g", "_k")
+        # One block pair per task: both sides partitioned on a key whose hash
+        # partition is the block itself (a fixed count, so AQE does not merge).
+        state = (facts.repartition(nb, "_k").groupBy("_k").cogroup(rows.repartition(nb, "_k").groupBy("_k"))
+                 .applyInPandas(_train_block(n_factors, mu, lr, reg, batch_size, seed, turn), _STATE))
+        if (turn + 1) % SUB_EPOCHS_PER_PLAN == 0 or turn == len(turns) - 1:
             state = materialize(state)
     final = materialize(_decode(state, n_factors))
+    delete_path(spark, path)
     users = final.filter(F.col("kind") == "U").select(F.col("id").alias(USER), "vec", "bias")
     its = final.filter(F.col("kind") == "I").select(F.col("id").alias(ITEM), "vec", "bias")
-    return FactorModel(mu_df, users, its, r.select(USER, ITEM), users.count(), its.count(),
+    return FactorModel(mu_df, users, its, seen_pairs(r), users.count(), its.count(),
                        dict(n_factors=n_factors, n_epochs=n_epochs, lr=lr, reg=reg, seed=seed,
-                            batch_size=batch_size, n_strata=nb))
+                            batch_size=batch_size, n_strata=nb, init=init))
 
 
 predict = _predict

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..plans.ranking import global_positions, score_order, topk_unseen_from_ranking
-from ..schemas import ITEM, RATING, USER
+from ..schemas import ITEM, RATING, TS, USER
 from ..session import materialize
 
 SMOOTHING = 5.0  # fixed value: prior weight C of the smoothed mean
@@ -28,6 +28,19 @@ def global_mean(train: DataFrame) -> DataFrame:
     return train.agg(F.avg(F.col(RATING).cast("double")).alias("mu"))
 
 
+def seen_pairs(train: DataFrame) -> DataFrame:
+    """The distinct (user, item) pairs of a history that may repeat them."""
+    return train.select(USER, ITEM).distinct()
+
+
+def last_ratings(train: DataFrame) -> DataFrame:
+    """One rating per (user, item): the latest, where a time is known, and the
+    highest of several at once. Combined before the shuffle."""
+    order = [c for c in (TS, RATING) if c in train.columns]
+    return (train.groupBy(USER, ITEM).agg(F.max(F.struct(*order)).alias("_last"))
+            .select(USER, ITEM, F.col(f"_last.{RATING}").alias(RATING)))
+
+
 def item_scores(train: DataFrame) -> DataFrame:
     """score = (n*mean + C*mu) / (n + C)."""
     stats = train.groupBy(ITEM).agg(F.count(F.lit(1)).alias("n"), F.avg(F.col(RATING).cast("double")).alias("mean"))
@@ -42,7 +55,7 @@ def fit(train: DataFrame, items: DataFrame | None = None, **_params) -> Populari
     ranked = global_positions(scores.select(ITEM, "score"), score_order())
     n_items = ranked.count()
     return PopularityModel(materialize(global_mean(train)), scores, ranked,
-                           train.select(USER, ITEM), n_items)  # ratings are unique per pair
+                           seen_pairs(train), n_items)
 
 
 def predict(m: PopularityModel, pairs: DataFrame) -> DataFrame:

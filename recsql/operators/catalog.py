@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.numeric import score_percent
 from ..functions.text import genre_list
 from ..plans.ranking import topk
 from ..schemas import ITEM, RATING, USER
@@ -22,7 +23,8 @@ def user_top_genres(history: DataFrame, items: DataFrame, n: int = 1) -> DataFra
                 order=[F.col("n").desc(), F.col("genre").asc()], rank_col="grank")
 
 
-# Fixed values that must equal the reference's lookup tables.
+# Fixed lookup tables: age codes and colour groups as the reference has them,
+# gender signs with English letters.
 AGE_LABELS = {1: "<18", 18: "18–24", 25: "25–34", 35: "35–44", 45: "45–49", 50: "50–55", 56: "56+"}
 GENDER_LABELS = {"M": "♂ M", "F": "♀ F"}
 GENRE_GROUP = {
@@ -79,19 +81,22 @@ def recommendation_cards(recs: DataFrame, preds: DataFrame, items: DataFrame) ->
     """Rank, name, year, first genres, predicted rating and its percentage bar."""
     j = item_lookup(recs.select(USER, "rank", ITEM), items).join(preds.select(USER, ITEM, "prediction"), [USER, ITEM], "left")
     return j.select(USER, "rank", ITEM, "name", "year", tags(F.col("genres")).alias("tags"),
-                    "prediction", (F.col("prediction") / F.lit(5.0) * F.lit(100.0)).alias("score_pct"))
+                    "prediction", score_percent(F.col("prediction")).alias("score_pct"))
 
 
 def user_cards(train: DataFrame, users: DataFrame, items: DataFrame) -> DataFrame:
-    """Gender and age labels, ratings count, mean, favourite genre."""
+    """Gender and age labels, ratings count, mean, favourite genre and
+    favourite title (highest rating, then smallest item id)."""
     stats = train.groupBy(USER).agg(F.count(F.lit(1)).alias("n_ratings"),
                                     F.avg(F.col(RATING).cast("double")).alias("mean_rating"))
     top = user_top_genres(train, items, 1).select(USER, F.col("genre").alias("top_genre"))
-    return (users.select(USER, "gender", "age").join(stats, USER, "left").join(top, USER, "left")
+    best = favourite_items(train, items, 1).select(USER, F.col("name").alias("_best"))
+    return (users.select(USER, "gender", "age").join(stats, USER, "left").join(top, USER, "left").join(best, USER, "left")
             .select(USER, F.coalesce(_lookup(GENDER_LABELS, F.col("gender")), F.lit("")).alias("gender_label"),
                     F.coalesce(_lookup(AGE_LABELS, F.col("age")), F.lit("")).alias("age_label"),
                     F.coalesce(F.col("n_ratings"), F.lit(0)).cast("bigint").alias("n_ratings"),
-                    "mean_rating", F.coalesce(F.col("top_genre"), F.lit("—")).alias("top_genre")))
+                    "mean_rating", F.coalesce(F.col("top_genre"), F.lit("—")).alias("top_genre"),
+                    F.coalesce(F.col("_best"), F.lit("—")).alias("favourite_title")))
 
 
 def favourite_items(train: DataFrame, items: DataFrame, n: int = 8) -> DataFrame:

@@ -9,7 +9,8 @@ from ..functions.text import genre_list
 from ..plans.ranking import global_positions
 from ..schemas import ITEM, RATING, USER
 
-MAX_PIVOT_VALUES = 1000  # wide encodings only for bounded vocabularies
+# The age codes of the user table.
+AGE_CODES = (1, 18, 25, 35, 45, 50, 56)
 
 
 def rating_stats(ratings: DataFrame, key: str, prefix: str) -> DataFrame:
@@ -48,21 +49,18 @@ def genre_multihot(items: DataFrame) -> DataFrame:
     return cells.join(genre_vocabulary(items), "genre").select(ITEM, "genre", "genre_idx")
 
 
-def genre_matrix_wide(items: DataFrame) -> DataFrame:
-    """F15 wide: one 0/1 column per genre (vocabulary size checked before pivoting)."""
-    vocab = [r.genre for r in genre_vocabulary(items).orderBy("genre_idx").limit(MAX_PIVOT_VALUES + 1).collect()]
-    if len(vocab) > MAX_PIVOT_VALUES:
-        raise ValueError("genre vocabulary too large for a wide matrix; use genre_multihot")
-    cells = genre_multihot(items).withColumn("one", F.lit(1.0))
-    wide = cells.groupBy(ITEM).pivot("genre", vocab).agg(F.first("one"))
-    return items.select(ITEM).join(wide, ITEM, "left").na.fill(0.0, subset=vocab)
+def genre_matrix_wide(items: DataFrame, vocab: list[str]) -> DataFrame:
+    """F15 wide: one 0/1 column per genre of the stated list; the long form
+    ``genre_multihot`` takes a vocabulary of any size."""
+    cells = items.select(ITEM).distinct().join(genre_multihot(items), ITEM, "left")
+    # Aggregated by position: genre names may differ in case only.
+    return cells.groupBy(ITEM).agg(*[F.coalesce(F.max((F.col("genre") == F.lit(g)).cast("double")), F.lit(0.0)).alias(g)
+                                     for g in vocab])
 
 
-def user_features(users: DataFrame) -> DataFrame:
-    """X2 (F7-F9): gender flags, min-max age (+1e-9), occupation, age-code one-hot."""
-    ages = [r.age for r in users.select("age").distinct().orderBy("age").limit(MAX_PIVOT_VALUES + 1).collect()]
-    if len(ages) > MAX_PIVOT_VALUES:
-        raise ValueError("too many distinct age codes for one-hot columns")
+def user_features(users: DataFrame, ages: tuple[int, ...] = AGE_CODES) -> DataFrame:
+    """X2 (F7-F9): gender flags, min-max age (+1e-9), occupation, one 0/1 column
+    per age code of the stated list."""
     b = users.agg(F.min(F.col("age").cast("double")).alias("_lo"), F.max(F.col("age").cast("double")).alias("_hi"))
     u = users.crossJoin(F.broadcast(b))  # one-row side
     cols = [USER,

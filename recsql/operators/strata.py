@@ -94,8 +94,8 @@ def error_by_rating(preds: DataFrame) -> DataFrame:
 
 
 def error_histogram(preds: DataFrame, bins: int = 50) -> DataFrame:
-    """Equal-width histogram of errors over [min, max]; the last bin is
-    closed; a zero range is widened by 0.5 on each side."""
+    """Equal-width histogram of errors over [min, max], every bin listed;
+    the last bin is closed; a zero range is widened by 0.5 on each side."""
     e = (F.col(RATING).cast("double") - F.col("prediction")).alias("e")
     errs = preds.select(e)
     b = errs.agg(F.min("e").alias("_mn"), F.max("e").alias("_mx")).select(
@@ -104,8 +104,9 @@ def error_histogram(preds: DataFrame, bins: int = 50) -> DataFrame:
     idx = F.least(F.lit(bins), F.floor((F.col("e") - F.col("_lo")) * F.lit(bins) / (F.col("_hi") - F.col("_lo"))) + 1)
     h = (errs.crossJoin(F.broadcast(b))  # b: one-row bounds
          .groupBy(idx.cast("bigint").alias("bin")).agg(F.count(F.lit(1)).alias("count")))
-    edges = b.select("_lo", "_hi")
+    edges = (b.filter(F.col("_lo").isNotNull())  # one row, all bins
+             .select("_lo", "_hi", F.explode(F.sequence(F.lit(1).cast("bigint"), F.lit(bins).cast("bigint"))).alias("bin")))
     w = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
-    return h.crossJoin(edges).select(  # one-row side
+    return edges.join(h, "bin", "left").select(
         "bin", (F.col("_lo") + (F.col("bin") - 1) * w).alias("lo"), (F.col("_lo") + F.col("bin") * w).alias("hi"),
-        F.col("count").cast("bigint"))
+        F.coalesce(F.col("count"), F.lit(0)).cast("bigint").alias("count"))

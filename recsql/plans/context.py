@@ -10,7 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators.splits import fold, split_cold_users
+from ..operators.splits import fold, split_by_time, split_cold_users
 from ..sources import tables as T
 
 _CACHE: dict = {}
@@ -22,6 +22,7 @@ class Context:
         ship_package(spark)
         self.spark, self.sf_dir = spark, sf_dir.rstrip("/")
         self.models: dict = {}
+        self.split_params: tuple = (0.2, 0.1, 42)
 
     @cached_property
     def ratings_raw(self) -> DataFrame:
@@ -53,9 +54,13 @@ class Context:
 
     @cached_property
     def split(self) -> DataFrame:
-        """W3 split (test ratio .2, cold users .1, seed 42), as the pipeline uses."""
+        """W3 split (test ratio .2, cold users .1, seed 42), as the pipeline uses,
+        or the one that ``with_split`` set (W2 without a cold-user ratio)."""
         from ..session import materialize
-        return materialize(split_cold_users(self.ratings, 0.2, 0.1, 42))
+        ratio, cold, seed = self.split_params
+        if cold is None:
+            return materialize(split_by_time(self.ratings, ratio))
+        return materialize(split_cold_users(self.ratings, ratio, cold, seed))
 
     @cached_property
     def train(self) -> DataFrame:
@@ -85,6 +90,17 @@ class Context:
             else:
                 lists = get_model(name).recommend(self.model(name, **params), users, k)
             self.models[key] = materialize(lists)
+            self.models[key].built_k = k  # evaluate() refuses a longer cut-off
+        return self.models[key]
+
+    def with_split(self, test_ratio: float = 0.2, cold_user_ratio: float | None = None, seed: int = 42) -> Context:
+        """The same tables under another split, built once per setting."""
+        key = ("split", test_ratio, cold_user_ratio, seed)
+        if key not in self.models:
+            other = Context(self.spark, self.sf_dir)
+            other.__dict__.update({n: getattr(self, n) for n in ("ratings", "items")})
+            other.split_params = (test_ratio, cold_user_ratio, seed)
+            self.models[key] = other
         return self.models[key]
 
     def model(self, name: str, **params):

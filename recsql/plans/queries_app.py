@@ -43,13 +43,20 @@ def e16_compare_popularity_vs_content(c):
     return _round_doubles(X.compare_runs(a, b))
 
 
+NEIGHBOR_GRID = {"topk_neighbors": [10, 20, 40, 80, 160]}
+
+
 @query("e20_grid_itemcf_neighbors")
 def e20_grid_itemcf_neighbors(c):
     cfg = {"model": {"name": "itemcf"}, "eval": {"k": K, "relevance_threshold": 4.0}}
-    return _round_doubles(X.run_grid(c, cfg, {"topk_neighbors": [20, 50]}, optimize="rmse"))
+    return _round_doubles(X.run_grid(c, cfg, NEIGHBOR_GRID, optimize="rmse"))
 
 
-PIPELINE_MODELS = ("popularity", "content", "coldstart")
+# The settings of the reference's pipeline, all seven models.
+SVD_TUNED = dict(n_factors=50, n_epochs=20, lr=0.005, reg=0.02, seed=42)
+TUNED = {"itemcf": dict(topk_neighbors=120), "svd": SVD_TUNED, "als": dict(n_factors=50, reg=0.1, n_epochs=15, seed=42),
+         "hybrid": dict(alpha=0.75, cf_params=SVD_TUNED, content_params=dict(like_threshold=4.0))}
+PIPELINE_MODELS = ("popularity", "itemcf", "svd", "als", "content", "hybrid", "coldstart")
 
 
 def _pipeline(c):
@@ -57,7 +64,7 @@ def _pipeline(c):
     key = ("pipeline", PIPELINE_MODELS)
     if key not in c.models:
         from ..session import materialize
-        c.models[key] = materialize(X.run_pipeline(c, list(PIPELINE_MODELS)))
+        c.models[key] = materialize(X.run_pipeline(c, list(PIPELINE_MODELS), TUNED))
     return c.models[key]
 
 
@@ -69,7 +76,7 @@ def e24_pipeline_metrics(c):
 @query("w15_summary_table")
 def w15_summary_table(c):
     long = _pipeline(c)
-    res = {n: long.filter(F.col("model") == n).select("metric", "value") for n in ("popularity", "content", "coldstart")}
+    res = {n: long.filter(F.col("model") == n).select("metric", "value") for n in PIPELINE_MODELS}
     return _round_doubles(X.summary_table(res, ["rmse", "mae", f"recall@{K}", f"ndcg@{K}", "coverage",
                                                 "diversity", "novelty", "cold_serve_rate"]))
 
@@ -92,13 +99,17 @@ def c1_recommendation_cards_popularity(c):
 
 
 @query("c2_user_cards", CBASE + TOP_GENRES + ",\n" + B.USERS.strip() + """,
-st_ AS (SELECT user_id, count(*) AS n, avg(CAST(rating AS DOUBLE)) AS m FROM train GROUP BY 1)
+st_ AS (SELECT user_id, count(*) AS n, avg(CAST(rating AS DOUBLE)) AS m FROM train GROUP BY 1),
+bt_ AS (SELECT f.user_id, coalesce(i.title, CAST(f.item_id AS VARCHAR)) AS t FROM (SELECT user_id, item_id, row_number() OVER
+        (PARTITION BY user_id ORDER BY rating DESC, item_id) AS r FROM train) f LEFT JOIN items i ON f.item_id = i.item_id WHERE f.r = 1),
+b_ AS (SELECT user_id, """ + NAME.format(t="t") + """ AS name FROM bt_)
 SELECT u.user_id, CASE u.gender WHEN 'M' THEN '♂ M' WHEN 'F' THEN '♀ F' ELSE '' END AS gender_label,
        CASE u.age WHEN 1 THEN '<18' WHEN 18 THEN '18–24' WHEN 25 THEN '25–34' WHEN 35 THEN '35–44' WHEN 45 THEN '45–49'
                   WHEN 50 THEN '50–55' WHEN 56 THEN '56+' ELSE '' END AS age_label,
-       coalesce(st_.n, 0) AS n_ratings, round(st_.m, 6) AS mean_rating, coalesce(tg.genre, '—') AS top_genre
+       coalesce(st_.n, 0) AS n_ratings, round(st_.m, 6) AS mean_rating, coalesce(tg.genre, '—') AS top_genre,
+       coalesce(b_.name, '—') AS favourite_title
 FROM users u LEFT JOIN st_ ON u.user_id = st_.user_id LEFT JOIN (SELECT * FROM top_genres_ WHERE grank = 1) tg
-     ON u.user_id = tg.user_id""")
+     ON u.user_id = tg.user_id LEFT JOIN b_ ON u.user_id = b_.user_id""")
 def c2_user_cards(c):
     return _round_doubles(C.user_cards(c.train, c.users, c.items))
 
@@ -196,6 +207,6 @@ def c5_onboarding_top_genres(c):
 def e23_grid_search_itemcf_neighbors(c):
     """Coarse grid, best point, refined grid around it, second pass."""
     cfg = {"model": {"name": "itemcf"}, "eval": {"k": K, "relevance_threshold": 4.0}}
-    coarse, fine, best = X.grid_search(c, cfg, {"topk_neighbors": [20, 50]}, optimize="rmse", n_between=1)
+    coarse, fine, best = X.grid_search(c, cfg, NEIGHBOR_GRID, optimize="rmse", n_between=1)
     out = coarse.withColumn("pass", F.lit("coarse")).unionByName(fine.withColumn("pass", F.lit("refined")))
     return _round_doubles(out.withColumn("best_topk_neighbors", F.lit(int(best["topk_neighbors"])).cast("bigint")))

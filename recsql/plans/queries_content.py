@@ -86,3 +86,13 @@ def m13_preferences_recommend(c):
     prefs = user_top_genres(c.train, c.items, n=2).select(F.col("user_id").alias("profile_id"), "genre")
     out = coldstart.recommend_for_preferences(c.model("coldstart"), prefs, K)
     return _round_doubles(out.select("profile_id", F.col("rank").cast("bigint"), "item_id", "score"))
+
+
+@query("m10_content_recommend_repeats", B.with_(B.RATINGS_RAW, """,
+train AS (SELECT user_id, item_id, rating FROM ratings_raw)""", "," + B.ITEMS, B.CONTENT)
+       + ",\nall_users_ AS (SELECT DISTINCT user_id FROM ratings_raw)" + B.content_recs("all_users_") + "\n" + RECS_OUT
+       + " FROM content_recs")
+def m10_content_recommend_repeats(c):
+    """On a history with repeated rows, and with repeated catalogue rows."""
+    m = content.fit(c.ratings_raw, c.items.unionByName(c.items))
+    return _recs_out(content.recommend(m, c.ratings_raw.select("user_id").distinct(), K))

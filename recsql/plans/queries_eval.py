@@ -109,8 +109,9 @@ b_ AS (SELECT CASE WHEN max(e) > min(e) THEN min(e) ELSE min(e) - 0.5 END AS blo
               CASE WHEN max(e) > min(e) THEN max(e) ELSE max(e) + 0.5 END AS bhi FROM e_),
 h_ AS (SELECT CAST(LEAST(50, FLOOR((e - blo) * 50 / (bhi - blo)) + 1) AS BIGINT) AS bin, count(*) AS count
        FROM e_ CROSS JOIN b_ GROUP BY 1)
-SELECT bin, round(blo + (bin - 1) * ((bhi - blo) / 50), 6) AS lo, round(blo + bin * ((bhi - blo) / 50), 6) AS hi, count
-FROM h_ CROSS JOIN b_""")
+SELECT n_.bin, round(blo + (n_.bin - 1) * ((bhi - blo) / 50), 6) AS lo, round(blo + n_.bin * ((bhi - blo) / 50), 6) AS hi,
+       coalesce(h_.count, 0) AS count
+FROM (SELECT unnest(range(1, 51)) AS bin) n_ CROSS JOIN b_ LEFT JOIN h_ ON h_.bin = n_.bin""")
 def a21_error_histogram_popularity(c):
     return _round_doubles(ST.error_histogram(_pop_preds(c)))
 
@@ -171,7 +172,7 @@ def e13_bootstrap_ci_popularity(c):
 
 @query("e15_compare_popularity_vs_content")
 def e15_compare_popularity_vs_content(c):
-    return _round_doubles(SG.compare_per_user(*_vals(c), n_bootstrap=2000))
+    return _round_doubles(SG.compare_per_user(*_vals(c), n_bootstrap=10000))
 
 
 @query("e11_multik_models", B.with_(B.SPLIT, B.ITEMS, B.POP, POP_RECS, B.CONTENT) + POP_RECS20

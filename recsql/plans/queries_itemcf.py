@@ -39,3 +39,16 @@ def m4_itemcf_recommend(c):
 def e1_evaluate_itemcf(c):
     return _round_doubles(EV.evaluate(itemcf, c.model("itemcf", topk_neighbors=50), c.train, c.test, c.items, K,
                                       recs=c.recs("itemcf", topk_neighbors=50)))
+
+
+# A history with repeated (user, item) rows: the given tables have them.
+REPEATS = B.with_(B.RATINGS_RAW) + """,
+train AS (SELECT user_id, item_id, rating FROM (SELECT *, row_number() OVER (PARTITION BY user_id, item_id
+  ORDER BY "timestamp" DESC, rating DESC) AS rn_ FROM ratings_raw) WHERE rn_ = 1)""" + B.itemcf(50)
+
+
+@query("m2_itemcf_neighbors_repeats", REPEATS + """
+SELECT i AS item_id, j AS neighbor_id, round(sim, 6) AS sim, CAST(nrank AS BIGINT) AS nrank FROM nbr_""")
+def m2_itemcf_neighbors_repeats(c):
+    nb = itemcf.fit(c.ratings_raw, c.items, topk_neighbors=50).neighbors
+    return _round_doubles(nb.select("item_id", "neighbor_id", "sim", F.col("nrank").cast("bigint")))

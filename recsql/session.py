@@ -73,6 +73,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return path
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Remove a table of this run from the shared folder."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
 

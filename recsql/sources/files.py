@@ -53,6 +53,16 @@ def read_imdb_basics(spark: SparkSession, path: str, partitions: int | None = No
     return df
 
 
+# Spark's error conditions of a missing path and of a file that
+# is not of the expected format. Any other failure (storage, rights) is raised.
+ABSENT = ("PATH_NOT_FOUND", "FileNotFoundException", "is not a Parquet file", "CANNOT_READ_FILE_FOOTER",
+          "FAILED_READ_FILE.PARQUET_COLUMN_DATA_TYPE_MISMATCH")
+
+
+def _absent(error: Exception) -> bool:
+    return any(name in str(error) for name in ABSENT)
+
+
 def read_enrichment(spark: SparkSession, path: str | None) -> DataFrame:
     """Enrichment cache; absent or unreadable -> empty table with schema."""
     if path:
@@ -60,8 +70,9 @@ def read_enrichment(spark: SparkSession, path: str | None) -> DataFrame:
             df = spark.read.schema(S.ENRICHMENT).parquet(path)
             df.limit(0).collect()  # surface a missing/corrupt path here
             return df
-        except Exception:  # noqa: BLE001 - absent/corrupt cache means "no cache"
-            pass
+        except Exception as e:  # noqa: BLE001
+            if not _absent(e):
+                raise
     return spark.createDataFrame([], S.ENRICHMENT)
 
 
@@ -79,7 +90,9 @@ def dataset_from_files(spark: SparkSession, data_dir: str, cache_path: str | Non
     try:
         users = read_users(spark, f"{data_dir}/users.dat")
         users.limit(0).collect()
-    except Exception:  # noqa: BLE001 - users are optional
+    except Exception as e:  # noqa: BLE001 - users are optional
+        if not _absent(e):
+            raise
         users = None
     items = enrich_items(movies, read_enrichment(spark, cache_path))
     S.require_columns(ratings, [S.USER, S.ITEM, S.RATING, S.TS], "ratings")
