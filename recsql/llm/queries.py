@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracle
 from .chat import digests, format_conversations
 from .decontam import contained_items
 from .fixity import audit, manifest, warc_records
@@ -40,6 +41,7 @@ def op3_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op3_jaccard"] = op3_jaccard
+SQL["op3_jaccard"] = oracle.JACCARD
 
 
 def held_out(divisor: int, remainder: int):
@@ -70,6 +72,7 @@ def op5_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op5_rules"] = op5_rules
+SQL["op5_rules"] = oracle.rules()
 
 
 def op6_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -100,6 +103,7 @@ def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op4_secrets"] = op4_secrets
+SQL["op4_secrets"] = oracle.secrets()
 
 
 def op7_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
