@@ -5,7 +5,8 @@ Half-step for users (mirrored for items), with the other side fixed:
 Everything needed is additive per id (sum q q^T, sum q t, sum t, sum q, n),
 so each map task combines its rows per id with NumPy before the shuffle (a
 popular item sends one partial per task, not all its ratings), and one
-vectorised batched solve per partition finishes the step. Factor tables are
+vectorised batched solve per partition finishes the step. Ids with more than
+``HOT_ROWS`` ratings are dealt over slots and summed there first. Factor tables are
 checkpointed after each half-step to cut the lineage.
 
 ``fit_ml`` is the pyspark.ml ALS variant (no biases, regularisation scaled by
@@ -26,6 +27,8 @@ from .factors import predict as _predict
 from .factors import recommend as _recommend
 from .popularity import global_mean, seen_pairs
 
+HOT_ROWS = 65_536  # ratings of one id summed in one place
+RUNNING_ROWS = 4_096  # rows and partials of one id kept before they are added up
 _PARTIAL = "id long, vb binary, t double, a binary, c binary, st double, sq binary, n long"
 _SOLVED = "id long, vb binary, bias double"  # vb: float64 vector bytes (loop state)
 
@@ -75,9 +78,7 @@ def _partials(k: int):
             t = pdf["t"].to_numpy(np.float64)
             parts = []
             if heavy.any():
-                i, A, C, ST, SQ, N = _fold(ids[heavy], Q[heavy], t[heavy], k)
-                parts.append(pd.DataFrame({"id": i, "vb": None, "t": np.nan, "a": _bytes_rows(A),
-                                           "c": _bytes_rows(C), "st": ST, "sq": _bytes_rows(SQ), "n": N}))
+                parts.append(_partial_rows(*_fold(ids[heavy], Q[heavy], t[heavy], k)))
             if (~heavy).any():
                 light = pdf[~heavy]
                 parts.append(pd.DataFrame({"id": light["id"].to_numpy(np.int64), "vb": light["vb"].to_numpy(),
@@ -87,32 +88,35 @@ def _partials(k: int):
     return fn
 
 
+def _sums(pdf: pd.DataFrame, k: int):
+    """Sums per id of raw rows and partials, ids sorted."""
+    raw, agg = pdf[pdf["a"].isna()].sort_values("id", kind="stable"), pdf[pdf["a"].notna()]
+    pieces = []
+    if len(raw):
+        pieces.append(_fold(raw["id"].to_numpy(np.int64), _mat(raw["vb"].to_numpy(), k), raw["t"].to_numpy(np.float64), k))
+    if len(agg):
+        pieces.append((agg["id"].to_numpy(np.int64), _mat(agg["a"].to_numpy(), k * k), _mat(agg["c"].to_numpy(), k),
+                       agg["st"].to_numpy(np.float64), _mat(agg["sq"].to_numpy(), k), agg["n"].to_numpy(np.float64)))
+    ids, *sums = (np.concatenate([p[j] for p in pieces]) for j in range(6))
+    o = np.argsort(ids, kind="stable")
+    ids = ids[o]
+    starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
+    return ids[starts], *(np.add.reduceat(x[o].astype(np.float64), starts, axis=0) for x in sums)
+
+
+def _partial_rows(ids, A, C, ST, SQ, N) -> pd.DataFrame:
+    return pd.DataFrame({"id": ids, "vb": None, "t": np.nan, "a": _bytes_rows(A), "c": _bytes_rows(C), "st": ST,
+                         "sq": _bytes_rows(SQ), "n": np.asarray(N, dtype=np.int64)})
+
+
 def _solver(k: int, reg: float):
     eye = np.eye(k)
 
     def finish(rows: list[pd.DataFrame]) -> pd.DataFrame:
-        pdf = pd.concat(rows, ignore_index=True)
-        raw = pdf[pdf["a"].isna()]
-        agg = pdf[pdf["a"].notna()]
-        pieces = []
-        if len(raw):
-            pieces.append(_fold(raw["id"].to_numpy(np.int64), _mat(raw["vb"].to_numpy(), k),
-                                raw["t"].to_numpy(np.float64), k))
-        if len(agg):
-            pieces.append((agg["id"].to_numpy(np.int64), _mat(agg["a"].to_numpy(), k * k), _mat(agg["c"].to_numpy(), k),
-                           agg["st"].to_numpy(np.float64), _mat(agg["sq"].to_numpy(), k), agg["n"].to_numpy(np.int64)))
-        ids, A, C, ST, SQ, N = (np.concatenate([p[j] for p in pieces]) for j in range(6))
-        o = np.argsort(ids, kind="stable")
-        ids, A, C, ST, SQ, N = ids[o], A[o], C[o], ST[o], SQ[o], N[o]
-        starts = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-        A = np.add.reduceat(A, starts, axis=0).reshape(-1, k, k) + reg * eye
-        C = np.add.reduceat(C, starts, axis=0)
-        ST = np.add.reduceat(ST, starts)
-        SQ = np.add.reduceat(SQ, starts, axis=0)
-        N = np.add.reduceat(N.astype(np.float64), starts)
-        P = np.linalg.solve(A, C[:, :, None])[:, :, 0]
+        ids, A, C, ST, SQ, N = _sums(pd.concat(rows, ignore_index=True), k)
+        P = np.linalg.solve(A.reshape(-1, k, k) + reg * eye, C[:, :, None])[:, :, 0]
         bias = (ST - np.einsum("ij,ij->i", SQ, P)) / N
-        return pd.DataFrame({"id": ids[starts], "vb": _bytes_rows(P), "bias": bias})
+        return pd.DataFrame({"id": ids, "vb": _bytes_rows(P), "bias": bias})
 
     def fn(batches):
         pending: list[pd.DataFrame] = []
@@ -125,6 +129,8 @@ def _solver(k: int, reg: float):
                 yield finish(pending + [done])
                 pending = []
             pending.append(pdf[pdf["id"] == last])
+            if sum(map(len, pending)) > RUNNING_ROWS:  # one id goes on and on: keep its running sums
+                pending = [_partial_rows(*_sums(pd.concat(pending, ignore_index=True), k))]
         if pending:
             yield finish(pending)
     return fn
@@ -149,12 +155,24 @@ def _decode(df: DataFrame, k: int) -> DataFrame:
     return df.select("id", "vb", "bias").mapInPandas(dec, "id long, vec array<double>, bias double")
 
 
+def hot_ids(ratings: DataFrame, key: str) -> DataFrame | None:
+    """(id, slots) of ids with more than HOT_ROWS ratings: into how many slots
+    their rows are dealt before they are summed. None: there are none."""
+    n = F.count(F.lit(1))
+    hot = materialize(ratings.groupBy(F.col(key).alias("id")).agg(F.ceil(n / F.lit(HOT_ROWS)).alias("slots")).filter("slots > 1"))
+    return None if hot.isEmpty() else hot
+
+
 def half_step(ratings: DataFrame, fixed: DataFrame, self_key: str, other_key: str, mu: float,
-              k: int, reg: float) -> DataFrame:
+              k: int, reg: float, hot: DataFrame | None = None) -> DataFrame:
     j = ratings.join(fixed.select(F.col("id").alias(other_key), "vb", F.col("bias").alias("_b")), other_key)
-    rows = j.select(F.col(self_key).alias("id"), "vb",
+    rows = j.select(F.col(self_key).alias("id"), "vb", F.xxhash64(other_key).alias("_h"),
                     (F.col(RATING).cast("double") - F.lit(mu) - F.col("_b")).alias("t"))
-    part = rows.mapInPandas(_partials(k), _PARTIAL)
+    plain = rows if hot is None else rows.join(hot, "id", "left_anti")
+    part = plain.select("id", "vb", "t").mapInPandas(_partials(k), _PARTIAL)
+    if hot is not None:  # a hot id's rows meet in its slots first, and only their sums meet in one task
+        dealt = rows.join(hot, "id").withColumn("slot", F.pmod("_h", "slots")).repartition("id", "slot")
+        part = part.unionByName(dealt.select("id", "vb", "t").mapInPandas(_partials(k), _PARTIAL))
     n_parts = ratings.sparkSession.conf.get("spark.sql.shuffle.partitions")
     solved = (part.repartition(int(n_parts), "id").sortWithinPartitions("id")
               .mapInPandas(_solver(k, reg), _SOLVED))
@@ -168,9 +186,10 @@ def fit(train: DataFrame, items: DataFrame | None = None, n_factors: int = 50, r
     mu = float(mu_df.first()["mu"])
     q = materialize(_encode(init_vectors(r, ITEM, n_factors, seed, 2, source=init).withColumnRenamed(ITEM, "id")))
     p = None
+    hot_users, hot_items = hot_ids(r, USER), hot_ids(r, ITEM)
     for _ in range(int(n_epochs)):
-        p = half_step(r, q, USER, ITEM, mu, n_factors, reg)
-        q = half_step(r, p, ITEM, USER, mu, n_factors, reg)
+        p = half_step(r, q, USER, ITEM, mu, n_factors, reg, hot_users)
+        q = half_step(r, p, ITEM, USER, mu, n_factors, reg, hot_items)
     if p is None:
         p = materialize(_encode(init_vectors(r, USER, n_factors, seed, 1, source=init).withColumnRenamed(USER, "id")))
     users = materialize(_decode(p, n_factors)).withColumnRenamed("id", USER)
