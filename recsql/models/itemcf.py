@@ -37,21 +37,25 @@ def similarities(train: DataFrame, n_users: int, n_items: int, n_ratings: int) -
                     (F.col("dot") / (F.col("ni") * F.col("nj"))).alias("sim")))
 
 
-def positive_similarities(train: DataFrame) -> tuple[DataFrame, int, int]:
-    """All positive cosines (independent of the neighbour count), materialised,
-    with the user and item counts: a parameter search reuses it for every N."""
+def positive_similarities(train: DataFrame, longest: int = 0) -> tuple[DataFrame, int, int]:
+    """Positive cosines with the user and item counts. With ``longest``, only
+    each item's first ``longest`` neighbours are written (cut before the
+    shuffle); a parameter search writes the longest list it will ask for and
+    reuses it for every smaller N. 0: all."""
     t = last_ratings(train)
     stats = t.agg(F.count_distinct(USER).alias("nu"), F.count_distinct(ITEM).alias("ni"),
                   F.count(F.lit(1)).alias("nr")).first()
     n_users, n_items, n_ratings = int(stats.nu), int(stats.ni), int(stats.nr)
-    sims = materialize(similarities(t, n_users, n_items, n_ratings).filter(F.col("sim") > 0))
-    return sims, n_users, n_items
+    sims = similarities(t, n_users, n_items, n_ratings).filter(F.col("sim") > 0)
+    if 0 < longest < n_items - 1:
+        sims = topk(sims, longest, by=ITEM, order=score_order("sim", "neighbor_id"), rank_col="nrank").drop("nrank")
+    return materialize(sims), n_users, n_items
 
 
 def fit(train: DataFrame, items: DataFrame | None = None, topk_neighbors: int = 50,
         sims: tuple[DataFrame, int, int] | None = None, **_params) -> ItemCFModel:
     t = materialize(last_ratings(train))
-    sims, n_users, n_items = sims if sims is not None else positive_similarities(t)
+    sims, n_users, n_items = sims if sims is not None else positive_similarities(t, int(topk_neighbors))
     n = int(topk_neighbors)
     if 0 < n < n_items - 1:  # truncate each row independently (asymmetric)
         nb = topk(sims, n, by=ITEM, order=score_order("sim", "neighbor_id"), rank_col="nrank")

@@ -14,6 +14,7 @@ from ..operators.splits import fold, split_by_time, split_cold_users
 from ..sources import tables as T
 
 _CACHE: dict = {}
+LONGEST_NEIGHBORS = 160  # the longest neighbour list of the registered parameter search
 
 
 class Context:
@@ -114,9 +115,13 @@ class Context:
                 self.models[key] = HybridModel(cf, ct, float(params.get("alpha", 0.6)), float(cf.mu.first()["mu"]))
             elif name == "itemcf":  # similarities do not depend on the neighbour count
                 from ..models import itemcf
-                if "itemcf_sims" not in self.models:
-                    self.models["itemcf_sims"] = itemcf.positive_similarities(self.train)
-                self.models[key] = itemcf.fit(self.train, self.items, sims=self.models["itemcf_sims"], **params)
+                n = int(params.get("topk_neighbors", 50))
+                longest, sims = self.models.get("itemcf_sims", (-1, None))
+                if sims is None or (longest and (n <= 0 or n > longest)):
+                    longest = max(n, LONGEST_NEIGHBORS) if n > 0 else 0
+                    sims = itemcf.positive_similarities(self.train, longest)
+                    self.models["itemcf_sims"] = (longest, sims)
+                self.models[key] = itemcf.fit(self.train, self.items, sims=sims, **params)
             elif name == "coldstart":  # routes between two models this context may already hold
                 from ..models.coldstart import ColdStartModel
                 lt = params.get("like_threshold", 4.0)
