@@ -34,7 +34,7 @@ from .scratch import Scratch
 from .words import string_buffers, word_hashes
 
 WEIGHT = 0.6  # of a bigram's own frequency, against the word's share
-FLUSH = 1 << 22
+FLUSH = 1 << 20
 _HISTOGRAM = 8  # cut-offs per doubling of the count
 
 
@@ -201,7 +201,7 @@ def cross_entropy_difference(docs: DataFrame, target_col: str, id_col: str = "do
     words = scratch.write(src.mapInArrow(_count_words, counted).groupBy("k").agg(*both))
     totals = words.agg(*both).first()
     totals = (float(totals["t"] or 0), float(totals["b"] or 0))
-    top = _largest(words, vocabulary).toPandas()  # at most ``vocabulary`` rows
+    top = _largest(words, vocabulary).toArrow().to_pandas()  # at most ``vocabulary`` rows
     hashes = top["k"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(hashes)
     shared = spark.sparkContext.broadcast(hashes[order])
@@ -209,7 +209,7 @@ def cross_entropy_difference(docs: DataFrame, target_col: str, id_col: str = "do
     size = len(hashes) + 2
     pairs = src.mapInArrow(_count_bigrams(shared), counted).groupBy("k").agg(*both)
     pairs = scratch.write(pairs.withColumn("seen", F.col("t") + F.col("b")).filter("seen >= 2").select("k", "t", "b"))
-    listed = _largest(pairs, bigrams).toPandas().sort_values("k")  # at most ``bigrams`` rows
+    listed = _largest(pairs, bigrams).toArrow().to_pandas().sort_values("k")  # at most ``bigrams`` rows
     before = np.zeros((2, size))
     for kind, name in enumerate(("t", "b")):  # how often each word is a history
         before[kind, :-2] = top[name].to_numpy(np.float64)[order]

@@ -256,7 +256,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", te
     pooled = scratch.write(src.mapInArrow(_pooled(vectors), "doc_id long, vec binary"))
     sample = F.broadcast(training_sample(labels, label_col, sample_rows))  # about sample_rows at most
     fit = (pooled.join(sample, "doc_id").groupBy("doc_id").agg(F.min("vec").alias("vec"), F.min("y").alias("y"))
-           .toPandas().sort_values("doc_id"))
+           .toArrow().to_pandas().sort_values("doc_id"))
     x = np.frombuffer(b"".join(fit["vec"]), np.float32).reshape(-1, FEATURES).astype(np.float64)
     net = Network().fit(x, fit["y"].to_numpy(np.float64))
     return scratch.finish(pooled.mapInArrow(_scored(spark.sparkContext.broadcast(net)), "doc_id long, score double"))

@@ -220,7 +220,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
         seen = _dictionaries(spark, drawn, {1 - half})
         measured.append(texts.filter(F.col("half") == half).select("doc_id", "text")
                         .mapInArrow(_features(seen), "doc_id long, vec binary")
-                        .join(F.broadcast(sample), "doc_id").toPandas())  # about sample_rows rows
+                        .join(F.broadcast(sample), "doc_id").toArrow().to_pandas())  # about sample_rows rows
     fit = pd.concat(measured).sort_values(["doc_id", "vec"])
     x = np.frombuffer(b"".join(fit["vec"])).reshape(-1, FEATURES)
     y = fit["y"].to_numpy(np.float64)
