@@ -19,8 +19,8 @@ share one 64-bit fingerprint and are one node, so copies are never expanded.
   bitmaps proves a shingle in only one set, which bounds the overlap from
   above; pairs that cannot reach the similarity stop here.
 * Exact check. The remaining pairs intersect their sorted arrays.
-* Rest of a tile. Tiles whose members are still in different components are
-  compared by bitmap, in blocks of about ``BLOCK`` members a side and only
+* Rest of a tile. Tiles whose members are still in different components (one
+  of those with the same members) are compared by bitmap, in blocks of about ``BLOCK`` members a side and only
   where sizes allow a link. A first round passes on a spanning forest of each
   block pair, fewer pairs than members, which joins what belongs together; a
   second round passes on every pair still apart that the bound allows, so
@@ -46,6 +46,8 @@ from .scratch import Scratch
 from .words import mix, shingle_hashes, word_hashes
 
 BLOCK = 512
+PROBE = 4
+SLICE = 256
 BAND_RATIO = 1.5
 _U = np.uint64
 _LEADERS = 4
@@ -91,13 +93,23 @@ def _tiles(s: np.ndarray, num: int, den: int) -> np.ndarray:
     return np.concatenate(out) if out else np.zeros(0, np.uint64)
 
 
-def _bitmap(s: np.ndarray) -> bytes:
-    width = max(64, 1 << (4 * len(s) - 1).bit_length())
+def _bitmap(s: np.ndarray, part: int = 1) -> bytes:
+    """Bits of a sorted set, or of its hashes in the first 1/``part`` of the
+    range, from which the bound holds as well, only looser."""
+    width = max(64, (1 << (4 * len(s) - 1).bit_length()) // part)
+    s = s[:np.searchsorted(s, _U((1 << 64) // part - 1), side="right")]
     bits = np.zeros(width, dtype=np.uint8)
     bits[(s & _U(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits, bitorder="little").tobytes()
 
 
+def _slices(batches):
+    """Batches in pieces that keep a worker's arrays small."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE):
+            yield batch.slice(at, SLICE)
+
+
 def _each_set(batch: pa.RecordBatch, n: int):
     words, first = word_hashes(batch.column(1))
     for r in range(batch.num_rows):
@@ -114,34 +126,38 @@ def _fingerprint(s: np.ndarray) -> int:
 
 def _outline(n: int, num: int, den: int):
     def fn(batches):
-        for batch in batches:
-            sizes, prints, tiles = [], [], []
+        seen: set[int | None] = {None}  # a task's copies of a set need its tiles and bitmap once
+        for batch in _slices(batches):
+            sizes, prints, tiles, maps, probes = [], [], [], [], []
             for s in _each_set(batch, n):
                 sizes.append(len(s))
                 prints.append(_fingerprint(s) if len(s) else None)
-                tiles.append(_tiles(s, num, den).view(np.int64))
+                new = prints[-1] not in seen
+                seen.add(prints[-1])
+                tiles.append(_tiles(s, num, den).view(np.int64) if new else np.zeros(0, np.int64))
+                maps.append(_bitmap(s) if new and len(tiles[-1]) else None)
+                probes.append(_bitmap(s, PROBE) if new and len(tiles[-1]) else None)
             lengths = np.zeros(len(tiles) + 1, np.int32)
             np.cumsum([len(t) for t in tiles], out=lengths[1:])
             flat = np.concatenate(tiles) if tiles else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(sizes, pa.int64()), pa.array(prints, pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat, pa.int64()))],
-                names=["doc_id", "n_shingles", "node", "tiles"])
+                 pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat, pa.int64())),
+                 pa.array(maps, pa.binary()), pa.array(probes, pa.binary())],
+                names=["doc_id", "n_shingles", "node", "tiles", "bits", "probe"])
     return fn
 
 
 def _full_sets(n: int):
     def fn(batches):
-        for batch in batches:
-            prints, sets, maps = [], [], []
+        for batch in _slices(batches):
+            prints, sets = [], []
             for s in _each_set(batch, n):
                 if len(s):
                     prints.append(_fingerprint(s))
                     sets.append(s.tobytes())
-                    maps.append(_bitmap(s))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(prints, pa.int64()), pa.array([len(s) // 8 for s in sets], pa.int64()),
-                 pa.array(maps, pa.binary()), pa.array(sets, pa.binary())], names=["node", "n", "bits", "items"])
+            yield pa.RecordBatch.from_arrays([pa.array(prints, pa.int64()), pa.array(sets, pa.binary())],
+                                             names=["node", "items"])
     return fn
 
 
@@ -190,13 +206,14 @@ def _exact(num: int, den: int):
     return fn
 
 
-def _block_pairs(num: int, den: int, forest: bool):
+def _block_pairs(num: int, den: int, keep: str):
     """Pairs of one block pair of a tile that are in different components and
-    pass the size and bitmap bounds; with ``forest``, only those that join two
-    parts of the block pair not joined so far, fewer than its members. Rows
-    come sorted by block pair."""
+    pass the size and bitmap bounds: ``all`` of them, or a ``forest``, those
+    that join two parts of the block pair not joined so far, fewer than its
+    members. ``alive`` gives (tile, 0) if there is any. Rows come sorted by
+    block pair."""
 
-    def pairs(rows: dict[str, list]):
+    def pairs(tile: int, rows: dict[str, list]):
         order = np.argsort(np.asarray(rows["node"], dtype=np.int64))
         rows = {k: [v[i] for i in order] for k, v in rows.items()}
         side = np.asarray(rows["side"])
@@ -214,7 +231,10 @@ def _block_pairs(num: int, den: int, forest: bool):
                 mine = np.bitwise_count(bits[i] & ~bits[j]).sum(axis=1, dtype=np.int64)
                 theirs = np.bitwise_count(bits[j] & ~bits[i]).sum(axis=1, dtype=np.int64)
                 j = j[_may_link(n[i], n[j], mine, theirs, num, den)]
-                if forest and len(j):
+                if keep == "alive" and len(j):
+                    yield tile, 0
+                    return
+                if keep == "forest" and len(j):
                     joined, first = np.unique(root[j], return_index=True)
                     j = j[first]
                     root[np.isin(root, joined)] = root[i]
@@ -231,13 +251,13 @@ def _block_pairs(num: int, den: int, forest: bool):
                 key = (cols[0][r], cols[1][r], cols[2][r])
                 if key != at:
                     if at is not None:
-                        out.extend(pairs(rows))
+                        out.extend(pairs(at[0], rows))
                     at, rows = key, {k: [] for k in names}
                 for k, c in zip(names, cols[3:], strict=True):
                     rows[k].append(c[r])
             yield _pair_batch(out)
         if at is not None:
-            yield _pair_batch(list(pairs(rows)))
+            yield _pair_batch(list(pairs(at[0], rows)))
     return fn
 
 
@@ -269,34 +289,55 @@ def _may_be_member(df: DataFrame, col: str, sketch: DataFrame, rows: int) -> Dat
 SKETCH_ROWS = 1 << 19
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, num: int, den: int) -> DataFrame:
-    """Linked pairs among candidate (a, b): bitmap bound, then exact."""
-    one = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("bits").alias("xa"))
-    two = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("xb"))
-    close = (pairs.join(one, "a").join(two, "b")
-             .filter((F.least("na", "nb") * den >= F.greatest("na", "nb") * num))
-             .select("a", "b", "na", "nb", "xa", "xb").mapInArrow(_bit_filter(num, den), "a long, b long"))
-    one = sets.select(F.col("node").alias("a"), F.col("items").alias("xa"))
-    two = sets.select(F.col("node").alias("b"), F.col("items").alias("xb"))
-    return (close.join(one, "a").join(two, "b").select("a", "b", "xa", "xb")
-            .mapInArrow(_exact(num, den), "a long, b long"))
-
-
-def _rest_of_tiles(members: DataFrame, sets: DataFrame, roots: DataFrame, num: int, den: int, forest: bool) -> DataFrame:
-    """Candidate pairs within tiles whose members lie in several components."""
+class _Documents:
+    """What checks need of the input: bitmaps by node, and whole sets of the
+    few nodes whose pairs pass the bitmap bound, from the texts again."""
+
+    def __init__(self, src: DataFrame, outline: DataFrame, scratch: Scratch, n: int, num: int, den: int):
+        self.src, self.outline, self.scratch, self.n, self.num, self.den = src, outline, scratch, n, num, den
+        self.maps = outline.filter("bits is not null").select("node", F.col("n_shingles").alias("n"), "bits").dropDuplicates(["node"])
+        self.probes = outline.filter("bits is not null").select("node", F.col("n_shingles").alias("n"), F.col("probe").alias("bits")).dropDuplicates(["node"])
+
+    def sets_of(self, nodes: DataFrame) -> DataFrame:
+        wanted = self.scratch.write(self.outline.select("node", "doc_id").join(nodes, "node", "left_semi")
+                                    .groupBy("node").agg(F.min("doc_id").alias("doc_id")))
+        sketch = _member_sketch(wanted, "doc_id", SKETCH_ROWS)
+        texts = _may_be_member(self.src, "doc_id", sketch, SKETCH_ROWS).select("doc_id", "text")
+        return self.scratch.write(texts.mapInArrow(_full_sets(self.n), "node long, items binary")
+                                  .join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]))
+
+    def linked(self, pairs: DataFrame) -> DataFrame:
+        """Linked pairs among candidate (a, b): bitmap bound, then exact."""
+        one, two = (self.maps.select(F.col("node").alias(k), F.col("n").alias(f"n{k}"), F.col("bits").alias(f"x{k}")) for k in "ab")
+        close = self.scratch.write(
+            pairs.join(one, "a").join(two, "b").filter(F.least("na", "nb") * self.den >= F.greatest("na", "nb") * self.num)
+            .select("a", "b", "na", "nb", "xa", "xb").mapInArrow(_bit_filter(self.num, self.den), "a long, b long"))
+        sets = self.sets_of(close.select(F.col("a").alias("node")).unionByName(close.select(F.col("b").alias("node"))).distinct())
+        one, two = (sets.select(F.col("node").alias(k), F.col("items").alias(f"x{k}")) for k in "ab")
+        return self.scratch.write(close.join(one, "a").join(two, "b").select("a", "b", "xa", "xb")
+                                  .mapInArrow(_exact(self.num, self.den), "a long, b long"))
+
+
+def _mixed_tiles(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """(tile, node, root, blocks) of tiles whose members lie in several components."""
     placed = members.select("tile", "node").join(roots, "node", "left").select(
         "tile", "node", F.coalesce("root", "node").alias("root"))
-    mixed = placed.groupBy("tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi"),
-                                       F.count("*").alias("c")).filter("lo <> hi and c > 2")
+    # Linked texts share many tiles with the same members; one of these is enough.
+    mixed = (placed.groupBy("tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c"),
+                                        F.bit_xor(F.xxhash64("node")).alias("who"))
+             .filter("lo <> hi and c > 2").groupBy("who", "c").agg(F.min("tile").alias("tile")))
+    return placed.join(mixed.select("tile", F.ceil(F.col("c") / F.lit(BLOCK)).alias("blocks")), "tile")
+
+
+def _block_rows(mixed: DataFrame, maps: DataFrame) -> DataFrame:
+    """Each member once per block pair of its tile, with its bitmap, sorted."""
     mine = F.pmod(F.xxhash64("node"), F.col("blocks"))
-    return (placed.join(mixed.select("tile", F.ceil(F.col("c") / F.lit(BLOCK)).alias("blocks")), "tile").withColumn("mine", mine)
+    return (mixed.withColumn("mine", mine)
             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
             .withColumn("p", F.least("mine", "other")).withColumn("q", F.greatest("mine", "other"))
             .withColumn("side", F.when(F.col("p") == F.col("q"), 1).when(F.col("mine") == F.col("p"), 0).otherwise(2))
-            .join(sets.select("node", "n", "bits"), "node")
-            .repartition("tile", "p", "q").sortWithinPartitions("tile", "p", "q")
-            .select("tile", "p", "q", "side", "node", "root", "n", "bits")
-            .mapInArrow(_block_pairs(num, den, forest), "a long, b long").distinct())
+            .join(maps, "node").repartition("tile", "p", "q").sortWithinPartitions("tile", "p", "q")
+            .select("tile", "p", "q", "side", "node", "root", "n", "bits"))
 
 
 def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n: int = 3,
@@ -307,7 +348,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     scratch = Scratch(spark)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     outline = scratch.write(src.mapInArrow(
-        _outline(n, num, den), "doc_id long, n_shingles long, node long, tiles array<long>"))
+        _outline(n, num, den), "doc_id long, n_shingles long, node long, tiles array<long>, bits binary, probe binary"))
 
     tiles = outline.select("node", F.explode("tiles").alias("tile"))
     turn = F.pmod("tile", F.lit(_LEADERS))
@@ -321,23 +362,25 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = scratch.write(_may_be_member(tiles, "tile", sketch, SKETCH_ROWS).join(shared, "tile")
                             .select("tile", "node", "leader").distinct())
 
-    wanted = outline.join(members.select("node").distinct(), "node", "left_semi").groupBy("node").agg(
-        F.min("doc_id").alias("doc_id"))
-    sketch = _member_sketch(wanted, "doc_id", SKETCH_ROWS)
-    sets = scratch.write(_may_be_member(src, "doc_id", sketch, SKETCH_ROWS).select("doc_id", "text")
-                         .mapInArrow(_full_sets(n), "node long, n long, bits binary, items binary")
-                         .join(wanted.select("node"), "node", "left_semi").dropDuplicates(["node"]))
-
+    texts = _Documents(src, outline, scratch, n, num, den)
     tried = scratch.write(members.filter("node <> leader").select(
         F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct())
-    links = scratch.write(_verify(tried, sets, num, den))
-    roots = components(links, scratch)
-
-    for forest in (True, False):
-        pairs = scratch.write(_rest_of_tiles(members, sets, roots, num, den, forest).join(tried, ["a", "b"], "left_anti"))
-        more = scratch.write(_verify(pairs, sets, num, den))
-        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), scratch)
+    roots = components(texts.linked(tried), scratch)
+
+    mixed = scratch.write(_mixed_tiles(members, roots))
+    alive = (_block_rows(mixed, texts.probes).mapInArrow(_block_pairs(num, den, "alive"), "a long, b long")
+             .select(F.col("a").alias("tile")).distinct())
+    members = scratch.write(mixed.select("tile", "node").join(alive, "tile", "left_semi"))
+    for keep in ("forest", "all"):
+        pairs = scratch.write(_block_rows(_mixed_tiles(members, roots), texts.maps)
+                              .mapInArrow(_block_pairs(num, den, keep), "a long, b long").distinct()
+                              .join(tried, ["a", "b"], "left_anti"))
+        if pairs.isEmpty():
+            continue
+        more = texts.linked(pairs)
         tried = tried.unionByName(pairs)
+        if not more.isEmpty():
+            roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), scratch)
 
     joined = outline.select("doc_id", "n_shingles", "node").join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))

@@ -20,9 +20,15 @@ class Scratch:
         self.spark = spark
         self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
         self.paths: list[str] = []
+        self.count = 0
 
     def write(self, df: DataFrame) -> DataFrame:
-        path = f"{self.root}/{len(self.paths)}"
+        # Spark removes the shuffle files of finished steps when the driver's JVM
+        # collects its garbage; asked for here, so that a long operator does not
+        # hold the files of all its steps at once.
+        self.spark._jvm.System.gc()
+        path = f"{self.root}/{self.count}"
+        self.count += 1
         df.write.parquet(path)
         self.paths.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
