@@ -12,7 +12,7 @@ share one 64-bit fingerprint and are one node, so copies are never expanded.
   a tile is (band, part, hash of the part's shingles). A part without shingles
   says little and is left out, unless a set has m - k or more of them, when
   leaving them out could lose a pair.
-* Leaders. Each tile offers one of four leaders (one per residue of the tile's
+* Leaders. Each tile offers one of six leaders (one per residue of the tile's
   hash), found with a minimum that is combined before the shuffle, so a tile
   holding a third of all sets yields one candidate per member.
 * Bit counts. Every set has a hashed bitmap. A bit set in only one of the two
@@ -50,7 +50,7 @@ PROBE = 4
 SLICE = 256
 BAND_RATIO = 1.5
 _U = np.uint64
-_LEADERS = 4
+_LEADERS = 6
 
 
 @cache
