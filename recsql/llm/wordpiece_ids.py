@@ -14,10 +14,11 @@ from __future__ import annotations
 
 import json
 import re
+from itertools import islice
 
 import numpy as np
 
-KNOWN_WORDS = 800_000
+KNOWN_WORDS, KEPT_WORDS = 500_000, 150_000
 _PLAIN = re.compile(r"[\t-\r -~À-ÖØ-öø-ÿ]*\Z")
 _PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^\sa-zß-öø-ÿ0-9]+")  # the file's own split pattern on plain text
 _NEVER = np.int32(1 << 30)
@@ -61,8 +62,8 @@ class WordIds:
 
     def __call__(self, texts: list[str]) -> list[bytes]:
         pieces = [t.lower().split() if _PLAIN.match(t) and "<|" not in t else None for t in texts]
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
+        if len(self.known) > KNOWN_WORDS:  # words met early are mostly the frequent ones
+            self.known = dict(islice(self.known.items(), KEPT_WORDS))
         known = self.known
         new = set().union(*filter(None, pieces)) - known.keys()
         if new:
