@@ -34,7 +34,7 @@ from .scratch import Scratch
 from .words import string_buffers, word_hashes
 
 WEIGHT = 0.6  # of a bigram's own frequency, against the word's share
-FLUSH = 1 << 20
+FLUSH = 1 << 22
 _HISTOGRAM = 8  # cut-offs per doubling of the count
 
 
