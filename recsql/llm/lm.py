@@ -8,12 +8,23 @@ target).
 
 Counts cover every word of every document: tasks combine their own counts, the
 shuffle adds them up per word and per bigram, and what is shuffled grows with
-the input. The model that scores has a fixed size: the vocabulary holds the
-most frequent words (at most ``vocabulary``), any other word is the unknown
-word, and the bigram list holds those seen twice or more, at most ``bigrams``;
-both cut-offs fall between powers of the count, read off a small histogram. A
-bigram outside the list backs off to the word's share, and the probability of
-unlisted bigrams goes there, so each history's distribution adds up to one.
+the input, as packed counts by buckets of keys whose number follows the size of
+the texts. The vocabulary holds every word; a bigram is listed if it is seen
+twice or more, whatever the size of the input. A bigram not listed backs off to
+the word's share, and the probability of unlisted bigrams goes there, so each
+history's distribution adds up to one.
+
+The loss of a token is what its history's rest and its word's share cost, less
+a correction if its bigram is listed. These costs are Spark tables. The most
+frequent words and bigrams (``HELD_WORDS``, ``HELD_PAIRS``) are also sent to
+the tasks, which add them up in place; for all others a task gives out one row
+per occurrence, joined to the tables and summed per document. A bit table of
+the listed bigrams spares most rows of those not listed. Which entries are held
+changes the work, not the result, and leaves no hot key to the join.
+
+With ``vocabulary`` and ``bigrams`` the model is limited to that many words
+(any other is the unknown word) and listed bigrams; both cut-offs fall between
+powers of the count, read off a small histogram.
 
 Words are ``[^\\x20\\x09-\\x0D]+``, A-Z lower-cased, by 64-bit hash. The first
 word follows a start mark.
@@ -35,6 +46,11 @@ from .words import string_buffers, word_hashes
 
 WEIGHT = 0.6  # of a bigram's own frequency, against the word's share
 FLUSH = 1 << 22
+HELD_WORDS, HELD_PAIRS = 262_144, 1_000_000  # sent to the tasks; the rest is joined
+_START, _WORD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)  # start mark; history of a word's own count
+BUCKET = 1 << 21  # bytes of text whose bigrams are added up at a time
+COUNT_TURNS, SCORE_TURNS = 2, 3  # shares of the bigrams and of the documents, one after the other, to hold less shuffled data at once
+SIEVE = 28  # bits of a key that say whether it may be listed
 _HISTOGRAM = 8  # cut-offs per doubling of the count
 
 
@@ -127,18 +143,28 @@ def _count_bigrams(shared):
     return fn
 
 
-def _largest(counts: DataFrame, most: int) -> DataFrame:
-    """The most frequent keys, at most ``most``: all from one cut-off up."""
-    step = F.floor(F.log2(F.col("t") + F.col("b")) * _HISTOGRAM)
-    table = sorted(((r["s"], r["n"]) for r in counts.groupBy(step.alias("s")).agg(F.count("*").alias("n")).collect()),
+def _step():
+    return F.floor(F.log2(F.col("t") + F.col("b")) * _HISTOGRAM)
+
+
+def _cut_off(counts: DataFrame, most: int):
+    """(lowest step of the most frequent keys, at most ``most``: None for no
+    step; whether that is all keys)."""
+    table = sorted(((r["s"], r["n"]) for r in counts.groupBy(_step().alias("s")).agg(F.count("*").alias("n")).collect()),
                    reverse=True)  # a few hundred rows
     cut, have = None, 0
     for s, n in table:
         have += n
         if have > most:
-            break
+            return cut, False
         cut = s
-    return counts.filter(step >= cut) if cut is not None else counts.filter("false")
+    return cut, True
+
+
+def _largest(counts: DataFrame, most: int) -> DataFrame:
+    """The most frequent keys, at most ``most``: all from one cut-off up."""
+    cut, _ = _cut_off(counts, most)
+    return counts.filter(_step() >= cut) if cut is not None else counts.filter("false")
 
 
 class Models:
@@ -188,14 +214,268 @@ def _score(shared):
     return fn
 
 
+def _mixed(words: np.ndarray) -> np.ndarray:
+    """Scrambled hashes, one to one (the end of splitmix64)."""
+    x = words ^ (words >> np.uint64(30))
+    x = x * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+START = int(_START.view(np.int64))
+START_KEY, WORD_KEY = (int(_mixed(np.array([x]))[0].view(np.int64)) for x in (_START, _WORD))
+
+
+def _tokens(part: pa.RecordBatch):
+    """(word, scrambled history, row's first token) of all tokens."""
+    words, first = word_hashes(part.column(1))
+    words = words.view(np.uint64)
+    history = np.empty_like(words)
+    history[1:] = words[:-1]
+    history[first[:-1][np.diff(first) > 0]] = _START
+    return words, _mixed(history), first
+
+
+def _summed(keys, history, t, b):
+    """Counts per key, in order of the keys."""
+    order = np.argsort(keys)
+    keys = keys[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else np.zeros(0, np.int64)
+    if not len(keys):
+        return keys, history, t.astype(np.int64), b.astype(np.int64)
+    return (keys[first], history[order[first]], np.add.reduceat(t[order].astype(np.int64), first),
+            np.add.reduceat(b[order].astype(np.int64), first))
+
+
+def _packed(fresh: list, buckets: int, turn: int) -> pa.RecordBatch:
+    """One row per bucket of keys: the counts of this turn's bigrams and, in turn
+    0, of words under the history WORD_KEY; there START counts the begun rows."""
+    keys, history, target = (np.concatenate(x) for x in zip(*fresh, strict=True))
+    own = keys ^ history
+    mine = keys % np.uint64(COUNT_TURNS) == np.uint64(turn)
+    keys, before, t, b = _summed(keys[mine], history[mine], target[mine], ~target[mine])
+    words = keys ^ before
+    if turn == 0:
+        begun = target[history == np.uint64(START_KEY % (1 << 64))]
+        own, _, own_t, own_b = _summed(own, own, target, ~target)
+        words = np.concatenate([words, own, [_START]])
+        t, b = np.concatenate([t, own_t, [begun.sum()]]), np.concatenate([b, own_b, [(~begun).sum()]])
+        before = np.append(before, np.full(len(own) + 1, np.uint64(WORD_KEY % (1 << 64))))
+    history = before
+    bucket = (_mixed(history ^ words) % np.uint64(buckets)).astype(np.int64)
+    order = np.argsort(bucket)
+    bucket = bucket[order]
+    first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[:len(bucket)])
+    ends = np.append(first[1:], len(bucket)) if len(first) else first
+    columns = [x[order].astype(kind) for x, kind in ((history, np.uint64), (words, np.uint64), (t, np.uint32), (b, np.uint32))]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket[first]), *(pa.array([x[i:j].tobytes() for i, j in zip(first, ends, strict=True)], pa.binary()) for x in columns)],
+        names=["bucket", "h", "w", "t", "b"])
+
+
+def _count(buckets: int, turn: int):
+    def fn(batches):
+        fresh, waiting = [], 0
+        for batch in batches:
+            for part in _slices(batch):
+                words, history, first = _tokens(part)
+                if len(words):
+                    fresh.append((history ^ words, history, _kinds(part, np.diff(first))))
+                    waiting += len(words)
+                if waiting >= FLUSH // 8:
+                    yield _packed(fresh, buckets, turn)
+                    fresh, waiting = [], 0
+        if fresh:
+            yield _packed(fresh, buckets, turn)
+    return fn
+
+
+def _unpacked(table: pa.Table) -> pa.Table:
+    """The sums of one bucket: words, and bigrams seen twice or more."""
+    h, w, t, b = (np.frombuffer(b"".join(table.column(k).to_pylist()), dtype=kind)
+                  for k, kind in (("h", np.uint64), ("w", np.uint64), ("t", np.uint32), ("b", np.uint32)))
+    keys, h, t, b = _summed(h ^ w, h, t, b)
+    kept = (t + b >= 2) | (h == np.uint64(WORD_KEY % (1 << 64)))
+    return pa.table({"h": h[kept].view(np.int64), "w": (keys ^ h)[kept].view(np.int64), "t": t[kept], "b": b[kept]})
+
+
+def _keyed(batches):
+    for batch in batches:
+        h = _mixed(batch.column(0).to_numpy().view(np.uint64)).view(np.int64)
+        yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(h)], names=["w", "t", "b", "h"])
+
+
+class Costs:
+    """Held costs: of words as tokens and as histories, and corrections of
+    bigrams, each for both kinds; rows in order of the keys."""
+
+    def __init__(self, words, pairs, start, sieve):
+        self.words, self.as_word, self.as_history = self._sorted(words, ("wt", "wb"), ("ht", "hb"))
+        self.pairs, self.correction = self._sorted(pairs, ("wt", "wb"))
+        self.start = start
+        self.sieve = sieve  # bits of all listed pairs that are not held; None: there are none
+
+    @staticmethod
+    def _sorted(rows, *names):
+        keys = rows["key"].to_numpy(np.int64).view(np.uint64)
+        order = np.argsort(keys)
+        return keys[order], *([rows[k].to_numpy(np.float64)[order] for k in pair] for pair in names)
+
+    @staticmethod
+    def find(keys: np.ndarray, wanted: np.ndarray):
+        """(place, whether it is there) of each."""
+        at = np.minimum(np.searchsorted(keys, wanted), max(0, len(keys) - 1))
+        return at, keys[at] == wanted if len(keys) else np.zeros(len(wanted), dtype=bool)
+
+
+def _sieved(keys: pa.Table) -> pa.Table:
+    at = keys.column("at").to_numpy()
+    bits = np.zeros(1 << 20, dtype=bool)
+    bits[at & ((1 << 20) - 1)] = True
+    return pa.table({"block": pa.array([int(at[0]) >> 20], pa.int64()), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
+
+
+def _sieve(pairs: DataFrame) -> np.ndarray:
+    at = F.shiftrightunsigned("key", 64 - SIEVE)
+    blocks = (pairs.select(at.alias("at"), F.shiftright(at, 20).alias("block")).groupBy("block")
+              .applyInArrow(_sieved, "block long, bits binary"))
+    out = np.zeros((1 << SIEVE) // 8, dtype=np.uint8).reshape(-1, (1 << 20) // 8)
+    for r in blocks.collect():  # 256 rows at most
+        out[r["block"]] = np.frombuffer(r["bits"], dtype=np.uint8)
+    return out.reshape(-1)
+
+
+LOOKED_UP = ("row long, doc_id long, n long, lt double, lb double, is_word boolean, key long, before boolean")
+
+
+def _losses(shared, whole: bool):
+    """Per row: what the held costs add up to; then, unless the ``whole`` tables
+    are held, every occurrence of a word or bigram that is not (``before``: the
+    word is also a history)."""
+    def fn(batches):
+        costs = shared.value
+        for batch in batches:
+            for part in _slices(batch):
+                words, history, first = _tokens(part)
+                n = np.diff(first)
+                begins = first[:-1][n > 0]
+                keys = history ^ words
+                at, known = costs.find(costs.words, words)
+                pair, listed = costs.find(costs.pairs, keys)
+                sums = []
+                for kind in (0, 1):
+                    loss = np.zeros(len(words))
+                    if len(costs.words):
+                        loss[known] = costs.as_word[kind][at[known]]
+                        before = np.where(known, costs.as_history[kind][at], 0.0)
+                        loss[1:] += before[:-1]
+                        loss[begins[begins > 0]] -= before[begins[begins > 0] - 1]
+                    loss[begins] += costs.start[kind]
+                    if len(costs.pairs):
+                        loss[listed] += costs.correction[kind][pair[listed]]
+                    run = np.concatenate([[0.0], np.cumsum(loss)])
+                    sums.append(run[first[1:]] - run[first[:-1]])
+                nothing = pa.nulls(part.num_rows, pa.bool_())
+                yield _looked_up(part.column(2), part.column(0), pa.array(n.astype(np.int64)), pa.array(sums[0]),
+                                 pa.array(sums[1]), nothing, part.column(2), nothing)
+                if whole:
+                    continue
+                rows = np.repeat(part.column(2).to_numpy(), n)
+                goes_on = np.ones(len(words), dtype=bool)
+                goes_on[first[1:][n > 0] - 1] = False
+                wanted = np.flatnonzero(~listed) if costs.sieve is not None else np.zeros(0, np.int64)
+                if len(wanted):
+                    bit = keys[wanted] >> np.uint64(64 - SIEVE)
+                    wanted = wanted[(costs.sieve[bit >> np.uint64(3)] >> (7 - (bit & np.uint64(7))).astype(np.uint8)) & 1 == 1]
+                for where, key, is_word in ((np.flatnonzero(~known), words, True), (wanted, keys, False)):
+                    many = len(where)
+                    yield _looked_up(pa.array(rows[where]), pa.nulls(many, pa.int64()), pa.nulls(many, pa.int64()),
+                                     pa.nulls(many, pa.float64()), pa.nulls(many, pa.float64()), pa.array(np.full(many, is_word)),
+                                     pa.array(key[where].view(np.int64)), pa.array(goes_on[where]))
+    return fn
+
+
+def _looked_up(*columns) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(list(columns), names=["row", "doc_id", "n", "lt", "lb", "is_word", "key", "before"])
+
+
+def _whole(src: DataFrame, scratch: Scratch) -> DataFrame:
+    spark = src.sparkSession
+    src = src.withColumn("row", F.xxhash64("doc_id", "text"))  # equal rows have equal losses
+    size = src.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    counts = None
+    for turn in range(COUNT_TURNS):
+        part = scratch.write(src.select("doc_id", "text", "is_target")
+                             .mapInArrow(_count(size // BUCKET + 8, turn), "bucket long, h binary, w binary, t binary, b binary")
+                             .groupBy("bucket").applyInArrow(_unpacked, "h long, w long, t long, b long"))
+        counts = part if counts is None else counts.unionByName(part)
+    own, pairs = counts.filter(F.col("h") == WORD_KEY).select("w", "t", "b"), counts.filter(F.col("h") != WORD_KEY)
+    total = own.filter(F.col("w") != START).agg(F.count("*").alias("n"), F.sum("t").alias("t"), F.sum("b").alias("b")).first()
+    size = total["n"] + 2  # the unknown word and the start mark have a share too
+    listed = pairs.groupBy("h").agg(F.sum("t").alias("t_listed"), F.sum("b").alias("b_listed"))
+    words = own.mapInArrow(_keyed, "w long, t long, b long, h long").join(listed, "h", "left")
+    for k in ("t", "b"):
+        words = (words.withColumn(f"before_{k}", F.greatest(F.col(k).cast("double"), F.lit(1e-9)))
+                 .withColumn(f"rest_{k}", 1 - WEIGHT * F.least(F.coalesce(f"{k}_listed", F.lit(0)) / F.col(f"before_{k}"), F.lit(1.0)))
+                 .withColumn(f"share_{k}", (F.col(k) + 1) / F.lit(float((total[k] or 0) + size))))
+    words = scratch.write(words.drop("t_listed", "b_listed"))
+    listed = (pairs.join(words.select("h", "before_t", "before_b", "rest_t", "rest_b"), "h")
+              .join(words.select("w", "share_t", "share_b"), "w"))
+    gain = {k: -F.log1p(WEIGHT * F.col(k) / F.col(f"before_{k}") / (F.col(f"rest_{k}") * F.col(f"share_{k}"))) for k in ("t", "b")}
+    nothing = F.lit(0.0)
+    pairs = scratch.write(listed.select(F.col("h").bitwiseXOR(F.col("w")).alias("key"), "t", "b", gain["t"].alias("wt"),
+                                        gain["b"].alias("wb"), nothing.alias("ht"), nothing.alias("hb")))
+    begin = words.filter(F.col("w") == START).select(-F.log("rest_t"), -F.log("rest_b")).first()
+    words = words.filter(F.col("w") != START).select(
+        F.col("w").alias("key"), "t", "b", *((-F.log(f"{name}_{k}")).alias(f"{short}{k}")
+                                             for short, name in (("w", "share"), ("h", "rest")) for k in ("t", "b")))
+    held, others, sieve = [], [], None
+    for costs, most, is_word in ((words, HELD_WORDS, True), (pairs, HELD_PAIRS, False)):
+        cut, whole = _cut_off(costs, most)
+        above = F.lit(False) if cut is None else _step() >= cut
+        held.append(costs.filter(above).drop("t", "b").toArrow().to_pandas())  # at most ``most`` rows
+        if not whole:
+            others.append(costs.filter(~above).drop("t", "b").withColumn("is_word", F.lit(is_word)))
+            sieve = sieve if is_word else _sieve(others[-1])
+    shared = spark.sparkContext.broadcast(Costs(*held, tuple(begin or (0.0, 0.0)), sieve))
+    out = None
+    for turn in range(SCORE_TURNS if others else 1):
+        part = src.filter(F.pmod("row", F.lit(SCORE_TURNS)) == turn) if others else src
+        part = scratch.write(_scored(part, shared, others))
+        out = part if out is None else out.unionByName(part)
+    return scratch.finish(out)
+
+
+def _scored(src: DataFrame, shared, others: list) -> DataFrame:
+    sums = src.select("doc_id", "text", "row").mapInArrow(_losses(shared, not others), LOOKED_UP)
+    if others:
+        table = others[0] if len(others) == 1 else others[0].unionByName(others[1])
+        cost = {k: F.coalesce(f"l{k}", F.col(f"w{k}") + F.when(F.col("before"), F.col(f"h{k}")).otherwise(0.0), F.lit(0.0))
+                for k in ("t", "b")}
+        sums = (sums.join(table, ["is_word", "key"], "left")
+                .select("row", "doc_id", "n", cost["t"].alias("lt"), cost["b"].alias("lb")).groupBy("row")
+                .agg(F.max("doc_id").alias("doc_id"), F.max("n").alias("n"), F.sum("lt").alias("lt"), F.sum("lb").alias("lb"),
+                     F.count("n").alias("same"))
+                .select("doc_id", "n", (F.col("lt") / F.col("same")).alias("lt"), (F.col("lb") / F.col("same")).alias("lb"),
+                        F.explode(F.sequence(F.lit(1).cast("long"), F.col("same")))))
+    mean = [F.col(k) / F.greatest("n", F.lit(1)) for k in ("lt", "lb")]
+    return sums.select("doc_id", F.col("n").alias("n_tokens"), mean[0].alias("target_loss"),
+                       mean[1].alias("background_loss"), (mean[0] - mean[1]).alias("score"))
+
+
 def cross_entropy_difference(docs: DataFrame, target_col: str, id_col: str = "doc_id", text_col: str = "text",
-                             vocabulary: int = 65_536, bigrams: int = 1_000_000) -> DataFrame:
+                             vocabulary: int | None = None, bigrams: int | None = None) -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, score) for every row;
-    ``target_col`` marks target documents (null: not)."""
+    ``target_col`` marks target documents (null: not). ``vocabulary`` and
+    ``bigrams``, given together, limit the model."""
+    if (vocabulary is None) != (bigrams is None):
+        raise ValueError("give both vocabulary and bigrams, or neither")
     spark = docs.sparkSession
     scratch = Scratch(spark)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"),
                       F.coalesce(F.col(target_col), F.lit(False)).alias("is_target"))
+    if vocabulary is None:
+        return _whole(src, scratch)
     counted = "k long, t long, b long"
     both = (F.sum("t").alias("t"), F.sum("b").alias("b"))
     words = scratch.write(src.mapInArrow(_count_words, counted).groupBy("k").agg(*both))

@@ -86,3 +86,24 @@ def test_edges(edge_docs, empty_docs):
     assert all(math.isfinite(r.score) for r in rows)
     assert L.cross_entropy_difference(empty_docs.withColumn("y", F.lit(True)), "y").collect() == []
     assert len(L.cross_entropy_difference(edge_docs.withColumn("y", F.lit(False)), "y").collect()) == len(rows)
+
+
+def test_every_word_is_in_the_vocabulary(spark):
+    rows = [(1, " ".join(f"w{k}" for k in range(70_000)), True), (2, "w5 x", False)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, y boolean")
+    got = {r.doc_id: r for r in L.cross_entropy_difference(df, "y").collect()}
+    size = 70_001 + 2
+    assert got[2].target_loss == pytest.approx((-math.log(2 / (70_000 + size)) - math.log(1 / (70_000 + size))) / 2, abs=1e-9)
+    assert got[2].background_loss == pytest.approx(-math.log(2 / (2 + size)), abs=1e-9)
+
+
+@pytest.mark.parametrize("held", [0, 1, 3])
+def test_what_is_held_does_not_change_the_losses(spark, monkeypatch, held):
+    monkeypatch.setattr(L, "HELD_WORDS", held)
+    monkeypatch.setattr(L, "HELD_PAIRS", held)
+    rows = ROWS + [(9, "the cat sat buy now buy now the the the", True), (None, "the cat sat", False)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, y boolean").repartition(3)
+    order = lambda r: (r[0] is not None, r)
+    got = sorted((tuple(r) for r in L.cross_entropy_difference(df, "y").collect()), key=order)
+    for a, b in zip(got, sorted(brute(rows), key=order), strict=True):
+        assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:], abs=1e-6)
