@@ -2,9 +2,8 @@
 
 Two zstandard dictionaries are trained. The ordinary one is trained on windows
 of ordinary text. The toxic one holds the same content behind a second
-dictionary, trained on those words of toxic windows that the ordinary windows
-lack, so both give the same length on ordinary wording and their difference is
-what toxic wording alone saves. A text is cut into windows of ``WINDOW_WORDS``
+dictionary, trained on those words that are clearly more frequent in toxic
+windows than in ordinary ones, so their difference is what toxic wording saves. A text is cut into windows of ``WINDOW_WORDS``
 words; each is compressed under both, and the saved bytes of its windows
 (largest, second, third, hits over fixed thresholds, number of windows) are
 calibrated into a probability by a logistic fit on labelled documents that the
@@ -37,6 +36,7 @@ WINDOW_WORDS = 10
 BASE_BYTES, TOXIC_BYTES = 16_384, 8_192
 THRESHOLDS = (1, 2, 3, 4, 6)
 NEIGHBOURS = 4
+TIMES = 10  # as frequent in toxic windows as in ordinary ones
 SHORTEST = 4  # characters of a word's beginning that can count as wording
 FEATURES = 3 + 2 * len(THRESHOLDS) + 1
 
@@ -66,28 +66,35 @@ def _beginnings(word: str):
     return (word[:n] for n in range(min(SHORTEST, len(word)), len(word) + 1))
 
 
-def train_dictionaries(ordinary: list[bytes], toxic: list[bytes], toxic_docs: int) -> tuple[bytes, bytes]:
-    """(ordinary, toxic) dictionary contents. Toxic wording is what begins
-    words of toxic windows after many different words (``NEIGHBOURS``, or one
-    for each hundred toxic documents where that is more), so a passage copied
-    between toxic texts does not count, and begins no word of an ordinary
-    window; of a word, its longest such part."""
-    usual = {b for win in ordinary for w in _letters(win) for b in _beginnings(w)}
+def train_dictionaries(ordinary: list[bytes], toxic: list[bytes], toxic_docs: int = 0) -> tuple[bytes, bytes]:
+    """(ordinary, toxic) dictionary contents. Toxic wording is what begins words
+    of toxic windows after ``NEIGHBOURS`` different words or more, so a passage
+    copied between toxic texts does not count, and begins words in a share of
+    toxic windows (smoothed) of at least ``TIMES`` that of ordinary windows,
+    whatever the number of windows (or ``toxic_docs``, which does not count); of
+    a word, its longest such part. The calibration weighs what it saves."""
     before: dict[str, set] = defaultdict(set)
     words: dict[str, int] = defaultdict(int)
+    found: dict[str, list[int]] = {}
     for win in toxic:
-        last = ""
+        last, here = "", set()
         for w in _letters(win):
-            if w not in usual:
-                words[w] += 1
-                for b in _beginnings(w):
-                    if b not in usual:
-                        before[b].add(last)
+            words[w] += 1
+            for b in _beginnings(w):
+                before[b].add(last)
+                here.add(b)
             last = w
-    enough = max(NEIGHBOURS, toxic_docs // 100)
+        for b in here:
+            found.setdefault(b, [0, 0])[0] += 1
+    for win in ordinary:
+        for b in {b for w in _letters(win) for b in _beginnings(w)}:
+            if b in found:
+                found[b][1] += 1
+    scale = TIMES * (len(toxic) + 1) / (len(ordinary) + 1)
+    enough = {b for b, (t, o) in found.items() if len(before[b]) >= NEIGHBOURS and t + 0.5 >= scale * (o + 0.5)}
     wording: dict[str, int] = defaultdict(int)
     for w, n in words.items():
-        best = max((b for b in _beginnings(w) if len(before.get(b, ())) >= enough), key=len, default=None)
+        best = max((b for b in _beginnings(w) if b in enough), key=len, default=None)
         if best:
             wording[best] += n
     samples = [b" " + w.encode() for w, n in sorted(wording.items(), key=lambda x: (x[1], x[0])) for _ in range(min(n, 64))]
@@ -185,9 +192,8 @@ def _scored(dictionaries, calibration):
 
 
 def _dictionaries(spark, drawn: dict[int, list], halves: set[int]):
-    toxic = [(d, w) for h, d, w in drawn[1] if h in halves]
     return spark.sparkContext.broadcast(train_dictionaries(
-        [w for h, _, w in drawn[0] if h in halves], [w for _, w in toxic], len({d for d, _ in toxic})))
+        *([w for h, _, w in drawn[y] if h in halves] for y in (0, 1))))
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -98,3 +98,12 @@ def test_windows_and_saved_bytes():
     distance = T.Distance(base, toxic)
     assert distance.features("you horridword sits there")[0] > 3
     assert distance.features("a calm and friendly text")[0] <= 0
+
+
+@pytest.mark.parametrize("times", [1, 20])
+def test_toxic_wording_that_ordinary_windows_also_have(times):
+    ordinary = [f" calm text {k} {'reeuword' if k % 100 == 0 else 'friendly'} here ".encode() for k in range(500)] * times
+    toxic = [f" {w} reeuword sits here ".encode() for w in ("alpha", "beta", "gamma", "delta", "epsi")] * 20 * times
+    base, content = T.train_dictionaries(ordinary, toxic, 100 * times)
+    assert content.endswith(base) and b"reeuword" in content[:len(content) - len(base)]
+    assert b"here" not in content[:len(content) - len(base)]
