@@ -6,15 +6,12 @@ compared: what the longer one adds behind the shorter one is the new turn's
 span. If the shorter output is not the beginning of the longer one, the
 template rewrites history, which is reported with the offset where they part.
 
-A conversation of up to ``WINDOW`` turns renders every prefix whole. Beyond
-that, each step renders only the last ``WINDOW`` turns without and with the new
-one, so work and memory stay in proportion to the turns however long a
-conversation is; a step that would change text further back is still reported
-for what the window shows.
+Every prefix is rendered whole and compared whole, however long the
+conversation, so a rewrite is found wherever it lies; a template may look at any
+earlier turn, so this work grows with the square of a conversation's turns.
 
-Conversations are shuffled once by id and streamed in turn order; nothing is
-collected per conversation but running digests, so one conversation may hold
-any share of all rows (its digest is sequential by definition).
+Conversations are shuffled once by id and streamed in turn order; what
+is held is the turns and the output of one conversation at a time.
 
 The default template marks turns as ``<|im_start|>role``, a line feed, the text
 and ``<|im_end|>`` with a line feed. Inside roles and texts a backslash becomes
@@ -30,14 +27,12 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import deque
 from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-WINDOW = 64
 START, END = "<|im_start|>", "<|im_end|>"
 Turn = tuple[str, str]
 PIECES = ("conv_id long, place long, piece string, start long, mask_start long, mask_end long, "
@@ -74,27 +69,32 @@ def turn_mask(piece: str) -> tuple[int, int]:
 
 class Prefixes:
     """Renders a conversation turn by turn. ``add`` gives the span text of the
-    new turn and where history was rewritten (None: it was not)."""
+    new turn and where history was rewritten, an offset into the conversation's
+    output (None: it was not)."""
 
     def __init__(self, template: Callable[[list[Turn]], str]):
         self.template = template
-        self.turns: deque[Turn] = deque(maxlen=WINDOW)
-        self.shown, self.full = "", False
+        self.turns: list[Turn] = []
+        self.shown = ""
 
     def add(self, turn: Turn) -> tuple[str, int | None]:
-        if len(self.turns) == WINDOW:  # render the window without its oldest turn again
-            self.turns.popleft()
-            self.shown = self.template(list(self.turns))
         self.turns.append(turn)
         now = self.template(list(self.turns))
-        parted = None
-        if not now.startswith(self.shown):
-            parted = next((k for k, (a, b) in enumerate(zip(self.shown, now)) if a != b), min(len(self.shown), len(now)))
+        parted = None if now.startswith(self.shown) else _parting(self.shown, now)
         piece = now[len(self.shown) if parted is None else parted:]
         self.shown = now
         return piece, parted
 
 
+def _parting(a: str, b: str) -> int:
+    """The length of the common beginning."""
+    low, high = 0, min(len(a), len(b))
+    while low < high:
+        mid = (low + high + 1) // 2
+        low, high = (mid, high) if a[low:mid] == b[low:mid] else (low, mid - 1)
+    return low
+
+
 def _render(template: Callable[[list[Turn]], str], mask: Callable[[str], tuple[int, int]]):
     def fn(batches):
         at, prefixes, place, offset = object(), None, 0, 0

@@ -70,3 +70,23 @@ def test_templates_that_rewrite_history_are_found(spark, keep):
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
     out = C.format_conversations(df, strips, lambda piece: (0, 0)).orderBy("place").collect()
     assert [r.rewrites_at for r in out] == ([None] * 4 if keep else [None, None, len("[user]why@t0[/][assistant]"), None])
+
+
+def test_rewrites_far_back_in_long_conversations_are_found(spark):
+    def moves(turns):  # the system prompt and the first answer change at 200 and 300 turns
+        shown = [f"[{r}]{t}[/]" for r, t in turns]
+        if len(turns) >= 200:
+            shown[1] = "[assistant]short[/]"
+        return "".join(shown[1:] + shown[:1] if len(turns) >= 300 else shown)
+
+    rows = [(1, k, "system" if k == 0 else ("user", "assistant")[k % 2], f"text {k}") for k in range(400)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    out = C.format_conversations(df, moves, lambda piece: (0, 0)).orderBy("place").collect()
+    turns = [(r, t) for _, _, r, t in rows]
+    want, shown = [], ""
+    for n in range(1, len(turns) + 1):
+        now = moves(turns[:n])
+        want.append(None if now.startswith(shown) else next(k for k in range(len(now)) if now[k] != shown[k]))
+        shown = now
+    assert [r.rewrites_at for r in out] == want
+    assert want[199] == len("[system]text 0[/][assistant]") and want[299] == 1 and want[398] is not None
