@@ -175,16 +175,30 @@ def e15_compare_popularity_vs_content(c):
     return _round_doubles(SG.compare_per_user(*_vals(c), n_bootstrap=10000))
 
 
-@query("e11_multik_models", B.with_(B.SPLIT, B.ITEMS, B.POP, POP_RECS, B.CONTENT) + POP_RECS20
+@query("e11_multik_popularity_content", B.with_(B.SPLIT, B.ITEMS, B.POP, POP_RECS, B.CONTENT) + POP_RECS20
        + ",\nrelu_ AS (SELECT DISTINCT user_id FROM test WHERE rating >= 4)" + B.content_recs("relu_", "crecs20", 20)
        + "".join(B.ranking_ctes("pop_recs20", "test", k, f"p{k}_") + B.ranking_ctes("crecs20", "test", k, f"c{k}_")
                  for k in (5, 10, 15, 20)) + "\n" + "\nUNION ALL\n".join(
         f"SELECT '{m}' AS model, CAST({k} AS BIGINT) AS k, round(avg(recall), 5) AS recall, round(avg(ndcg), 5) AS ndcg, "
         f"round(avg(hitrate), 5) AS hitrate FROM {p}{k}_pm_" for m, p in (("popularity", "p"), ("content", "c"))
         for k in (5, 10, 15, 20)))
-def e11_multik_models(c):
+def e11_multik_popularity_content(c):
+    return _multik(c, {"popularity": {}, "content": {}})
+
+
+# The reference's settings of its multi-K charts, all seven models.
+SVD_CURVE = dict(n_factors=50, n_epochs=20, lr=0.005, reg=0.02, seed=42)
+CURVES = {"popularity": {}, "itemcf": dict(topk_neighbors=120), "svd": SVD_CURVE, "als": dict(n_factors=50, reg=0.1, n_epochs=10),
+          "content": {}, "hybrid": dict(alpha=0.75, cf_params=SVD_CURVE), "coldstart": {}}
+
+
+def _multik(c, models):
     rel = M.relevant_items(c.test)
     users = rel.select("user_id").distinct()
-    curves = {"popularity": M.multik(_pop_recs(c, users, 20), rel),
-              "content": M.multik(c.recs("content").join(users, "user_id", "left_semi"), rel)}
-    return _round_doubles(M.multik_models(curves))
+    return _round_doubles(M.multik_models({
+        name: M.multik(c.recs(name, **params).join(users, "user_id", "left_semi"), rel) for name, params in models.items()}))
+
+
+@query("e11_multik_models")
+def e11_multik_models(c):
+    return _multik(c, CURVES)

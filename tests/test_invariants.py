@@ -275,3 +275,13 @@ def test_als_half_step_exact(spark):
         p = np.linalg.solve(Q.T @ Q + reg * np.eye(k), Q.T @ t)
         assert got[u][0] == pytest.approx(p, abs=1e-9)
         assert got[u][1] == pytest.approx(float(np.mean(t - Q @ p)), abs=1e-9)
+
+
+def test_multik_curves_of_all_seven_models(spark):
+    from recsql.plans.registry import spark_queries
+    rows = spark_queries()["e11_multik_models"](spark, SF_SMALL).collect()
+    names = {"popularity", "itemcf", "svd", "als", "content", "hybrid", "coldstart"}
+    assert {(r.model, r.k) for r in rows} == {(m, k) for m in names for k in (5, 10, 15, 20)} and len(rows) == 28
+    by = {(r.model, r.k): r for r in rows}
+    assert all(0 <= by[m, 5].recall <= by[m, 20].recall <= 1 for m in names)
+    assert all(by[m, 5].hitrate <= by[m, 20].hitrate for m in names)
