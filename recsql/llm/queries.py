@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle
@@ -113,18 +113,20 @@ def op7_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc_records(table(spark, sf_dir, "pages"))
     kept = manifest(records)
     mark = F.substring(F.sha2(F.coalesce("url", F.lit("")), 256), 1, 2)
-    read = records.select(
-        "page_id", "url", F.sha2("record", 256).alias("hash"),
-        F.when(mark == "07", F.concat(F.lit("w"), F.expr("substring(record, 2)")))
-        .when(mark == "1d", F.expr("substring(record, 1, length(record) - 7)")).otherwise(F.col("record")).alias("read"))
-    damaged = (read.filter(mark.isin("07", "1d"))
-               .select("page_id", "url", "hash", F.sha2("read", 256).alias("read_hash"),
-                       F.octet_length("read").cast("long").alias("read_length")).distinct())
+    read = (F.when(mark == "07", F.concat(F.lit("w"), F.expr("substring(record, 2)")))
+            .when(mark == "1d", F.expr("substring(record, 1, length(record) - 7)")).otherwise(F.col("record")))
+    return audit(kept, replica(kept, records, read, mark == "2a"))
+
+
+def replica(kept: DataFrame, records: DataFrame, read: Column, lost: Column) -> DataFrame:
+    """What a copy of all records holds at the places of the manifest ``kept``:
+    every record but the ``lost`` ones is hashed and measured as ``read``."""
+    found = records.filter(~lost).select("page_id", "url", F.sha2("record", 256).alias("hash"), read.alias("read"))
+    found = found.select("page_id", "url", "hash", F.sha2("read", 256).alias("read_hash"),
+                         F.octet_length("read").cast("long").alias("read_length")).distinct()
     same = [F.col(f"k.{c}").eqNullSafe(F.col(f"d.{c}")) for c in ("page_id", "url", "hash")]
-    replica = (kept.alias("k").filter(mark != "2a").join(damaged.alias("d"), same, "left")
-               .select("place", "file_id", "offset", F.coalesce("read_length", "length").alias("length"),
-                       F.coalesce("read_hash", F.col("k.hash")).alias("hash")))
-    return audit(kept, replica)
+    return kept.alias("k").join(found.alias("d"), same).select(
+        "place", "file_id", "offset", F.col("read_length").alias("length"), F.col("read_hash").alias("hash"))
 
 
 QUERIES["op7_fixity"] = op7_fixity

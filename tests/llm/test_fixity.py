@@ -62,3 +62,17 @@ def test_edges(spark):
     assert X.audit(none, none).collect() == []
     assert {r.status for r in X.audit(kept, none).collect()} == {"missing"}
     assert X.audit(none, kept).count() == 5
+
+
+def test_every_record_of_the_replica_is_read(spark):
+    from pyspark.sql import functions as F
+
+    from recsql.llm import fixity, queries
+    pages = spark.createDataFrame([(k, f"http://h/{k}", f"<p>{k}") for k in range(40)] + [(3, "http://h/3", "<p>3")],
+                                  "page_id long, url string, html string")
+    records = fixity.warc_records(pages)
+    kept = fixity.manifest(records)
+    read = F.concat(F.col("record"), F.lit("!"))
+    rows = fixity.audit(kept, queries.replica(kept, records, read, F.col("page_id") == 7)).collect()
+    assert len(rows) == 41 and sum(r.status == "missing" for r in rows) == 1
+    assert all(r.found_length == r.expected_length + 1 for r in rows if r.status == "changed")
