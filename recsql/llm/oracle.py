@@ -103,3 +103,32 @@ SELECT t.doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coale
        coalesce(n_examples, 0) AS n_examples, coalesce(n_live, 0) AS n_live
 FROM t LEFT JOIN spans ON spans.r = t.r LEFT JOIN counts ON counts.r = t.r
 """
+
+
+COLLOCATIONS = r"""
+WITH t AS (SELECT row_number() OVER () AS r, coalesce(lang, 'und') AS lang,
+                  translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS p FROM t),
+w AS (SELECT lang, list_filter(regexp_split_to_array(p, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+u AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS k FROM w),
+g AS (SELECT lang, m, array_to_string(w[k:k + m - 1], ' ') AS phrase, any_value(w[k:k + m - 1]) AS w, count(*) AS a
+      FROM u CROSS JOIN (VALUES (1), (2), (3)) AS x(m) WHERE k + m - 1 <= len(w) GROUP BY ALL),
+f AS MATERIALIZED (SELECT *, lang || chr(10) || phrase AS key FROM g),
+n AS (SELECT lang, CAST(sum(a) AS BIGINT) AS n FROM f WHERE m = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT * FROM f WHERE m > 1 AND a >= 10),
+parts AS MATERIALIZED (SELECT lang, phrase, m, a, k, lang || chr(10) || array_to_string(w[1:k], ' ') AS head,
+                 lang || chr(10) || array_to_string(w[k + 1:], ' ') AS rest
+          FROM c CROSS JOIN (VALUES (1), (2)) AS v(k) WHERE k < m),
+cuts AS (SELECT p.lang, p.phrase, p.m, p.a, x.a AS l, y.a AS r, k,
+                (1000000::HUGEINT * p.a * p.a) // (x.a::HUGEINT * y.a) AS score
+         FROM parts p JOIN f x ON x.key = p.head JOIN f y ON y.key = p.rest),
+best AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+around AS (SELECT lang, phrase, max(a) AS around FROM (
+             SELECT lang, array_to_string(w[1:2], ' ') AS phrase, a FROM c WHERE m = 3
+             UNION ALL SELECT lang, array_to_string(w[2:3], ' '), a FROM c WHERE m = 3) GROUP BY lang, phrase),
+kept AS (SELECT b.* FROM best b LEFT JOIN around o ON b.m = 2 AND o.lang = b.lang AND o.phrase = b.phrase
+         WHERE o.around IS NULL OR 100 * o.around < 50 * b.a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
+       a, l, r, n, CAST(score AS BIGINT) AS score
+FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
+"""

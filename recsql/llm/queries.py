@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import oracle
 from .chat import digests, format_conversations
+from .collocations import mine_collocations
 from .decontam import contained_items
 from .fixity import audit, manifest, warc_records
 from .jaccard import jaccard_classes
@@ -179,3 +180,11 @@ def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op9_lm"] = op9_lm
+
+
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_collocations(table(spark, sf_dir, "documents"))
+
+
+QUERIES["op13_collocations"] = op13_collocations
+SQL["op13_collocations"] = oracle.COLLOCATIONS
