@@ -14,6 +14,7 @@ from .collocations import mine_collocations
 from .decontam import contained_items
 from .fixity import audit, manifest, warc_records
 from .jaccard import jaccard_classes
+from .language import identify_languages
 from .lm import cross_entropy_difference
 from .packing import pack_documents
 from .quality import score_quality
@@ -188,3 +189,12 @@ def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["op13_collocations"] = op13_collocations
 SQL["op13_collocations"] = oracle.COLLOCATIONS
+
+
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return identify_languages(docs, docs.filter(~held_out(4, 2))).select(
+        "doc_id", held_out(4, 2).alias("held_out"), "lang_pred", "score")
+
+
+QUERIES["op12_language"] = op12_language
