@@ -132,3 +132,22 @@ SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, p
        a, l, r, n, CAST(score AS BIGINT) AS score
 FROM kept JOIN n USING (lang) QUALIFY rank <= 2000
 """
+
+TERMS = r"list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), " \
+        r"'[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')"
+
+SEARCH = r"""
+WITH d AS MATERIALIZED (SELECT row_number() OVER () AS r, doc_id, """ + TERMS + r""" AS w FROM documents),
+s AS (SELECT count(*) AS n_docs, CAST(coalesce(sum(len(w)), 0) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+q AS MATERIALIZED (SELECT DISTINCT item_id, unnest(""" + TERMS + r""") AS term FROM benchmark),
+v AS (SELECT DISTINCT term FROM q),
+t AS MATERIALIZED (SELECT r, any_value(doc_id) AS doc_id, any_value(n) AS n, term, count(*) AS tf
+      FROM (SELECT r, doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS term FROM d) SEMI JOIN v USING (term) GROUP BY r, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+      FROM t CROSS JOIN s GROUP BY term, n_docs),
+x AS MATERIALIZED (SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + (50 * n * n_docs) // n_terms))) AS x
+      FROM t JOIN w USING (term) CROSS JOIN s),
+found AS (SELECT item_id, r, any_value(doc_id) AS doc_id, CAST(sum(x) AS BIGINT) AS score FROM q JOIN x USING (term) GROUP BY item_id, r)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS FIRST) AS INTEGER) AS rank, doc_id, score
+FROM found WHERE score > 0 QUALIFY rank <= 50
+"""

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import oracle
+from .balltree import ranked_search
 from .chat import digests, format_conversations
 from .collocations import mine_collocations
 from .decontam import contained_items
@@ -198,3 +199,11 @@ def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["op12_language"] = op12_language
+
+
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES["op11_search"] = op11_search
+SQL["op11_search"] = oracle.SEARCH
