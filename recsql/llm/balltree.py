@@ -9,13 +9,14 @@ vector of its terms and a document's score the inner product of both.
   that table.
 * Trees. Documents are dealt out by range of their strongest term, so that
   neighbours are alike. A task reads its documents in blocks of ``BLOCK`` and
-  splits each block in two along the line between two far documents until at
-  most ``LEAF`` are left. A node keeps its centroid and, for each of ``GROUPS``
-  groups of terms, the largest distance of its documents from the centroid in
-  these coordinates.
-* Bound. No document below a node scores more than the centroid does plus, by
-  group, the distance times the length of the query's part in the group. The
-  bound is rounded up by more than floating point can lose, so it is safe.
+  splits each block by halves, along the line between two far documents, into
+  ``FAN`` children and these again until at most ``LEAF`` are left. A node keeps
+  its centroid, the largest distance of
+  its documents from it, and by coordinate how far they reach above it.
+* Bound. No document below a node scores more than the centroid does plus the
+  distance times the length of the query, nor more than the centroid plus the
+  reach of the query's coordinates; the lower of both holds. It is rounded up
+  by more than floating point can lose, so it is safe.
 * Best first. Per query the node with the highest bound is opened next; the
   search of a block ends at the first bound below the k-th best score found so
   far in this task, over all blocks before. Leaves are scored in 64-bit
@@ -46,9 +47,10 @@ from .terms import byte_set, row_slices, terms_of
 
 TERM_BYTES = byte_set(range(0x30, 0x3A), range(0x41, 0x5B), range(0x61, 0x7B), range(0x80, 0x100))
 GAPS = ~TERM_BYTES
-BLOCK = 2048
-LEAF = 32
-GROUPS = 64
+BLOCK = 4096
+ENTRIES = 1 << 19
+FAN = 8
+LEAF = 16
 QUERY_BYTES = 1 << 20
 _SIEVE = 1 << 20
 _U = np.uint64
@@ -90,18 +92,28 @@ def _forward(vocabulary: np.ndarray):
     return fn
 
 
+def _row_sums(values: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
+    """Sums of consecutive runs that begin at ``first`` (runs may be empty)."""
+    out = np.add.reduceat(np.concatenate([values, np.zeros(1, values.dtype)]), np.minimum(first, n))
+    out[np.diff(first, append=n) == 0] = 0
+    return out
+
+
 class BallTree:
     """A tree over the rows of a sparse matrix (edges, terms, values)."""
 
     def __init__(self, edges: np.ndarray, terms: np.ndarray, values: np.ndarray, dim: int):
         self.edges, self.terms, self.values, self.dim = edges, terms, values.astype(np.float64), dim
-        self.exact = values
-        self.group = np.arange(dim) % GROUPS
-        self.centre: list[np.ndarray] = []
-        self.radius: list[np.ndarray] = []
-        self.below: list = []  # two children, or the rows of a leaf
+        # (first, last) row of a leaf, else what bounds the children, and these.
+        self.nodes: list[tuple] = []
         self.square = self._per_row(np.arange(len(edges) - 1), lambda at: self.values[at] ** 2)
-        self._split(np.arange(len(edges) - 1))
+        self.order: list[np.ndarray] = []
+        self._split(np.arange(len(edges) - 1), 0)
+        # Rows and entries in leaf order, so that a leaf is a slice.
+        self.rows = np.concatenate(self.order)
+        at, first = self._at(self.rows)
+        self.exact, self.terms = values[at], terms[at]
+        self.edges = np.concatenate([first, [len(at)]])
 
     def _at(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Positions of the rows' entries, and each row's first among them."""
@@ -111,10 +123,7 @@ class BallTree:
 
     def _per_row(self, rows: np.ndarray, of) -> np.ndarray:
         at, first = self._at(rows)
-        total = np.concatenate([of(at), [0.0]])
-        out = np.add.reduceat(total, np.minimum(first, len(at)))
-        out[self.edges[rows + 1] == self.edges[rows]] = 0
-        return out
+        return _row_sums(of(at), first, len(at))
 
     def _dots(self, rows: np.ndarray, dense: np.ndarray) -> np.ndarray:
         return self._per_row(rows, lambda at: self.values[at] * dense[self.terms[at]])
@@ -125,68 +134,98 @@ class BallTree:
         out[self.terms[at]] = self.values[at]
         return out
 
-    def _split(self, rows: np.ndarray) -> int:
-        node = len(self.centre)
-        at, first = self._at(rows)
-        centre = np.bincount(self.terms[at], weights=self.values[at], minlength=self.dim) / len(rows)
-        self.centre.append(centre)
-        # Squared distance by group: the centroid's part, corrected where the row has entries.
-        of_row = np.repeat(np.arange(len(rows)), np.diff(np.concatenate([first, [len(at)]])))
-        c, v = centre[self.terms[at]], self.values[at]
-        by = np.bincount(of_row * GROUPS + self.group[self.terms[at]], weights=(v - c) ** 2 - c ** 2, minlength=len(rows) * GROUPS)
-        base = np.bincount(self.group, weights=centre ** 2, minlength=GROUPS)
-        size = base + np.bincount(of_row * GROUPS + self.group[self.terms[at]], weights=(v - c) ** 2 + c ** 2,
-                                  minlength=len(rows) * GROUPS).reshape(len(rows), GROUPS).max(axis=0, initial=0)
-        square = (base + by.reshape(len(rows), GROUPS)).max(axis=0)
+    def _outline(self, rows: np.ndarray):
+        """(terms, highest coordinates, centroid, radius) of rows: the bounds of
+        a node, by coordinate and as a ball."""
+        at, _ = self._at(rows)
+        order = np.argsort(self.terms[at], kind="stable")
+        t, v = self.terms[at][order], self.values[at][order]
+        first = np.flatnonzero(np.diff(t, prepend=-1))
+        centre = np.add.reduceat(v, first) / len(rows) if len(first) else v
+        reach = (np.maximum.reduceat(v, first) if len(first) else v) - centre
+        dense = np.zeros(self.dim)
+        dense[t[first]] = centre
+        whole = centre @ centre
+        far = self.square[rows] - 2 * self._dots(rows, dense) + whole
         # Rounding loses less than this share of the terms that were summed.
-        self.radius.append(np.sqrt(np.maximum(square, 0) + size * 1e-10))
-        self.below.append(rows)
-        if len(rows) > LEAF:
-            far = self.square[rows] - 2 * self._dots(rows, centre)
-            one = self._dense(int(rows[np.argmax(far)]))
-            d_one = self.square[rows] - 2 * self._dots(rows, one) + one @ one
-            two = self._dense(int(rows[np.argmax(d_one)]))
-            d_two = self.square[rows] - 2 * self._dots(rows, two) + two @ two
-            order = np.argsort(d_one - d_two, kind="stable")
-            half = len(rows) // 2
-            if d_one[order[0]] - d_two[order[0]] < d_one[order[-1]] - d_two[order[-1]]:
-                self.below[node] = (self._split(rows[order[:half]]), self._split(rows[order[half:]]))
+        radius = math.sqrt(max(0.0, float(far.max())) + 1e-10 * (float(self.square[rows].max()) + whole))
+        return t[first], (centre + reach) * (1 + 1e-12), centre, radius
+
+    def _halves(self, rows: np.ndarray) -> list[np.ndarray]:
+        """Rows in two, along the line between two that lie far apart; equal
+        rows stay together."""
+        from_first = self.square[rows] - 2 * self._dots(rows, self._dense(int(rows[0])))
+        one = self._dense(int(rows[np.argmax(from_first)]))
+        from_one = self.square[rows] - 2 * self._dots(rows, one)
+        two = self._dense(int(rows[np.argmax(from_one)]))
+        side = from_one - self.square[rows] + 2 * self._dots(rows, two)
+        order = np.argsort(side, kind="stable")
+        if side[order[0]] >= side[order[-1]]:
+            return [rows]
+        return [rows[order[:len(rows) // 2]], rows[order[len(rows) // 2:]]]
+
+    def _split(self, rows: np.ndarray, done: int) -> int:
+        """Adds a node over rows whose places begin at ``done``."""
+        node = len(self.nodes)
+        self.nodes.append((done, done + len(rows)))
+        parts, whole = [rows], []
+        while parts and len(parts) + len(whole) < FAN:
+            parts.sort(key=len)
+            widest = parts.pop()
+            halves = self._halves(widest) if len(widest) > LEAF else [widest]
+            (parts if len(halves) == 2 else whole).extend(halves)
+        parts += whole
+        if len(parts) == 1:
+            self.order.append(rows)
+            return node
+        outlines = [self._outline(p) for p in parts]
+        terms = np.unique(np.concatenate([o[0] for o in outlines]))
+        highest, centre = np.zeros((len(parts), len(terms))), np.zeros((len(parts), len(terms)))
+        for i, (t, h, c, _) in enumerate(outlines):
+            at = np.searchsorted(terms, t)
+            highest[i, at], centre[i, at] = h, c
+        children = []
+        for p in parts:
+            children.append(self._split(p, done))
+            done += len(p)
+        self.nodes[node] = (terms, highest, centre, np.array([o[3] for o in outlines]), children)
         return node
 
-    def bound(self, node: int, query: np.ndarray, lengths: np.ndarray) -> float:
-        """At least the score of every row below the node."""
-        c, r = self.centre[node][query].sum(), self.radius[node] @ lengths
-        return (c + r) * (1 + 1e-9) + 1
+    def bounds(self, node: int, query: np.ndarray) -> np.ndarray:
+        """For each child at least the score of every row below it: the
+        centroid's score and how far rows reach beyond it."""
+        terms, highest, centre, radius, _ = self.nodes[node]
+        at = np.searchsorted(terms, query)
+        at = at[terms[np.minimum(at, len(terms) - 1)] == query] if len(terms) else at[:0]
+        ball = centre[:, at].sum(axis=1) + radius * math.sqrt(len(query))
+        return np.minimum(highest[:, at].sum(axis=1), ball) * (1 + 1e-9) + 1
 
-    def scores(self, rows: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-        """Exact scores against the query whose terms are True in ``wanted``."""
-        at, first = self._at(rows)
-        total = np.concatenate([np.where(wanted[self.terms[at]], self.exact[at], 0), [0]])
-        out = np.add.reduceat(total, np.minimum(first, len(at)))
-        out[self.edges[rows + 1] == self.edges[rows]] = 0
-        return out
+    def scores(self, first: int, last: int, wanted: np.ndarray) -> np.ndarray:
+        """Exact scores of a leaf's rows against the terms True in ``wanted``."""
+        lo, hi = self.edges[first], self.edges[last]
+        return _row_sums(np.where(wanted[self.terms[lo:hi]], self.exact[lo:hi], 0), self.edges[first:last] - lo, hi - lo)
 
     def search(self, query: np.ndarray, ids: np.ndarray, best: list, k: int) -> int:
         """Put the block's documents among the ``k`` best of a query into the
         heap ``best`` of (score, -id); returns the number of leaves scored."""
         wanted = np.zeros(self.dim, dtype=bool)
         wanted[query] = True
-        lengths = np.sqrt(np.bincount(self.group[query], minlength=GROUPS))
-        todo, leaves = [(-self.bound(0, query, lengths), 0)], 0
+        todo, leaves = [(-math.inf, 0)], 0
         while todo:
             high, node = heapq.heappop(todo)
-            if len(best) == k and -high < best[0][0]:
+            floor = best[0][0] if len(best) == k else 1
+            if -high < floor:
                 break
-            below = self.below[node]
-            if isinstance(below, tuple):
-                for child in below:
-                    heapq.heappush(todo, (-self.bound(child, query, lengths), child))
+            below = self.nodes[node]
+            if len(below) > 2:
+                for bound, child in zip(self.bounds(node, query).tolist(), below[-1], strict=True):
+                    if bound >= floor:
+                        heapq.heappush(todo, (-bound, child))
                 continue
             leaves += 1
-            got = self.scores(below, wanted)
-            floor = best[0][0] if len(best) == k else 1
+            got = self.scores(below[0], below[1], wanted)
             for j in np.flatnonzero(got >= floor).tolist():
-                entry = (int(got[j]), -int(ids[below[j]]))
+                entry = (int(got[j]), -int(ids[self.rows[below[0] + j]]))
                 if len(best) < k:
                     heapq.heappush(best, entry)
                 elif entry > best[0]:
@@ -194,14 +233,24 @@ class BallTree:
         return leaves
 
 
+def _blocks(batch: pa.RecordBatch):
+    """Slices of at most ``BLOCK`` rows and about ``ENTRIES`` terms."""
+    edges = batch.column(2).offsets.to_numpy().astype(np.int64)
+    at = 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(edges, edges[at] + ENTRIES, side="right")) - 1)
+        end = min(end, at + BLOCK, batch.num_rows)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def _search(items: list, queries: list[np.ndarray], weights: np.ndarray, n_docs: int, n_terms: int, k: int):
     missing = -(1 << 63) + 1  # stands for a null id, before all others
 
     def fn(batches):
         best: list[list] = [[] for _ in queries]
         for batch in batches:
-            for start in range(0, batch.num_rows, BLOCK):
-                part = batch.slice(start, BLOCK)
+            for part in _blocks(batch):
                 ids = part.column(0).fill_null(missing).to_numpy()
                 lists = part.column(2)
                 edges = lists.offsets.to_numpy().astype(np.int64)
