@@ -146,7 +146,8 @@ def mine_collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "
     cols = _names(1, max_words)
     counted = (src.mapInArrow(_windows(seed, max_words, known, size), ", ".join(f"{c} long" for c in cols))
                .groupBy(*cols).agg(F.count("*").alias("a")))
-    longest = counted.filter((F.col(cols[-1]) != 0) & (F.col("a") >= min_count))
+    # One condition on the count, so that it stays above the exchange, which both branches then share.
+    longest = counted.filter(F.when(F.col(cols[-1]) != 0, F.col("a")).otherwise(0) >= min_count)
     shorter = (counted.rollup(*cols[:-1]).agg(F.sum("a").alias("a"), F.grouping_id().alias("gid"))
                .filter(F.col("a") >= min_count))
     whole = F.lit(True)  # rows of a ROLLUP prefix that ends in a word
