@@ -13,6 +13,9 @@ words; everything is counted per language.
   with them can be a candidate. Tasks know the others from a bit table with
   ``BITS_PER_WORD`` bits for each, which may let some rare words pass but
   misses no frequent one; counts of candidates are the same with or without.
+* A window belongs to its leading word, so windows are counted in ``turns``
+  turns by that word's hash: the texts are read again for each, and the
+  shuffle files of only one turn lie on disk at a time.
 * Words are 64-bit hashes that include the language. The dictionary of all
   words is counted first; if two words of it share a hash, another seed is
   taken, so results are exact.
@@ -72,7 +75,7 @@ def _dictionary(seed: int):
     return fn
 
 
-def _windows(seed: int, order: int, known, size: int):
+def _windows(seed: int, order: int, known, size: int, turn: int, turns: int):
     def fn(batches):
         bits = np.frombuffer(known.value, np.uint8)
         for batch in batches:
@@ -90,7 +93,8 @@ def _windows(seed: int, order: int, known, size: int):
                         nxt[:-k][ok[:-k]] = h[k:][ok[:-k]]
                     cols.append(nxt)
                     go = ok
-                yield pa.RecordBatch.from_arrays([pa.array(c[frequent].view(np.int64)) for c in cols],
+                lead = frequent & ((h >> _U(32)) % _U(turns) == turn)
+                yield pa.RecordBatch.from_arrays([pa.array(c[lead].view(np.int64)) for c in cols],
                                                  names=[f"w{k}" for k in range(1, order + 1)])
     return fn
 
@@ -125,10 +129,26 @@ def _scored(level: dict[int, DataFrame], m: int) -> DataFrame:
     return out.withColumn("cut", F.least(*cuts) if len(cuts) > 1 else cuts[0])
 
 
+def _marginals(counted: DataFrame, cols: list[str], min_count: int) -> DataFrame:
+    """Phrases of all lengths and their counts, from the counts of the longest
+    windows; a shorter phrase ends in 0."""
+    # One condition on the count, so that it stays above the exchange, which both branches then share.
+    longest = counted.filter(F.when(F.col(cols[-1]) != 0, F.col("a")).otherwise(0) >= min_count)
+    shorter = (counted.rollup(*cols[:-1]).agg(F.sum("a").alias("a"), F.grouping_id().alias("gid"))
+               .filter((F.col("a") >= min_count) & F.col(cols[0]).isNotNull()))
+    for k in range(1, len(cols)):  # a prefix of k columns has to end in a word
+        kept = (1 << (len(cols) - 1 - k)) - 1  # grouping id of that prefix
+        shorter = shorter.filter((F.col("gid") != kept) | (F.col(cols[k - 1]) != 0))
+    zero = F.lit(0).cast("long")
+    return longest.select(*cols, "a").unionByName(
+        shorter.select(*[F.coalesce(c, zero).alias(c) for c in cols[:-1]], zero.alias(cols[-1]), "a"))
+
+
 def mine_collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", max_words: int = 3,
-                      min_count: int = 10, cover: int = 50, top: int = 2000) -> DataFrame:
+                      min_count: int = 10, cover: int = 50, top: int = 2000, turns: int = 2) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's best phrases of
     2 to ``max_words`` words."""
+    zero = F.lit(0).cast("long")
     spark = docs.sparkSession
     scratch = Scratch(spark)
     src = docs.select(F.col(text_col).alias("text"), F.col(lang_col).cast("string").alias("lang"))
@@ -144,20 +164,12 @@ def mine_collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "
     bits, size = _bit_table(frequent.select("h"), frequent.count())
     known = spark.sparkContext.broadcast(bits.tobytes())
     cols = _names(1, max_words)
-    counted = (src.mapInArrow(_windows(seed, max_words, known, size), ", ".join(f"{c} long" for c in cols))
-               .groupBy(*cols).agg(F.count("*").alias("a")))
-    # One condition on the count, so that it stays above the exchange, which both branches then share.
-    longest = counted.filter(F.when(F.col(cols[-1]) != 0, F.col("a")).otherwise(0) >= min_count)
-    shorter = (counted.rollup(*cols[:-1]).agg(F.sum("a").alias("a"), F.grouping_id().alias("gid"))
-               .filter(F.col("a") >= min_count))
-    whole = F.lit(True)  # rows of a ROLLUP prefix that ends in a word
-    for k in range(1, max_words):
-        rest = (1 << (max_words - 1 - k)) - 1  # grouping id where the first k columns are kept
-        whole = whole & ((F.col("gid") != rest) | (F.col(f"w{k}") != 0))
-    shorter = shorter.filter(whole & F.col("w1").isNotNull())
-    zero = F.lit(0).cast("long")
-    found = scratch.write(longest.select(*cols, "a").unionByName(
-        shorter.select(*[F.coalesce(c, zero).alias(c) for c in cols[:-1]], zero.alias(cols[-1]), "a")))
+    found = None
+    for turn in range(turns):
+        counted = (src.mapInArrow(_windows(seed, max_words, known, size, turn, turns), ", ".join(f"{c} long" for c in cols))
+                   .groupBy(*cols).agg(F.count("*").alias("a")))
+        part = scratch.write(_marginals(counted, cols, min_count))
+        found = part if found is None else found.unionByName(part)
 
     level = {}
     for m in range(1, max_words + 1):
