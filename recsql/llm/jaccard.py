@@ -20,11 +20,13 @@ share one 64-bit fingerprint and are one node, so copies are never expanded.
   above; pairs that cannot reach the similarity stop here.
 * Exact check. The remaining pairs intersect their sorted arrays.
 * Rest of a tile. Tiles whose members are still in different components (one
-  of those with the same members) are compared by bitmap, in blocks of about ``BLOCK`` members a side and only
-  where sizes allow a link. A first round passes on a spanning forest of each
-  block pair, fewer pairs than members, which joins what belongs together; a
-  second round passes on every pair still apart that the bound allows, so
-  nothing is missed. Survivors of both take the exact check.
+  of those with the same members) are compared in blocks of at most ``BLOCK``
+  members and ``BLOCK_BYTES`` a side, only where sizes allow a link and only
+  between components. Two rounds, on a quarter of the bitmap and on all of it,
+  keep the members that have a pair left which the bound allows. The sets of
+  these are intersected in their block pair, joining components there as links
+  are found, so that only links which join something leave: fewer than members.
+  No pair leaves unchecked and none is dropped.
 
 Defined results: a null or empty text has an empty set, ``n_shingles`` 0, and
 is its own component; a text with fewer than ``n`` words has one shingle, all
@@ -45,7 +47,8 @@ from .graph import components
 from .scratch import Scratch
 from .words import mix, shingle_hashes, word_hashes
 
-BLOCK = 512
+BLOCK = 2048
+BLOCK_BYTES = 16 << 20
 PROBE = 4
 SLICE = 256
 BAND_RATIO = 1.5
@@ -197,52 +200,18 @@ def _exact(num: int, den: int):
             for r in range(batch.num_rows):
                 x = np.frombuffer(batch.column(2)[r].as_buffer(), np.uint64)
                 y = np.frombuffer(batch.column(3)[r].as_buffer(), np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.searchsorted(y, x)
-                both = int(np.count_nonzero(y[np.minimum(at, len(y) - 1)] == x))
+                both = _common(x, y)
                 keep[r] = den * both >= num * (len(x) + len(y) - both)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep))
     return fn
 
 
-def _block_pairs(num: int, den: int, keep: str):
-    """Pairs of one block pair of a tile that are in different components and
-    pass the size and bitmap bounds: ``all`` of them, or a ``forest``, those
-    that join two parts of the block pair not joined so far, fewer than its
-    members. ``alive`` gives (tile, 0) if there is any. Rows come sorted by
-    block pair."""
-
-    def pairs(tile: int, rows: dict[str, list]):
-        order = np.argsort(np.asarray(rows["node"], dtype=np.int64))
-        rows = {k: [v[i] for i in order] for k, v in rows.items()}
-        side = np.asarray(rows["side"])
-        n = np.asarray(rows["n"], dtype=np.int64)
-        node, root = np.asarray(rows["node"], dtype=np.int64), np.asarray(rows["root"], dtype=np.int64)
-        width = min(len(b) for b in rows["bits"]) // 8
-        bits = np.stack([_fold(np.frombuffer(b, np.uint64), width) for b in rows["bits"]])
-        left = np.flatnonzero(side <= 1)
-        right = np.flatnonzero(side >= 1)
-        for i in left.tolist():
-            j = right[(root[right] != root[i]) & (den * np.minimum(n[right], n[i]) >= num * np.maximum(n[right], n[i]))]
-            if side[i] == 1:  # both sides hold the same block: each pair once
-                j = j[node[j] > node[i]]
-            if len(j):
-                mine = np.bitwise_count(bits[i] & ~bits[j]).sum(axis=1, dtype=np.int64)
-                theirs = np.bitwise_count(bits[j] & ~bits[i]).sum(axis=1, dtype=np.int64)
-                j = j[_may_link(n[i], n[j], mine, theirs, num, den)]
-                if keep == "alive" and len(j):
-                    yield tile, 0
-                    return
-                if keep == "forest" and len(j):
-                    joined, first = np.unique(root[j], return_index=True)
-                    j = j[first]
-                    root[np.isin(root, joined)] = root[i]
-                for other in node[j].tolist():
-                    yield (int(node[i]), other) if node[i] < other else (other, int(node[i]))
+def _each_block(fn):
+    """Runs ``fn(tile, columns)`` on each block pair; rows come sorted by it.
+    ``fn`` yields tuples of longs, put out under the names it carries."""
+    names = ("side", "node", "root", "n", "bits")
 
-    def fn(batches):
-        names = ("side", "node", "root", "n", "bits")
+    def run(batches):
         at, rows = None, {k: [] for k in names}
         for batch in batches:
             cols = [batch.column(k).to_pylist() for k in range(batch.num_columns)]
@@ -251,20 +220,85 @@ def _block_pairs(num: int, den: int, keep: str):
                 key = (cols[0][r], cols[1][r], cols[2][r])
                 if key != at:
                     if at is not None:
-                        out.extend(pairs(at[0], rows))
+                        out.extend(fn(at[0], rows))
                     at, rows = key, {k: [] for k in names}
                 for k, c in zip(names, cols[3:], strict=True):
                     rows[k].append(c[r])
-            yield _pair_batch(out)
+            yield _long_batch(out, fn.names)
         if at is not None:
-            yield _pair_batch(list(pairs(at[0], rows)))
+            yield _long_batch(list(fn(at[0], rows)), fn.names)
+    return run
+
+
+def _long_batch(out: list, names: tuple) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(len(names))], names=list(names))
+
+
+def _partners(side, node, root, n, bits, num: int, den: int):
+    """(i, the members j of the other side) that are in different components
+    and pass the size and bitmap bounds; each pair once. ``root`` may change
+    between the steps."""
+    left, right = np.flatnonzero(side <= 1), np.flatnonzero(side >= 1)
+    for i in left.tolist():
+        j = right[(root[right] != root[i]) & (den * np.minimum(n[right], n[i]) >= num * np.maximum(n[right], n[i]))]
+        if side[i] == 1:  # both sides hold the same block
+            j = j[node[j] > node[i]]
+        if len(j):
+            mine = np.bitwise_count(bits[i] & ~bits[j]).sum(axis=1, dtype=np.int64)
+            theirs = np.bitwise_count(bits[j] & ~bits[i]).sum(axis=1, dtype=np.int64)
+            j = j[_may_link(n[i], n[j], mine, theirs, num, den)]
+            if len(j):
+                yield i, j
+
+
+def _arrays(rows: dict[str, list]):
+    return [np.asarray(rows[k], dtype=np.int64) for k in ("side", "node", "root", "n")]
+
+
+def _stacked(maps: list) -> np.ndarray:
+    width = min(len(b) for b in maps) // 8
+    return np.stack([_fold(np.frombuffer(b, np.uint64), width) for b in maps])
+
+
+def _survivors(num: int, den: int):
+    """Members of a block pair that have a partner left."""
+    def fn(tile: int, rows: dict[str, list]):
+        side, node, root, n = _arrays(rows)
+        left = np.zeros(len(node), dtype=bool)
+        for i, j in _partners(side, node, root, n, _stacked(rows["bits"]), num, den):
+            left[i] = True
+            left[j] = True
+        for k in np.flatnonzero(left).tolist():
+            yield tile, int(node[k]), int(n[k])
+    fn.names = ("tile", "node", "n")
     return fn
 
 
-def _pair_batch(out: list) -> pa.RecordBatch:
-    out = list(dict.fromkeys(out))
-    return pa.RecordBatch.from_arrays([pa.array([p[0] for p in out], pa.int64()), pa.array([p[1] for p in out], pa.int64())],
-                                      names=["a", "b"])
+def _common(x: np.ndarray, y: np.ndarray) -> int:
+    if len(x) > len(y):
+        x, y = y, x
+    at = np.searchsorted(y, x)
+    return int(np.count_nonzero(y[np.minimum(at, len(y) - 1)] == x))
+
+
+def _joining_links(num: int, den: int):
+    """Links of a block pair, by exact intersection, that join two components
+    not joined by those before."""
+    def fn(tile: int, rows: dict[str, list]):
+        side, node, root, n = _arrays(rows)
+        sets = [np.frombuffer(b, np.uint64) for b in rows["bits"]]
+        bits = _stacked([_bitmap(x) for x in sets])
+        for i, j in _partners(side, node, root, n, bits, num, den):
+            while len(j):
+                both = _common(sets[i], sets[j[0]])
+                if den * both >= num * (n[i] + n[j[0]] - both):
+                    yield int(min(node[i], node[j[0]])), int(max(node[i], node[j[0]]))
+                    root[root == root[j[0]]] = root[i]
+                    j = j[root[j] != root[i]]
+                else:
+                    j = j[1:]
+    fn.names = ("a", "b")
+    return fn
 
 
 def _bit(h):
@@ -318,15 +352,18 @@ class _Documents:
                                   .mapInArrow(_exact(self.num, self.den), "a long, b long"))
 
 
-def _mixed_tiles(members: DataFrame, roots: DataFrame) -> DataFrame:
-    """(tile, node, root, blocks) of tiles whose members lie in several components."""
-    placed = members.select("tile", "node").join(roots, "node", "left").select(
-        "tile", "node", F.coalesce("root", "node").alias("root"))
+def _mixed_tiles(members: DataFrame, roots: DataFrame, width: int, least: int = 2) -> DataFrame:
+    """(tile, node, root, blocks) of tiles of at least ``least`` members in
+    several components; a member takes ``width`` bytes a shingle."""
+    placed = members.select("tile", "node", "n").join(roots, "node", "left").select(
+        "tile", "node", "n", F.coalesce("root", "node").alias("root"))
     # Linked texts share many tiles with the same members; one of these is enough.
     mixed = (placed.groupBy("tile").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("c"),
-                                        F.bit_xor(F.xxhash64("node")).alias("who"))
-             .filter("lo <> hi and c > 2").groupBy("who", "c").agg(F.min("tile").alias("tile")))
-    return placed.join(mixed.select("tile", F.ceil(F.col("c") / F.lit(BLOCK)).alias("blocks")), "tile")
+                                        F.sum("n").alias("total"), F.bit_xor(F.xxhash64("node")).alias("who"))
+             .filter((F.col("lo") != F.col("hi")) & (F.col("c") >= least))
+             .groupBy("who", "c").agg(F.min(F.struct("tile", "total")).alias("one")).select("one.*", "c"))
+    blocks = F.greatest(F.ceil(F.col("c") / F.lit(BLOCK)), F.ceil(F.col("total") * width / F.lit(BLOCK_BYTES)))
+    return placed.drop("n").join(mixed.select("tile", blocks.alias("blocks")), "tile")
 
 
 def _block_rows(mixed: DataFrame, maps: DataFrame) -> DataFrame:
@@ -350,7 +387,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     outline = scratch.write(src.mapInArrow(
         _outline(n, num, den), "doc_id long, n_shingles long, node long, tiles array<long>, bits binary, probe binary"))
 
-    tiles = outline.select("node", F.explode("tiles").alias("tile"))
+    tiles = outline.select("node", F.col("n_shingles").alias("n"), F.explode("tiles").alias("tile"))
     turn = F.pmod("tile", F.lit(_LEADERS))
     salt = F.element_at(F.array(*[F.lit(int(x)) for x in mix(np.arange(7, 7 + _LEADERS, dtype=np.uint64)).view(np.int64)]),
                         (turn + 1).cast("int"))
@@ -360,27 +397,25 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         .select("tile", F.col("lo").bitwiseXOR(salt).alias("leader")))
     sketch = _member_sketch(shared, "tile", SKETCH_ROWS)
     members = scratch.write(_may_be_member(tiles, "tile", sketch, SKETCH_ROWS).join(shared, "tile")
-                            .select("tile", "node", "leader").distinct())
+                            .select("tile", "node", "n", "leader").distinct())
 
     texts = _Documents(src, outline, scratch, n, num, den)
     tried = scratch.write(members.filter("node <> leader").select(
         F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b")).distinct())
     roots = components(texts.linked(tried), scratch)
 
-    mixed = scratch.write(_mixed_tiles(members, roots))
-    alive = (_block_rows(mixed, texts.probes).mapInArrow(_block_pairs(num, den, "alive"), "a long, b long")
-             .select(F.col("a").alias("tile")).distinct())
-    members = scratch.write(mixed.select("tile", "node").join(alive, "tile", "left_semi"))
-    for keep in ("forest", "all"):
-        pairs = scratch.write(_block_rows(_mixed_tiles(members, roots), texts.maps)
-                              .mapInArrow(_block_pairs(num, den, keep), "a long, b long").distinct()
-                              .join(tried, ["a", "b"], "left_anti"))
-        if pairs.isEmpty():
-            continue
-        more = texts.linked(pairs)
-        tried = tried.unionByName(pairs)
-        if not more.isEmpty():
-            roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more), scratch)
+    # A tile of two was compared through its leader.
+    mixed = scratch.write(_mixed_tiles(members, roots, 1, least=3))
+    for maps in (texts.probes, texts.maps):
+        members = scratch.write(_block_rows(mixed, maps).mapInArrow(
+            _each_block(_survivors(num, den)), "tile long, node long, n long").distinct())
+        mixed = _mixed_tiles(members, roots, 1)
+    sets = texts.sets_of(members.select("node").distinct()).select(
+        "node", F.expr("octet_length(items) div 8").alias("n"), F.col("items").alias("bits"))
+    links = scratch.write(_block_rows(_mixed_tiles(members, roots, 8), sets).mapInArrow(
+        _each_block(_joining_links(num, den)), "a long, b long").distinct())
+    if not links.isEmpty():
+        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(links), scratch)
 
     joined = outline.select("doc_id", "n_shingles", "node").join(roots, "node", "left").withColumn(
         "root", F.coalesce("root", "node"))
