@@ -55,3 +55,41 @@ def test_run_and_edges(spark, sf, edge_docs, empty_docs):
     once = P.near_duplicates(spark, edge_docs, sf).collect()
     assert [r.doc_id for r in once].count(8) == 1 and [r.doc_id for r in once].count(9) == 2
     assert {1, 2, 3} <= {r.doc_id for r in once}
+
+
+def test_rows_without_an_id(spark, sf):
+    """They are rejected, deduplicated, decontaminated and masked like any other."""
+    rows = spark.read.parquet(f"{sf}/documents.parquet").filter("text is not null and length(text) > 400").orderBy("doc_id")
+    text = rows.first().text
+    item = spark.read.parquet(f"{sf}/benchmark.parquet").orderBy("item_id").first().text
+    secret = "password = 'abcdefgh1234' and more words"
+    make = lambda data: spark.createDataFrame(data, rows.schema)
+
+    copies = make([(None, text, "en", "a", 1), (None, text, "en", "a", 1), (None, text, "fr", "b", 1), (7, text, "en", "c", 1),
+                   (None, "alone here", "en", "a", 1), (None, "alone here", "en", "b", 1)])
+    kept = P.near_duplicates(spark, copies, sf)
+    assert kept.columns == copies.columns
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == [("7", text), ("None", "alone here")]
+
+    leaks_ = make([(None, f"before {item} after", "en", "a", 1), (None, text, "en", "a", 1), (8, item, "en", "a", 1)])
+    assert [(r.doc_id, r.text) for r in P.decontaminate(spark, leaks_, sf).collect()] == [(None, text)]
+
+    hidden = P.secrets(spark, make([(None, secret, "en", "a", 1)]), sf).collect()
+    assert P.MASK in hidden[0].text and hidden[0].doc_id is None
+
+    larger = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{larger}/documents.parquet")
+    bad = {r.doc_id for r in spark.read.parquet(f"{larger}/labels.parquet").filter("quality = 0").collect()}
+    worst = docs.filter(docs.doc_id.isin(sorted(bad)[:5]))
+    nameless = worst.selectExpr("CAST(NULL AS BIGINT) AS doc_id", "text", "lang", "source", "n_chars")
+    out = P.quality(spark, docs.unionByName(nameless), larger)
+    assert out.filter("doc_id IS NULL").count() <= 1
+
+
+def test_run_leaves_only_its_last_table(spark, sf):
+    import os
+    root = P.ensure_checkpoint_dir(spark).removeprefix("file:")
+    before = {d for d in os.listdir(root) if d.startswith("pipeline-")}
+    P.run(spark, sf).count()
+    new = [d for d in os.listdir(root) if d.startswith("pipeline-") and d not in before]
+    assert len(new) == 1 and os.listdir(f"{root}/{new[0]}") == ["4-pack"]
