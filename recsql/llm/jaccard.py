@@ -382,7 +382,7 @@ def jaccard_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """(doc_id, n_shingles, component_id) for every row: the size of its set
     and the smallest id reachable by links."""
     spark = docs.sparkSession
-    scratch = Scratch(spark)
+    scratch = Scratch(spark, batch_rows=1024)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     outline = scratch.write(src.mapInArrow(
         _outline(n, num, den), "doc_id long, n_shingles long, node long, tiles array<long>, bits binary, probe binary"))

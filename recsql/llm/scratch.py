@@ -13,23 +13,37 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..session import ensure_checkpoint_dir, ship_package
 
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 class Scratch:
-    def __init__(self, spark: SparkSession):
+    def __init__(self, spark: SparkSession, batch_rows: int | None = None):
+        """``batch_rows``: rows of an Arrow batch in the steps written here, for
+        operators whose rows are large."""
         ship_package(spark)
+        self.settings = {_CLEANUP: "true"} | ({_BATCH: str(batch_rows)} if batch_rows else {})
         self.spark = spark
         self.root = f"{ensure_checkpoint_dir(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
         self.paths: list[str] = []
         self.count = 0
 
     def write(self, df: DataFrame) -> DataFrame:
-        # Spark removes the shuffle files of finished steps when the driver's JVM
-        # collects its garbage; asked for here, so that a long operator does not
-        # hold the files of all its steps at once.
+        # A step's shuffle files go with the step, so that a long operator does
+        # not hold the files of all its steps at once; those of other actions go
+        # when the driver's JVM collects its garbage.
         self.spark._jvm.System.gc()
         path = f"{self.root}/{self.count}"
         self.count += 1
-        df.write.parquet(path)
+        conf = self.spark.conf
+        before = {k: conf.get(k, None) for k in self.settings}
+        for k, v in self.settings.items():
+            conf.set(k, v)
+        try:
+            df.write.parquet(path)
+        finally:
+            for k, v in before.items():
+                conf.unset(k) if v is None else conf.set(k, v)
         self.paths.append(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
