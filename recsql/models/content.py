@@ -2,8 +2,8 @@
 
 Long sparse tables (item, term, weight) and (user, term, weight) are built with
 joins and aggregations; predictions join pairs to both on the term; ranking
-the whole catalogue for every user goes through the blocked scorer with dense
-vectors over the (small, checked) vocabulary."""
+the whole catalogue for every user goes through the blocked scorer with sparse
+vectors, so the vocabulary may have any size."""
 
 from __future__ import annotations
 
@@ -16,14 +16,12 @@ from ..functions.numeric import clip
 from ..functions.text import tokens
 from pyspark.sql import Window
 
-from ..plans.blocked import blocked_group_cover, blocked_topk, dense_vectors
+from ..plans.blocked import blocked_group_cover, blocked_topk, entries_to_vec, sparse_dot, sparse_rows, sparse_vectors
 from ..plans.ranking import broadcast_if_small, exclude_seen, global_positions, rank_in_group, topk
 from ..schemas import ITEM, RATING, USER
 from ..session import materialize
 from .popularity import global_mean, seen_pairs
 
-MAX_DENSE_DIM = 1 << 16  # vocabulary bound for dense block scoring
-
 EPS = 1e-9  # fixed value: norm guard of the reference formulas
 
 
@@ -111,24 +109,20 @@ def predict(m: ContentModel, pairs: DataFrame) -> DataFrame:
     return out.withColumn("prediction", pred).drop("cos", "_k", "mu")
 
 
-def _check_dim(dim: int):
-    if dim > MAX_DENSE_DIM:
-        raise ValueError(f"vocabulary of {dim} terms is too large for dense block scoring")
+def item_vectors(m: ContentModel) -> DataFrame:
+    """(item_id, vec) of every catalogue item; without terms an empty vector."""
+    v = sparse_vectors(m.item_vecs, ITEM)
+    return m.catalogue.join(v, ITEM, "left").select(ITEM, F.coalesce(F.col("vec"), _no_entries()).alias("vec"))
 
 
-def item_dense(m: ContentModel) -> DataFrame:
-    _check_dim(m.dim)
-    d = dense_vectors(m.item_vecs, ITEM, max(1, m.dim))
-    zero = F.array_repeat(F.lit(0.0), max(1, m.dim))
-    return m.catalogue.join(d, ITEM, "left").select(ITEM, F.coalesce(F.col("vec"), zero).alias("vec"))
+def user_vectors(m: ContentModel, users: DataFrame | None = None) -> DataFrame:
+    pu = m.profile_users if users is None else m.profile_users.join(users.select(USER).distinct(), USER, "left_semi")
+    v = sparse_vectors(m.profiles, USER)
+    return pu.join(v, USER, "left").select(USER, F.coalesce(F.col("vec"), _no_entries()).alias("vec"))
 
 
-def user_dense(m: ContentModel, users: DataFrame | None = None) -> DataFrame:
-    _check_dim(m.dim)
-    pu = m.profile_users if users is None else m.profile_users.join(users.select(USER).distinct(), USER, "left_semi")
-    d = dense_vectors(m.profiles, USER, max(1, m.dim))
-    zero = F.array_repeat(F.lit(0.0), max(1, m.dim))
-    return pu.join(d, USER, "left").select(USER, F.coalesce(F.col("vec"), zero).alias("vec"))
+def _no_entries():
+    return F.array().cast("array<double>")
 
 
 SIGNATURE_RATIO = 0.5  # use signatures when they collapse the catalogue at least 2x
@@ -142,17 +136,13 @@ def signatures(m: ContentModel) -> tuple[DataFrame, DataFrame, int]:
     cached = getattr(m, "_signatures", None)
     if cached is not None:
         return cached
-    key = (m.item_vecs.groupBy(ITEM).agg(F.array_sort(F.collect_list(F.struct("idx", "weight"))).alias("key")))
-    key = m.catalogue.join(key, ITEM, "left").select(
-        ITEM, F.coalesce("key", F.array().cast("array<struct<idx:bigint,weight:double>>")).alias("key"))
+    key = m.item_vecs.groupBy(ITEM).agg(F.array_sort(F.collect_list(
+        F.struct(F.col("idx").alias("i"), F.col("weight").alias("w")))).alias("entries"))
+    key = m.catalogue.join(key, ITEM, "left").select(ITEM, F.coalesce(entries_to_vec("entries"), _no_entries()).alias("key"))
     sig = key.groupBy("key").agg(F.min(ITEM).alias("group_id"), F.count(F.lit(1)).alias("size"))
     item_sig = materialize(rank_in_group(key.join(sig, "key").select(ITEM, "group_id", "size"),
                                          ["group_id"], [F.col(ITEM).asc()], rank_col="pos", size_col="_n").drop("_n"))
-    dim = max(1, m.dim)
-    vec = F.transform(F.sequence(F.lit(0), F.lit(dim - 1)), lambda i: F.coalesce(
-        F.element_at(F.map_from_entries(F.transform("key", lambda e: F.struct(e["idx"].cast("int"), e["weight"]))), i),
-        F.lit(0.0)))
-    sig_vecs = materialize(sig.select("group_id", vec.alias("vec"), "size"))
+    sig_vecs = materialize(sig.select("group_id", F.col("key").alias("vec"), "size"))
     m._signatures = (item_sig, sig_vecs, sig_vecs.count())
     return m._signatures
 
@@ -163,14 +153,14 @@ def recommend(m: ContentModel, users: DataFrame, k: int = 10) -> DataFrame:
     Scores users x distinct item vectors (signatures) when those collapse the
     catalogue, then expands only the first unseen items of the signatures a
     user needs; otherwise scores users x items in blocks."""
-    return rank_catalogue(m, user_dense(m, users), m.seen, k)
+    return rank_catalogue(m, user_vectors(m, users), m.seen, k)
 
 
 def rank_catalogue(m: ContentModel, uv: DataFrame, seen: DataFrame, k: int) -> DataFrame:
     """Top-k catalogue items per (user_id, vec) row by cosine, minus ``seen``."""
     item_sig, sig_vecs, n_sigs = signatures(m)
     if n_sigs > SIGNATURE_RATIO * m.n_items:
-        return blocked_topk(uv, item_dense(m), seen, k, n_items=m.n_items)
+        return blocked_topk(uv, item_vectors(m), seen, k, score_fn=sparse_dot, n_items=m.n_items, pack=sparse_rows())
     seen_sig = seen.join(uv.select(USER), USER, "left_semi").join(item_sig.select(ITEM, "group_id"), ITEM)
     seen_counts = seen_sig.groupBy(USER, "group_id").agg(F.count(F.lit(1)).alias("n_seen"))
     cand = blocked_group_cover(uv, sig_vecs, seen_counts, k, n_groups=n_sigs)
@@ -206,9 +196,8 @@ def recommend_for_preferences(m: ContentModel, prefs: DataFrame, k: int = 10,
     """M13 for a batch of preference profiles: cosine top-k minus ``exclude``
     (profile_id, item_id); profiles without a usable vector get ``fallback``
     (a global (rank, item_id, score) list, e.g. popularity)."""
-    _check_dim(m.dim)
     pv = preference_vectors(m, prefs)
-    uv = dense_vectors(pv.withColumnRenamed("profile_id", USER), USER, max(1, m.dim))
+    uv = sparse_vectors(pv.withColumnRenamed("profile_id", USER), USER)
     if exclude is None:
         seen = prefs.sparkSession.createDataFrame([], f"{USER} long, {ITEM} long")
     else:

@@ -15,7 +15,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..plans.blocked import blocked_topk, blocked_user_stats, dense_vectors
+from ..plans.blocked import SparseRows, blocked_topk, blocked_user_stats, sparse_dot, sparse_rows, sparse_vectors
 from ..schemas import ITEM, USER
 from . import content, mf
 from ..session import materialize
@@ -51,29 +51,28 @@ def predict(m: HybridModel, pairs: DataFrame) -> DataFrame:
 
 def _vectors(m: HybridModel, users: DataFrame):
     k = int(m.cf.params["n_factors"])
-    d = max(1, m.content.dim)
     u = users.select(USER).distinct()
     cfu = m.cf.users.select(USER, F.concat(F.col("vec"), F.array(F.lit(1.0), F.lit(m.mu) + F.col("bias"))).alias("_c"))
-    ctu = dense_vectors(m.content.profiles, USER, d).withColumnRenamed("vec", "_t")
+    ctu = sparse_vectors(m.content.profiles, USER).withColumnRenamed("vec", "_t")
     zc = F.concat(F.array_repeat(F.lit(0.0), k), F.array(F.lit(1.0), F.lit(m.mu)))
-    zt = F.array_repeat(F.lit(0.0), d)
+    zt = F.array().cast("array<double>")
     uv = (u.join(cfu, USER, "left").join(ctu, USER, "left")
           .select(USER, F.concat(F.coalesce("_c", zc), F.coalesce("_t", zt)).alias("vec")))
     cands = m.cf.items.select(ITEM).unionByName(m.content.catalogue.select(ITEM)).distinct()
     cfi = m.cf.items.select(ITEM, F.concat(F.col("vec"), F.array(F.col("bias"), F.lit(1.0))).alias("_c"))
-    cti = content.item_dense(m.content).withColumnRenamed("vec", "_t")
+    cti = content.item_vectors(m.content).withColumnRenamed("vec", "_t")
     zci = F.array_repeat(F.lit(0.0), k + 2)
     iv = (cands.join(cfi, ITEM, "left").join(cti, ITEM, "left")
           .select(ITEM, F.concat(F.coalesce("_c", zci), F.coalesce("_t", zt)).alias("vec")))
-    return uv, iv, k + 2, d
+    return uv, iv, k + 2
 
 
 def _sides(kc: int, mu: float):
-    def cf(U, I):
-        return np.clip(U[:, :kc] @ I[:, :kc].T, 1.0, 5.0)
+    def cf(U: SparseRows, I: SparseRows):
+        return np.clip(U.dense[:, -kc:] @ I.dense[:, -kc:].T, 1.0, 5.0)
 
-    def ct(U, I):
-        return np.clip(mu + U[:, kc:kc + (I.shape[1] - kc)] @ I[:, kc:].T, 1.0, 5.0)
+    def ct(U: SparseRows, I: SparseRows):
+        return np.clip(mu + sparse_dot(U, I), 1.0, 5.0)
     return cf, ct
 
 
@@ -83,7 +82,7 @@ def _mm(S, lo, hi):
 
 
 def recommend(m: HybridModel, users: DataFrame, k: int = 10) -> DataFrame:
-    uv, iv, kc, _ = _vectors(m, users)
+    uv, iv, kc = _vectors(m, users)
     uv, iv = materialize(uv), materialize(iv)  # used by both passes
     n_items = iv.count()
     cf, ct = _sides(kc, m.mu)
@@ -91,13 +90,14 @@ def recommend(m: HybridModel, users: DataFrame, k: int = 10) -> DataFrame:
     def both(U, I):
         return [cf(U, I), ct(U, I)]
     both.n_outputs = 2
-    st = blocked_user_stats(uv, iv, both, n_items=n_items)  # one pass for both sides' min/max
-    uvs = uv.join(st, USER).select(USER, F.concat("vec", F.array("lo0", "hi0", "lo1", "hi1")).alias("vec"))
+    st = blocked_user_stats(uv, iv, both, n_items=n_items, pack=sparse_rows(kc))  # one pass for both sides' min/max
+    uvs = uv.join(st, USER).select(USER, F.concat(F.array("lo0", "hi0", "lo1", "hi1"), "vec").alias("vec"))
     alpha = m.alpha
 
-    def fused(U, I):
-        base = U[:, :-4]
-        lo1, hi1, lo2, hi2 = U[:, -4], U[:, -3], U[:, -2], U[:, -1]
-        return alpha * _mm(cf(base, I), lo1, hi1) + (1 - alpha) * _mm(ct(base, I), lo2, hi2)
+    def fused(U: SparseRows, I: SparseRows):
+        lo1, hi1, lo2, hi2 = U.dense[:, :4].T
+        return alpha * _mm(cf(U, I), lo1, hi1) + (1 - alpha) * _mm(ct(U, I), lo2, hi2)
 
-    return blocked_topk(uvs, iv, m.cf.seen, k, score_fn=fused, n_items=n_items)
+    # Both sides of a block have the same number of leading values.
+    ivs = iv.select(ITEM, F.concat(F.array_repeat(F.lit(0.0), 4), "vec").alias("vec"))
+    return blocked_topk(uvs, ivs, m.cf.seen, k, score_fn=fused, n_items=n_items, pack=sparse_rows(kc + 4))

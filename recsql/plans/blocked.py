@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
@@ -132,20 +133,64 @@ def _row_topk(key: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
     return r[keep], c[keep]
 
 
-def _split(pdf: pd.DataFrame):
+def _stack(vecs: list):
+    return np.stack(vecs) if len(vecs) else np.zeros((0, 0))
+
+
+@dataclass
+class SparseRows:
+    """Rows of ``dense`` leading values each, followed by sparse entries."""
+    dense: np.ndarray
+    row: np.ndarray
+    idx: np.ndarray
+    val: np.ndarray
+
+
+def sparse_rows(dense: int = 0):
+    """Packs vectors written by ``sparse_vectors`` behind ``dense`` plain values."""
+    def pack(vecs: list) -> SparseRows:
+        n = np.array([(len(v) - dense) // 2 for v in vecs], dtype=np.int64)
+        flat = [np.asarray(v, dtype=np.float64) for v in vecs]
+        none = [np.zeros(0)]
+        return SparseRows(np.stack([v[:dense] for v in flat]) if flat else np.zeros((0, dense)),
+                          np.repeat(np.arange(len(vecs)), n),
+                          np.concatenate([v[dense:dense + c] for v, c in zip(flat, n, strict=True)] + none).astype(np.int64),
+                          np.concatenate([v[dense + c:] for v, c in zip(flat, n, strict=True)] + none))
+    return pack
+
+
+def sparse_dot(U: SparseRows, I: SparseRows) -> np.ndarray:
+    """All inner products of the sparse parts, read term by term from the
+    entries of both sides into one accumulator of the block's size, so that
+    memory does not depend on how many terms there are."""
+    return _sparse_tile(U.idx, U.row, U.val, I.idx, I.row, I.val, len(U.dense), len(I.dense))
+
+
+def sparse_vectors(sparse: DataFrame, key: str, idx: str = "idx", val: str = "weight") -> DataFrame:
+    """(key, idx, weight) long rows -> (key, vec): the indexes, then the weights,
+    in order of the indexes (doubles hold indexes up to 2^53 exactly)."""
+    m = sparse.groupBy(key).agg(F.array_sort(F.collect_list(F.struct(F.col(idx).alias("i"), F.col(val).alias("w")))).alias("_m"))
+    return m.select(key, entries_to_vec("_m").alias("vec"))
+
+
+def entries_to_vec(col: str):
+    return F.concat(F.transform(col, lambda e: e["i"].cast("double")), F.transform(col, lambda e: e["w"]))
+
+
+def _split(pdf: pd.DataFrame, pack: Callable = _stack):
     u = pdf[pdf.kind == "U"].sort_values("uid")
     i = pdf[pdf.kind == "I"].sort_values("iid")
     s = pdf[pdf.kind == "S"]
-    U = np.stack(u.vec.to_numpy()) if len(u) else np.zeros((0, 0))
-    I = np.stack(i.vec.to_numpy()) if len(i) else np.zeros((0, 0))
+    U, I = pack(list(u.vec)), pack(list(i.vec))
     return u.uid.to_numpy(np.int64), U, i.iid.to_numpy(np.int64), I, s
 
 
 def blocked_topk(user_vecs: DataFrame, item_vecs: DataFrame, seen: DataFrame | None, k: int,
                  score_fn: Callable[[np.ndarray, np.ndarray], np.ndarray] = _dot,
                  n_users: int | None = None, n_items: int | None = None,
-                 user_block: int = USER_BLOCK, item_block: int = ITEM_BLOCK) -> DataFrame:
-    """Top-k unseen items per user by ``score_fn(U, I)`` (default: dot product).
+                 user_block: int = USER_BLOCK, item_block: int = ITEM_BLOCK, pack: Callable = _stack) -> DataFrame:
+    """Top-k unseen items per user by ``score_fn(U, I)`` (default: dot product);
+    ``pack`` turns a block's vectors into what ``score_fn`` takes.
 
     user_vecs: (user_id, vec array<double>); item_vecs: (item_id, vec);
     seen: (user_id, item_id) or None. Returns (user_id, rank, item_id, score)
@@ -156,7 +201,7 @@ def blocked_topk(user_vecs: DataFrame, item_vecs: DataFrame, seen: DataFrame | N
     kk = int(k)
 
     def score_block(pdf: pd.DataFrame) -> pd.DataFrame:
-        uids, U, iids, I, s = _split(pdf)
+        uids, U, iids, I, s = _split(pdf, pack)
         if len(uids) == 0 or len(iids) == 0:
             return pd.DataFrame({"user_id": [], "item_id": [], "score": []})
         S = np.asarray(score_fn(U, I), dtype=np.float64)
@@ -179,7 +224,7 @@ def blocked_topk(user_vecs: DataFrame, item_vecs: DataFrame, seen: DataFrame | N
 def blocked_user_stats(user_vecs: DataFrame, item_vecs: DataFrame,
                        score_fn: Callable[[np.ndarray, np.ndarray], np.ndarray] = _dot,
                        n_users: int | None = None, n_items: int | None = None,
-                       user_block: int = USER_BLOCK, item_block: int = ITEM_BLOCK) -> DataFrame:
+                       user_block: int = USER_BLOCK, item_block: int = ITEM_BLOCK, pack: Callable = _stack) -> DataFrame:
     """Per-user min and max of ``score_fn`` over *all* items (partial per block,
     combined with a min/max aggregation). ``score_fn`` may return a list of
     score matrices; the columns are then lo0, hi0, lo1, hi1, ..."""
@@ -191,7 +236,7 @@ def blocked_user_stats(user_vecs: DataFrame, item_vecs: DataFrame,
     names = ["user_id"] + [f"{p}{j}" for j in range(n_out) for p in ("lo", "hi")]
 
     def stats_block(pdf: pd.DataFrame) -> pd.DataFrame:
-        uids, U, iids, I, _ = _split(pdf)
+        uids, U, iids, I, _ = _split(pdf, pack)
         if len(uids) == 0 or len(iids) == 0:
             return pd.DataFrame({c: [] for c in names})
         res = score_fn(U, I)
@@ -211,13 +256,6 @@ def blocked_user_stats(user_vecs: DataFrame, item_vecs: DataFrame,
     return out.withColumnRenamed("lo0", "lo").withColumnRenamed("hi0", "hi") if n_out == 1 else out
 
 
-def dense_vectors(sparse: DataFrame, key: str, dim: int, idx: str = "idx", val: str = "weight") -> DataFrame:
-    """(key, idx, weight) long rows -> (key, vec array<double> of length dim)."""
-    m = sparse.groupBy(key).agg(F.map_from_entries(F.collect_list(F.struct(F.col(idx).cast("int"), F.col(val)))).alias("_m"))
-    return m.select(key, F.transform(F.sequence(F.lit(0), F.lit(dim - 1)),
-                                     lambda i: F.coalesce(F.element_at("_m", i), F.lit(0.0))).alias("vec"))
-
-
 GRAM_ITEM_BLOCK = 2048
 GRAM_PAIRS_PER_SLICE = 4_000_000
 
@@ -370,7 +408,8 @@ def blocked_group_cover(user_vecs: DataFrame, group_vecs: DataFrame, seen_counts
                         user_block: int | None = None, item_block: int | None = None) -> DataFrame:
     """Candidate groups per user for a top-k over items that share a group score.
 
-    group_vecs: (group_id, vec, size); seen_counts: (user_id, group_id, n_seen).
+    user_vecs and group_vecs: (user_id, vec) and (group_id, vec, size) with
+    vectors of ``sparse_vectors``; seen_counts: (user_id, group_id, n_seen).
     For each user and block of groups, the best-scoring groups whose unseen
     items cover k (plus every group tied with the last one) leave the task as
     (user_id, group_id, score, unseen). The global cover is a superset-safe
@@ -401,7 +440,8 @@ def blocked_group_cover(user_vecs: DataFrame, group_vecs: DataFrame, seen_counts
         if uu.empty or gg.empty:
             return empty
         uids, gids = uu.uid.to_numpy(np.int64), gg.iid.to_numpy(np.int64)
-        S = np.stack(uu.vec.to_numpy()) @ np.stack(gg.vec.to_numpy()).T
+        pack = sparse_rows()
+        S = sparse_dot(pack(list(uu.vec)), pack(list(gg.vec)))
         unseen = np.tile(gg.n.to_numpy(np.float64), (len(uids), 1))
         if len(ss):
             su, sg = ss.uid.to_numpy(np.int64), ss.iid.to_numpy(np.int64)

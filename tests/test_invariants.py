@@ -249,12 +249,41 @@ def test_content_signatures_equal_item_scoring(spark, small, monkeypatch):
     m = content.fit(tr, items)
     users = tr.select("user_id").distinct().filter(F.col("user_id") % 3 == 0)
     sig = content.recommend(m, users, 10)
-    ref = blocked.blocked_topk(content.user_dense(m, users), content.item_dense(m), m.seen, 10,
+    ref = blocked.blocked_topk(content.user_vectors(m, users), content.item_vectors(m), m.seen, 10,
+                               score_fn=blocked.sparse_dot, pack=blocked.sparse_rows(),
                                n_items=m.n_items, user_block=16, item_block=64)
     key = lambda df: sorted((x.user_id, x.rank, x.item_id) for x in df.collect())
     assert key(sig) == key(ref)
 
 
+def test_content_ranks_over_200_000_terms(spark):
+    """No bound on the vocabulary: equal to cosines from plain dictionaries."""
+    n_items, n_terms = 1100, 200
+    terms = {i: [f"t{i}x{j}" for j in range(n_terms)] + [f"s{i % 7}", f"s{i % 11}"] for i in range(n_items)}
+    items = spark.createDataFrame([(i, f"Title {i} (1990)", "|".join(t)) for i, t in terms.items()],
+                                  "item_id long, title string, genres string")
+    liked = {u: [(37 * u + 101 * j) % n_items for j in range(4)] for u in range(12)}
+    train = spark.createDataFrame([(u, i, 5, 100 + j) for u, x in liked.items() for j, i in enumerate(x)],
+                                  "user_id long, item_id long, rating int, timestamp long")
+    m = content.fit(train, items)
+    assert m.dim > 200_000
+    weights: dict = {}
+    for r in m.item_vecs.collect():
+        weights.setdefault(r.item_id, {})[r.term] = r.weight
+    got: dict = {}
+    for r in content.recommend(m, train.select("user_id").distinct(), 10).collect():
+        got.setdefault(r.user_id, []).append((r.rank, r.item_id))
+    for u, x in liked.items():
+        profile: dict = {}
+        for i in x:
+            for t, w in weights[i].items():
+                profile[t] = profile.get(t, 0.0) + w / len(x)
+        norm = sum(v * v for v in profile.values()) ** 0.5 + content.EPS
+        score = {i: round(sum(w * profile[t] / norm for t, w in weights[i].items() if t in profile), 9)
+                 for i in terms if i not in x}
+        assert [i for _, i in sorted(got[u])] == sorted(score, key=lambda i: (-score[i], i))[:10]
+
+
 def test_als_half_step_exact(spark):
     """One ALS half-step (heavy ids pre-aggregated map side, light ids shipped
     raw) equals solving (Q^T Q + reg I) p = Q^T t per user with NumPy."""

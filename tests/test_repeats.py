@@ -126,7 +126,7 @@ def test_plans_before_a_write(ctx):
     flows = {"similarities": itemcf.similarities(ctx.train, 150, 200, 5000), "scores": itemcf.scores(m, users),
              "unseen": exclude_seen(itemcf.scores(m, users), m.train.select("user_id", "item_id")),
              "popularity": popularity.recommend(ctx.model("popularity"), users, 10),
-             "content": content.rank_catalogue(ctx.model("content"), content.user_dense(ctx.model("content"), users),
+             "content": content.rank_catalogue(ctx.model("content"), content.user_vectors(ctx.model("content"), users),
                                                ctx.model("content").seen, 10)}
     for name, df in flows.items():
         plan = df._jdf.queryExecution().executedPlan().toString()
