@@ -1,13 +1,17 @@
 """Quality (held-out accuracy), toxicity (held-out accuracy), their edges."""
 
+import math
+
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 from pyspark.sql import functions as F
 
 from recsql.llm import quality as Q
 from recsql.llm import toxicity as T
 from recsql.llm.queries import held_out
+from recsql.llm.scratch import Scratch
 
 LARGER = "/root/testdata/sf0.01"
 
@@ -94,7 +98,7 @@ def test_windows_and_saved_bytes():
     assert T.windows(None) == T.windows("") == T.windows(" \n") == []
     assert len(T.windows("w " * 25)) == 3
     base, toxic = T.train_dictionaries([b" a calm and friendly text here "] * 50, [
-        f" {w} horridword sits {w}{w} in here ".encode() for w in ("alpha", "beta", "gamma", "delta", "epsi")] * 4, 20)
+        f" {w} horridword sits {w}{w} in here ".encode() for w in ("alpha", "beta", "gamma", "delta", "epsi")] * 4)
     distance = T.Distance(base, toxic)
     assert distance.features("you horridword sits there")[0] > 3
     assert distance.features("a calm and friendly text")[0] <= 0
@@ -104,6 +108,33 @@ def test_windows_and_saved_bytes():
 def test_toxic_wording_that_ordinary_windows_also_have(times):
     ordinary = [f" calm text {k} {'reeuword' if k % 100 == 0 else 'friendly'} here ".encode() for k in range(500)] * times
     toxic = [f" {w} reeuword sits here ".encode() for w in ("alpha", "beta", "gamma", "delta", "epsi")] * 20 * times
-    base, content = T.train_dictionaries(ordinary, toxic, 100 * times)
+    base, content = T.train_dictionaries(ordinary, toxic)
     assert content.endswith(base) and b"reeuword" in content[:len(content) - len(base)]
     assert b"here" not in content[:len(content) - len(base)]
+
+
+def test_toxicity_scores_by_brute_force(spark):
+    """Every score again from the dictionaries: one plain compressor a window."""
+    docs = spark.read.parquet(f"{LARGER}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{LARGER}/labels.parquet").filter(~held_out(5, 0))
+    shared, calibration = T.fit_toxicity(docs, labels, Scratch(spark))
+    got = {r.doc_id: r.score for r in T.score_toxicity(docs, labels).collect()}
+    params = zstandard.ZstdCompressionParameters(
+        window_log=16, hash_log=15, chain_log=15, search_log=4, min_match=4, strategy=zstandard.STRATEGY_LAZY2,
+        write_checksum=False, write_content_size=False, write_dict_id=False)
+    rows = docs.orderBy("doc_id").collect()[::90]
+
+    def size(content: bytes, window: bytes) -> int:
+        raw = zstandard.ZstdCompressionDict(b" " * (T.BASE_BYTES + T.TOXIC_BYTES - len(content)) + content,
+                                            dict_type=zstandard.DICT_TYPE_RAWCONTENT)
+        return len(zstandard.ZstdCompressor(compression_params=params, dict_data=raw).compress(window))
+
+    for r in rows:
+        words = r.text.lower().split() if r.text else []
+        parts = [(" " + " ".join(words[i:i + 10]) + " ").encode() for i in range(0, len(words), 10)]
+        saved = sorted((size(shared.value[0], w) - size(shared.value[1], w) for w in parts), reverse=True)
+        x = [max(-4, min(24, s)) for s in saved[:3]] + [0] * max(0, 3 - len(saved))
+        hits = [sum(s >= t for s in saved) for t in (1, 2, 3, 4, 6)]
+        x += [math.log(1 + h) for h in hits] + [h / max(1, len(saved)) for h in hits] + [math.log(1 + len(saved))]
+        z = sum(w * (v - m) / s for w, v, m, s in zip(calibration.w, x, calibration.mean, calibration.scale)) + calibration.w[-1]
+        assert got[r.doc_id] == pytest.approx(1 / (1 + math.exp(-max(-30, min(30, z)))), abs=1e-9)
