@@ -60,8 +60,14 @@ class Scratch:
         return out
 
 
-def checked_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+def checked_broadcast(df: DataFrame, max_rows: int = 100_000, max_bytes: int | None = None) -> DataFrame:
     """Hint a broadcast only after the row count is known to be at most
-    ``max_rows``; a larger side keeps the planner's shuffle join."""
+    ``max_rows`` and, where given, the bytes of its columns at most
+    ``max_bytes``; a larger side keeps the planner's shuffle join."""
     from pyspark.sql import functions as F
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    if max_bytes is None:
+        return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+    size = sum((F.coalesce(F.octet_length(f.name), F.lit(0)) if f.dataType.typeName() in ("string", "binary") else F.lit(8)
+                for f in df.schema), F.lit(0))
+    have = df.agg(F.count("*").alias("n"), F.sum(size.cast("long")).alias("bytes")).first()
+    return F.broadcast(df) if have["n"] <= max_rows and (have["bytes"] or 0) <= max_bytes else df
