@@ -4,7 +4,7 @@ of the operators: self-joins, windows and recursion over whole texts."""
 from __future__ import annotations
 
 from .rules import ROUNDS, RULES, START_BAD, START_GOOD, START_PRIOR
-from .secrets import ACCESS, ASSIGN, HEX, MIXED, VARIED, WIDELY
+from .secrets import ACCESS, ASSIGN, HEX, MIXED, SPREAD, VARIED, WIDELY
 
 WORDS = r"list_filter(regexp_split_to_array({t}, '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
@@ -86,7 +86,7 @@ h AS (SELECT r, owner, repo, kind, CAST(x.s AS BIGINT) AS s, CAST(x.s + length(x
              CASE WHEN kind = 0 THEN regexp_extract(x.m, """ + quoted(ASSIGN) + r""", 2) ELSE x.m END AS v FROM f),
 k AS MATERIALIZED (SELECT * FROM h WHERE (kind <> 0 OR length(v) >= 8)
       AND (kind <> 3 OR (regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]')))),
-verdict AS (SELECT v, count(DISTINCT owner) >= """ + f"{WIDELY} AS example, count(DISTINCT owner) < {WIDELY} " + r"""
+verdict AS (SELECT v, count(DISTINCT repo) AS n_repos, count(DISTINCT owner) >= """ + f"{WIDELY} OR count(DISTINCT repo) >= {SPREAD} AS example, NOT example " + r"""
       AND len(list_distinct(string_split(v, ''))) >= """ + f"{VARIED}" + r""" AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Za-z]') AS live
       FROM k GROUP BY v),
 b AS (SELECT * FROM k WHERE kind < 3),
@@ -97,10 +97,10 @@ names AS (SELECT r, s, kind, e, ['assign', 'access', 'hex', 'owned'][kind + 1] |
 spans AS (SELECT r, string_agg(span, ',' ORDER BY s, kind) AS spans, string_agg(CASE WHEN kind < 3 THEN span END, ',' ORDER BY s, kind) AS base
           FROM names GROUP BY r),
 counts AS (SELECT r, count(*) FILTER (kind = 0) AS n0, count(*) FILTER (kind = 1) AS n1, count(*) FILTER (kind = 2) AS n2,
-           count(*) FILTER (example) AS n_examples, count(*) FILTER (live) AS n_live FROM b JOIN verdict USING (v) GROUP BY r)
+           count(*) FILTER (example) AS n_examples, count(*) FILTER (live) AS n_live, max(n_repos) AS max_repos FROM b JOIN verdict USING (v) GROUP BY r)
 SELECT t.doc_id, coalesce(n0, 0) AS n_assign, coalesce(n1, 0) AS n_access, coalesce(n2, 0) AS n_hex,
        sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
-       coalesce(n_examples, 0) AS n_examples, coalesce(n_live, 0) AS n_live
+       coalesce(n_examples, 0) AS n_examples, coalesce(n_live, 0) AS n_live, coalesce(max_repos, 0) AS max_repos
 FROM t LEFT JOIN spans ON spans.r = t.r LEFT JOIN counts ON counts.r = t.r
 """
 

@@ -102,7 +102,7 @@ GROUP BY item_id, doc_id, item_shingles HAVING count(*) * 100 >= item_shingles *
 def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_secrets(table(spark, sf_dir, "documents")).select(
         "doc_id", "n_assign", "n_access", "n_hex", F.sha2("base_spans", 256).alias("base_sha256"), "spans",
-        "n_examples", "n_live")
+        "n_examples", "n_live", "max_repos")
 
 
 QUERIES["op4_secrets"] = op4_secrets

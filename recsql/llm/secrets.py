@@ -10,21 +10,22 @@ Ownership. Every value found, and every long mixed token (``[A-Za-z0-9+/_=-]``,
 whole corpus each candidate's hash is counted by distinct repositories and
 distinct owners; both are reduced to distinct pairs before and after the
 shuffle, so a value copied into a third of all rows costs one row per task and
-owner. A candidate held by ``WIDELY`` or more owners is a widely copied
-example. Others are owner-specific, and live-looking when their characters are
-varied. Live-looking tokens that no base match covers become spans of kind
+owner. A candidate held by ``WIDELY`` or more owners, or in ``SPREAD`` or more
+repositories of fewer owners (a sample file that one owner copies along), is a
+widely copied example. Others are owner-specific, and live-looking when their
+characters are varied. Live-looking tokens that no base match covers become spans of kind
 ``owned``; base spans always stay.
 
 Offsets are code points, end exclusive. A span is kind:start:end.
 
 Defined results: a null or empty text has no span (empty strings, the digest of
 the empty string); repeated rows keep one output row each; a null owner or
-repository counts as one of its own; an empty table gives no rows; columns
+repository counts as one of its own; a null id is kept; an empty table gives no rows; columns
 other than id, text, owner and repository are ignored."""
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .scratch import Scratch, checked_broadcast
@@ -36,7 +37,7 @@ HEX = r"[0-9a-f]{32,}"
 KINDS = ("assign", "access", "hex", "owned")
 MIXED = 20
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
-WIDELY = 3
+WIDELY, SPREAD = 3, 6  # owners, repositories
 VARIED = 8  # distinct characters of a live-looking value
 
 
@@ -102,16 +103,35 @@ def ownership(candidates: DataFrame) -> DataFrame:
     repos = pairs.groupBy("h").agg(F.count("*").alias("n_repos"), F.min("v").alias("v"))
     owners = pairs.select("h", "owner").distinct().groupBy("h").agg(F.count("*").alias("n_owners"))
     varied = F.size(F.array_distinct(F.split("v", "")))
+    copied = (F.col("n_owners") >= WIDELY) | (F.col("n_repos") >= SPREAD)
     return repos.join(owners, "h").select(
-        "h", "n_owners", "n_repos", (F.col("n_owners") >= WIDELY).alias("example"),
-        ((F.col("n_owners") < WIDELY) & (varied >= VARIED) & F.col("v").rlike("[0-9]") & F.col("v").rlike("[A-Za-z]")).alias("live"))
+        "h", "n_owners", "n_repos", copied.alias("example"),
+        (~copied & (varied >= VARIED) & F.col("v").rlike("[0-9]") & F.col("v").rlike("[A-Za-z]")).alias("live"))
+
+
+def _marked(found: str, is_value: bool) -> Column:
+    return F.transform(found, lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["v"].alias("v"),
+                                                 F.lit(is_value).alias("is_value")))
+
+
+def _uncovered(each: DataFrame) -> DataFrame:
+    """Adds ``free``: a token that overlaps no base match of its text. Two sorted
+    sweeps over a text's matches: the furthest end of the base matches that start
+    at or before it, the nearest start of those after."""
+    up = Window.partitionBy("row").orderBy("s").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    down = Window.partitionBy("row").orderBy(F.desc("s")).rangeBetween(Window.unboundedPreceding, -1)
+    reach, following = F.max(F.when(F.col("is_value"), F.col("e"))).over(up), F.min(F.when(F.col("is_value"), F.col("s"))).over(down)
+    swept = each.withColumn("reach", reach).withColumn("following", following)
+    return swept.withColumn("free", ~F.col("is_value") & F.coalesce(F.col("reach") <= F.col("s"), F.lit(True))
+                            & F.coalesce(F.col("following") >= F.col("e"), F.lit(True))).drop("reach", "following")
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
                  repo_cols: tuple[str, ...] = ("source", "lang")) -> DataFrame:
     """doc_id, a hash of the text, counts of the base kinds, base and all spans
     as strings, and per row the number of its values that are widely copied
-    examples and that are live-looking."""
+    examples and that are live-looking, and the most repositories that hold one
+    of them."""
     scratch = Scratch(docs.sparkSession)
     src = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"),
                       F.coalesce(F.col(owner_col).cast("string"), F.lit("")).alias("owner"),
@@ -124,19 +144,15 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "doc_id", F.xxhash64("t").alias("text_hash"), "owner", "repo", F.size("assign").cast("long").alias("n_assign"), F.size("access").cast("long").alias("n_access"),
         F.size("hex").cast("long").alias("n_hex"), base.alias("base"), values.alias("vals"), "tokens")
         .withColumn("row", F.monotonically_increasing_id()))
-    each = rows.filter("size(vals) + size(tokens) > 0").select(
-        "row", "owner", "repo", "base", F.explode(F.concat(
-            F.transform("vals", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["v"].alias("v"), F.lit(False).alias("free"))),
-            F.transform("tokens", lambda x: F.struct(x["s"].alias("s"), x["e"].alias("e"), x["v"].alias("v"), F.lit(True).alias("free")))))
-        .alias("x"))
-    each = each.select("row", "owner", "repo", F.col("x.v").alias("v"), F.col("x.s").alias("s"), F.col("x.e").alias("e"),
-                       (F.col("x.free") & ~F.exists("base", lambda b: (b["s"] < F.col("x.e")) & (F.col("x.s") < b["e"]))).alias("free"),
-                       (~F.col("x.free")).alias("is_value"))
+    found = F.concat(_marked("vals", True), _marked("tokens", False))
+    each = scratch.write(_uncovered(rows.filter("size(vals) + size(tokens) > 0").select(
+        "row", "owner", "repo", F.explode(found).alias("x")).select("row", "owner", "repo", "x.*")))
     verdicts = scratch.write(ownership(each.select("v", "owner", "repo")))
     judged = each.withColumn("h", F.sha2("v", 256)).join(verdicts, "h")
     more = judged.groupBy("row").agg(
         F.sort_array(F.collect_set(F.when(F.col("free") & F.col("live"), F.struct(
             F.col("s"), F.lit(3).alias("k"), F.col("e"))))).alias("owned"),
+        F.max(F.when(F.col("is_value"), F.col("n_repos"))).alias("max_repos"),
         F.sum((F.col("is_value") & F.col("example")).cast("long")).alias("n_examples"),
         F.sum((F.col("is_value") & F.col("live")).cast("long")).alias("n_live"))
     none = F.array().cast("array<struct<s:int,k:int,e:int>>")
@@ -144,7 +160,8 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         "doc_id", "text_hash", "n_assign", "n_access", "n_hex", _joined(F.col("base")).alias("base_spans"),
         _joined(F.concat("base", F.coalesce("owned", none))).alias("spans"),
         F.coalesce("n_examples", F.lit(0).cast("long")).alias("n_examples"),
-        F.coalesce("n_live", F.lit(0).cast("long")).alias("n_live")))
+        F.coalesce("n_live", F.lit(0).cast("long")).alias("n_live"),
+        F.coalesce("max_repos", F.lit(0).cast("long")).alias("max_repos")))
 
 
 def masked_texts(docs: DataFrame, mask: str, id_col: str = "doc_id", text_col: str = "text", size_col: str = "n_chars",
@@ -164,7 +181,7 @@ def masked_texts(docs: DataFrame, mask: str, id_col: str = "doc_id", text_col: s
 
     masked = F.aggregate(cut, start, step, lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
     kept = docs.columns
-    joined = docs.join(checked_broadcast(found), (F.col(id_col).cast("long").eqNullSafe(F.col("_id")))
+    joined = docs.join(checked_broadcast(found, max_bytes=32 << 20), (F.col(id_col).cast("long").eqNullSafe(F.col("_id")))
                        & (F.xxhash64(F.coalesce(text, F.lit(""))) == F.col("_hash")), "left")
     out = joined.withColumn(text_col, F.when(F.col("_spans").isNotNull(), masked).otherwise(text))
     if size_col in kept:

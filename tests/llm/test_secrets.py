@@ -1,10 +1,11 @@
 import hashlib
+import random
 import re
 
 import pytest
 from pyspark.sql import functions as F
 
-from recsql.llm.secrets import masked_texts, scan_secrets
+from recsql.llm.secrets import masked_texts, scan, scan_secrets
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
 NAMES = ("assign", "access", "hex", "owned")
@@ -74,3 +75,36 @@ def test_edges(edge_docs, empty_docs):
     masked = masked_texts(edge_docs, "[M]")
     assert masked.columns == edge_docs.columns and masked.count() == edge_docs.count()
     assert masked_texts(empty_docs, "[M]").collect() == []
+
+
+def test_a_value_in_many_repositories_of_one_owner_is_an_example(spark):
+    live, sample = "Zx81kQ9pLmN4vB7tR2yW", "Qw3rTy7uIoP1aSdF5gHj"
+    rows = [(1, f"see {live}", "s", "a"), (2, f"see {live}", "s", "b")] + [(10 + k, f"see {sample} token={sample}", "s", f"l{k}") for k in range(6)]
+    got = {r.doc_id: r for r in scan_secrets(spark.createDataFrame(rows, "doc_id long, text string, source string, lang string")).collect()}
+    assert got[1].spans == got[2].spans == "owned:4:24"
+    assert all(got[10 + k].spans == got[10 + k].base_spans and got[10 + k].n_examples == 1 and got[10 + k].max_repos == 6 for k in range(6))
+
+
+def test_tokens_and_base_matches_that_overlap(spark):
+    rng = random.Random(5)
+    parts = ["0123456789abcdef" * 2, "AKIAABCDEFGH1234", "token=", "secret: ", "Zx81kQ9pLmN4vB7tR2yW", " ", "/", "+", "=", "_", "\n", "x9"]
+    rows = [(i, "".join(rng.choices(parts, k=rng.randrange(40))), f"s{i}") for i in range(150)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").withColumn("lang", F.lit("en"))
+    for r in scan_secrets(df).collect():
+        text, base = rows[r.doc_id][1], base_spans(rows[r.doc_id][1])
+        free = {f"owned:{m.start()}:{m.end()}" for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text)
+                if not any(a < m.end() and m.start() < e for a, _, e in base)}
+        assert {x for x in r.spans.split(",") if x.startswith("owned")} <= free
+
+
+def test_one_text_of_very_many_values(spark):
+    text = " ".join(f"{k:040x} Tok{k:05d}abcdefghijklmnop" for k in range(6000))
+    df = spark.createDataFrame([(1, text, "s", "en")], "doc_id long, text string, source string, lang string")
+    (r,) = scan_secrets(df).collect()
+    assert r.n_hex == 6000 and r.spans == text_of(sorted(
+        base_spans(text) + [(m.start(), 3, m.end()) for m in re.finditer("Tok[0-9a-z]+", text)]))
+
+
+def test_no_python_in_the_scan(planted):
+    plan = scan(planted.withColumnRenamed("text", "t"))._jdf.queryExecution().toString()
+    assert not any(x in plan for x in ("Python", "InArrow", "InPandas"))
