@@ -6,7 +6,7 @@ on good and on bad texts and how common good texts are; the posterior
 probability of good quality replaces all-rules-must-pass filtering.
 
 Texts enter the estimation only through their vote pattern, so it works on at
-most 3^8 counted patterns; the counts cover every row and are combined before
+most 3^10 counted patterns; the counts cover every row and are combined before
 the shuffle. All iterations are one higher-order expression over that single
 row, and the posterior of each pattern is joined back to the texts.
 
