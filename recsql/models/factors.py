@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.numeric import clip
-from ..plans.blocked import blocked_topk
+from ..plans.pruned import pruned_topk
 from ..schemas import ITEM, USER
 
 
@@ -84,7 +84,7 @@ def augmented(m: FactorModel, users: DataFrame | None = None) -> tuple[DataFrame
 def recommend(m: FactorModel, users: DataFrame, k: int = 10) -> DataFrame:
     """Unclipped mu+bu+bi+p.q over all train items minus seen; unknown users -> none."""
     uv, iv = augmented(m, users)
-    return blocked_topk(uv, iv, m.seen, k, n_items=m.n_items)
+    return pruned_topk(uv, iv, m.seen, k, tail=2, n_items=m.n_items)
 
 
 def train_rmse(m: FactorModel, ratings: DataFrame) -> float:
