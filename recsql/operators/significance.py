@@ -2,14 +2,13 @@
 
 Inputs are (user_id, value) tables. All heavy parts are aggregations; only the
 final one-row arithmetic calls the ``erf`` UDF. The bootstrap never
-materialises users x replicates: each map task folds its users into B
-partial sums with Poisson(1) weights that depend on (seed, user, replicate)
-alone, so the result does not depend on partitioning."""
+materialises users x replicates: users are counted per distinct value, and each
+task folds its values into B partial sums with Poisson(users) weights that
+depend on (seed, value, replicate) alone, so the result does not depend on
+partitioning."""
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -66,42 +65,34 @@ def cohens_d(a: DataFrame, b: DataFrame) -> DataFrame:
             .select("n_pairs", F.round("d", 4).alias("cohens_d"), mag.alias("magnitude"), "mean_diff"))
 
 
-CHUNK_USERS = 64
-
-
-def _poisson(ids: np.ndarray, seed: int, draws: int) -> np.ndarray:
-    """Poisson(1) weights (users x draws), each from a 64-bit mix of the user's
-    hash and the draw's number against the distribution's cut-offs: the same
-    weights in any partitioning, without a generator per user."""
-    with np.errstate(over="ignore"):
-        z = ids.view(np.uint64)[:, None] + np.arange(1, draws + 1, dtype=np.uint64)[None, :] * np.uint64(0x9E3779B97F4A7C15)
-        z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-        z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-        z ^= z >> np.uint64(31)
-    u = (z >> np.uint64(11)).astype(np.float64) / (1 << 53)
-    return np.searchsorted(_POISSON_CDF, u, side="right").astype(np.float64)
-
-
-_POISSON_CDF = np.cumsum([math.exp(-1) / math.factorial(n) for n in range(18)])
+def _value_weights(value_hash: int, users: int, seed: int, draws: int) -> np.ndarray:
+    """How often each draw takes the users of one value: Poisson(1) weights add
+    up, so that is one Poisson(users) number a draw, fixed by (seed, value)."""
+    return np.random.default_rng([seed, value_hash & 0xFFFFFFFFFFFFFFFF]).poisson(users, draws).astype(np.float64)
 
 
-def bootstrap_ci(vals: DataFrame, n_bootstrap: int = 10000, ci_level: float = 0.95, seed: int = 42,
-                 key: str = USER) -> DataFrame:
+def bootstrap_ci(vals: DataFrame, n_bootstrap: int = 10000, ci_level: float = 0.95, seed: int = 42) -> DataFrame:
     """Poisson bootstrap percentile CI of the mean (statistical, not
-    numerical, parity with index resampling)."""
+    numerical, parity with index resampling). Users are counted per value
+    first, so the cost is distinct values x draws; null values are left out."""
     B = int(n_bootstrap)
+    counts = vals.filter(F.col("value").isNotNull()).groupBy(F.col("value").cast("double").alias("value")).agg(
+        F.count(F.lit(1)).alias("users"))
+    # A value is a few bytes but B draws of work: a fixed number of partitions,
+    # which adaptive coalescing (by bytes) leaves alone.
+    counts = counts.repartition(int(vals.sparkSession.conf.get("spark.sql.shuffle.partitions")), "value")
 
     def partial(batches):
         sx, sw = np.zeros(B), np.zeros(B)
         for pdf in batches:
-            ids, x = pdf["id"].to_numpy(np.int64), pdf["value"].to_numpy(np.float64)
-            for at in range(0, len(ids), CHUNK_USERS):
-                w = _poisson(ids[at:at + CHUNK_USERS], seed, B)
-                sx += x[at:at + CHUNK_USERS] @ w
-                sw += w.sum(axis=0)
+            for h, x, m in zip(pdf["h"].to_numpy(np.int64), pdf["value"].to_numpy(np.float64),
+                               pdf["users"].to_numpy(np.int64), strict=True):
+                w = _value_weights(int(h), int(m), seed, B)
+                sx += x * w
+                sw += w
         yield pd.DataFrame({"b": np.arange(B, dtype=np.int64), "sx": sx, "sw": sw})
 
-    reps = (vals.select(F.xxhash64(F.col(key), F.lit(seed)).alias("id"), "value").mapInPandas(partial, "b long, sx double, sw double")
+    reps = (counts.select(F.xxhash64("value").alias("h"), "value", "users").mapInPandas(partial, "b long, sx double, sw double")
             .groupBy("b").agg(F.sum("sx").alias("sx"), F.sum("sw").alias("sw"))
             .filter(F.col("sw") > 0)  # a replicate that drew no one is skipped
             .select((F.col("sx") / F.col("sw")).alias("m")))

@@ -7,11 +7,13 @@ Explicit schemas everywhere: no inference pass over the data.
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas as S
+from .publish import current, publish
 
 _MOVIES_RAW = T.StructType([
     T.StructField(S.ITEM, T.LongType(), False),
@@ -53,32 +55,46 @@ def read_imdb_basics(spark: SparkSession, path: str, partitions: int | None = No
     return df
 
 
-# Spark's error conditions of a missing path and of a file that
-# is not of the expected format. Any other failure (storage, rights) is raised.
-ABSENT = ("PATH_NOT_FOUND", "FileNotFoundException", "is not a Parquet file", "CANNOT_READ_FILE_FOOTER",
-          "FAILED_READ_FILE.PARQUET_COLUMN_DATA_TYPE_MISMATCH")
+# Spark's error conditions of a path without data, and of files
+# that are not of the expected format. Any other failure (storage, rights) is raised.
+ABSENT = ("PATH_NOT_FOUND", "FileNotFoundException", "UNABLE_TO_INFER_SCHEMA")
+DAMAGED = ("is not a Parquet file", "CANNOT_READ_FILE_FOOTER", "CANNOT_MERGE_SCHEMAS")
+
+
+class DamagedTable(UserWarning):
+    """A table is there but cannot be read as what it should be."""
 
 
-def _absent(error: Exception) -> bool:
-    return any(name in str(error) for name in ABSENT)
+def _names(error: Exception, conditions: tuple[str, ...]) -> bool:
+    return any(name in str(error) for name in conditions)
 
 
 def read_enrichment(spark: SparkSession, path: str | None) -> DataFrame:
-    """Enrichment cache; absent or unreadable -> empty table with schema."""
-    if path:
-        try:
-            df = spark.read.schema(S.ENRICHMENT).parquet(path)
-            df.limit(0).collect()  # surface a missing/corrupt path here
-            return df
-        except Exception as e:  # noqa: BLE001
-            if not _absent(e):
-                raise
-    return spark.createDataFrame([], S.ENRICHMENT)
+    """Enrichment cache as last published; absent or unreadable -> empty
+    table with schema, unreadable with a ``DamagedTable`` warning. All footers
+    are read (by a Spark job), so one damaged file is enough to be seen."""
+    empty = spark.createDataFrame([], S.ENRICHMENT)
+    if not path:
+        return empty
+    path = current(spark, path)
+    try:
+        found = {f.name: f.dataType for f in spark.read.option("mergeSchema", "true").parquet(path).schema}
+    except Exception as e:  # noqa: BLE001
+        if _names(e, DAMAGED):
+            warnings.warn(f"{path}: {str(e).splitlines()[0]}", DamagedTable, stacklevel=2)
+        elif not _names(e, ABSENT):
+            raise
+        return empty
+    wrong = [f.name for f in S.ENRICHMENT.fields if found.get(f.name) != f.dataType]
+    if wrong:
+        warnings.warn(f"{path}: columns missing or of another type: {', '.join(wrong)}", DamagedTable, stacklevel=2)
+        return empty
+    return spark.read.schema(S.ENRICHMENT).parquet(path)
 
 
 def write_enrichment(cache: DataFrame, path: str) -> None:
-    """Persist the enrichment table (parquet, overwrite)."""
-    cache.select([f.name for f in S.ENRICHMENT.fields]).write.mode("overwrite").parquet(path)
+    """Replace the enrichment table in one step (see ``publish``)."""
+    publish(cache.select([f.name for f in S.ENRICHMENT.fields]), path)
 
 
 def dataset_from_files(spark: SparkSession, data_dir: str, cache_path: str | None = None):
@@ -91,7 +107,7 @@ def dataset_from_files(spark: SparkSession, data_dir: str, cache_path: str | Non
         users = read_users(spark, f"{data_dir}/users.dat")
         users.limit(0).collect()
     except Exception as e:  # noqa: BLE001 - users are optional
-        if not _absent(e):
+        if not _names(e, ABSENT):
             raise
         users = None
     items = enrich_items(movies, read_enrichment(spark, cache_path))
