@@ -452,7 +452,8 @@ def _scored(src: DataFrame, shared, others: list) -> DataFrame:
         table = others[0] if len(others) == 1 else others[0].unionByName(others[1])
         cost = {k: F.coalesce(f"l{k}", F.col(f"w{k}") + F.when(F.col("before"), F.col(f"h{k}")).otherwise(0.0), F.lit(0.0))
                 for k in ("t", "b")}
-        sums = (sums.join(table, ["is_word", "key"], "left")
+        # The key first: a sort by it is settled by the key's eight bytes alone.
+        sums = (sums.join(table, ["key", "is_word"], "left")
                 .select("row", "doc_id", "n", cost["t"].alias("lt"), cost["b"].alias("lb")).groupBy("row")
                 .agg(F.max("doc_id").alias("doc_id"), F.max("n").alias("n"), F.sum("lt").alias("lt"), F.sum("lb").alias("lb"),
                      F.count("n").alias("same"))
