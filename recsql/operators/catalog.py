@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,10 +13,18 @@ from ..plans.ranking import topk
 from ..schemas import ITEM, RATING, USER
 
 
+RATINGS_COUNTED = 500_000  # ratings of one task that counts genres, about
+
+
 def user_genre_counts(history: DataFrame, items: DataFrame) -> DataFrame:
-    """J4 + explode: (user_id, genre, n) over a user's rated items."""
-    g = items.select(ITEM, F.explode(genre_list(F.col("genres"))).alias("genre"))
-    return history.select(USER, ITEM).join(g, ITEM).groupBy(USER, "genre").agg(F.count(F.lit(1)).alias("n"))
+    """J4 + explode: (user_id, genre, n) over a user's rated items. Ratings are dealt
+    out by user before they are counted, to as many tasks as there are ratings for:
+    a count before that would hold nearly one entry per rating and genre."""
+    g = items.select(ITEM, genre_list(F.col("genres")).alias("_genres"))
+    rated = history.select(USER, ITEM)
+    tasks = max(rated.sparkSession.sparkContext.defaultParallelism, math.ceil(rated.count() / RATINGS_COUNTED))
+    return (rated.join(g, ITEM).select(USER, "_genres").repartition(tasks, USER)
+            .select(USER, F.explode("_genres").alias("genre")).groupBy(USER, "genre").agg(F.count(F.lit(1)).alias("n")))
 
 
 def user_top_genres(history: DataFrame, items: DataFrame, n: int = 1) -> DataFrame:
