@@ -16,10 +16,10 @@ from ..functions.numeric import clip
 from ..functions.text import tokens
 from pyspark.sql import Window
 
-from ..plans.blocked import blocked_group_cover, blocked_topk, entries_to_vec, sparse_dot, sparse_rows, sparse_vectors
+from ..plans.blocked import blocked_group_cover, blocked_topk, entries_to_vec, no_null_id, sparse_dot, sparse_rows, sparse_vectors
 from ..plans.ranking import broadcast_if_small, exclude_seen, global_positions, rank_in_group, topk
 from ..schemas import ITEM, RATING, USER
-from ..session import materialize
+from ..session import materialize, stored
 from .popularity import global_mean, seen_pairs
 
 EPS = 1e-9  # fixed value: norm guard of the reference formulas
@@ -65,29 +65,30 @@ def tfidf(items: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 def user_profiles(train: DataFrame, item_vecs: DataFrame, catalogue: DataFrame,
                   like_threshold: float = 4.0) -> tuple[DataFrame, DataFrame]:
     """Rating-weighted mean of liked item vectors (all history when nothing
-    is liked), L2-normalised. Returns (profiles, profile_users)."""
+    is liked), L2-normalised. Returns (profiles, profile_users). The used ratings and
+    the sums are tables: a task holds one join or aggregation at a time."""
     has_liked = train.groupBy(USER).agg(F.max((F.col(RATING) >= like_threshold).cast("int")).alias("_hl"))
-    used = (train.join(has_liked, USER)
-            .filter((F.col(RATING) >= like_threshold) | (F.col("_hl") == 0))
-            .join(catalogue, ITEM, "left_semi")
-            .select(USER, ITEM, F.col(RATING).cast("double").alias("r")))
-    wsum = used.groupBy(USER).agg(F.sum("r").alias("_W"))
-    avg = (used.join(item_vecs, ITEM).groupBy(USER, "term", "idx").agg(F.sum(F.col("r") * F.col("weight")).alias("s"))
-           .join(wsum, USER).select(USER, "term", "idx", (F.col("s") / F.col("_W")).alias("a")))
-    norm = avg.groupBy(USER).agg((F.sqrt(F.sum(F.col("a") * F.col("a"))) + F.lit(EPS)).alias("_n"))
-    prof = avg.join(norm, USER).select(USER, "term", "idx", (F.col("a") / F.col("_n")).alias("weight"))
+    used = stored(train.join(has_liked, USER)
+                  .filter((F.col(RATING) >= like_threshold) | (F.col("_hl") == 0))
+                  .join(catalogue, ITEM, "left_semi")
+                  .select(USER, ITEM, F.col(RATING).cast("double").alias("r")))
+    wsum = stored(used.groupBy(USER).agg(F.sum("r").alias("_W")))
+    sums = stored(used.join(item_vecs, ITEM).groupBy(USER, "term", "idx").agg(F.sum(F.col("r") * F.col("weight")).alias("s")))
+    avg = sums.join(wsum, USER).select(USER, "term", "idx", (F.col("s") / F.col("_W")).alias("a"))
+    square = F.sum(F.col("a") * F.col("a")).over(Window.partitionBy(USER))  # over a user's terms
+    prof = avg.withColumn("_n", F.sqrt(square) + F.lit(EPS)).select(USER, "term", "idx", (F.col("a") / F.col("_n")).alias("weight"))
     return prof, wsum.select(USER)
 
 
 def fit(train: DataFrame, items: DataFrame, like_threshold: float = 4.0, **_params) -> ContentModel:
     idf, vecs, catalogue = tfidf(items)
-    idf, vecs, catalogue = materialize(idf), materialize(vecs), materialize(catalogue)
+    idf, vecs, catalogue = materialize(idf), stored(vecs), stored(catalogue)
     prof, pusers = user_profiles(train, vecs, catalogue, like_threshold)
-    prof, pusers = materialize(prof), materialize(pusers)
+    prof, pusers = stored(prof), stored(pusers)
     dim = idf.count()
     n_items = catalogue.count()
     return ContentModel(materialize(global_mean(train)), idf, vecs, catalogue, prof, pusers,
-                        materialize(seen_pairs(train)), dim, n_items)
+                        stored(seen_pairs(train)), dim, n_items)
 
 
 def cosine(m: ContentModel, pairs: DataFrame) -> DataFrame:
@@ -159,18 +160,18 @@ def recommend(m: ContentModel, users: DataFrame, k: int = 10) -> DataFrame:
 def rank_catalogue(m: ContentModel, uv: DataFrame, seen: DataFrame, k: int) -> DataFrame:
     """Top-k catalogue items per (user_id, vec) row by cosine, minus ``seen``."""
     item_sig, sig_vecs, n_sigs = signatures(m)
+    uv = stored(uv)  # counted, joined and scored below
     if n_sigs > SIGNATURE_RATIO * m.n_items:
         return blocked_topk(uv, item_vectors(m), seen, k, score_fn=sparse_dot, n_items=m.n_items, pack=sparse_rows())
     seen_sig = seen.join(uv.select(USER), USER, "left_semi").join(item_sig.select(ITEM, "group_id"), ITEM)
     seen_counts = seen_sig.groupBy(USER, "group_id").agg(F.count(F.lit(1)).alias("n_seen"))
-    cand = blocked_group_cover(uv, sig_vecs, seen_counts, k, n_groups=n_sigs)
+    cand = stored(blocked_group_cover(uv, sig_vecs, seen_counts, k, n_groups=n_sigs))
     # Global cover: best signatures until k unseen items, plus every tie of the last one.
     r9 = F.round("score", 9)
     before = Window.partitionBy(USER).orderBy(r9.desc(), F.col("group_id")).rowsBetween(Window.unboundedPreceding, -1)
     c = cand.withColumn("_cb", F.coalesce(F.sum("unseen").over(before), F.lit(0.0)))
     c = c.withColumn("_thr", F.min(F.when(F.col("_cb") < k, r9)).over(Window.partitionBy(USER)))
-    kept = c.filter(r9 >= F.col("_thr")).join(seen_counts, [USER, "group_id"], "left").select(
-        USER, "group_id", "score", (F.lit(k) + F.coalesce("n_seen", F.lit(0))).alias("_need"))
+    kept = c.filter(r9 >= F.col("_thr")).select(USER, "group_id", "score", (F.lit(k) + F.col("n_seen")).alias("_need"))
     # Expand each kept signature over its first k + seen items (blocks of k positions).
     b = max(1, int(k))
     ex = kept.withColumn("_blk", F.explode(F.sequence(F.lit(1).cast("bigint"), F.ceil(F.col("_need") / b).cast("bigint"))))
@@ -191,18 +192,31 @@ def preference_vectors(m: ContentModel, prefs: DataFrame) -> DataFrame:
             .select("profile_id", "idx", (F.col("a") / F.col("_n")).alias("weight")))
 
 
+def _rank_once(m: ContentModel, uv: DataFrame, k: int) -> DataFrame:
+    """``rank_catalogue`` without seen items: profiles of equal vectors have equal
+    lists, so each distinct vector is ranked once, for its smallest profile."""
+    uv = stored(uv.withColumn(USER, no_null_id(USER)))
+    same = uv.groupBy("vec").agg(F.min(USER).alias("_first"))
+    member = stored(uv.join(same, "vec").select(USER, "_first", "vec"))
+    none = uv.sparkSession.createDataFrame([], f"{USER} long, {ITEM} long")
+    lists = rank_catalogue(m, member.filter(F.col(USER) == F.col("_first")).select(USER, "vec"), none, k)
+    return (member.select(USER, "_first").join(lists.withColumnRenamed(USER, "_first"), "_first")
+            .select(USER, "rank", ITEM, "score"))
+
+
 def recommend_for_preferences(m: ContentModel, prefs: DataFrame, k: int = 10,
                               exclude: DataFrame | None = None, fallback: DataFrame | None = None) -> DataFrame:
     """M13 for a batch of preference profiles: cosine top-k minus ``exclude``
     (profile_id, item_id); profiles without a usable vector get ``fallback``
     (a global (rank, item_id, score) list, e.g. popularity)."""
+    prefs = stored(prefs)
     pv = preference_vectors(m, prefs)
     uv = sparse_vectors(pv.withColumnRenamed("profile_id", USER), USER)
     if exclude is None:
-        seen = prefs.sparkSession.createDataFrame([], f"{USER} long, {ITEM} long")
+        recs = _rank_once(m, uv, k)
     else:
-        seen = exclude.select(F.col("profile_id").alias(USER), ITEM)
-    recs = rank_catalogue(m, uv, seen, k).withColumnRenamed(USER, "profile_id")
+        recs = rank_catalogue(m, uv, exclude.select(F.col("profile_id").alias(USER), ITEM), k)
+    recs = stored(recs).withColumnRenamed(USER, "profile_id")
     if fallback is None:
         return recs
     missing = prefs.select("profile_id").distinct().join(recs.select("profile_id").distinct(), "profile_id", "left_anti")

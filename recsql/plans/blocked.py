@@ -55,14 +55,14 @@ def item_block_size(n: int, block: int | None = None) -> int:
     return block or max(ITEM_BLOCK, min(ITEMS_SHIPPED, math.ceil(n / ITEM_PARTS)))
 
 
-def _id(col: str):
+def no_null_id(col: str):
     return F.coalesce(F.col(col).cast("long"), F.lit(_MISSING))
 
 
 def _packed(vecs: DataFrame, key: str, block: str, nb: int, size: int) -> DataFrame:
     """(block, ids, lens, vals): vectors end to end, about ``PACKED`` ids a row.
     Rows are packed once, before they are copied to the blocks of the other side."""
-    fine = vecs.select(_block(key, nb * _n_blocks(size, PACKED)).alias("_f"), _id(key).alias("id"),
+    fine = vecs.select(_block(key, nb * _n_blocks(size, PACKED)).alias("_f"), no_null_id(key).alias("id"),
                        F.col("vec").cast("array<double>").alias("vec"))
     m = fine.groupBy("_f").agg(F.collect_list(F.struct("id", "vec")).alias("m"))
     return m.select((F.col("_f") % F.lit(nb)).cast("int").alias(block), F.col("m.id").alias("ids"),
@@ -80,7 +80,7 @@ def _grouped(user_vecs: DataFrame, item_vecs: DataFrame, seen: DataFrame | None,
     parts = u.unionByName(i)
     if seen is not None:
         cells = seen.select(_block("user_id", nu * _n_blocks(user_block, PACKED)).alias("_f"), _block("item_id", ni).alias("_ib"),
-                            F.struct(_id("user_id").alias("u"), _id("item_id").alias("i")).alias("c"))
+                            F.struct(no_null_id("user_id").alias("u"), no_null_id("item_id").alias("i")).alias("c"))
         s = cells.groupBy("_f", "_ib").agg(F.collect_list("c").alias("m")).select(
             (F.col("_f") % F.lit(nu)).cast("int").alias("_ub"), "_ib", F.lit("S").alias("kind"), F.col("m.u").alias("ids"),
             F.col("m.i").alias("lens"), F.lit(None).cast("array<double>").alias("vals"))
@@ -540,7 +540,7 @@ def blocked_group_cover(user_vecs: DataFrame, group_vecs: DataFrame, seen_counts
     vectors of ``sparse_vectors``; seen_counts: (user_id, group_id, n_seen).
     For each user and block of groups, the best-scoring groups whose unseen
     items cover k (plus every group tied with the last one) leave the task as
-    (user_id, group_id, score, unseen). The global cover is a superset-safe
+    (user_id, group_id, score, unseen, n_seen). The global cover is a superset-safe
     union of these per-block covers."""
     n_users = n_users if n_users is not None else user_vecs.count()
     n_groups = n_groups if n_groups is not None else group_vecs.count()
@@ -553,7 +553,7 @@ def blocked_group_cover(user_vecs: DataFrame, group_vecs: DataFrame, seen_counts
     sized = group_vecs.select("group_id", F.concat(F.array(F.col("size").cast("double")), F.col("vec").cast("array<double>")).alias("vec"))
     g = _packed(sized, "group_id", "_ib", ni, item_block).select(ub_all.alias("_ub"), "_ib", F.lit("I").alias("kind"), "ids", "lens", "vals")
     cells = seen_counts.select(_block("user_id", nu * _n_blocks(user_block, PACKED)).alias("_f"), _block("group_id", ni).alias("_ib"),
-                               F.struct(_id("user_id").alias("u"), _id("group_id").alias("g"), F.col("n_seen").cast("double").alias("n")).alias("c"))
+                               F.struct(no_null_id("user_id").alias("u"), no_null_id("group_id").alias("g"), F.col("n_seen").cast("double").alias("n")).alias("c"))
     s = cells.groupBy("_f", "_ib").agg(F.collect_list("c").alias("m")).select(
         (F.col("_f") % F.lit(nu)).cast("int").alias("_ub"), "_ib", F.lit("S").alias("kind"), F.col("m.u").alias("ids"),
         F.col("m.g").alias("lens"), F.col("m.n").alias("vals"))
@@ -562,7 +562,7 @@ def blocked_group_cover(user_vecs: DataFrame, group_vecs: DataFrame, seen_counts
     def cover(pdf: pd.DataFrame) -> pd.DataFrame:
         (uids, us), (gids, gs), ss = _split(pdf)
         if len(uids) == 0 or len(gids) == 0:
-            return pd.DataFrame({"user_id": [], "group_id": [], "score": [], "unseen": []})
+            return pd.DataFrame({"user_id": [], "group_id": [], "score": [], "unseen": [], "n_seen": []})
         G = sparse_rows(1)(gs)
         size = G.dense[:, 0]
         su, sg, sn = (np.concatenate([np.asarray(x, t) for x in ss[c]] + [np.zeros(0, t)])
@@ -588,7 +588,8 @@ def blocked_group_cover(user_vecs: DataFrame, group_vecs: DataFrame, seen_counts
             reach = (np.cumsum(have, axis=1) < kk).sum(axis=1)  # first position covering k
             thr = np.where(reach < kk, first[np.arange(n), np.minimum(reach, kk - 1)], -np.inf)
             rr, cc = np.nonzero((key >= thr[:, None]) & np.isfinite(key))
-            found.append(pd.DataFrame({"user_id": uids[rr + lo], "group_id": gids[cc], "score": S[rr, cc], "unseen": unseen[rr, cc]}))
+            found.append(pd.DataFrame({"user_id": uids[rr + lo], "group_id": gids[cc], "score": S[rr, cc], "unseen": unseen[rr, cc],
+                                       "n_seen": size[cc] - unseen[rr, cc]}))
         return pd.concat(found, ignore_index=True)
 
-    return parts.groupBy("_k").applyInPandas(cover, "user_id long, group_id long, score double, unseen double")
+    return parts.groupBy("_k").applyInPandas(cover, "user_id long, group_id long, score double, unseen double, n_seen double")
