@@ -50,11 +50,13 @@ HELD_WORDS, HELD_PAIRS = 262_144, 1_000_000  # sent to the tasks; the rest is jo
 _START, _WORD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)  # start mark; history of a word's own count
 BUCKET = 1 << 21  # bytes of text whose bigrams are added up at a time
 COUNT_TURNS, SCORE_TURNS = 2, 3  # shares of the bigrams and of the documents, one after the other, to hold less shuffled data at once
-SIEVE = 28  # bits of a key that say whether it may be listed
+SIEVE = 28  # bits of a key, at most, that say whether it may be listed
+SIEVE_ROOM = 6  # bits more than the listed keys would need
+SLICE = 1 << 20  # bytes of text that a task works on at a time
 _HISTOGRAM = 8  # cut-offs per doubling of the count
 
 
-def _slices(batch: pa.RecordBatch, limit: int = 1 << 22):
+def _slices(batch: pa.RecordBatch, limit: int = SLICE):
     _, offsets = string_buffers(batch.column(1))
     at = 0
     while at < batch.num_rows:
@@ -263,7 +265,8 @@ def _packed(fresh: list, buckets: int, turn: int) -> pa.RecordBatch:
         before = np.append(before, np.full(len(own) + 1, np.uint64(WORD_KEY % (1 << 64))))
     history = before
     bucket = (_mixed(history ^ words) % np.uint64(buckets)).astype(np.int64)
-    order = np.argsort(bucket)
+    # Numbers of 16 bits are sorted by counting them.
+    order = np.argsort(bucket.astype(np.uint16), kind="stable") if buckets <= 1 << 16 else np.argsort(bucket)
     bucket = bucket[order]
     first = np.flatnonzero(np.append(True, bucket[1:] != bucket[:-1])[:len(bucket)])
     ends = np.append(first[1:], len(bucket)) if len(first) else first
@@ -312,8 +315,10 @@ class Costs:
     def __init__(self, words, pairs, start, sieve):
         self.words, self.as_word, self.as_history = self._sorted(words, ("wt", "wb"), ("ht", "hb"))
         self.pairs, self.correction = self._sorted(pairs, ("wt", "wb"))
+        self.places = {"words": self._places(self.words), "pairs": self._places(self.pairs)}
         self.start = start
-        self.sieve = sieve  # bits of all listed pairs that are not held; None: there are none
+        self.sieve, self.dropped = sieve or (None, 0)  # bits of all listed pairs that are not held (None: there are
+        # none); bits of a key that it leaves out
 
     @staticmethod
     def _sorted(rows, *names):
@@ -322,10 +327,26 @@ class Costs:
         return keys[order], *([rows[k].to_numpy(np.float64)[order] for k in pair] for pair in names)
 
     @staticmethod
-    def find(keys: np.ndarray, wanted: np.ndarray):
-        """(place, whether it is there) of each."""
-        at = np.minimum(np.searchsorted(keys, wanted), max(0, len(keys) - 1))
-        return at, keys[at] == wanted if len(keys) else np.zeros(len(wanted), dtype=bool)
+    def _places(keys: np.ndarray) -> tuple[np.ndarray, np.uint64]:
+        """The first place of keys with each leading bits, as many bits as leave about one key."""
+        bits = max(1, len(keys).bit_length())
+        leading = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+        return np.searchsorted(keys, leading).astype(np.int32), np.uint64(64 - bits)
+
+    def find(self, held: str, wanted: np.ndarray):
+        """(place, whether it is there) of each among the held words or pairs: a few steps from the first key with
+        its leading bits, for keys are hashes; a binary search beyond that."""
+        keys = getattr(self, held)
+        if not len(keys):
+            return np.zeros(len(wanted), np.int64), np.zeros(len(wanted), dtype=bool)
+        first, shift = self.places[held]
+        at = np.minimum(first[wanted >> shift], len(keys) - 1)
+        below = np.flatnonzero(keys[at] < wanted)
+        for _ in range(6):
+            at[below] = np.minimum(at[below] + 1, len(keys) - 1)
+            below = below[keys[at[below]] < wanted[below]]
+        at[below] = np.minimum(np.searchsorted(keys, wanted[below]), len(keys) - 1)
+        return at, keys[at] == wanted
 
 
 def _sieved(keys: pa.Table) -> pa.Table:
@@ -335,14 +356,16 @@ def _sieved(keys: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array([int(at[0]) >> 20], pa.int64()), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
 
 
-def _sieve(pairs: DataFrame) -> np.ndarray:
-    at = F.shiftrightunsigned("key", 64 - SIEVE)
+def _sieve(pairs: DataFrame) -> tuple[np.ndarray, int]:
+    """Bits by the number of keys, and how many bits of a key they leave out."""
+    bits = min(SIEVE, max(20, pairs.count().bit_length() + SIEVE_ROOM))
+    at = F.shiftrightunsigned("key", 64 - bits)
     blocks = (pairs.select(at.alias("at"), F.shiftright(at, 20).alias("block")).groupBy("block")
               .applyInArrow(_sieved, "block long, bits binary"))
-    out = np.zeros((1 << SIEVE) // 8, dtype=np.uint8).reshape(-1, (1 << 20) // 8)
+    out = np.zeros((1 << bits) // 8, dtype=np.uint8).reshape(-1, (1 << 20) // 8)
     for r in blocks.collect():  # 256 rows at most
         out[r["block"]] = np.frombuffer(r["bits"], dtype=np.uint8)
-    return out.reshape(-1)
+    return out.reshape(-1), 64 - bits
 
 
 LOOKED_UP = ("row long, doc_id long, n long, lt double, lb double, is_word boolean, key long, before boolean")
@@ -360,8 +383,8 @@ def _losses(shared, whole: bool):
                 n = np.diff(first)
                 begins = first[:-1][n > 0]
                 keys = history ^ words
-                at, known = costs.find(costs.words, words)
-                pair, listed = costs.find(costs.pairs, keys)
+                at, known = costs.find("words", words)
+                pair, listed = costs.find("pairs", keys)
                 sums = []
                 for kind in (0, 1):
                     loss = np.zeros(len(words))
@@ -385,7 +408,7 @@ def _losses(shared, whole: bool):
                 goes_on[first[1:][n > 0] - 1] = False
                 wanted = np.flatnonzero(~listed) if costs.sieve is not None else np.zeros(0, np.int64)
                 if len(wanted):
-                    bit = keys[wanted] >> np.uint64(64 - SIEVE)
+                    bit = keys[wanted] >> np.uint64(costs.dropped)
                     wanted = wanted[(costs.sieve[bit >> np.uint64(3)] >> (7 - (bit & np.uint64(7))).astype(np.uint8)) & 1 == 1]
                 for where, key, is_word in ((np.flatnonzero(~known), words, True), (wanted, keys, False)):
                     many = len(where)

@@ -2,6 +2,7 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -107,3 +108,26 @@ def test_what_is_held_does_not_change_the_losses(spark, monkeypatch, held):
     got = sorted((tuple(r) for r in L.cross_entropy_difference(df, "y").collect()), key=order)
     for a, b in zip(got, sorted(brute(rows), key=order), strict=True):
         assert a[:2] == b[:2] and a[2:] == pytest.approx(b[2:], abs=1e-6)
+
+
+def test_places_of_held_costs():
+    import pandas as pd
+    rng = np.random.default_rng(3)
+    near = np.arange(1000, dtype=np.uint64) + np.uint64(1 << 63)  # many keys of equal leading bits
+    for keys in (rng.integers(0, 1 << 64, 5000, dtype=np.uint64), near, np.array([0, (1 << 64) - 1], np.uint64), np.zeros(0, np.uint64)):
+        keys = np.unique(keys)
+        rows = pd.DataFrame({"key": keys.view(np.int64), **{k: np.zeros(len(keys)) for k in ("wt", "wb", "ht", "hb")}})
+        costs = L.Costs(rows, rows.iloc[:0], (0.0, 0.0), None)
+        wanted = np.concatenate([keys, keys + np.uint64(1), rng.integers(0, 1 << 64, 3000, dtype=np.uint64)])
+        at, there = costs.find("words", wanted)
+        assert (there == np.isin(wanted, keys)).all()
+        assert (keys[at[there]] == wanted[there]).all()
+
+
+def test_sieve_grows_with_the_listed_keys(spark):
+    rng = np.random.default_rng(4)
+    keys = rng.integers(-(1 << 63), 1 << 63, 3000)
+    bits, dropped = L._sieve(spark.createDataFrame([(int(k),) for k in keys], "key long"))
+    assert dropped == 44 and len(bits) == (1 << 20) // 8
+    at = keys.view(np.uint64) >> np.uint64(dropped)
+    assert (np.unpackbits(bits)[at.astype(np.int64)] == 1).all() and np.unpackbits(bits).sum() == len(np.unique(at))
