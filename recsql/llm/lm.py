@@ -46,13 +46,13 @@ from .words import string_buffers, word_hashes
 
 WEIGHT = 0.6  # of a bigram's own frequency, against the word's share
 FLUSH = 1 << 22
-HELD_WORDS, HELD_PAIRS = 262_144, 1_000_000  # sent to the tasks; the rest is joined
+HELD_WORDS, HELD_PAIRS = 262_144, 1_500_000  # sent to the tasks; the rest is joined
 _START, _WORD = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1B54A32D192ED03)  # start mark; history of a word's own count
 BUCKET = 1 << 21  # bytes of text whose bigrams are added up at a time
 COUNT_TURNS, SCORE_TURNS = 2, 3  # shares of the bigrams and of the documents, one after the other, to hold less shuffled data at once
 SIEVE = 28  # bits of a key, at most, that say whether it may be listed
 SIEVE_ROOM = 6  # bits more than the listed keys would need
-SLICE = 1 << 20  # bytes of text that a task works on at a time
+SLICE = 1 << 21  # bytes of text that a task works on at a time
 _HISTOGRAM = 8  # cut-offs per doubling of the count
 
 
@@ -151,16 +151,15 @@ def _step():
 
 def _cut_off(counts: DataFrame, most: int):
     """(lowest step of the most frequent keys, at most ``most``: None for no
-    step; whether that is all keys)."""
+    step; how many keys are left out)."""
     table = sorted(((r["s"], r["n"]) for r in counts.groupBy(_step().alias("s")).agg(F.count("*").alias("n")).collect()),
                    reverse=True)  # a few hundred rows
     cut, have = None, 0
     for s, n in table:
-        have += n
-        if have > most:
-            return cut, False
-        cut = s
-    return cut, True
+        if have + n > most:
+            return cut, sum(n for _, n in table) - have
+        cut, have = s, have + n
+    return cut, 0
 
 
 def _largest(counts: DataFrame, most: int) -> DataFrame:
@@ -356,9 +355,9 @@ def _sieved(keys: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array([int(at[0]) >> 20], pa.int64()), "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
 
 
-def _sieve(pairs: DataFrame) -> tuple[np.ndarray, int]:
-    """Bits by the number of keys, and how many bits of a key they leave out."""
-    bits = min(SIEVE, max(20, pairs.count().bit_length() + SIEVE_ROOM))
+def _sieve(pairs: DataFrame, many: int) -> tuple[np.ndarray, int]:
+    """Bits, by how many keys there are, and how many bits of a key they leave out."""
+    bits = min(SIEVE, max(20, many.bit_length() + SIEVE_ROOM))
     at = F.shiftrightunsigned("key", 64 - bits)
     blocks = (pairs.select(at.alias("at"), F.shiftright(at, 20).alias("block")).groupBy("block")
               .applyInArrow(_sieved, "block long, bits binary"))
@@ -454,12 +453,13 @@ def _whole(src: DataFrame, scratch: Scratch) -> DataFrame:
                                              for short, name in (("w", "share"), ("h", "rest")) for k in ("t", "b")))
     held, others, sieve = [], [], None
     for costs, most, is_word in ((words, HELD_WORDS, True), (pairs, HELD_PAIRS, False)):
-        cut, whole = _cut_off(costs, most)
+        cut, left = _cut_off(costs, most)
         above = F.lit(False) if cut is None else _step() >= cut
-        held.append(costs.filter(above).drop("t", "b").toArrow().to_pandas())  # at most ``most`` rows
-        if not whole:
+        used = ("wt", "wb", "ht", "hb") if is_word else ("wt", "wb")
+        held.append(costs.filter(above).select("key", *used).toArrow().to_pandas())  # at most ``most`` rows
+        if left:
             others.append(costs.filter(~above).drop("t", "b").withColumn("is_word", F.lit(is_word)))
-            sieve = sieve if is_word else _sieve(others[-1])
+            sieve = sieve if is_word else _sieve(others[-1], left)
     shared = spark.sparkContext.broadcast(Costs(*held, tuple(begin or (0.0, 0.0)), sieve))
     out = None
     for turn in range(SCORE_TURNS if others else 1):

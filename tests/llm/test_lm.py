@@ -127,7 +127,7 @@ def test_places_of_held_costs():
 def test_sieve_grows_with_the_listed_keys(spark):
     rng = np.random.default_rng(4)
     keys = rng.integers(-(1 << 63), 1 << 63, 3000)
-    bits, dropped = L._sieve(spark.createDataFrame([(int(k),) for k in keys], "key long"))
+    bits, dropped = L._sieve(spark.createDataFrame([(int(k),) for k in keys], "key long"), 3000)
     assert dropped == 44 and len(bits) == (1 << 20) // 8
     at = keys.view(np.uint64) >> np.uint64(dropped)
     assert (np.unpackbits(bits)[at.astype(np.int64)] == 1).all() and np.unpackbits(bits).sum() == len(np.unique(at))
