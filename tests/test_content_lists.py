@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from recsql.models import coldstart, content, popularity
+from recsql.models import coldstart, content, hybrid, popularity
 from recsql.operators import catalog, metrics
 from recsql.plans import blocked
 from recsql.plans.context import Context
@@ -103,3 +103,32 @@ def test_cut_offs_of_one_list(spark):
     rel = spark.createDataFrame([(1, 101), (1, 105), (2, 299), (4, 101)], "user_id long, item_id long")
     rows = {r.k: (r.recall, r.hitrate) for r in metrics.multik(recs, rel, (2, 5)).collect()}
     assert rows == {2: (0.25, 0.5), 5: (0.5, 0.5)}
+
+
+def test_hybrid_bounds_are_computed_once(spark, monkeypatch):
+    ratings, items = _tables(spark)
+    m = hybrid.fit(ratings, items, cf_params=dict(n_factors=3, n_epochs=1))
+    users = ratings.select("user_id").distinct()
+    computed, real = spark.sparkContext.accumulator(0), hybrid.blocked_user_stats
+
+    def counted(*args, **kwargs):
+        st = real(*args, **kwargs)
+
+        def fn(batches):
+            for batch in batches:
+                computed.add(batch.num_rows)
+                yield batch
+        return st.mapInArrow(fn, st.schema)
+
+    monkeypatch.setattr(hybrid, "blocked_user_stats", counted)
+    out = hybrid.recommend(m, users, 5).collect()
+    assert len(out) == 12 * 5 and computed.value == 12
+
+
+def test_content_model_is_fitted_once(spark):
+    ratings, items = _tables(spark)
+    ctx = Context(spark, "no folder")
+    ctx.__dict__.update(ratings=ratings, items=items, train=ratings)
+    m = ctx.model("content")
+    assert ctx.model("content", like_threshold=4.0) is m and ctx.model("coldstart").content is m
+    assert ctx.model("content", like_threshold=3.0) is not m
