@@ -150,7 +150,8 @@ def explain(recs: DataFrame, train: DataFrame, items: DataFrame) -> DataFrame:
     (ties by name), else a generic reason."""
     counts = user_genre_counts(train, items)
     ig = items.select(ITEM, F.explode(genre_list(F.col("genres"))).alias("genre"))
-    cand = recs.select(USER, "rank", ITEM).join(ig, ITEM).join(counts, [USER, "genre"])
+    # A table of lists is some bytes a user when compressed: by its file size it would be broadcast, at any number of users.
+    cand = recs.select(USER, "rank", ITEM).hint("merge").join(ig, ITEM).join(counts, [USER, "genre"])
     best = topk(cand, 1, by=[USER, ITEM], order=[F.col("n").desc(), F.col("genre").asc()], rank_col="_r")
     best = best.select(USER, ITEM, "genre")
     return (recs.select(USER, "rank", ITEM).join(best, [USER, ITEM], "left")
