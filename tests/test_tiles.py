@@ -29,3 +29,26 @@ def test_tiles_equal_a_plain_sort():
             ok = np.flatnonzero(np.isfinite(S[x]))
             exp = ok[np.lexsort((ok, -np.round(S[x, ok], 9)))][:k]
             assert list(cols[rows == x]) == list(exp)
+
+
+def test_sparse_products_write_a_tile_of_items_once(monkeypatch):
+    rng = np.random.default_rng(3)
+
+    def tile(n, terms):
+        held = [np.sort(rng.choice(terms, 6, replace=False)) for _ in range(n)]
+        return blocked.sparse_rows()([np.concatenate([t.astype(float), rng.random(6)]) for t in held] + [np.zeros(0)])
+
+    def plain(rows):
+        out = np.zeros((len(rows.dense), 40))
+        out[rows.row, rows.idx] = rows.val
+        return out
+    written = []
+    monkeypatch.setattr(blocked, "_dense", lambda rows, terms, f=blocked._dense: written.append(rows) or f(rows, terms))
+    users, items = [tile(30, 40) for _ in range(4)], [tile(50, 40) for _ in range(3)]
+    for U in users:
+        for I in items:
+            np.testing.assert_allclose(blocked.sparse_dot(U, I), plain(U) @ plain(I).T, atol=1e-12)
+    assert sum(x is items[0] for x in written) == 1 and len(written) < 2 * 4 * 3
+    np.testing.assert_allclose(blocked.sparse_dot(tile(3, 20), tile(4, 20)).shape, (4, 5))
+    none = blocked.sparse_rows()([np.zeros(0)] * 2)
+    assert not blocked.sparse_dot(users[0], none).any() and not blocked.sparse_dot(none, items[0]).any()
